@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamizal.functions.jsonb import struct_text
-from tamizal.session import materialize
+from tamizal.session import materialize_all
 
 LINEAGE = ["lote_id", "archivo_origen", "numero_fila", "ingerido_en"]
 EVIDENCE = "evidencia_original"
@@ -86,6 +86,12 @@ def unknown_references(rows: DataFrame, reference: Reference, parents: DataFrame
     return used.join(known, used[f"_v_{flag}"] == known["_known"], "left_anti").withColumn(flag, F.lit(True))
 
 
+def taken_keys(rows: DataFrame, key: tuple[str, ...], seen: DataFrame) -> DataFrame:
+    """Keys of ``rows`` that earlier runs already hold."""
+    found = rows.select(*key).distinct().join(seen.select(*key), list(key), "left_semi")
+    return found.select(*[F.col(k).alias(f"_s_{k}") for k in key], F.lit(True).alias("_seen"))
+
+
 def evaluate(
     raw: DataFrame,
     spec: EntitySpec,
@@ -100,23 +106,27 @@ def evaluate(
     rows = normalize(raw, spec)
     name = spec.name
 
-    repeats = materialize(repeated_keys(rows, spec.key), f"{name}-repeats")
-    same_key = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in spec.key])
-    judged = rows.join(repeats, same_key, "left").drop(*[f"_k_{k}" for k in spec.key])
-    repeated = F.col("_first").isNotNull() & (_position() != F.col("_first"))
+    checks = {f"{name}-repeats": repeated_keys(rows, spec.key)}
+    if seen is not None:
+        checks[f"{name}-seen"] = taken_keys(rows, spec.key, seen)
+    for i, reference in enumerate(spec.references):
+        checks[f"{name}-unknown{i}"] = unknown_references(rows, reference, parents[reference.parent], f"_unknown{i}")
+    checks = materialize_all(checks)
+
+    def same_key(prefix: str) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(k) == F.col(f"{prefix}{k}") for k in spec.key])
 
+    judged = rows.join(checks[f"{name}-repeats"], same_key("_k_"), "left").drop(*[f"_k_{k}" for k in spec.key])
+    repeated = F.col("_first").isNotNull() & (_position() != F.col("_first"))
     if seen is not None:
-        taken = rows.select(*spec.key).distinct().join(seen.select(*spec.key), list(spec.key), "left_semi")
-        taken = materialize(taken.select(*[F.col(k).alias(f"_s_{k}") for k in spec.key]).withColumn("_seen", F.lit(True)), f"{name}-seen")
-        same_seen = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_s_{k}") for k in spec.key])
-        judged = judged.join(taken, same_seen, "left").drop(*[f"_s_{k}" for k in spec.key])
+        judged = judged.join(checks[f"{name}-seen"], same_key("_s_"), "left").drop(*[f"_s_{k}" for k in spec.key])
         repeated = repeated | F.col("_seen").isNotNull()
-
     flags = []
     for i, reference in enumerate(spec.references):
         flag = f"_unknown{i}"
-        missing = materialize(unknown_references(rows, reference, parents[reference.parent], flag), f"{name}-unknown")
-        judged = judged.join(missing, F.col(reference.column) == F.col(f"_v_{flag}"), "left").drop(f"_v_{flag}")
+        judged = judged.join(
+            checks[f"{name}-unknown{i}"], F.col(reference.column) == F.col(f"_v_{flag}"), "left"
+        ).drop(f"_v_{flag}")
         flags.append((reference.code, flag))
 
     absent = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in spec.required])

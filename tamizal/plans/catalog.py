@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from tamizal.plans import quality_queries
+from tamizal.plans import quality_queries, relational_queries
 
 QUERIES = {
+    **relational_queries.QUERIES,
     **quality_queries.QUERIES,
 }

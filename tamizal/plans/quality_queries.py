@@ -283,10 +283,10 @@ def ctes(*names: str) -> str:
         key_exprs = ", ".join(typed[k] for k in key.split(", "))
         cases = " ".join(f"WHEN {condition} THEN '{code}'" for condition, code in rules)
         parts.append(
-            f"r_{name} AS ({dirty.raw_sql(name)}), "
-            f"n_{name} AS (SELECT {columns}, lote_id, archivo_origen, numero_fila, to_json(struct_pack({evidence})) AS evidencia_original, "
+            f"r_{name} AS MATERIALIZED ({dirty.raw_sql(name)}), "
+            f"n_{name} AS MATERIALIZED (SELECT {columns}, lote_id, archivo_origen, numero_fila, to_json(struct_pack({evidence})) AS evidencia_original, "
             f"row_number() OVER (PARTITION BY {key_exprs} ORDER BY lote_id, numero_fila) AS veces FROM r_{name}), "
-            f"e_{name} AS (SELECT *, CASE {cases} END AS codigo_error FROM n_{name} n), "
+            f"e_{name} AS MATERIALIZED (SELECT *, CASE {cases} END AS codigo_error FROM n_{name} n), "
             f"s_{name} AS (SELECT * EXCLUDE (veces, evidencia_original, codigo_error) FROM e_{name} WHERE codigo_error IS NULL)"
         )
     return "WITH " + ", ".join(parts) + " "

@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Every one of these may be changed at run time, on a session someone else built.
@@ -66,3 +68,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """``materialize`` independent tables side by side; their jobs share the cluster."""
+    if len(frames) < 2:
+        return {name: materialize(df, name) for name, df in frames.items()}
+    spark = next(iter(frames.values())).sparkSession
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        write = inheritable_thread_target(spark)(materialize)
+        started = {name: pool.submit(write, df, name) for name, df in frames.items()}
+        return {name: done.result() for name, done in started.items()}
