@@ -36,18 +36,22 @@ def delete_where(df: DataFrame, test: Column) -> DataFrame:
     return df.where(~holds(test))
 
 
+def _current(df: DataFrame, name: str) -> Column:
+    """The column, or NULL for one that no row has yet."""
+    return F.col(name) if name in df.columns else F.lit(None)
+
+
 def set_field(df: DataFrame, path: str, value: Column, test: Column | None = None) -> DataFrame:
-    """Set a field, also one inside structs (``dataset.nombre``)."""
-    head, _, rest = path.partition(".")
-    if not rest:
-        return update_where(df.withColumn(head, F.col(head)) if head in df.columns else add_column(df, head, "string"), test, {head: value})
-    changed = F.col(head).withField(rest, value)
-    return df.withColumn(head, changed if test is None else F.when(holds(test), changed).otherwise(F.col(head)))
+    """Set a field, also a new one or one inside structs (``dataset.nombre``)."""
+    head, _, inner = path.partition(".")
+    changed = F.col(head).withField(inner, value) if inner else value
+    return df.withColumn(head, changed if test is None else F.when(holds(test), changed).otherwise(_current(df, head)))
 
 
 def change_array(df: DataFrame, name: str, change: Callable[[Column], Column], test: Column | None = None) -> DataFrame:
-    changed = change(F.col(name))
-    return df.withColumn(name, changed if test is None else F.when(holds(test), changed).otherwise(F.col(name)))
+    current = _current(df, name)
+    changed = change(current)
+    return df.withColumn(name, changed if test is None else F.when(holds(test), changed).otherwise(current))
 
 
 def add_to_set(df: DataFrame, name: str, element: Column, test: Column | None = None) -> DataFrame:

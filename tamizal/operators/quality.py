@@ -66,6 +66,7 @@ def normalize(raw: DataFrame, spec: EntitySpec) -> DataFrame:
 
 
 def _position() -> Column:
+    """Where a row stands; no two rows stand in the same place."""
     return F.struct("lote_id", "numero_fila", "archivo_origen")
 
 

@@ -101,14 +101,14 @@ def add_row_number(
     keyed = df.withColumn("_sort", F.struct(*[F.col(c) for c in partition_by], *_ascending(df, order)))
     keyed, buckets = _with_bucket(keyed, rows_per_bucket)
     local = Window.partitionBy(*partition_by, "_bucket").orderBy("_sort")
-    numbered = keyed.withColumn("_n", F.row_number().over(local))
+    numbered = keyed.withColumn("_local", F.row_number().over(local))
     if buckets <= 1:
-        return numbered.withColumn(name, F.col("_n").cast("bigint")).drop("_n", "_sort", "_bucket")
+        return numbered.withColumn(name, F.col("_local").cast("bigint")).drop("_local", "_sort", "_bucket")
     shifts = materialize(_shifts(keyed, partition_by, {"n": F.count(F.lit(1))}), "shifts")
     return (
         _apply_shifts(numbered, shifts, partition_by)
-        .withColumn(name, (F.col("_n") + F.coalesce("_shift_n", F.lit(0))).cast("bigint"))
-        .drop("_n", "_sort", "_bucket", "_shift_n")
+        .withColumn(name, (F.col("_local") + F.coalesce("_shift_n", F.lit(0))).cast("bigint"))
+        .drop("_local", "_sort", "_bucket", "_shift_n")
     )
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tamizal.plans import quality_queries, relational_queries
+from tamizal.plans import document_queries, quality_queries, relational_queries
 
 QUERIES = {
     **relational_queries.QUERIES,
+    **document_queries.QUERIES,
     **quality_queries.QUERIES,
 }

@@ -128,7 +128,7 @@ DERIVATIONS: dict[str, tuple[str, dict[str, str], str, str | None]] = {
             "resultado": "CASE WHEN l_linenumber = 1 THEN ' ' ELSE 'Resultado ' || CAST(l_linenumber AS STRING) END",
             "parametros_jsonb": "CASE WHEN l_linenumber = 7 THEN '{mal' ELSE '{\"linea\":' || CAST(l_linenumber AS STRING) || ',\"criterion\":\"gini\"}' END",
         },
-        "l_orderkey * 10 + l_linenumber",
+        "(l_orderkey * 10 + l_linenumber) * 10000000 + l_partkey",
         None,
     ),
     "metricas": (

@@ -167,3 +167,16 @@ def with_parents(*names: str) -> list[str]:
     for name in names:
         add(name)
     return [n for n in ENTITIES if n in needed]
+
+
+def levels(*names: str) -> list[list[str]]:
+    """``with_parents`` in groups; the entities of a group refer only to earlier groups."""
+    out: list[list[str]] = []
+    placed: dict[str, int] = {}
+    for name in with_parents(*names):
+        depth = max((placed[r.parent] + 1 for r in ENTITIES[name].references), default=0)
+        placed[name] = depth
+        if depth == len(out):
+            out.append([])
+        out[depth].append(name)
+    return out

@@ -5,11 +5,16 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # Every one of these may be changed at run time, on a session someone else built.
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -70,12 +75,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def side_by_side(spark: SparkSession, calls: list[Callable[[], T]]) -> list[T]:
+    """Run independent steps at once, each from a thread of its own; their jobs share the cluster."""
+    if len(calls) < 2:
+        return [call() for call in calls]
+    with ThreadPoolExecutor(max_workers=len(calls)) as pool:
+        return [done.result() for done in [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]]
+
+
 def materialize_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """``materialize`` independent tables side by side; their jobs share the cluster."""
-    if len(frames) < 2:
-        return {name: materialize(df, name) for name, df in frames.items()}
+    """``materialize`` independent tables side by side."""
+    if not frames:
+        return {}
     spark = next(iter(frames.values())).sparkSession
-    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
-        write = inheritable_thread_target(spark)(materialize)
-        started = {name: pool.submit(write, df, name) for name, df in frames.items()}
-        return {name: done.result() for name, done in started.items()}
+    calls = [partial(materialize, df, name) for name, df in frames.items()]
+    return dict(zip(frames, side_by_side(spark, calls)))

@@ -7,6 +7,7 @@ import decimal
 import os
 import sys
 import time
+from collections import Counter
 
 import duckdb
 
@@ -57,8 +58,8 @@ def compare(spark, con, name, run, sql, sf_dir) -> str | None:
     if got[0] != want[0]:
         return f"columns {got[0]} != {want[0]}"
     if got[1] != want[1]:
-        extra = [r for r in got[1] if r not in set(want[1])][:3]
-        missing = [r for r in want[1] if r not in set(got[1])][:3]
+        ours, theirs = Counter(got[1]), Counter(want[1])
+        extra, missing = list(ours - theirs)[:2], list(theirs - ours)[:2]
         return f"{len(got[1])} rows, expected {len(want[1])}; only here: {extra}; only there: {missing}"
     if not got[1]:
         return "no rows on either side"
