@@ -30,7 +30,7 @@ def clean_text(value: Column | str, collapse_inner: bool = True) -> Column:
     """Trim; blank text becomes NULL. ``collapse_inner`` also squeezes inner runs of space."""
     text = F.trim(_col(value))
     if collapse_inner:
-        text = F.regexp_replace(text, r"\s+", " ")
+        text = F.trim(F.regexp_replace(text, r"\s+", " "))
     return F.nullif(text, F.lit(""))
 
 
@@ -113,7 +113,7 @@ def register(spark: SparkSession) -> list[str]:
         return f"CASE WHEN trim(valor) RLIKE r'{shape}' THEN CAST(try_to_timestamp(trim(valor), '{pattern}') AS {kind}) END"
 
     bodies = {
-        "texto_limpio": r"nullif(regexp_replace(trim(valor), r'\s+', ' '), '')",
+        "texto_limpio": r"nullif(trim(regexp_replace(trim(valor), r'\s+', ' ')), '')",
         "sin_acentos": letters.format("valor"),
         "entero_seguro": r"CASE WHEN trim(valor) RLIKE r'^[+-]?\d+$' THEN try_cast(trim(valor) AS BIGINT) END",
         "fecha_hora_segura": f"coalesce({year_first}, {day_first(DAY_FIRST + CLOCK, 'd/M/yyyy H:m:s', 'TIMESTAMP_NTZ')})",

@@ -33,7 +33,6 @@ def _files(spark: SparkSession, incoming: str) -> DataFrame:
             "value",
             F.col("_metadata.file_path").alias("archivo_origen"),
             F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_place"),
         )
         .withColumn("entidad", F.regexp_extract("archivo_origen", r"([^/]+)\.csv$", 1))
     )
@@ -49,7 +48,8 @@ def _entity_rows(lines: DataFrame, entity: str) -> DataFrame:
 
 def process_batch(spark: SparkSession, lake: str, lines: DataFrame, batch: int) -> None:
     """Judge one micro batch. Output folders are named by batch, so a retry writes the same place."""
-    numbered = with_lineage(lines, F.current_timestamp())
+    placed = lines.withColumn("_place", F.monotonically_increasing_id())
+    numbered = with_lineage(placed, F.current_timestamp())
     # lines count from 1 here, where the header is a row like any other
     numbered = numbered.withColumn("numero_fila", F.col("numero_fila") - 1)
     landed = write_table(numbered, f"{lake}/landed/micro={batch}")
