@@ -41,8 +41,7 @@ def strip_accents(value: Column | str) -> Column:
 
 def safe_integer(value: Column | str) -> Column:
     """Whole numbers only: ``1.5`` is not an integer."""
-    text = F.trim(_col(value))
-    return F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint"))
+    return F.trim(_col(value)).try_cast("bigint")
 
 
 # year first, with dashes or slashes, and a time of day or none
@@ -115,7 +114,7 @@ def register(spark: SparkSession) -> list[str]:
     bodies = {
         "texto_limpio": r"nullif(trim(regexp_replace(trim(valor), r'\s+', ' ')), '')",
         "sin_acentos": letters.format("valor"),
-        "entero_seguro": r"CASE WHEN trim(valor) RLIKE r'^[+-]?\d+$' THEN try_cast(trim(valor) AS BIGINT) END",
+        "entero_seguro": "try_cast(trim(valor) AS BIGINT)",
         "fecha_hora_segura": f"coalesce({year_first}, {day_first(DAY_FIRST + CLOCK, 'd/M/yyyy H:m:s', 'TIMESTAMP_NTZ')})",
         "fecha_segura": f"coalesce(CAST({year_first} AS DATE), {day_first(DAY_FIRST + '$', 'd/M/yyyy', 'DATE')})",
         "booleano_seguro": f"CASE WHEN {word} IN ({listed(TRUE_WORDS)}) THEN true WHEN {word} IN ({listed(FALSE_WORDS)}) THEN false END",

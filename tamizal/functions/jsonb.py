@@ -55,8 +55,8 @@ def contains(value: Column | str, fragment: str | dict | list) -> Column:
     return F.coalesce(_contains(_col(value), wanted), F.lit(False))
 
 
-def _all(tests: list[Column], otherwise: Column) -> Column:
-    return reduce(lambda a, b: a & b, tests) if tests else otherwise
+def _all(tests: list[Column]) -> Column:
+    return reduce(lambda a, b: a & b, tests)
 
 
 def _element_test(wanted):
@@ -64,18 +64,22 @@ def _element_test(wanted):
 
 
 def _contains(node: Column, wanted) -> Column:
-    kind = F.schema_of_variant(node)
+    # a path into something that is no object, or elements of something that is no array, are
+    # NULL: only an empty fragment has to ask for the kind
     if isinstance(wanted, dict):
-        tests = [_contains(F.try_variant_get(node, _path((k,)), "variant"), v) for k, v in wanted.items()]
-        return F.startswith(kind, F.lit("OBJECT")) & _all(tests, F.lit(True))
+        if not wanted:
+            return F.startswith(F.schema_of_variant(node), F.lit("OBJECT"))
+        return _all([_contains(F.try_variant_get(node, _path((k,)), "variant"), v) for k, v in wanted.items()])
     if isinstance(wanted, list):
+        if not wanted:
+            return F.startswith(F.schema_of_variant(node), F.lit("ARRAY"))
         items = F.try_variant_get(node, "$", "array<variant>")
-        tests = [F.exists(items, _element_test(w)) for w in wanted]
-        return F.startswith(kind, F.lit("ARRAY")) & _all(tests, F.lit(True))
+        return _all([F.exists(items, _element_test(w)) for w in wanted])
     if wanted is None:
         return F.is_variant_null(node)
+    # the cheap value test goes first; "7" reads as the number 7, so the kind is compared too
     if isinstance(wanted, bool):
-        return (kind == "BOOLEAN") & (F.try_variant_get(node, "$", "boolean") == F.lit(wanted))
+        return (F.try_variant_get(node, "$", "boolean") == F.lit(wanted)) & (F.schema_of_variant(node) == "BOOLEAN")
     if isinstance(wanted, (int, float)):
-        return kind.rlike(NUMERIC_KINDS) & (F.try_variant_get(node, "$", "double") == F.lit(float(wanted)))
-    return (kind == "STRING") & (F.try_variant_get(node, "$", "string") == F.lit(wanted))
+        return (F.try_variant_get(node, "$", "double") == F.lit(float(wanted))) & F.schema_of_variant(node).rlike(NUMERIC_KINDS)
+    return (F.try_variant_get(node, "$", "string") == F.lit(wanted)) & (F.schema_of_variant(node) == "STRING")

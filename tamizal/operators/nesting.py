@@ -36,13 +36,13 @@ def nest(
         )
         large = large.withColumn("tramo", F.floor((F.col("_place") - 1) / max_elements).cast("bigint"))
         parts = parts.join(oversized, key, "left_anti").unionByName(large.select(*parts.columns))
-    rest = [e for e in elements if e not in order_by]
-    collected = F.sort_array(F.collect_list(F.struct(*order_by, *rest)))
-    return (
-        parts.groupBy(*key, "tramo")
-        .agg(collected.alias("_sorted"))
-        .select(*key, "tramo", F.transform("_sorted", lambda x: F.struct(*[x[e].alias(e) for e in elements])).alias(name))
-    )
+    fields = [*order_by, *(e for e in elements if e not in order_by)]
+    collected = F.sort_array(F.collect_list(F.struct(*fields)))
+    grouped = parts.groupBy(*key, "tramo").agg(collected.alias(name))
+    if fields == elements:
+        return grouped
+    shaped = F.transform(name, lambda x: F.struct(*[x[e].alias(e) for e in elements]))
+    return grouped.withColumn(name, shaped)
 
 
 def lookup(

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tamizal.operators import constraints, quality
 from tamizal.plans import gold
-from tamizal.plans.entities import ENTITIES, levels
-from tamizal.session import side_by_side, tune
+from tamizal.plans.entities import ENTITIES, levels, with_parents
+from tamizal.session import materialize, side_by_side, tune
 from tamizal.sources.bronze import land_batch, read_bronze
 from tamizal.sources.publish import publish, write_table
 from tamizal.sources.schemas import WAREHOUSE, WAREHOUSE_CONSTRAINTS, conform
@@ -21,26 +21,34 @@ def evaluate_in_order(
     spark: SparkSession,
     read: Callable[[str], DataFrame],
     names: Iterable[str],
-    store: Callable[[str, DataFrame], DataFrame] = lambda _, df: df,
+    store: Callable[[str, DataFrame], DataFrame] | None = None,
     seen: Callable[[str], DataFrame | None] = lambda _: None,
     known: Callable[[str, DataFrame], DataFrame] = lambda _, df: df,
 ) -> dict[str, DataFrame]:
     """Evaluate entities parents first; entities that do not depend on each other run side by side.
 
-    ``store`` may write an evaluated table and give it back; ``known`` may add the parents
-    accepted by earlier runs.
+    ``store`` may write an evaluated table and give it back; without it only the accepted keys
+    that children look up are written, so no parent is evaluated again for each child. ``known``
+    may add the parents accepted by earlier runs.
     """
+    names = list(names)
     done: dict[str, DataFrame] = {}
     silver: dict[str, DataFrame] = {}
+    used = {r.parent: r.parent_key for n in with_parents(*names) for r in ENTITIES[n].references}
 
-    def one(name: str) -> DataFrame:
+    def one(name: str) -> tuple[DataFrame, DataFrame]:
         parents = {r.parent: silver[r.parent] for r in ENTITIES[name].references}
-        return store(name, quality.evaluate(read(name), ENTITIES[name], parents, seen(name)))
+        evaluated = quality.evaluate(read(name), ENTITIES[name], parents, seen(name))
+        if store is not None:
+            evaluated = store(name, evaluated)
+        accepted = known(name, quality.accepted(evaluated))
+        if store is None and name in used:
+            accepted = materialize(accepted.select(used[name]), f"{name}-keys")
+        return evaluated, accepted
 
     for group in levels(*names):
-        for name, evaluated in zip(group, side_by_side(spark, [partial(one, n) for n in group])):
-            done[name] = evaluated
-            silver[name] = known(name, quality.accepted(evaluated))
+        for name, (evaluated, accepted) in zip(group, side_by_side(spark, [partial(one, n) for n in group])):
+            done[name], silver[name] = evaluated, accepted
     return done
 
 
