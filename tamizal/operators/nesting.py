@@ -29,20 +29,22 @@ def nest(
         children.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_elements).select(*key)
     )
     oversized = materialize(oversized, "oversized")
-    parts = children.withColumn("tramo", F.lit(0).cast("bigint"))
-    if not oversized.isEmpty():
+    split = not oversized.isEmpty()
+    fields = [*order_by, *(e for e in elements if e not in order_by)]
+    collected = F.sort_array(F.collect_list(F.struct(*fields))).alias(name)
+
+    # grouped by the key alone, so a join on the key that follows needs no further exchange
+    bounded = children.join(oversized, key, "left_anti") if split else children
+    nested = bounded.groupBy(*key).agg(collected).select(*key, F.lit(0).cast("bigint").alias("tramo"), name)
+    if split:
         large = add_row_number(
             children.join(oversized, key, "left_semi"), key, [(c, "asc") for c in order_by], [], "_place"
         )
-        large = large.withColumn("tramo", F.floor((F.col("_place") - 1) / max_elements).cast("bigint"))
-        parts = parts.join(oversized, key, "left_anti").unionByName(large.select(*parts.columns))
-    fields = [*order_by, *(e for e in elements if e not in order_by)]
-    collected = F.sort_array(F.collect_list(F.struct(*fields)))
-    grouped = parts.groupBy(*key, "tramo").agg(collected.alias(name))
+        chunk = F.floor((F.col("_place") - 1) / max_elements).cast("bigint")
+        nested = nested.unionByName(large.withColumn("tramo", chunk).groupBy(*key, "tramo").agg(collected))
     if fields == elements:
-        return grouped
-    shaped = F.transform(name, lambda x: F.struct(*[x[e].alias(e) for e in elements]))
-    return grouped.withColumn(name, shaped)
+        return nested
+    return nested.withColumn(name, F.transform(name, lambda x: F.struct(*[x[e].alias(e) for e in elements])))
 
 
 def lookup(

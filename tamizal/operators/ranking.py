@@ -96,7 +96,10 @@ def add_row_number(
     name: str = "posicion",
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """``row_number() over (partition by .. order by .., tiebreak)``; ``tiebreak`` makes rows unique."""
+    """``row_number() over (partition by .. order by .., tiebreak)``; ``tiebreak`` makes rows unique.
+
+    ``df`` is read again to count, sample and shift: write an expensive one down first.
+    """
     order = [*order_by, *((t, "asc") for t in tiebreak)]
     keyed = df.withColumn("_sort", F.struct(*[F.col(c) for c in partition_by], *_ascending(df, order)))
     keyed, buckets = _with_bucket(keyed, rows_per_bucket)

@@ -37,10 +37,10 @@ def order_documents(spark, sf):
         ).alias("cliente"),
     )
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    return (
-        orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-        .join(owner, F.col("o_custkey") == F.col("_owner"), "left")
-        .select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("estado"), F.col("o_totalprice").alias("importe"), "cliente", "tramo", "lineas")
+    # owners meet the short rows; the arrays then stay where they were built
+    owned = orders.join(owner, F.col("o_custkey") == F.col("_owner"), "left")
+    return owned.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("estado"), F.col("o_totalprice").alias("importe"), "cliente", "tramo", "lineas"
     )
 
 

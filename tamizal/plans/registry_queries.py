@@ -67,15 +67,18 @@ def metrics_by_experiment(t: Tables) -> DataFrame:
 
 
 def full_path(t: Tables) -> DataFrame:
-    """User to metric through every table; a metric appears once per participating model."""
+    """User to metric through every table; a metric appears once per participating model.
+
+    Owners and models are joined to the smaller tables first; metrics then meet both on the
+    experiment alone.
+    """
+    context = _experiments(t).join(_datasets(t), "dataset_id").join(_users(t), "usuario_id")
+    runs = t["experimentos_modelos"].select("experimento_id", "modelo_id", "parametros", "resultado").join(_models(t), "modelo_id")
     return (
         _metrics(t)
         .drop("metrica_id", "fecha_registro")
-        .join(_experiments(t), "experimento_id")
-        .join(t["experimentos_modelos"].select("experimento_id", "modelo_id", "parametros", "resultado"), "experimento_id")
-        .join(_models(t), "modelo_id")
-        .join(_datasets(t), "dataset_id")
-        .join(_users(t), "usuario_id")
+        .join(runs, "experimento_id")
+        .join(context, "experimento_id")
         .select(
             "usuario", "email", "dataset", "tipo_fuente", "experimento", "fecha", "finalizado", "modelo", "tipo_modelo",
             "parametros", "resultado", "metrica", "valor",

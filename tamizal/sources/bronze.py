@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tamizal.plans.entities import ENTITIES
-from tamizal.session import materialize
+from tamizal.session import materialize, side_by_side
 
 
 class LandingError(RuntimeError):
@@ -107,9 +109,12 @@ def land_batch(
     if partial:
         raise LandingError(f"{lote} is half landed: {partial}")
     now = F.current_timestamp() if ingested_at is None else ingested_at
-    for entity in ENTITIES:
+
+    def land(entity: str) -> None:
         rows = with_lineage(read_csv(spark, f"{incoming}/lote={lote}/{entity}.csv", entity), now)
         rows.write.mode("errorifexists").option("compression", "zstd").parquet(f"{bronze}/{entity}/lote={lote}")
+
+    side_by_side(spark, [partial(land, entity) for entity in ENTITIES])
     done = spark.range(1).select(
         F.lit(lote).alias("lote_id"), F.lit(len(ENTITIES)).alias("entidades"), F.current_timestamp().alias("ingerido_en")
     )
