@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tamizal.functions.calendar import calendar_columns, date_key
 from tamizal.functions.jsonb import parse
+from tamizal.operators.nesting import nest
 from tamizal.plans.entities import METRIC_KEYS
 
 
@@ -168,3 +169,22 @@ def accuracy_by_owner(gold: dict[str, DataFrame], metric: str = "accuracy") -> D
         .agg(F.round(F.sum("total").cast("double") / F.sum("n"), 4).alias(f"{metric}_promedio"))
         .orderBy(F.desc(f"{metric}_promedio"), "propietario", "dataset")
     )
+
+
+def models_by_experiment(gold: dict[str, DataFrame]) -> DataFrame:
+    """Participating models of each experiment: how many, and their names in order as one text."""
+    names = gold["dim_modelo"].select("modelo_key", F.col("nombre").alias("modelo"))
+    experiments = gold["dim_experimento"].select("experimento_key", F.col("nombre").alias("experimento"))
+    rows = (
+        gold["bridge_experimento_modelo"].select("experimento_key", "modelo_key")
+        .join(names, "modelo_key")
+        .join(experiments, "experimento_key")
+        .select("experimento", "modelo", "modelo_key")
+    )
+    totals = rows.groupBy("experimento").agg(F.count(F.lit(1)).alias("modelos_participantes"))
+    listed = nest(rows, ["experimento"], ["modelo"], "m", ["modelo", "modelo_key"])
+    return (
+        listed.join(totals, "experimento")
+        .select("experimento", "tramo", "modelos_participantes", F.array_join(F.col("m.modelo"), ", ").alias("modelos"))
+        .orderBy(F.desc("modelos_participantes"), "experimento", "tramo")
+    )

@@ -17,6 +17,10 @@ from tamizal.sources.publish import publish, write_table
 from tamizal.sources.schemas import WAREHOUSE, WAREHOUSE_CONSTRAINTS, conform
 
 
+# the fact in day folders, sorted by experiment: date ranges read only their days
+FACT_FOLDERS = {"fact_metricas_experimentos": (["fecha_key"], ["experimento_key", "metrica_key"])}
+
+
 def evaluate_in_order(
     spark: SparkSession,
     read: Callable[[str], DataFrame],
@@ -97,7 +101,7 @@ def run(
     silver = {e: spark.read.parquet(f"{lake}/silver/{e}") for e in ENTITIES}
     tables = {name: conform(df, WAREHOUSE[name]) for name, df in gold.build(silver).items()}
     tables["control_cargas"] = load_control(evaluated, stamp)
-    return publish(spark, f"{lake}/gold", version, tables, lambda written: check_warehouse(written, expected))
+    return publish(spark, f"{lake}/gold", version, tables, lambda written: check_warehouse(written, expected), FACT_FOLDERS)
 
 
 def publish_silver(evaluated: dict[str, DataFrame], lake: str, stamp: Column) -> int:

@@ -105,9 +105,9 @@ def land_batch(
     missing = sorted(set(ENTITIES) - received)
     if missing:
         raise LandingError(f"{lote} lacks {missing}")
-    partial = [e for e in ENTITIES if _listed(spark, f"{bronze}/{e}/lote={lote}") is not None]
-    if partial:
-        raise LandingError(f"{lote} is half landed: {partial}")
+    half = [e for e in ENTITIES if _listed(spark, f"{bronze}/{e}/lote={lote}") is not None]
+    if half:
+        raise LandingError(f"{lote} is half landed: {half}")
     now = F.current_timestamp() if ingested_at is None else ingested_at
 
     def land(entity: str) -> None:

@@ -3,18 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamizal.session import side_by_side
+from tamizal.sources.layout import write_partitioned
+
 LEDGER = "version string, publicado_en timestamp"
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> DataFrame:
+Folders = tuple[list[str], list[str]]  # columns that name the folders, columns sorted inside
+
+
+def write_table(df: DataFrame, path: str, folders: Folders | None = None, mode: str = "overwrite") -> DataFrame:
     """Parquet with ZSTD; returns the table as read back, so later steps start from files."""
-    writer = df.write.mode(mode).option("compression", "zstd")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    if folders is None:
+        df.write.mode(mode).option("compression", "zstd").parquet(path)
+    else:
+        write_partitioned(df, path, *folders)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -44,12 +53,15 @@ def publish(
     version: str,
     tables: dict[str, DataFrame],
     check: Callable[[dict[str, DataFrame]], None],
+    folders: dict[str, Folders] | None = None,
 ) -> dict[str, DataFrame]:
     """Write every table of a version, run ``check`` on what was written, then name it current.
 
     ``check`` raises to refuse; the version before stays current and readable.
     """
-    written = {name: write_table(df, f"{root}/version={version}/{name}") for name, df in tables.items()}
+    chosen = folders or {}
+    calls = [partial(write_table, df, f"{root}/version={version}/{name}", chosen.get(name)) for name, df in tables.items()]
+    written = dict(zip(tables, side_by_side(spark, calls)))
     check(written)
     entry = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("publicado_en"))
     entry.write.mode("append").parquet(f"{root}/_published")

@@ -71,6 +71,10 @@ def test_warehouse(spark, lake):
     owners = gold.accuracy_by_owner(tables).collect()
     assert (owners[0]["propietario"], owners[0]["accuracy_promedio"]) == ("Diego Fernández", 0.915)
     assert gold.mean_by_date_and_metric(tables).count() == 15
+    listed = gold.models_by_experiment(tables).collect()
+    assert listed[0]["experimento"] == "Experimento fraude v1" and listed[0]["modelos_participantes"] == 2
+    assert listed[0]["modelos"] == "Detector de fraude, Segmentador de clientes" and len(listed) == 10
+    assert (Path(lake) / "gold" / "version=v1" / "fact_metricas_experimentos" / "fecha_key=20260315").exists()
     parsed = tables["bridge_experimento_modelo"].select(F.try_variant_get("parametros_jsonb", "$.temperature", "double").alias("t"))
     assert parsed.where("t = 0.2").count() == 1
 

@@ -94,3 +94,15 @@ def test_single_table(registry):
 def test_every_query_has_columns(registry, name):
     if callable(getattr(q, name)):
         assert getattr(q, name)(registry).columns
+
+
+def test_flat_files_load_typed(spark, registry, incoming):
+    import fixture
+
+    from tamizal.sources.registry import load_flat
+
+    for name, df in registry.items():
+        loaded = load_flat(spark, f"{incoming}/lote={fixture.BATCH_ONE}/{name}.csv", name)
+        assert [f.dataType for f in loaded.schema] == [f.dataType for f in df.schema], name
+        assert loaded.count() == df.count()
+    assert load_flat(spark, f"{incoming}/lote={fixture.BATCH_ONE}/usuarios.csv", "usuarios").where("activo").count() == 7
