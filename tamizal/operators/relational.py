@@ -14,6 +14,11 @@ def exact_mean(column: str) -> Column:
     return F.sum(F.col(column).cast(MONEY)).cast("double") / F.count(column)
 
 
+def rounded(value: Column, digits: int = 4) -> Column:
+    """Half up on decimal digits, as ``NUMERIC`` rounds, and not on the binary value."""
+    return F.round(value.cast(T.DecimalType(28, 10)), digits).cast("double")
+
+
 def count_children(parents: DataFrame, children: DataFrame, key: str, child_key: str, name: str) -> DataFrame:
     """Children per parent with zero kept: children are counted before they meet the parents."""
     counted = children.groupBy(F.col(child_key).alias("_child")).agg(F.count(F.lit(1)).alias(name))

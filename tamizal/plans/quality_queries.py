@@ -410,7 +410,7 @@ QUERIES: dict[str, tuple[Callable, str | None]] = {
     "olap_mean_by_date": (
         olap_mean_by_date,
         ctes("experimentos", "metricas")
-        + "SELECT CAST(fecha_registro AS DATE) AS fecha, nombre AS metrica, round(CAST(SUM(valor) AS DOUBLE) / COUNT(*), 4) AS promedio, COUNT(*) AS mediciones "
+        + "SELECT CAST(fecha_registro AS DATE) AS fecha, nombre AS metrica, CAST(round(CAST(CAST(SUM(valor) AS DOUBLE) / COUNT(*) AS DECIMAL(28,10)), 4) AS DOUBLE) AS promedio, COUNT(*) AS mediciones "
         "FROM s_metricas GROUP BY 1, 2 ORDER BY 1, 2",
     ),
     "olap_models_by_experiment": (
@@ -422,7 +422,7 @@ QUERIES: dict[str, tuple[Callable, str | None]] = {
     "olap_accuracy_by_owner": (
         olap_accuracy_by_owner,
         ctes(*_ALL)
-        + "SELECT u.nombre AS propietario, d.nombre AS dataset, round(CAST(SUM(m.valor) AS DOUBLE) / COUNT(*), 4) AS accuracy_promedio "
+        + "SELECT u.nombre AS propietario, d.nombre AS dataset, CAST(round(CAST(CAST(SUM(m.valor) AS DOUBLE) / COUNT(*) AS DECIMAL(28,10)), 4) AS DOUBLE) AS accuracy_promedio "
         "FROM s_metricas m JOIN s_experimentos e ON e.id = m.experimento_id JOIN s_datasets d ON d.id = e.dataset_id JOIN s_usuarios u ON u.id = d.usuario_id "
         "WHERE m.nombre = 'accuracy' GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2",
     ),

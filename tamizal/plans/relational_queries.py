@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tamizal.functions.calendar import calendar_columns
 from tamizal.operators.profile import column_profile
 from tamizal.operators.ranking import add_rank, add_row_number, top_k, with_group_value
-from tamizal.operators.relational import count_children, exact_mean, repeated_at, visible, with_match, without_match
+from tamizal.operators.relational import count_children, exact_mean, repeated_at, rounded, visible, with_match, without_match
 from tamizal.session import materialize
 
 
@@ -121,7 +121,7 @@ def compound_on(spark, sf):
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .groupBy("r_name", "n_name")
         .agg(F.sum("total").alias("t"), F.sum("n").alias("mediciones"))
-        .select("r_name", "n_name", F.round(F.col("t").cast("double") / F.col("mediciones"), 4).alias("promedio"), "mediciones")
+        .select("r_name", "n_name", rounded(F.col("t").cast("double") / F.col("mediciones")).alias("promedio"), "mediciones")
     )
 
 
@@ -191,7 +191,7 @@ def agg_basic(spark, sf):
         table(spark, sf, "events")
         .groupBy("event_type")
         .agg(
-            F.round(exact_mean("value"), 4).alias("promedio"),
+            rounded(exact_mean("value")).alias("promedio"),
             F.min("value").alias("minimo"),
             F.max("value").alias("maximo"),
             F.count(F.lit(1)).alias("cantidad"),
@@ -212,7 +212,7 @@ def agg_multi_key(spark, sf):
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .groupBy("r_name", "n_name", "c_mktsegment")
         .agg((F.sum("total").cast("double") / F.sum("n")).alias("p"), F.sum("n").alias("cantidad"))
-        .select("r_name", "n_name", "c_mktsegment", F.round("p", 4).alias("promedio"), "cantidad")
+        .select("r_name", "n_name", "c_mktsegment", rounded(F.col("p")).alias("promedio"), "cantidad")
     )
 
 
@@ -278,7 +278,7 @@ def global_counts(spark, sf):
 def profile(spark, sf):
     profiled = column_profile(table(spark, sf, "orders"))
     return profiled.select(
-        "columna", "filas", "nulos", "minimo", "maximo", F.round("media", 4).alias("media")
+        "columna", "filas", "nulos", "minimo", "maximo", rounded(F.col("media")).alias("media")
     ).where(F.col("columna") != "o_orderdate")
 
 
@@ -291,7 +291,7 @@ def fact_mean_by_day(spark, sf):
     events = table(spark, sf, "events").withColumn("fecha", F.to_date("ts"))
     dim = events.select("fecha").distinct().select(*calendar_columns("fecha"))
     reduced = events.groupBy("fecha", "event_type").agg(
-        F.round(exact_mean("value"), 4).alias("promedio"), F.count(F.lit(1)).alias("mediciones")
+        rounded(exact_mean("value")).alias("promedio"), F.count(F.lit(1)).alias("mediciones")
     )
     return (
         reduced.join(dim, "fecha")
@@ -329,8 +329,8 @@ def avg_over_diff(spark, sf):
         "event_id",
         "event_type",
         "value",
-        F.round("media", 4).alias("promedio"),
-        F.round(F.col("value") - F.col("media"), 4).alias("diferencia"),
+        rounded(F.col("media")).alias("promedio"),
+        rounded(F.col("value") - F.col("media")).alias("diferencia"),
     )
 
 
@@ -375,7 +375,7 @@ QUERIES = {
     "fact_mean_by_day": (
         fact_mean_by_day,
         "SELECT CAST(year(f) * 10000 + month(f) * 100 + day(f) AS INTEGER) AS fecha_key, f AS fecha, CAST(quarter(f) AS SMALLINT) AS trimestre, metrica, promedio, mediciones "
-        f"FROM (SELECT CAST(ts AS DATE) AS f, event_type AS metrica, round({_MEAN.format(c='value')}, 4) AS promedio, COUNT(*) AS mediciones FROM events GROUP BY 1, 2) t ORDER BY fecha, metrica",
+        f"FROM (SELECT CAST(ts AS DATE) AS f, event_type AS metrica, CAST(round(CAST({_MEAN.format(c='value')} AS DECIMAL(28,10)), 4) AS DOUBLE) AS promedio, COUNT(*) AS mediciones FROM events GROUP BY 1, 2) t ORDER BY fecha, metrica",
     ),
     "project_filter": (
         project_filter,
@@ -416,7 +416,7 @@ QUERIES = {
     ),
     "compound_on": (
         compound_on,
-        f"SELECT r_name, n_name, round({_MEAN.format(c='value')}, 4) AS promedio, COUNT(*) AS mediciones FROM events "
+        f"SELECT r_name, n_name, CAST(round(CAST({_MEAN.format(c='value')} AS DECIMAL(28,10)), 4) AS DOUBLE) AS promedio, COUNT(*) AS mediciones FROM events "
         "JOIN customer ON c_custkey = user_id AND c_mktsegment = 'BUILDING' JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY 1, 2",
     ),
     "semi_join": (semi_join, f"SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM ({_BIG}) b)"),
@@ -453,11 +453,11 @@ QUERIES = {
     ),
     "agg_basic": (
         agg_basic,
-        f"SELECT event_type, round({_MEAN.format(c='value')}, 4) AS promedio, MIN(value) AS minimo, MAX(value) AS maximo, COUNT(*) AS cantidad FROM events GROUP BY 1 ORDER BY 1",
+        f"SELECT event_type, CAST(round(CAST({_MEAN.format(c='value')} AS DECIMAL(28,10)), 4) AS DOUBLE) AS promedio, MIN(value) AS minimo, MAX(value) AS maximo, COUNT(*) AS cantidad FROM events GROUP BY 1 ORDER BY 1",
     ),
     "agg_multi_key": (
         agg_multi_key,
-        f"SELECT r_name, n_name, c_mktsegment, round({_MEAN.format(c='o_totalprice')}, 4) AS promedio, COUNT(*) AS cantidad FROM orders JOIN customer ON c_custkey = o_custkey "
+        f"SELECT r_name, n_name, c_mktsegment, CAST(round(CAST({_MEAN.format(c='o_totalprice')} AS DECIMAL(28,10)), 4) AS DOUBLE) AS promedio, COUNT(*) AS cantidad FROM orders JOIN customer ON c_custkey = o_custkey "
         "JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY 1, 2, 3",
     ),
     "value_by_model_through_bridge": (
@@ -483,7 +483,7 @@ QUERIES = {
         " UNION ALL ".join(
             f"SELECT '{c}' AS columna, COUNT(*) AS filas, COUNT(*) - COUNT({c}) AS nulos, "
             + (
-                f"CAST(MIN({c}) AS DOUBLE) AS minimo, CAST(MAX({c}) AS DOUBLE) AS maximo, round({_MEAN.format(c=c)}, 4) AS media FROM orders"
+                f"CAST(MIN({c}) AS DOUBLE) AS minimo, CAST(MAX({c}) AS DOUBLE) AS maximo, CAST(round(CAST({_MEAN.format(c=c)} AS DECIMAL(28,10)), 4) AS DOUBLE) AS media FROM orders"
                 if number
                 else "CAST(NULL AS DOUBLE) AS minimo, CAST(NULL AS DOUBLE) AS maximo, CAST(NULL AS DOUBLE) AS media FROM orders"
             )
@@ -506,7 +506,7 @@ QUERIES = {
     ),
     "avg_over_diff": (
         avg_over_diff,
-        f"SELECT event_id, event_type, value, round(media, 4) AS promedio, round(value - media, 4) AS diferencia FROM events "
+        f"SELECT event_id, event_type, value, CAST(round(CAST(media AS DECIMAL(28,10)), 4) AS DOUBLE) AS promedio, CAST(round(CAST(value - media AS DECIMAL(28,10)), 4) AS DOUBLE) AS diferencia FROM events "
         f"JOIN (SELECT event_type AS k, {_MEAN.format(c='value')} AS media FROM events GROUP BY 1) m ON k = event_type",
     ),
     "topk": (topk, "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10"),
