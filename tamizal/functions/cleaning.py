@@ -46,7 +46,7 @@ def safe_integer(value: Column | str) -> Column:
 
 # year first, with dashes or slashes, and a time of day or none
 YEAR_FIRST = r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2})(?=$|[T ]\d{1,2}:)"
-DAY_FIRST = r"^\d{1,2}/\d{1,2}/\d{4}"
+DAY_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})"
 CLOCK = r" \d{1,2}:\d{1,2}:\d{1,2}$"
 
 
@@ -55,17 +55,20 @@ def _year_first(text: Column) -> Column:
     return F.when(text.rlike(YEAR_FIRST), canonical.try_cast("timestamp_ntz"))
 
 
+def _day_first(text: Column, rest: str, kind: str) -> Column:
+    """Rewritten year first and cast: no session time zone takes part."""
+    return F.when(text.rlike(DAY_FIRST + rest), F.regexp_replace(text, DAY_FIRST, "$3-$2-$1").try_cast(kind))
+
+
 def safe_timestamp(value: Column | str) -> Column:
     """Year first or ``day/month/year``; the wall clock is kept, a zone suffix is ignored."""
     text = F.trim(_col(value))
-    day_first = F.try_to_timestamp(text, F.lit("d/M/yyyy H:m:s")).cast("timestamp_ntz")
-    return F.coalesce(_year_first(text), F.when(text.rlike(DAY_FIRST + CLOCK), day_first))
+    return F.coalesce(_year_first(text), _day_first(text, CLOCK, "timestamp_ntz"))
 
 
 def safe_date(value: Column | str) -> Column:
     text = F.trim(_col(value))
-    day_first = F.try_to_timestamp(text, F.lit("d/M/yyyy")).cast("date")
-    return F.coalesce(_year_first(text).cast("date"), F.when(text.rlike(DAY_FIRST + "$"), day_first))
+    return F.coalesce(_year_first(text).cast("date"), _day_first(text, "$", "date"))
 
 
 def safe_boolean(value: Column | str) -> Column:
@@ -108,15 +111,18 @@ def register(spark: SparkSession) -> list[str]:
         f"try_cast(regexp_replace(trim(valor), r'{YEAR_FIRST}', '$1-$2-$3') AS TIMESTAMP_NTZ) END"
     )
 
-    def day_first(shape, pattern, kind):
-        return f"CASE WHEN trim(valor) RLIKE r'{shape}' THEN CAST(try_to_timestamp(trim(valor), '{pattern}') AS {kind}) END"
+    def day_first(rest, kind):
+        return (
+            f"CASE WHEN trim(valor) RLIKE r'{DAY_FIRST + rest}' THEN "
+            f"try_cast(regexp_replace(trim(valor), r'{DAY_FIRST}', '$3-$2-$1') AS {kind}) END"
+        )
 
     bodies = {
         "texto_limpio": r"nullif(trim(regexp_replace(trim(valor), r'\s+', ' ')), '')",
         "sin_acentos": letters.format("valor"),
         "entero_seguro": "try_cast(trim(valor) AS BIGINT)",
-        "fecha_hora_segura": f"coalesce({year_first}, {day_first(DAY_FIRST + CLOCK, 'd/M/yyyy H:m:s', 'TIMESTAMP_NTZ')})",
-        "fecha_segura": f"coalesce(CAST({year_first} AS DATE), {day_first(DAY_FIRST + '$', 'd/M/yyyy', 'DATE')})",
+        "fecha_hora_segura": f"coalesce({year_first}, {day_first(CLOCK, 'TIMESTAMP_NTZ')})",
+        "fecha_segura": f"coalesce(CAST({year_first} AS DATE), {day_first('$', 'DATE')})",
         "booleano_seguro": f"CASE WHEN {word} IN ({listed(TRUE_WORDS)}) THEN true WHEN {word} IN ({listed(FALSE_WORDS)}) THEN false END",
         "decimal_seguro": f"CASE WHEN endswith({point}, '%') THEN CAST(try_cast(trim(replace({point}, '%', '')) AS DECIMAL(18,6)) / 100 AS DECIMAL(18,6)) "
         f"ELSE try_cast({point} AS DECIMAL(18,6)) END",
