@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from tamizal.llm import quality_rules
+from tamizal.llm import quality_rules, substring_dedup
 
 QUERIES = {
+    "op1_substring_dedup": (substring_dedup.op1_substring_dedup, substring_dedup.OP1_SQL),
     "op2_quality_rules": (quality_rules.op2_quality_rules, quality_rules.OP2_SQL),
 }
