@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tamizal.llm import mixing, quality_rules, secret_scan, simhash_dedup, substring_dedup, token_files
+from tamizal.llm import mixing, quality_rules, secret_scan, sentence_pieces, simhash_dedup, substring_dedup, token_files
 
 QUERIES = {
     "op1_substring_dedup": (substring_dedup.op1_substring_dedup, substring_dedup.OP1_SQL),
     "op2_quality_rules": (quality_rules.op2_quality_rules, quality_rules.OP2_SQL),
     "op4_token_files": (token_files.op4_token_files, None),
+    "op6_sentence_pieces": (sentence_pieces.op6_sentence_pieces, None),
     "op7_simhash_dedup": (simhash_dedup.op7_simhash_dedup, None),
     "op8_secret_scan": (secret_scan.op8_secret_scan, None),
     "op10_mixing": (mixing.op10_mixing, mixing.OP10_SQL),

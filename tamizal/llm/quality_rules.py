@@ -161,7 +161,8 @@ def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep, with their own columns unchanged."""
     key = free_name(docs, "judged_text")
     judged = quality_verdict(docs.select(F.struct(*docs.columns).alias(key), "text"))
-    return judged.where("kept").select(f"{key}.*")
+    # a filter would be pushed below the counts and repeat them; an array of the row, or none, is not
+    return judged.select(F.explode(F.when(F.col("kept"), F.array(key))).alias(key)).select(f"{key}.*")
 
 
 OP2_SQL = r"""
