@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tamizal.llm import embedding_dedup, mixing, page_text, quality_rules, secret_scan, sentence_pieces, simhash_dedup, substring_dedup, token_files
+from tamizal.llm import embedding_dedup, mixing, page_text, quality_rules, secret_scan, sentence_pieces, simhash_dedup, substring_dedup, token_files, toxicity
 
 QUERIES = {
     "op1_substring_dedup": (substring_dedup.op1_substring_dedup, substring_dedup.OP1_SQL),
@@ -13,5 +13,6 @@ QUERIES = {
     "op6_sentence_pieces": (sentence_pieces.op6_sentence_pieces, None),
     "op7_simhash_dedup": (simhash_dedup.op7_simhash_dedup, None),
     "op8_secret_scan": (secret_scan.op8_secret_scan, None),
+    "op9_toxicity": (toxicity.op9_toxicity, None),
     "op10_mixing": (mixing.op10_mixing, mixing.OP10_SQL),
 }
