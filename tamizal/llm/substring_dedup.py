@@ -7,7 +7,8 @@ is what travels. Two hashes name a run: its smallest piece and all of its words.
 1. Runs are counted by both hashes. A run whose words also stand in a smaller document is covered
    whole, however many copies there are.
 2. Where one piece belongs to runs of different words (the ends of a shared passage, an edited copy),
-   one run of each wording is taken apart, and its windows are counted by two 64-bit hashes.
+   the runs of the smallest document of each wording are taken apart, and their windows counted by two
+   64-bit hashes.
 3. Covered windows of a text are merged into maximal intervals, and their words removed.
 
 Every window belongs to exactly one run, so nothing is sampled: the pieces only choose how windows are
@@ -170,30 +171,33 @@ def covered_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         "window-runs",
     )
     runs = scan.where("doc_id IS NOT NULL").select("doc_id", "row_key", F.inline("runs"))
-    # one row for each wording of a run, however many copies: its smallest document and where it is there
+    # one row for each wording of a run, however many copies, with its smallest and largest document
     wordings = written(
-        runs.groupBy("piece", "words").agg(
-            F.min(F.struct("doc_id", "row_key", "a", "b")).alias("least"), F.max("doc_id").alias("largest")
-        ),
+        runs.groupBy("piece", "words").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("largest")),
         "run-wordings",
     )
-    whole = (
-        runs.join(
-            wordings.where("least.doc_id < largest").select("piece", "words", F.col("least.doc_id").alias("least")),
-            ["piece", "words"],
-        )
-        .where("doc_id > least")
-        .select("doc_id", "row_key", "a", "b")
-    )
     mixed = (
         wordings.groupBy("piece")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("least.doc_id").alias("lo"), F.max("least.doc_id").alias("hi"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("lo"), F.max("least").alias("hi"))
         .where("n > 1 AND lo < hi")
-        .select("piece")
+        .select("piece", F.lit(True).alias("mixed"))
+    )
+    # written, so that joins on a hot wording have files on both sides and can be split
+    concerned = written(
+        wordings.join(mixed, "piece", "left")
+        .select("piece", "words", "least", "largest", F.coalesce("mixed", F.lit(False)).alias("mixed"))
+        .where("mixed OR least < largest"),
+        "wordings-concerned",
+    )
+    marked = written(
+        runs.join(concerned, ["piece", "words"])
+        .where("doc_id > least OR (mixed AND doc_id = least)")
+        .select("doc_id", "row_key", "a", "b", (F.col("doc_id") > F.col("least")).alias("whole")),
+        "marked-runs",
     )
+    whole = marked.where("whole").select("doc_id", "row_key", "a", "b")
     apart = written(
-        wordings.join(mixed, "piece", "left_semi")
-        .select("least.*")
+        marked.where("NOT whole")
         .groupBy("doc_id", "row_key")
         .agg(F.collect_list(F.struct("a", "b")).alias("wanted"), F.count(F.lit(1)).alias("n_wanted")),
         "runs-apart",
@@ -206,10 +210,11 @@ def covered_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         ),
         "windows-apart",
     )
-    known = (
+    known = written(
         windows.groupBy("one", "two")
         .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("largest"))
-        .where("least < largest")
+        .where("least < largest"),
+        "known-windows",
     )
     single = (
         windows.join(known, ["one", "two"])
