@@ -239,8 +239,8 @@ OP5_SQL = """
 WITH RECURSIVE v AS (
     SELECT vec_id, label, embedding::DOUBLE[] AS e,
            label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-           AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-           AND len(list_filter(embedding, x -> x <> 0)) > 0 AS usable
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+           AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS usable
     FROM embeddings
 ), links AS (
     SELECT a.vec_id AS a, b.vec_id AS b

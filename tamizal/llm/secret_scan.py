@@ -202,10 +202,12 @@ def op8_secret_scan(spark, sf_dir):
 
 def secret_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; secrets in a text are masked, and ``n_chars`` follows the text."""
-    found = find_secrets(docs)
+    key, masked = free_name(docs, "scanned_row"), free_name(docs, "masked_text")
+    found = find_secrets(docs.select(F.struct(*docs.columns).alias(key), "text"))
     hit = F.size("secrets") > 0
-    changed = {"text": F.when(hit, redacted(F.col("text"), F.col("secrets"))).otherwise(F.col("text"))}
+    found = found.withColumn(masked, F.when(hit, redacted(F.col("text"), F.col("secrets"))).otherwise(F.col("text")))
+    changed = {"text": F.col(masked)}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        changed["n_chars"] = F.when(hit, F.length(changed["text"]).cast(kind)).otherwise(F.col("n_chars"))
-    return found.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+        kind, old = docs.schema["n_chars"].dataType, F.col(f"{key}.n_chars")
+        changed["n_chars"] = F.when(hit, F.length(masked).cast(kind)).otherwise(old)
+    return found.select(*[changed.get(c, F.col(f"{key}.{c}")).alias(c) for c in docs.columns])

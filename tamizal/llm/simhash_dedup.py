@@ -127,7 +127,7 @@ def _cheapest_plan(prints: int, radius: int) -> list[tuple[int, int, list[int]]]
     def cost(parts: int) -> float:
         return sum(len(masks) * (1 + prints / 2.0**width) for _, width, masks in _plan(parts, radius))
 
-    return _plan(min(range(2, radius + 2), key=cost), radius)
+    return _plan(min(range(2, max(radius, 1) + 2), key=cost), radius)
 
 
 def _segment(value: Column, shift: int, width: int) -> Column:
@@ -141,7 +141,7 @@ def _probes(prints: DataFrame, plan, ball: bool) -> DataFrame:
         reach = F.array(*[F.lit(m).cast("bigint") for m in (masks if ball else [0])])
         return F.transform(reach, lambda m: F.struct(F.lit(part).alias("part"), own.bitwiseXOR(m).alias("segment")))
 
-    entries = [probes(part, *segment) for part, segment in enumerate(plan)]
+    entries = [probes(part, *segment) for part, segment in enumerate(plan) if segment[2]]
     return prints.select("*", F.inline(F.concat(*entries)))
 
 
@@ -201,7 +201,7 @@ def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
     Rows without a component stay; equal rows with one ``doc_id`` become one.
     """
     key, text_key = free_name(docs, "kept_id"), free_name(docs, "kept_key")
-    first = groups.where("component_id IS NOT NULL").groupBy("component_id").agg(F.min(F.struct("doc_id", "row_key")).alias("k"))
+    first = groups.where("component_id IS NOT NULL AND doc_id IS NOT NULL").groupBy("component_id").agg(F.min(F.struct("doc_id", "row_key")).alias("k"))
     kept = first.select(F.col("k.doc_id").alias(key), F.col("k.row_key").alias(text_key)).unionByName(
         groups.where("component_id IS NULL").select(F.col("doc_id").alias(key), F.col("row_key").alias(text_key))
     )
