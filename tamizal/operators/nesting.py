@@ -5,58 +5,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamizal.operators.ranking import add_row_number
-from tamizal.session import materialize
 
-# Elements one array may hold. A longer list goes on in further chunks (``tramo`` 1, 2, ..) of
-# the same key, in order, so no single row has to hold an unbounded group.
-MAX_ELEMENTS = 100_000
+def nest(children: DataFrame, key: list[str], elements: list[str], name: str, order_by: list[str]) -> DataFrame:
+    """``key`` and the array ``name`` of structs ``elements`` sorted by ``order_by``: one row per key.
 
-
-def nest(
-    children: DataFrame,
-    key: list[str],
-    elements: list[str],
-    name: str,
-    order_by: list[str],
-    max_elements: int = MAX_ELEMENTS,
-) -> DataFrame:
-    """``key``, ``tramo`` and the array ``name`` of structs ``elements`` sorted by ``order_by``.
-
-    ``order_by`` should tell the children of a key apart.
+    The array is the result, whatever its length. A question about elements that does not ask for the
+    array is better asked of the children (``elements_meet``, ``first_element``), which are reduced
+    before they move and never gathered. ``order_by`` should tell the children of a key apart.
     """
-    oversized = (
-        children.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_elements).select(*key)
-    )
-    oversized = materialize(oversized, "oversized")
-    split = not oversized.isEmpty()
     fields = [*order_by, *(e for e in elements if e not in order_by)]
-    collected = F.sort_array(F.collect_list(F.struct(*fields))).alias(name)
-
-    # grouped by the key alone, so a join on the key that follows needs no further exchange
-    bounded = children.join(oversized, key, "left_anti") if split else children
-    nested = bounded.groupBy(*key).agg(collected).select(*key, F.lit(0).cast("bigint").alias("tramo"), name)
-    if split:
-        large = add_row_number(
-            children.join(oversized, key, "left_semi"), key, [(c, "asc") for c in order_by], [], "_place"
-        )
-        chunk = F.floor((F.col("_place") - 1) / max_elements).cast("bigint")
-        nested = nested.unionByName(large.withColumn("tramo", chunk).groupBy(*key, "tramo").agg(collected))
+    nested = children.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
     if fields == elements:
         return nested
     return nested.withColumn(name, F.transform(name, lambda x: F.struct(*[x[e].alias(e) for e in elements])))
 
 
+def elements_meet(children: DataFrame, key: list[str], *conditions: Column) -> DataFrame:
+    """Keys with, for every condition, an element that meets it; the elements may differ."""
+    flags = [F.coalesce(F.bool_or(c), F.lit(False)).alias(f"_met_{i}") for i, c in enumerate(conditions)]
+    met = F.lit(True)
+    for i in range(len(conditions)):
+        met = met & F.col(f"_met_{i}")
+    return children.groupBy(*key).agg(*flags).where(met).select(*key)
+
+
+def first_element(children: DataFrame, key: list[str], condition: Column, order_by: list[str], fields: list[str]) -> DataFrame:
+    """The first element by ``order_by`` that meets ``condition``, for every key that has one."""
+    ordered = F.struct(*order_by, *[f for f in fields if f not in order_by])
+    return children.where(condition).groupBy(*key).agg(F.min(ordered).alias("_first")).select(*key, *[f"_first.{f}" for f in fields])
+
+
 def lookup(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, name: str, elements: list[str], order_by: list[str]
 ) -> DataFrame:
     """Array of the matching rows of ``right`` beside every row of ``left``; no match, empty array."""
     nested = nest(right.withColumnRenamed(right_key, "_key"), ["_key"], elements, name, order_by)
     joined = left.join(nested, F.col(left_key) == F.col("_key"), "left").drop("_key")
-    kind = nested.schema[name].dataType
-    return joined.withColumn(name, F.coalesce(name, F.from_json(F.lit("[]"), kind))).withColumn(
-        "tramo", F.coalesce("tramo", F.lit(0))
-    )
+    return joined.withColumn(name, F.coalesce(name, F.from_json(F.lit("[]"), nested.schema[name].dataType)))
 
 
 def lookup_unwind(left: DataFrame, right: DataFrame, on: Column) -> DataFrame:
@@ -79,8 +64,10 @@ def dangling(documents: DataFrame, array: str, field: str, referenced: DataFrame
 def value_map(rows: DataFrame, key: list[str], name_column: str, value_column: str, name: str, latest_by: str) -> DataFrame:
     """Map of named values per key; a name written twice keeps the value with the highest ``latest_by``.
 
-    Repeats are removed by a partial aggregate first, so a map holds one entry per distinct name.
+    Repeats are removed by a partial aggregate first, so a map holds one entry per distinct name. A value
+    without a name has no place in a map and is left out.
     """
-    single = rows.groupBy(*key, name_column).agg(F.max_by(value_column, latest_by).alias("_v"))
+    named = rows.where(F.col(name_column).isNotNull())  # a map has no null key
+    single = named.groupBy(*key, name_column).agg(F.max_by(value_column, latest_by).alias("_v"))
     entries = F.collect_list(F.struct(F.col(name_column), F.col("_v")))
     return single.groupBy(*key).agg(F.map_from_entries(F.sort_array(entries)).alias(name))

@@ -9,7 +9,7 @@ from tamizal.functions.cleaning import clean_text, safe_boolean, safe_decimal, s
 from tamizal.operators import constraints as c
 from tamizal.operators import mutate
 from tamizal.operators.documents import document_violations
-from tamizal.operators.nesting import dangling, lookup, lookup_unwind, nest, unwind, value_map
+from tamizal.operators.nesting import dangling, elements_meet, first_element, lookup, lookup_unwind, nest, unwind, value_map
 from tamizal.operators.profile import rows_per_source
 from tamizal.operators.relational import exact_mean
 from tamizal.operators.views import Snapshot
@@ -40,18 +40,19 @@ def order_documents(spark, sf):
     # owners meet the short rows; the arrays then stay where they were built
     owned = orders.join(owner, F.col("o_custkey") == F.col("_owner"), "left")
     return owned.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("estado"), F.col("o_totalprice").alias("importe"), "cliente", "tramo", "lineas"
+        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("estado"), F.col("o_totalprice").alias("importe"), "cliente", "lineas"
     )
 
 
-def line_documents(spark, sf):
-    return nest(table(spark, sf, "lineitem"), ["l_orderkey"], LINE, "lineas", LINE)
+def line_documents(spark, sf, fields=LINE):
+    """One document per order with the array of its lines, each with ``fields`` only."""
+    return nest(table(spark, sf, "lineitem"), ["l_orderkey"], fields, "lineas", fields)
 
 
 def nested_build(spark, sf):
     shown = F.transform("lineas", lambda x: F.concat_ws(":", x["l_linenumber"].cast("string"), x["l_partkey"].cast("string")))
     return order_documents(spark, sf).select(
-        "id", "tramo", F.col("cliente.nombre").alias("cliente"), F.col("cliente.pais.nombre").alias("pais"),
+        "id", F.col("cliente.nombre").alias("cliente"), F.col("cliente.pais.nombre").alias("pais"),
         F.size("lineas").cast("bigint").alias("n"), F.array_join(shown, ",").alias("lineas"),
     )
 
@@ -67,7 +68,8 @@ def nested_projection(spark, sf):
 def path_through_array(spark, sf):
     """A path through an array of structs gives the array of that field."""
     parts = F.transform(F.col("lineas.l_partkey"), lambda x: x.cast("string"))
-    return line_documents(spark, sf).select("l_orderkey", F.array_join(parts, ",").alias("partes"))
+    documents = line_documents(spark, sf, ["l_linenumber", "l_partkey"])
+    return documents.select("l_orderkey", F.array_join(parts, ",").alias("partes"))
 
 
 def unwind_lines(spark, sf):
@@ -77,37 +79,27 @@ def unwind_lines(spark, sf):
 
 def any_elem(spark, sf):
     """Some line returned and some line, maybe another, of quantity 50."""
-    documents = line_documents(spark, sf)
-    flags = documents.select(
-        "l_orderkey",
-        arrays.any_element("lineas", lambda x: x["l_returnflag"] == "R").alias("a"),
-        arrays.any_element("lineas", lambda x: x["l_quantity"] == 50).alias("b"),
-    )
-    # a long document has several chunks: each condition may hold in a chunk of its own
-    met = flags.groupBy("l_orderkey").agg(F.bool_or("a").alias("a"), F.bool_or("b").alias("b"))
-    return met.where("a AND b").select("l_orderkey")
+    lines = table(spark, sf, "lineitem")
+    return elements_meet(lines, ["l_orderkey"], F.col("l_returnflag") == "R", F.col("l_quantity") == 50)
 
 
 def elem_match(spark, sf):
     """One and the same line returned and of quantity 50."""
-    test = lambda x: (x["l_returnflag"] == "R") & (x["l_quantity"] == 50)
-    return line_documents(spark, sf).where(arrays.any_element("lineas", test)).select("l_orderkey").distinct()
+    lines = table(spark, sf, "lineitem")
+    return elements_meet(lines, ["l_orderkey"], (F.col("l_returnflag") == "R") & (F.col("l_quantity") == 50))
 
 
 def elem_project(spark, sf):
     """First returned line of each document that has one."""
-    test = lambda x: x["l_returnflag"] == "R"
-    found = line_documents(spark, sf).where(arrays.any_element("lineas", test))
-    first = found.select("l_orderkey", "tramo", F.get(arrays.first_match("lineas", test), F.lit(0)).alias("x"))
-    earliest = first.groupBy("l_orderkey").agg(F.min_by("x", "tramo").alias("x"))
-    return earliest.select("l_orderkey", "x.l_linenumber", "x.l_partkey", "x.l_quantity")
+    shown = ["l_linenumber", "l_partkey", "l_quantity"]
+    return first_element(table(spark, sf, "lineitem"), ["l_orderkey"], F.col("l_returnflag") == "R", LINE, shown)
 
 
 def lookup_array(spark, sf):
     nation, supplier = table(spark, sf, "nation"), table(spark, sf, "supplier")
     found = lookup(nation, supplier, "n_nationkey", "s_nationkey", "proveedores", ["s_name"], ["s_name", "s_suppkey"])
     names = F.array_join(F.col("proveedores.s_name"), ",")
-    return found.select("n_nationkey", "tramo", F.size("proveedores").cast("bigint").alias("n"), names.alias("proveedores"))
+    return found.select("n_nationkey", F.size("proveedores").cast("bigint").alias("n"), names.alias("proveedores"))
 
 
 def lookup_unwind_pair(spark, sf):
@@ -130,11 +122,11 @@ def empty_array(spark, sf):
 
 
 def ordered_string_agg(spark, sf):
-    """Distinct parts of an order, in order, as one text (per chunk of a very long order)."""
+    """Distinct parts of an order, in order, as one text."""
     bridge = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey").distinct()
     nested = nest(bridge, ["l_orderkey"], ["l_partkey"], "p", ["l_partkey"])
     text = F.array_join(F.transform("p", lambda x: x["l_partkey"].cast("string")), ", ")
-    return nested.select("l_orderkey", "tramo", F.size("p").cast("bigint").alias("n"), text.alias("partes"))
+    return nested.select("l_orderkey", F.size("p").cast("bigint").alias("n"), text.alias("partes"))
 
 
 def _measures(spark, sf):
@@ -451,7 +443,7 @@ def _queries():
     return {
         "nested_build": (
             nested_build,
-            f"SELECT o_orderkey AS id, CAST(0 AS BIGINT) AS tramo, c_name AS cliente, n_name AS pais, d.n, d.lineas FROM orders JOIN {_DOC} ON d.l_orderkey = o_orderkey "
+            f"SELECT o_orderkey AS id, c_name AS cliente, n_name AS pais, d.n, d.lineas FROM orders JOIN {_DOC} ON d.l_orderkey = o_orderkey "
             "LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey",
         ),
         "nested_projection": (
@@ -472,7 +464,7 @@ def _queries():
         ),
         "lookup_array": (
             lookup_array,
-            "SELECT n_nationkey, CAST(0 AS BIGINT) AS tramo, COUNT(s_name) AS n, coalesce(string_agg(s_name, ',' ORDER BY s_name), '') AS proveedores FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1",
+            "SELECT n_nationkey, COUNT(s_name) AS n, coalesce(string_agg(s_name, ',' ORDER BY s_name), '') AS proveedores FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1",
         ),
         "lookup_unwind": (lookup_unwind_pair, "SELECT n_name, s_name FROM nation JOIN supplier ON s_nationkey = n_nationkey"),
         "dangling_references": (
@@ -485,7 +477,7 @@ def _queries():
         ),
         "ordered_string_agg": (
             ordered_string_agg,
-            "SELECT l_orderkey, CAST(0 AS BIGINT) AS tramo, COUNT(*) AS n, string_agg(CAST(l_partkey AS VARCHAR), ', ' ORDER BY l_partkey) AS partes FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) b GROUP BY 1",
+            "SELECT l_orderkey, COUNT(*) AS n, string_agg(CAST(l_partkey AS VARCHAR), ', ' ORDER BY l_partkey) AS partes FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) b GROUP BY 1",
         ),
         "field_presence": (
             field_presence,

@@ -77,7 +77,7 @@ def build_experiments(t: dict[str, DataFrame]) -> DataFrame:
         .join(metrics, F.col("id") == F.col("_measured"), "left")
         .select(
             _code("exp", "id").alias("_id"), F.col("id").alias("origen_id"), "nombre", "descripcion",
-            F.col("fecha").cast("timestamp_ntz").alias("fecha"), "finalizado", "dataset", parsed.alias("ejecuciones"), "metricas", "tramo",
+            F.col("fecha").cast("timestamp_ntz").alias("fecha"), "finalizado", "dataset", parsed.alias("ejecuciones"), "metricas",
         )
     )
 

@@ -186,6 +186,6 @@ def models_by_experiment(gold: dict[str, DataFrame]) -> DataFrame:
     listed = nest(rows, ["experimento"], ["modelo"], "m", ["modelo", "modelo_key"])
     return (
         listed.join(totals, "experimento")
-        .select("experimento", "tramo", "modelos_participantes", F.array_join(F.col("m.modelo"), ", ").alias("modelos"))
-        .orderBy(F.desc("modelos_participantes"), "experimento", "tramo")
+        .select("experimento", "modelos_participantes", F.array_join(F.col("m.modelo"), ", ").alias("modelos"))
+        .orderBy(F.desc("modelos_participantes"), "experimento")
     )

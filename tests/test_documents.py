@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tamizal.functions import arrays
 from tamizal.operators import documents as shapes
 from tamizal.operators import mutate
-from tamizal.operators.nesting import lookup, nest, unwind
+from tamizal.operators.nesting import elements_meet, first_element, lookup, nest, unwind, value_map
 from tamizal.plans import document_store as q
 from tamizal.sources.registry import load_documents
 
@@ -26,7 +26,7 @@ def ids(df, column="_id"):
 
 
 def test_build(docs):
-    assert docs.count() == 9 and docs.where("tramo <> 0").isEmpty()
+    assert docs.count() == 9 and docs.select("_id").distinct().count() == 9
     one = q.find_one(docs, "exp-006").select(F.size("ejecuciones").alias("n"), "dataset.propietario.nombre", F.map_keys("metricas").alias("k")).first()
     assert one["n"] == 2 and one["nombre"] == "Diego Fernández" and len(one["k"]) == 4
 
@@ -74,7 +74,6 @@ def test_aggregates(docs):
 
 
 def test_change_cycle(docs):
-    docs = docs.drop("tramo")
     key = F.col("_id") == "tmp"
     copy = mutate.copy_row(docs, F.col("_id") == "exp-001", {"_id": F.lit("tmp"), "finalizado": F.lit(False)})
     copy = copy.withColumn("etiquetas", F.array(F.lit("temporal")))
@@ -139,18 +138,28 @@ def test_load_documents(spark, tmp_path):
     assert docs.select(F.max("fecha")).first()[0].isoformat() == "2026-03-03T00:00:00"
 
 
-def test_long_lists_go_on_in_chunks(spark):
-    """A third of the children share one parent; no array may exceed the limit, nothing is lost."""
-    children = spark.range(3000).select(
+def test_one_document_however_long(spark):
+    """A third of the children share one parent: one document, and element questions that gather nothing."""
+    children = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500 + 1).alias("padre"), F.col("id").alias("hijo")
     )
-    nested = nest(children, ["padre"], ["hijo"], "hijos", ["hijo"], max_elements=100).cache()
-    assert nested.select(F.max(F.size("hijos"))).first()[0] <= 100
-    assert nested.where("padre = 0").count() == 10
+    nested = nest(children, ["padre"], ["hijo"], "hijos", ["hijo"]).cache()
+    assert nested.count() == nested.select("padre").distinct().count()
+    assert nested.where("padre = 0").select(F.size("hijos")).first()[0] == 10_000
     back = unwind(nested, "hijos", "x").select("padre", "x.hijo")
-    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, children.collect()))
-    edges = nested.where("padre = 0").orderBy("tramo").select(F.col("hijos.hijo").alias("h")).collect()
-    assert all(a["h"][-1] < b["h"][0] for a, b in zip(edges, edges[1:]))
+    assert back.exceptAll(children).isEmpty() and back.count() == children.count()
+    met = elements_meet(children, ["padre"], F.col("hijo") == 3, F.col("hijo") == 2997).collect()
+    assert [r.padre for r in met] == [0]
+    assert elements_meet(children, ["padre"], F.lit(None).cast("boolean")).isEmpty()
+    plan = elements_meet(children, ["padre"], F.col("hijo") > 3)._jdf.queryExecution().toString()
+    assert "collect_list" not in plan
+    first = first_element(children, ["padre"], F.col("hijo") > 10, ["hijo"], ["hijo"]).where("padre = 0").first()
+    assert first.hijo == 12
+
+
+def test_values_without_a_name_are_left_out(spark):
+    rows = spark.createDataFrame([(1, "a", 1.0, 1), (1, None, 2.0, 2), (1, "a", 3.0, 3)], "k int, n string, v double, id int")
+    assert value_map(rows, ["k"], "n", "v", "m", "id").first()["m"] == {"a": 3.0}
 
 
 def test_lookup_without_match_is_empty(spark):
