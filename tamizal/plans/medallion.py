@@ -13,7 +13,7 @@ from tamizal.plans import gold
 from tamizal.plans.entities import ENTITIES, levels, with_parents
 from tamizal.session import materialize, side_by_side, tune
 from tamizal.sources.bronze import land_batch, read_bronze
-from tamizal.sources.publish import publish, write_table
+from tamizal.sources.publish import name_current, publish, write_version
 from tamizal.sources.schemas import WAREHOUSE, WAREHOUSE_CONSTRAINTS, conform
 
 
@@ -81,8 +81,9 @@ def run(
 ) -> dict[str, DataFrame]:
     """Land ``batches``, rebuild Silver and quality from Bronze, publish the warehouse as ``version``.
 
-    Bronze is only added to. Derived tables are rebuilt, so a second run gives the same rows;
-    the warehouse of the last good run stays current until this one has passed its checks.
+    Bronze is only added to. Derived tables are rebuilt in folders of this run, so a second run gives the
+    same rows; Silver, quality and warehouse of the last good run stay current until this one has passed
+    its checks, also when it has the same version.
     """
     tune(spark)
     now = spark.range(1).select(F.current_timestamp()).first()[0] if run_at is None else None
@@ -94,20 +95,18 @@ def run(
         spark,
         lambda e: read_bronze(spark, f"{lake}/bronze", e),
         ENTITIES,
-        store=lambda e, df: write_table(df, f"{lake}/evaluados/{e}"),
+        store=lambda e, df: materialize(df, f"evaluado-{e}"),
     )
-    publish_silver(evaluated, lake, stamp)
-    # the warehouse starts from the published files, not from the plans behind them
-    silver = {e: spark.read.parquet(f"{lake}/silver/{e}") for e in ENTITIES}
-    tables = {name: conform(df, WAREHOUSE[name]) for name, df in gold.build(silver).items()}
+    folder, silver = write_version(f"{lake}/silver", version, silver_outputs(evaluated, stamp))
+    # the warehouse starts from the written files, not from the plans behind them
+    tables = {name: conform(df, WAREHOUSE[name]) for name, df in gold.build({e: silver[e] for e in ENTITIES}).items()}
     tables["control_cargas"] = load_control(evaluated, stamp)
-    return publish(spark, f"{lake}/gold", version, tables, lambda written: check_warehouse(written, expected), FACT_FOLDERS)
+    written = publish(spark, f"{lake}/gold", version, tables, lambda w: check_warehouse(w, expected), FACT_FOLDERS)
+    name_current(spark, f"{lake}/silver", version, folder)
+    return written
 
 
-def publish_silver(evaluated: dict[str, DataFrame], lake: str, stamp: Column) -> int:
-    """Eight Silver tables and two quality tables; how many were published."""
-    spark = next(iter(evaluated.values())).sparkSession
-    outputs = {f"silver/{e}": quality.accepted(df) for e, df in evaluated.items()}
-    outputs["calidad/rechazos"] = quality.rejects(evaluated)
-    outputs["calidad/resumen"] = quality.summary(evaluated, stamp)
-    return len(side_by_side(spark, [partial(write_table, df, f"{lake}/{path}") for path, df in outputs.items()]))
+def silver_outputs(evaluated: dict[str, DataFrame], stamp: Column) -> dict[str, DataFrame]:
+    """Eight Silver tables and two quality tables."""
+    outputs = {e: quality.accepted(df) for e, df in evaluated.items()}
+    return {**outputs, "rechazos": quality.rejects(evaluated), "resumen": quality.summary(evaluated, stamp)}

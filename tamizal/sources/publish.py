@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tamizal.session import side_by_side
 from tamizal.sources.layout import write_partitioned
 
-LEDGER = "version string, publicado_en timestamp"
+LEDGER = "version string, carpeta string, publicado_en timestamp"
 
 
 Folders = tuple[list[str], list[str]]  # columns that name the folders, columns sorted inside
@@ -32,19 +33,49 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str])
     df.write.jdbc(url, table, mode="append", properties=properties)
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
+def _current(spark: SparkSession, root: str) -> tuple[str, str] | None:
     try:
         ledger = spark.read.schema(LEDGER).parquet(f"{root}/_published")
     except AnalysisException:
         return None
-    return ledger.select(F.max_by("version", "publicado_en")).first()[0]
+    return ledger.select(F.max_by(F.struct("version", "carpeta"), "publicado_en")).first()[0]
 
 
-def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
-    version = current_version(spark, root)
-    if version is None:
+def current_version(spark: SparkSession, root: str) -> str | None:
+    found = _current(spark, root)
+    return None if found is None else found[0]
+
+
+def current_folder(spark: SparkSession, root: str) -> str:
+    found = _current(spark, root)
+    if found is None:
         raise LookupError(f"nothing is published under {root}")
-    return spark.read.parquet(f"{root}/version={version}/{table}")
+    return f"{root}/{found[1]}"
+
+
+def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{current_folder(spark, root)}/{table}")
+
+
+def write_version(
+    root: str, version: str, tables: dict[str, DataFrame], folders: dict[str, Folders] | None = None
+) -> tuple[str, dict[str, DataFrame]]:
+    """Write the tables of a run to a folder of its own; gives the folder and the tables as read back.
+
+    A version may be run again: nothing that an earlier run wrote is touched.
+    """
+    spark, chosen = next(iter(tables.values())).sparkSession, folders or {}
+    folder = f"version={version}/run={uuid.uuid4().hex}"
+    calls = [partial(write_table, df, f"{root}/{folder}/{name}", chosen.get(name)) for name, df in tables.items()]
+    return folder, dict(zip(tables, side_by_side(spark, calls)))
+
+
+def name_current(spark: SparkSession, root: str, version: str, folder: str) -> None:
+    """Make a written folder the one that readers see, by one appended row."""
+    entry = spark.range(1).select(
+        F.lit(version).alias("version"), F.lit(folder).alias("carpeta"), F.current_timestamp().alias("publicado_en")
+    )
+    entry.write.mode("append").parquet(f"{root}/_published")
 
 
 def publish(
@@ -57,12 +88,10 @@ def publish(
 ) -> dict[str, DataFrame]:
     """Write every table of a version, run ``check`` on what was written, then name it current.
 
-    ``check`` raises to refuse; the version before stays current and readable.
+    ``check`` raises to refuse; what was current before stays so and readable, also if it is an earlier
+    run of the same version.
     """
-    chosen = folders or {}
-    calls = [partial(write_table, df, f"{root}/version={version}/{name}", chosen.get(name)) for name, df in tables.items()]
-    written = dict(zip(tables, side_by_side(spark, calls)))
+    folder, written = write_version(root, version, tables, folders)
     check(written)
-    entry = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("publicado_en"))
-    entry.write.mode("append").parquet(f"{root}/_published")
+    name_current(spark, root, version, folder)
     return written

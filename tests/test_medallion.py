@@ -11,7 +11,7 @@ from tamizal.operators import quality
 from tamizal.plans import gold, medallion
 from tamizal.plans.entities import ENTITIES, levels
 from tamizal.sources import bronze
-from tamizal.sources.publish import current_version, publish, read_published
+from tamizal.sources.publish import current_folder, current_version, publish, read_published
 
 EXPECTED = {"fact_metricas_experimentos": 32, "bridge_experimento_modelo": 11, "dim_usuario": 8, "dim_dataset": 10, "dim_experimento": 10, "dim_modelo": 10, "dim_fecha": 4, "dim_metrica": 5}
 SUMMARY = {
@@ -35,29 +35,29 @@ def test_levels():
 
 
 def test_summary_and_codes(spark, lake):
-    found = spark.read.parquet(f"{lake}/calidad/resumen").collect()
+    found = read_published(spark, f"{lake}/silver", "resumen").collect()
     assert {r["entidad"]: (r["recibidas"], r["aceptadas"], r["rechazadas"]) for r in found} == SUMMARY
-    rejected = spark.read.parquet(f"{lake}/calidad/rechazos")
+    rejected = read_published(spark, f"{lake}/silver", "rechazos")
     want = Counter(code for rows in fixture.BATCH_TWO_ROWS.values() for _, code in rows if code)
     assert {r["codigo_error"]: r["cantidad"] for r in quality.code_distribution(rejected).collect()} == want
     assert sum(want.values()) == 16 and len(want) == 13
 
 
 def test_each_reject_has_its_line_and_evidence(spark, lake):
-    found = {(r["entidad"], r["numero_fila"]): (r["codigo_error"], r["evidencia_original"]) for r in spark.read.parquet(f"{lake}/calidad/rechazos").collect()}
+    found = {(r["entidad"], r["numero_fila"]): (r["codigo_error"], r["evidencia_original"]) for r in read_published(spark, f"{lake}/silver", "rechazos").collect()}
     want = {(e, i): code for e, rows in fixture.BATCH_TWO_ROWS.items() for i, (_, code) in enumerate(rows, start=2) if code}
     assert {k: v[0] for k, v in found.items()} == want
     assert found[("usuarios", 3)][1] == '{"id":"9","nombre":"Usuario sin correo","email":null,"activo":"true","fecha_alta":"2026-03-15T09:10:00Z"}'
-    listed = quality.reject_listing(spark.read.parquet(f"{lake}/calidad/rechazos")).collect()
+    listed = quality.reject_listing(read_published(spark, f"{lake}/silver", "rechazos")).collect()
     assert [(r["entidad"], r["numero_fila"]) for r in listed] == sorted(want)
 
 
 def test_accepted_values(spark, lake):
-    user = spark.read.parquet(f"{lake}/silver/usuarios").where("id = 8").first()
+    user = read_published(spark, f"{lake}/silver", "usuarios").where("id = 8").first()
     assert (user["nombre"], user["email"], user["activo"], user["numero_fila"]) == ("Elena Vega", "elena@example.com", True, 2)
     assert user["lote_id"] == fixture.BATCH_TWO and user["archivo_origen"].endswith("usuarios.csv")
-    assert spark.read.parquet(f"{lake}/silver/modelos").where("id = 10").first()["version"] == "v1"
-    values = {r["id"]: (r["nombre"], str(r["valor"])) for r in spark.read.parquet(f"{lake}/silver/metricas").where("id > 30").collect()}
+    assert read_published(spark, f"{lake}/silver", "modelos").where("id = 10").first()["version"] == "v1"
+    values = {r["id"]: (r["nombre"], str(r["valor"])) for r in read_published(spark, f"{lake}/silver", "metricas").where("id > 30").collect()}
     assert values == {31: ("accuracy", "0.870000"), 32: ("recall", "0.870000")}
 
 
@@ -74,7 +74,8 @@ def test_warehouse(spark, lake):
     listed = gold.models_by_experiment(tables).collect()
     assert listed[0]["experimento"] == "Experimento fraude v1" and listed[0]["modelos_participantes"] == 2
     assert listed[0]["modelos"] == "Detector de fraude, Segmentador de clientes" and len(listed) == 10
-    assert (Path(lake) / "gold" / "version=v1" / "fact_metricas_experimentos" / "fecha_key=20260315").exists()
+    folder = Path(current_folder(spark, f"{lake}/gold"))
+    assert folder.parent.name == "version=v1" and (folder / "fact_metricas_experimentos" / "fecha_key=20260315").exists()
     parsed = tables["bridge_experimento_modelo"].select(F.try_variant_get("parametros_jsonb", "$.temperature", "double").alias("t"))
     assert parsed.where("t = 0.2").count() == 1
 
@@ -95,6 +96,19 @@ def test_refused_version_leaves_the_old_one(spark, tmp_path):
     with pytest.raises(quality.QualityGateError):
         publish(spark, root, "b", {"t": spark.range(9)}, refuse)
     assert current_version(spark, root) == "a" and read_published(spark, root, "t").count() == 3
+    with pytest.raises(quality.QualityGateError):  # the current version itself, run again and refused
+        publish(spark, root, "a", {"t": spark.range(50)}, refuse)
+    assert read_published(spark, root, "t").count() == 3
+    publish(spark, root, "a", {"t": spark.range(5)}, lambda _: None)
+    assert current_version(spark, root) == "a" and read_published(spark, root, "t").count() == 5
+
+
+def test_refused_run_leaves_silver_too(spark, lake, incoming):
+    before = current_folder(spark, f"{lake}/silver"), current_folder(spark, f"{lake}/gold")
+    with pytest.raises(quality.QualityGateError):
+        medallion.run(spark, incoming, lake, BATCHES, current_version(spark, f"{lake}/gold"), {"dim_usuario": 99})
+    assert before == (current_folder(spark, f"{lake}/silver"), current_folder(spark, f"{lake}/gold"))
+    assert read_published(spark, f"{lake}/silver", "usuarios").count() == 8
 
 
 def test_gates(spark):
