@@ -3,78 +3,10 @@
 from __future__ import annotations
 
 import csv
-import json
 from pathlib import Path
 
 BATCH_ONE, BATCH_TWO = "lote_01_inicial", "lote_02_nuevos"
 
-# Keys, references, measures and parameters the expected results depend on.
-USERS = ["Ana Pérez", "Luis Gómez", "María Torres", "Carla Ruiz", "Diego Fernández", "Sofía Herrera", "Invitado sin carga"]
-MAILS = ["ana", "luis", "maria", "carla", "diego", "sofia", "invitado"]
-SOURCE_TYPES = ["IoT", "Sistema interno", "Aplicación", "Multimedia", "Servicio de soporte", "Servicio externo"]
-MODEL_TYPES = ["Clasificación", "Clustering", "Regresión", "Visión computacional"]
-# name, owner, source type, detail, rows
-DATASETS = [
-    ("Sensores ambientales", 1, 1, "IoT", 15000),
-    ("Imágenes de cultivos", 1, 4, "Visión computacional", 5000),
-    ("Histórico de ventas", 2, 2, "Sistema transaccional", 25000),
-    ("Comentarios de usuarios", 3, 3, "Aplicación web", 8000),
-    ("Sensores industriales", 4, 1, "IoT industrial", 42000),
-    ("Transacciones bancarias", 5, 2, "Sistema financiero", 120000),
-    ("Tickets de soporte", 6, 5, "Mesa de ayuda", 18000),
-    ("Audios de soporte", 6, 5, "Call center", 9000),
-    ("Clima histórico regional", 1, 6, "Servicio meteorológico", 65000),
-]
-# name, owner, type, version
-MODELS = [
-    ("Clasificador de lluvia", 1, 1, "v1"),
-    ("Detector de cultivos", 1, 4, "v1"),
-    ("Predicción de demanda", 2, 3, "v1"),
-    ("Análisis de sentimiento", 3, 1, "v1"),
-    ("Clasificador industrial", 4, 1, "v1"),
-    ("Detector de fraude", 5, 1, "v2"),
-    ("Segmentador de clientes", 5, 2, "v1"),
-    ("Clasificador de tickets", 6, 1, "v1"),
-    ("Pronóstico climático", 1, 3, "v2"),
-]
-# name, dataset, day of March 2026, finished
-EXPERIMENTS = [
-    ("lluvia v1", 1, 2, True),
-    ("cultivos v1", 2, 2, True),
-    ("demanda v1", 3, 2, False),
-    ("lluvia v2", 9, 9, True),
-    ("industrial v1", 5, 9, True),
-    ("fraude v1", 6, 9, True),
-    ("fraude v2", 6, 10, False),
-    ("tickets v1", 7, 10, True),
-    ("tickets v2", 7, 10, False),
-]
-# experiment, model, parameters
-RUNS = [
-    (1, 1, {"max_depth": 5, "criterion": "gini"}),
-    (2, 2, {"epochs": 10, "batch_size": 32, "optimizer": "adam"}),
-    (3, 3, {"test_size": 0.2, "random_state": 42}),
-    (4, 9, {"max_depth": 8, "criterion": "gini"}),
-    (5, 5, {"max_depth": 6, "criterion": "entropy"}),
-    (6, 6, {"threshold": 0.65, "class_weight": "balanced"}),
-    (6, 7, {"n_clusters": 4, "algorithm": "k-means"}),
-    (7, 6, {"threshold": 0.45, "class_weight": "balanced"}),
-    (8, 8, {"max_features": 5000, "ngram_range": [1, 1]}),
-    (9, 8, {"max_features": 8000, "ngram_range": [1, 2], "class_weight": "balanced"}),
-]
-FOUR = ["accuracy", "precision", "recall", "f1_score"]
-METRICS = {
-    1: dict(zip(FOUR, [0.82, 0.79, 0.75])),
-    2: {"accuracy": 0.91, "f1_score": 0.88},
-    3: {"mae": 12.45},
-    4: dict(zip(FOUR, [0.86, 0.83, 0.81, 0.82])),
-    5: dict(zip(FOUR, [0.78, 0.76, 0.72, 0.74])),
-    6: dict(zip(FOUR, [0.94, 0.96, 0.61, 0.75])),
-    7: dict(zip(FOUR, [0.89, 0.82, 0.79, 0.80])),
-    8: dict(zip(FOUR, [0.87, 0.84, 0.77, 0.80])),
-    9: dict(zip(FOUR, [0.85, 0.79, 0.83, 0.81])),
-}
-
 HEADERS = {
     "usuarios": "id nombre email activo fecha_alta",
     "tipos_fuente": "id nombre",
@@ -86,59 +18,140 @@ HEADERS = {
     "metricas": "id experimento_id nombre valor fecha_registro",
 }
 
+# Keys, references, measures, parameters and dates that the expected results depend on.
+BATCH_ONE_ROWS: dict[str, list[tuple]] = {
+    "usuarios": [
+        (1, "Irene Solano", "irene@example.com", "true", "2026-03-01T09:01:00Z"),
+        (2, "Bruno Cano", "bruno@example.com", "true", "2026-03-01T09:02:00Z"),
+        (3, "Olga Prieto", "olga@example.com", "true", "2026-03-01T09:03:00Z"),
+        (4, "Raúl Medina", "raul@example.com", "true", "2026-03-01T09:04:00Z"),
+        (5, "Tomás Vidal", "tomas@example.com", "true", "2026-03-01T09:05:00Z"),
+        (6, "Nuria Lagos", "nuria@example.com", "true", "2026-03-01T09:06:00Z"),
+        (7, "Cuenta sin datos", "cuenta@example.com", "true", "2026-03-01T09:07:00Z"),
+    ],
+    "tipos_fuente": [
+        (1, "IoT"),
+        (2, "Sistema interno"),
+        (3, "Aplicación"),
+        (4, "Multimedia"),
+        (5, "Servicio de respuestas"),
+        (6, "Servicio externo"),
+    ],
+    "datasets": [
+        (1, 1, "Mareas del puerto", 1, "IoT", 15000, "2026-03-01T11:01:00Z"),
+        (2, 1, "Fotos de hojas", 4, "Visión computacional", 5000, "2026-03-01T11:02:00Z"),
+        (3, 2, "Pedidos de la tienda", 2, "Caja", 25000, "2026-03-01T11:03:00Z"),
+        (4, 3, "Reseñas de libros", 3, "Sitio", 8000, "2026-03-01T11:04:00Z"),
+        (5, 4, "Vibración de bombas", 1, "Planta", 42000, "2026-03-01T11:05:00Z"),
+        (6, 5, "Pagos con tarjeta", 2, "Banco", 120000, "2026-03-01T11:06:00Z"),
+        (7, 6, "Cartas de lectores", 5, "Redacción", 18000, "2026-03-01T11:07:00Z"),
+        (8, 6, "Notas de voz", 5, "Contestador", 9000, "2026-03-01T11:08:00Z"),
+        (9, 1, "Viento en la costa", 6, "Boya", 65000, "2026-03-01T11:09:00Z"),
+    ],
+    "tipos_modelo": [
+        (1, "Clasificación"),
+        (2, "Clustering"),
+        (3, "Regresión"),
+        (4, "Visión computacional"),
+    ],
+    "modelos": [
+        (1, 1, "Aviso de marea", 1, "v1", "2026-03-01T12:01:00Z"),
+        (2, 1, "Lector de hojas", 4, "v1", "2026-03-01T12:02:00Z"),
+        (3, 2, "Curva de pedidos", 3, "v1", "2026-03-01T12:03:00Z"),
+        (4, 3, "Tono de reseñas", 1, "v1", "2026-03-01T12:04:00Z"),
+        (5, 4, "Oído de bombas", 1, "v1", "2026-03-01T12:05:00Z"),
+        (6, 5, "Filtro de pagos", 1, "v2", "2026-03-01T12:06:00Z"),
+        (7, 5, "Grupos de compra", 2, "v1", "2026-03-01T12:07:00Z"),
+        (8, 6, "Buzón de cartas", 1, "v1", "2026-03-01T12:08:00Z"),
+        (9, 1, "Mapa de viento", 3, "v2", "2026-03-01T12:09:00Z"),
+    ],
+    "experimentos": [
+        (1, 1, "Experimento marea v1", "Prueba 1.", "2026-03-02", "true"),
+        (2, 2, "Experimento hojas v1", "Prueba 2.", "2026-03-02", "true"),
+        (3, 3, "Experimento pedidos v1", "Prueba 3.", "2026-03-02", "false"),
+        (4, 9, "Experimento marea v2", "Prueba 4.", "2026-03-09", "true"),
+        (5, 5, "Experimento bombas v1", "Prueba 5.", "2026-03-09", "true"),
+        (6, 6, "Experimento pagos v1", "Prueba 6.", "2026-03-09", "true"),
+        (7, 6, "Experimento pagos v2", "Prueba 7.", "2026-03-10", "false"),
+        (8, 7, "Experimento cartas v1", "Prueba 8.", "2026-03-10", "true"),
+        (9, 7, "Experimento cartas v2", "Prueba 9.", "2026-03-10", "false"),
+    ],
+    "experimentos_modelos": [
+        (1, 1, "max_depth=5;criterion=gini", "Resultado de 1 con 1", '{"max_depth":5,"criterion":"gini"}'),
+        (2, 2, "epochs=10;batch_size=32;optimizer=adam", "Resultado de 2 con 2", '{"epochs":10,"batch_size":32,"optimizer":"adam"}'),
+        (3, 3, "test_size=0.2;random_state=42", "Resultado de 3 con 3", '{"test_size":0.2,"random_state":42}'),
+        (4, 9, "max_depth=8;criterion=gini", "Resultado de 4 con 9", '{"max_depth":8,"criterion":"gini"}'),
+        (5, 5, "max_depth=6;criterion=entropy", "Resultado de 5 con 5", '{"max_depth":6,"criterion":"entropy"}'),
+        (6, 6, "threshold=0.65;class_weight=balanced", "Resultado de 6 con 6", '{"threshold":0.65,"class_weight":"balanced"}'),
+        (6, 7, "n_clusters=4;algorithm=k-means", "Resultado de 6 con 7", '{"n_clusters":4,"algorithm":"k-means"}'),
+        (7, 6, "threshold=0.45;class_weight=balanced", "Resultado de 7 con 6", '{"threshold":0.45,"class_weight":"balanced"}'),
+        (8, 8, "max_features=5000;ngram_range=[1, 1]", "Resultado de 8 con 8", '{"max_features":5000,"ngram_range":[1,1]}'),
+        (9, 8, "max_features=8000;ngram_range=[1, 2];class_weight=balanced", "Resultado de 9 con 8", '{"max_features":8000,"ngram_range":[1,2],"class_weight":"balanced"}'),
+    ],
+    "metricas": [
+        (1, 1, "accuracy", 0.82, "2026-03-02T18:01:00Z"),
+        (2, 1, "precision", 0.79, "2026-03-02T18:02:00Z"),
+        (3, 1, "recall", 0.75, "2026-03-02T18:03:00Z"),
+        (4, 2, "accuracy", 0.91, "2026-03-02T18:04:00Z"),
+        (5, 2, "f1_score", 0.88, "2026-03-02T18:05:00Z"),
+        (6, 3, "mae", 12.45, "2026-03-02T18:06:00Z"),
+        (7, 4, "accuracy", 0.86, "2026-03-09T18:07:00Z"),
+        (8, 4, "precision", 0.83, "2026-03-09T18:08:00Z"),
+        (9, 4, "recall", 0.81, "2026-03-09T18:09:00Z"),
+        (10, 4, "f1_score", 0.82, "2026-03-09T18:10:00Z"),
+        (11, 5, "accuracy", 0.78, "2026-03-09T18:11:00Z"),
+        (12, 5, "precision", 0.76, "2026-03-09T18:12:00Z"),
+        (13, 5, "recall", 0.72, "2026-03-09T18:13:00Z"),
+        (14, 5, "f1_score", 0.74, "2026-03-09T18:14:00Z"),
+        (15, 6, "accuracy", 0.94, "2026-03-09T18:15:00Z"),
+        (16, 6, "precision", 0.96, "2026-03-09T18:16:00Z"),
+        (17, 6, "recall", 0.61, "2026-03-09T18:17:00Z"),
+        (18, 6, "f1_score", 0.75, "2026-03-09T18:18:00Z"),
+        (19, 7, "accuracy", 0.89, "2026-03-10T18:19:00Z"),
+        (20, 7, "precision", 0.82, "2026-03-10T18:20:00Z"),
+        (21, 7, "recall", 0.79, "2026-03-10T18:21:00Z"),
+        (22, 7, "f1_score", 0.8, "2026-03-10T18:22:00Z"),
+        (23, 8, "accuracy", 0.87, "2026-03-10T18:23:00Z"),
+        (24, 8, "precision", 0.84, "2026-03-10T18:24:00Z"),
+        (25, 8, "recall", 0.77, "2026-03-10T18:25:00Z"),
+        (26, 8, "f1_score", 0.8, "2026-03-10T18:26:00Z"),
+        (27, 9, "accuracy", 0.85, "2026-03-10T18:27:00Z"),
+        (28, 9, "precision", 0.79, "2026-03-10T18:28:00Z"),
+        (29, 9, "recall", 0.83, "2026-03-10T18:29:00Z"),
+        (30, 9, "f1_score", 0.81, "2026-03-10T18:30:00Z"),
+    ],
+}
 
-def batch_one() -> dict[str, list[tuple]]:
-    measures = [(e, name, value) for e, values in METRICS.items() for name, value in values.items()]
-    return {
-        "usuarios": [
-            (i, name, f"{mail}@example.com", "true", f"2026-03-01T09:{i:02d}:00Z") for i, (name, mail) in enumerate(zip(USERS, MAILS), 1)
-        ],
-        "tipos_fuente": list(enumerate(SOURCE_TYPES, 1)),
-        "datasets": [(i, o, n, s, d, r, f"2026-03-01T11:{i:02d}:00Z") for i, (n, o, s, d, r) in enumerate(DATASETS, 1)],
-        "tipos_modelo": list(enumerate(MODEL_TYPES, 1)),
-        "modelos": [(i, o, n, k, v, f"2026-03-01T12:{i:02d}:00Z") for i, (n, o, k, v) in enumerate(MODELS, 1)],
-        "experimentos": [
-            (i, d, f"Experimento {n}", f"Prueba {i}.", f"2026-03-{day:02d}", str(done).lower()) for i, (n, d, day, done) in enumerate(EXPERIMENTS, 1)
-        ],
-        "experimentos_modelos": [
-            (e, m, ";".join(f"{k}={v}" for k, v in p.items()), f"Resultado de {e} con {m}", json.dumps(p, separators=(",", ":"))) for e, m, p in RUNS
-        ],
-        "metricas": [
-            (i, e, name, value, f"2026-03-{EXPERIMENTS[e - 1][2]:02d}T18:{i:02d}:00Z") for i, (e, name, value) in enumerate(measures, 1)
-        ],
-    }
-
-
-# Rows of batch two with the code each must get (None: accepted).
+# Keys, defects and the code that each row of batch two must get (None: accepted).
 BATCH_TWO_ROWS: dict[str, list[tuple[tuple, str | None]]] = {
     "usuarios": [
-        ((8, "  Elena Vega  ", " ELENA@EXAMPLE.COM ", "Sí", "15/03/2026 09:00:00"), None),
-        ((9, "Usuario sin correo", "", "true", "2026-03-15T09:10:00Z"), "MISSING_REQUIRED"),
-        ((1, "Ana duplicada", "ana.duplicada@example.com", "true", "2026-03-15T09:20:00Z"), "DUPLICATE_KEY"),
+        ((8, "  Julia Ferrer  ", " JULIA@EXAMPLE.COM ", "Sí", "15/03/2026 09:00:00"), None),
+        ((9, "Persona sin dirección", "", "true", "2026-03-15T09:10:00Z"), "MISSING_REQUIRED"),
+        ((1, "Irene repetida", "irene.repetida@example.com", "true", "2026-03-15T09:20:00Z"), "DUPLICATE_KEY"),
     ],
     "tipos_fuente": [((7, " Archivo "), None)],
     "tipos_modelo": [((5, " Generativo "), None)],
     "datasets": [
-        ((10, 8, " Logs de inferencia ", 7, " archivo CSV ", 12500, "15/03/2026 10:00:00"), None),
-        ((11, 8, "Cantidad negativa", 7, "Archivo CSV", -10, "2026-03-15T10:10:00Z"), "NEGATIVE_QUANTITY"),
-        ((12, 999, "Usuario desconocido", 7, "Archivo CSV", 100, "2026-03-15T10:20:00Z"), "UNKNOWN_USER"),
-        ((13, 8, "Tipo desconocido", 999, "Archivo CSV", 100, "2026-03-15T10:30:00Z"), "UNKNOWN_SOURCE_TYPE"),
+        ((10, 8, " Trazas del servicio ", 7, " hoja suelta ", 12500, "15/03/2026 10:00:00"), None),
+        ((11, 8, "Menos que nada", 7, "Hoja suelta", -10, "2026-03-15T10:10:00Z"), "NEGATIVE_QUANTITY"),
+        ((12, 999, "Dueño ausente", 7, "Hoja suelta", 100, "2026-03-15T10:20:00Z"), "UNKNOWN_USER"),
+        ((13, 8, "Clase ausente", 999, "Hoja suelta", 100, "2026-03-15T10:30:00Z"), "UNKNOWN_SOURCE_TYPE"),
     ],
     "modelos": [
-        ((10, 8, " Asistente de soporte ", 5, " V1 ", "15/03/2026 11:00:00"), None),
-        ((11, 999, "Usuario desconocido", 5, "v1", "2026-03-15T11:10:00Z"), "UNKNOWN_USER"),
-        ((12, 8, "Tipo desconocido", 999, "v1", "2026-03-15T11:20:00Z"), "UNKNOWN_MODEL_TYPE"),
+        ((10, 8, " Redactor de respuestas ", 5, " V1 ", "15/03/2026 11:00:00"), None),
+        ((11, 999, "Dueño ausente", 5, "v1", "2026-03-15T11:10:00Z"), "UNKNOWN_USER"),
+        ((12, 8, "Clase ausente", 999, "v1", "2026-03-15T11:20:00Z"), "UNKNOWN_MODEL_TYPE"),
     ],
     "experimentos": [
-        ((10, 10, " Experimento soporte v1 ", "Evaluación inicial.", "15/03/2026", "SI"), None),
-        ((11, 999, "Dataset desconocido", "Referencia inválida.", "2026-03-15", "true"), "UNKNOWN_DATASET"),
-        ((12, 10, "Fecha inválida", "Sin día.", "31/02/2026", "true"), "INVALID_DATE"),
-        ((13, 10, "Booleano inválido", "Sin estado.", "2026-03-15", "quizás"), "INVALID_BOOLEAN"),
+        ((10, 10, " Experimento respuestas v1 ", "Primera vuelta.", "15/03/2026", "SI"), None),
+        ((11, 999, "Datos ausentes", "Sin padre.", "2026-03-15", "true"), "UNKNOWN_DATASET"),
+        ((12, 10, "Día imposible", "Día 31.", "31/02/2026", "true"), "INVALID_DATE"),
+        ((13, 10, "Estado dudoso", "Sin estado.", "2026-03-15", "quizás"), "INVALID_BOOLEAN"),
     ],
     "experimentos_modelos": [
-        ((10, 10, "temperature=0.2", "Resultado inicial", '{"temperature":0.2}'), None),
-        ((10, 999, "temperature=0.4", "Modelo inexistente", '{"temperature":0.4}'), "UNKNOWN_MODEL"),
-        ((10, 10, "temperature=0.2", "Fila duplicada", '{"temperature":0.2}'), "DUPLICATE_KEY"),
+        ((10, 10, "temperature=0.2", "Primer resultado", '{"temperature":0.2}'), None),
+        ((10, 999, "temperature=0.4", "Modelo ausente", '{"temperature":0.4}'), "UNKNOWN_MODEL"),
+        ((10, 10, "temperature=0.2", "Fila repetida", '{"temperature":0.2}'), "DUPLICATE_KEY"),
     ],
     "metricas": [
         ((31, 10, " Accuracy ", "0,87", "15/03/2026 18:00:00"), None),
@@ -161,7 +174,7 @@ def write_csv(path: Path, entity: str, rows: list[tuple]) -> None:
 
 def write_batches(root: Path, *batches: str) -> None:
     chosen = batches or (BATCH_ONE, BATCH_TWO)
-    first = batch_one()
+    first = BATCH_ONE_ROWS
     for entity in HEADERS:
         if BATCH_ONE in chosen:
             write_csv(root / f"lote={BATCH_ONE}" / f"{entity}.csv", entity, first[entity])
@@ -177,7 +190,7 @@ def registry(spark) -> dict:
     from tamizal.sources.schemas import REGISTRY
 
     out = {}
-    for table, rows in batch_one().items():
+    for table, rows in BATCH_ONE_ROWS.items():
         names = HEADERS[table].split()
         text = spark.createDataFrame([tuple(str(v) for v in row) for row in rows], ", ".join(f"{n} string" for n in names))
 

@@ -31,7 +31,7 @@ def test_registry_is_valid(registry):
     "table, values, kind",
     [
         ("usuarios", {"id": 50, "nombre": "sin", "activo": True}, ("NOT NULL", "usuarios_email_not_null")),
-        ("usuarios", {"id": 50, "nombre": "Otra", "email": "ana@example.com", "activo": True}, ("UNIQUE", "usuarios_email_key")),
+        ("usuarios", {"id": 50, "nombre": "Otra", "email": "irene@example.com", "activo": True}, ("UNIQUE", "usuarios_email_key")),
         ("datasets", {"id": 50, "usuario_id": 999, "nombre": "x"}, ("FOREIGN KEY", "datasets_usuario_id_fkey")),
         ("modelos", {"id": 50, "usuario_id": 999, "nombre": "x", "tipo_modelo_id": 1}, ("FOREIGN KEY", "modelos_usuario_id_fkey")),
         ("experimentos", {"id": 50, "dataset_id": 999, "nombre": "x"}, ("FOREIGN KEY", "experimentos_dataset_id_fkey")),
@@ -70,9 +70,9 @@ def test_constraint_inventory(spark):
 
 
 MAPPING = {
-    "IoT": "IoT", "IoT industrial": "IoT", "Sistema transaccional": "Sistema interno", "Sistema financiero": "Sistema interno",
-    "Aplicación web": "Aplicación", "Visión computacional": "Multimedia", "Mesa de ayuda": "Servicio de soporte",
-    "Call center": "Servicio de soporte", "Servicio meteorológico": "Servicio externo",
+    "IoT": "IoT", "Planta": "IoT", "Caja": "Sistema interno", "Banco": "Sistema interno",
+    "Sitio": "Aplicación", "Visión computacional": "Multimedia", "Redacción": "Servicio de respuestas",
+    "Contestador": "Servicio de respuestas", "Boya": "Servicio externo",
 }
 
 
@@ -96,11 +96,11 @@ def test_repeated_value_becomes_a_catalog(spark, registry):
 
 
 def test_natural_keys(spark, registry):
-    new = spark.createDataFrame([("ana@example.com", "d1"), ("nadie@example.com", "d2")], "email string, nombre string")
+    new = spark.createDataFrame([("irene@example.com", "d1"), ("nadie@example.com", "d2")], "email string, nombre string")
     found = mutate.resolve_key(new, registry["usuarios"], "email", "email", "id", "usuario_id")
     assert sorted(map(tuple, found.select("nombre", "usuario_id").collect())) == [("d1", 1), ("d2", None)]
     twice = registry["usuarios"].unionByName(registry["usuarios"].where("id = 1"))
-    with pytest.raises(Exception, match="more than one row for ana@example.com"):
+    with pytest.raises(Exception, match="more than one row for irene@example.com"):
         mutate.resolve_key(new, twice, "email", "email", "id", "usuario_id").collect()
 
 
@@ -144,7 +144,7 @@ def test_layouts(spark, tmp_path, registry):
     assert "Exchange hashpartitioning" not in introspect.plan_text(joined) and joined.count() > 0
     layout.write_sorted(registry["metricas"], str(tmp_path / "o"), ["experimento_id", "fecha_registro"])
     layout.write_bloom(registry["usuarios"], str(tmp_path / "f"), "email", 10)
-    assert spark.read.parquet(str(tmp_path / "f")).where("email = 'ana@example.com'").count() == 1
+    assert spark.read.parquet(str(tmp_path / "f")).where("email = 'irene@example.com'").count() == 1
     rows = [("2026-06-15T10:30:00", "exp-006", "accuracy", 0.94), ("2026-06-15T10:31:00", "exp-006", "loss", 0.18), ("2026-06-16T10:30:00", "exp-006", "accuracy", 0.95)]
     series = spark.createDataFrame(rows, "f string, e string, n string, valor double").select(F.col("f").cast("timestamp_ntz").alias("fecha"), "e", "n", "valor")
     layout.write_time_series(series, str(tmp_path / "t"), "fecha", ["e"])

@@ -28,7 +28,7 @@ def ids(df, column="_id"):
 def test_build(docs):
     assert docs.count() == 9 and docs.select("_id").distinct().count() == 9
     one = q.find_one(docs, "exp-006").select(F.size("ejecuciones").alias("n"), "dataset.propietario.nombre", F.map_keys("metricas").alias("k")).first()
-    assert one["n"] == 2 and one["nombre"] == "Diego Fernández" and len(one["k"]) == 4
+    assert one["n"] == 2 and one["nombre"] == "Tomás Vidal" and len(one["k"]) == 4
 
 
 def test_filters(docs):
@@ -38,7 +38,7 @@ def test_filters(docs):
     assert sorted(ids(q.by_source_type(docs, "Sistema interno"))) == ["exp-003", "exp-006", "exp-007"]
     assert sorted(ids(q.runs_of_model(docs, "mod-006"))) == ["exp-006", "exp-007"]
     assert q.reading_view(docs).count() == 9
-    assert [r["modelos"] for r in q.pending_detail(docs).collect()][0] == ["Predicción de demanda"]
+    assert [r["modelos"] for r in q.pending_detail(docs).collect()][0] == ["Buzón de cartas"]
 
 
 def test_elem_match(docs):
@@ -63,10 +63,10 @@ def test_unwind_and_references(docs, models):
 def test_aggregates(docs):
     found = {r[0]: (r[1], round(r[2], 6)) for r in q.mean_by_source_type(docs).collect()}
     assert found == {
-        "Sistema interno": (2, 0.915), "Multimedia": (1, 0.91), "Servicio externo": (1, 0.86), "Servicio de soporte": (2, 0.86), "IoT": (2, 0.80),
+        "Sistema interno": (2, 0.915), "Multimedia": (1, 0.91), "Servicio externo": (1, 0.86), "Servicio de respuestas": (2, 0.86), "IoT": (2, 0.80),
     }
     owners = [(r["propietario"], r["cantidad"], round(r["accuracy_promedio"], 6)) for r in q.owners_with_minimum(docs).collect()]
-    assert owners == [("Diego Fernández", 2, 0.915), ("Ana Pérez", 3, 0.863333), ("Sofía Herrera", 2, 0.86)]
+    assert owners == [("Tomás Vidal", 2, 0.915), ("Irene Solano", 3, 0.863333), ("Nuria Lagos", 2, 0.86)]
     ranks = [(r["tipo_modelo"], r["accuracy"], r["posicion"]) for r in q.rank_by_model_type(docs).collect()]
     assert [r[1:] for r in ranks if r[0] == "Clasificación"] == [(0.94, 1), (0.89, 2), (0.87, 3), (0.85, 4), (0.82, 5), (0.78, 6)]
     differences = [(r["_id"], round(r["diferencia"], 2)) for r in q.metric_difference(docs).collect()]

@@ -47,14 +47,14 @@ def test_each_reject_has_its_line_and_evidence(spark, lake):
     found = {(r["entidad"], r["numero_fila"]): (r["codigo_error"], r["evidencia_original"]) for r in read_published(spark, f"{lake}/silver", "rechazos").collect()}
     want = {(e, i): code for e, rows in fixture.BATCH_TWO_ROWS.items() for i, (_, code) in enumerate(rows, start=2) if code}
     assert {k: v[0] for k, v in found.items()} == want
-    assert found[("usuarios", 3)][1] == '{"id":"9","nombre":"Usuario sin correo","email":null,"activo":"true","fecha_alta":"2026-03-15T09:10:00Z"}'
+    assert found[("usuarios", 3)][1] == '{"id":"9","nombre":"Persona sin dirección","email":null,"activo":"true","fecha_alta":"2026-03-15T09:10:00Z"}'
     listed = quality.reject_listing(read_published(spark, f"{lake}/silver", "rechazos")).collect()
     assert [(r["entidad"], r["numero_fila"]) for r in listed] == sorted(want)
 
 
 def test_accepted_values(spark, lake):
     user = read_published(spark, f"{lake}/silver", "usuarios").where("id = 8").first()
-    assert (user["nombre"], user["email"], user["activo"], user["numero_fila"]) == ("Elena Vega", "elena@example.com", True, 2)
+    assert (user["nombre"], user["email"], user["activo"], user["numero_fila"]) == ("Julia Ferrer", "julia@example.com", True, 2)
     assert user["lote_id"] == fixture.BATCH_TWO and user["archivo_origen"].endswith("usuarios.csv")
     assert read_published(spark, f"{lake}/silver", "modelos").where("id = 10").first()["version"] == "v1"
     values = {r["id"]: (r["nombre"], str(r["valor"])) for r in read_published(spark, f"{lake}/silver", "metricas").where("id > 30").collect()}
@@ -69,11 +69,11 @@ def test_warehouse(spark, lake):
     assert sorted(map(tuple, tables["dim_metrica"].collect())) == [(1, "accuracy"), (2, "precision"), (3, "recall"), (4, "f1_score"), (5, "mae")]
     assert sorted(r["fecha_key"] for r in tables["dim_fecha"].collect()) == [20260302, 20260309, 20260310, 20260315]
     owners = gold.accuracy_by_owner(tables).collect()
-    assert (owners[0]["propietario"], owners[0]["accuracy_promedio"]) == ("Diego Fernández", 0.915)
+    assert (owners[0]["propietario"], owners[0]["accuracy_promedio"]) == ("Tomás Vidal", 0.915)
     assert gold.mean_by_date_and_metric(tables).count() == 15
     listed = gold.models_by_experiment(tables).collect()
-    assert listed[0]["experimento"] == "Experimento fraude v1" and listed[0]["modelos_participantes"] == 2
-    assert listed[0]["modelos"] == "Detector de fraude, Segmentador de clientes" and len(listed) == 10
+    assert listed[0]["experimento"] == "Experimento pagos v1" and listed[0]["modelos_participantes"] == 2
+    assert listed[0]["modelos"] == "Filtro de pagos, Grupos de compra" and len(listed) == 10
     folder = Path(current_folder(spark, f"{lake}/gold"))
     assert folder.parent.name == "version=v1" and (folder / "fact_metricas_experimentos" / "fecha_key=20260315").exists()
     parsed = tables["bridge_experimento_modelo"].select(F.try_variant_get("parametros_jsonb", "$.temperature", "double").alias("t"))
@@ -159,6 +159,6 @@ def test_batch_profile(spark, incoming):
     found = {(r["entidad"], r["lote_id"]): r["filas"] for r in rows_per_source(frames).collect()}
     assert found[("metricas", fixture.BATCH_TWO)] == 6 and found[("usuarios", fixture.BATCH_ONE)] == 7
     shown = frames["usuarios"].where(F.col("lote_id") == fixture.BATCH_TWO).select(visible("nombre").alias("n"), visible("email", "NULL").alias("e"))
-    assert {tuple(r) for r in shown.collect()} >= {("[  Elena Vega  ]", "[ ELENA@EXAMPLE.COM ]"), ("[Usuario sin correo]", "[NULL]")}
+    assert {tuple(r) for r in shown.collect()} >= {("[  Julia Ferrer  ]", "[ JULIA@EXAMPLE.COM ]"), ("[Persona sin dirección]", "[NULL]")}
     profiled = {r["columna"]: r for r in column_profile(frames["metricas"]).collect()}
     assert profiled["id"]["filas"] == 36 and profiled["nombre"]["distintos_aprox"] == 8

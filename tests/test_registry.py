@@ -18,18 +18,18 @@ def test_joins(registry):
     assert q.datasets_by_user(registry).count() == 9
     assert q.experiments_by_dataset(registry).count() == 9
     assert q.models_by_experiment(registry).count() == 10
-    assert rows(q.users_without_datasets(registry), "usuario") == [("Invitado sin carga",)]
-    assert rows(q.datasets_without_experiments(registry), "dataset") == [("Audios de soporte",), ("Comentarios de usuarios",)]
+    assert rows(q.users_without_datasets(registry), "usuario") == [("Cuenta sin datos",)]
+    assert rows(q.datasets_without_experiments(registry), "dataset") == [("Notas de voz",), ("Reseñas de libros",)]
 
 
 def test_zero_counts(registry):
     found = rows(q.datasets_per_user(registry), "usuario", "cantidad_datasets")
     assert found == [
-        ("Ana Pérez", 3), ("Sofía Herrera", 2), ("Carla Ruiz", 1), ("Diego Fernández", 1), ("Luis Gómez", 1), ("María Torres", 1),
-        ("Invitado sin carga", 0),
+        ("Irene Solano", 3), ("Nuria Lagos", 2), ("Bruno Cano", 1), ("Olga Prieto", 1), ("Raúl Medina", 1), ("Tomás Vidal", 1),
+        ("Cuenta sin datos", 0),
     ]
     some = rows(q.experiments_per_dataset(registry, 1), "dataset", "cantidad_experimentos")
-    assert len(some) == 7 and some[:2] == [("Tickets de soporte", 2), ("Transacciones bancarias", 2)]
+    assert len(some) == 7 and some[:2] == [("Cartas de lectores", 2), ("Pagos con tarjeta", 2)]
     assert len(rows(q.datasets_of_users_with_counts(registry), "dataset")) == 9
 
 
@@ -46,8 +46,8 @@ def test_metric_statistics(registry):
 
 def test_metric_by_model(registry):
     found = [(r["modelo"], round(r["accuracy_promedio"], 6), r["cantidad"]) for r in q.metric_by_model(registry).collect()]
-    assert found[:3] == [("Segmentador de clientes", 0.94, 1), ("Detector de fraude", 0.915, 2), ("Detector de cultivos", 0.91, 1)]
-    assert {m: n for m, _, n in found}["Clasificador de tickets"] == 2 and found[-1][0] == "Clasificador industrial"
+    assert found[:3] == [("Grupos de compra", 0.94, 1), ("Filtro de pagos", 0.915, 2), ("Lector de hojas", 0.91, 1)]
+    assert {m: n for m, _, n in found}["Buzón de cartas"] == 2 and found[-1][0] == "Oído de bombas"
 
 
 def test_subqueries_and_windows(registry):
@@ -60,9 +60,9 @@ def test_subqueries_and_windows(registry):
     means = {(r["metrica"], round(r["promedio_de_la_metrica"], 3)) for r in q.metric_against_mean(registry).collect()}
     assert ("accuracy", 0.865) in means and len(means) == 5
     assert rows(q.model_ranking(registry), "ranking")[-1] == (9,)
-    assert rows(q.best_metric(registry), "experimento") == [("Experimento fraude v1",)]
+    assert rows(q.best_metric(registry), "experimento") == [("Experimento pagos v1",)]
     assert q.models_in_finished_experiments(registry).count() == 7
-    assert rows(q.datasets_by_size(registry), "dataset")[0] == ("Transacciones bancarias",)
+    assert rows(q.datasets_by_size(registry), "dataset")[0] == ("Pagos con tarjeta",)
     # five metrics on the 2nd of March, four on the 9th and on the 10th
     assert q.mean_by_date_and_metric(registry).count() == 13
 
@@ -71,7 +71,7 @@ def test_views(spark, registry):
     assert q.experiment_summary(registry).count() == 9
     assert q.experiment_model_summary(registry).count() == 10
     assert q.full_case_view(registry).count() == 34
-    assert spark.sql("SELECT count(*) FROM vw_experimentos_resumen WHERE usuario = 'Ana Pérez'").first()[0] == 3
+    assert spark.sql("SELECT count(*) FROM vw_experimentos_resumen WHERE usuario = 'Irene Solano'").first()[0] == 3
 
 
 def test_json(registry):
