@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamizal.operators.relational import MONEY
+from tamizal.operators.relational import exact_mean
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -23,7 +23,7 @@ def column_profile(df: DataFrame) -> DataFrame:
         orderable = not isinstance(f.dataType, (T.MapType, T.VariantType, T.ArrayType, T.StructType))
         number = column.cast("double") if numeric else F.lit(None).cast("double")
         text = column.cast("string") if orderable and not numeric else F.lit(None).cast("string")
-        mean = F.sum(column.cast(MONEY)).cast("double") / F.count(column) if numeric else F.lit(None).cast("double")
+        mean = exact_mean(column) if numeric else F.lit(None).cast("double")
         distinct = F.approx_count_distinct(column) if orderable else F.lit(None).cast("bigint")
         quartiles = (
             F.percentile_approx(number, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))

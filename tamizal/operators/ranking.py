@@ -12,39 +12,45 @@ from math import ceil, isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tamizal.session import materialize
 
 ROWS_PER_BUCKET = 4_000_000
-MAX_BUCKETS = 4096
 SAMPLES_PER_BUCKET = 20
 
 Order = tuple[str, str]  # (column, "asc" | "desc")
 
 
-def _ascending(df: DataFrame, order_by: list[Order]) -> list[Column]:
-    """Sort columns rewritten so that ascending struct order is the order asked for."""
-    parts = []
+def _distinct_names(order_by: list[Order]) -> list[Order]:
+    """A column that is named again does not change the order."""
+    first: dict[str, Order] = {}
     for name, direction in order_by:
-        kind, column = df.schema[name].dataType, F.col(name)
-        if direction == "asc":
-            parts.append(column)
-        elif isinstance(kind, T.NumericType):
-            parts += [column.isNull(), -column]
-        elif isinstance(kind, T.DateType):
-            parts += [column.isNull(), -F.unix_date(column)]
-        elif isinstance(kind, T.TimestampType):
-            parts += [column.isNull(), -F.unix_micros(column)]
-        else:
-            raise ValueError(f"descending order on {kind.simpleString()} is not supported: {name}")
-    return [p.alias(f"o{i}") for i, p in enumerate(parts)]
-
-
-def _with_bucket(df: DataFrame, rows_per_bucket: int) -> tuple[DataFrame, int]:
-    """Add ``_bucket``, disjoint ranges of ``_sort`` in ``_sort`` order; also how many there are."""
+        first.setdefault(name, (name, direction))
+    return list(first.values())
+
+
+def _window_order(order_by: list[Order]) -> list[Column]:
+    return [F.col(c).asc_nulls_first() if d == "asc" else F.col(c).desc_nulls_last() for c, d in order_by]
+
+
+def _before(a: Column, b: Column, order_by: list[Order], equal: bool) -> Column:
+    """Whether struct ``a`` stands before ``b``; ``equal`` is the answer for equal ones.
+
+    The same order as ``_window_order``: nulls first ascending and last descending, NaN above numbers.
+    """
+    answer = F.lit(equal)
+    for name, direction in reversed(order_by):
+        x, y = a[name], b[name]
+        less = (x < y) if direction == "asc" else (x > y)
+        null_first = (x.isNull() & y.isNotNull()) if direction == "asc" else (x.isNotNull() & y.isNull())
+        answer = F.coalesce(less, F.lit(False)) | null_first | (x.eqNullSafe(y) & answer)
+    return answer
+
+
+def _with_bucket(df: DataFrame, order_by: list[Order], rows_per_bucket: int) -> tuple[DataFrame, int]:
+    """Add ``_bucket``, disjoint ranges of ``_sort`` in the order asked for; also how many there are."""
     total = df.count()
-    buckets = min(MAX_BUCKETS, ceil(total / rows_per_bucket))
+    buckets = ceil(total / rows_per_bucket)
     if buckets <= 1:
         return df.withColumn("_bucket", F.lit(0)), 1
     wanted = buckets * SAMPLES_PER_BUCKET
@@ -52,21 +58,25 @@ def _with_bucket(df: DataFrame, rows_per_bucket: int) -> tuple[DataFrame, int]:
     if total > wanted:
         sample = sample.sample(wanted / total, seed=17)
     sample = materialize(sample, "bounds")  # a few sort keys per bucket, never the rows
-    ordered = sample.agg(F.sort_array(F.collect_list("_sort")).alias("s"))
-    bounds = ordered.select(
+
+    def compared(a: Column, b: Column) -> Column:
+        return F.when(_before(a, b, order_by, False), -1).when(_before(b, a, order_by, False), 1).otherwise(0)
+
+    ordered = sample.agg(F.array_sort(F.collect_list("_sort"), compared).alias("s"))
+    step = max(2, isqrt(buckets))
+    fine = ordered.select(
         F.transform(
             F.sequence(F.lit(1), F.lit(buckets - 1)),
             lambda i: F.get("s", F.floor(i * F.size("s") / buckets).cast("int")),
-        ).alias("b")
-    )
-    step = max(2, isqrt(buckets))
-    located = df.withColumn("_bounds", bounds.scalar()).withColumn(
-        "_coarse", F.filter("_bounds", lambda _, i: (i + 1) % step == 0)
+        ).alias("fine")
     )
+    # every ``step``-th bound is made once with the others, so that a row looks at few of them
+    bounds = fine.select(F.struct("fine", F.filter("fine", lambda _, i: (i + 1) % step == 0).alias("coarse")).alias("b"))
+    located = df.withColumn("_bounds", bounds.scalar())
     key = F.col("_sort")
-    skipped = F.size(F.filter("_coarse", lambda b: b <= key)) * step
-    rest = F.size(F.filter(F.slice("_bounds", skipped + 1, F.lit(step - 1)), lambda b: b <= key))
-    return located.withColumn("_bucket", skipped + rest).drop("_bounds", "_coarse"), buckets
+    skipped = F.size(F.filter("_bounds.coarse", lambda b: _before(b, key, order_by, True))) * step
+    rest = F.size(F.filter(F.slice("_bounds.fine", skipped + 1, F.lit(step - 1)), lambda b: _before(b, key, order_by, True)))
+    return located.withColumn("_bucket", skipped + rest).drop("_bounds"), buckets
 
 
 def _shifts(df: DataFrame, partition_by: list[str], totals: dict[str, Column]) -> DataFrame:
@@ -100,10 +110,10 @@ def add_row_number(
 
     ``df`` is read again to count, sample and shift: write an expensive one down first.
     """
-    order = [*order_by, *((t, "asc") for t in tiebreak)]
-    keyed = df.withColumn("_sort", F.struct(*[F.col(c) for c in partition_by], *_ascending(df, order)))
-    keyed, buckets = _with_bucket(keyed, rows_per_bucket)
-    local = Window.partitionBy(*partition_by, "_bucket").orderBy("_sort")
+    order = _distinct_names([*((p, "asc") for p in partition_by), *order_by, *((t, "asc") for t in tiebreak)])
+    keyed = df.withColumn("_sort", F.struct(*[F.col(c) for c, _ in order]))
+    keyed, buckets = _with_bucket(keyed, order, rows_per_bucket)
+    local = Window.partitionBy(*partition_by, "_bucket").orderBy(*_window_order(order))
     numbered = keyed.withColumn("_local", F.row_number().over(local))
     if buckets <= 1:
         return numbered.withColumn(name, F.col("_local").cast("bigint")).drop("_local", "_sort", "_bucket")
@@ -131,11 +141,10 @@ def add_rank(
     value_columns = [c for c, _ in order_by]
     counted = df.groupBy(*partition_by, *value_columns).agg(F.count(F.lit(1)).alias("_rows"))
     values = materialize(counted, "values")
-    keyed = values.withColumn(
-        "_sort", F.struct(*[F.col(c) for c in partition_by], *_ascending(values, order_by))
-    )
-    keyed, buckets = _with_bucket(keyed, rows_per_bucket)
-    local = Window.partitionBy(*partition_by, "_bucket").orderBy("_sort")
+    order = _distinct_names([*((p, "asc") for p in partition_by), *order_by])
+    keyed = values.withColumn("_sort", F.struct(*[F.col(c) for c, _ in order]))
+    keyed, buckets = _with_bucket(keyed, order, rows_per_bucket)
+    local = Window.partitionBy(*partition_by, "_bucket").orderBy(*_window_order(order))
     placed = keyed.withColumn("_dense", F.row_number().over(local)).withColumn(
         "_rank", F.sum("_rows").over(local.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_rows") + 1
     )

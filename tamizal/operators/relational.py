@@ -6,17 +6,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(28, 6)
+_SHORT = T.DecimalType(28, 6)
 
 
-def exact_mean(column: str) -> Column:
-    """Mean of a value with few decimals, the same whatever the order rows arrive in."""
-    return F.sum(F.col(column).cast(MONEY)).cast("double") / F.count(column)
+def exact_mean(value: str | Column) -> Column:
+    """Mean of a numeric value, as a double; nothing is cut off.
+
+    While all values have at most six decimals, they are added as decimals, so that the mean does not
+    depend on the order rows arrive in; with a longer or larger value among them it is the plain mean.
+    """
+    column = F.col(value) if isinstance(value, str) else value
+    short = column.try_cast(_SHORT)
+    whole = F.bool_and(F.coalesce(short == column, column.isNull()))
+    return F.when(whole, F.try_sum(short).cast("double") / F.nullif(F.count(column), F.lit(0))).otherwise(F.avg(column).cast("double"))
 
 
 def rounded(value: Column, digits: int = 4) -> Column:
-    """Half up on decimal digits, as ``NUMERIC`` rounds, and not on the binary value."""
-    return F.round(value.cast(T.DecimalType(28, 10)), digits).cast("double")
+    """Half up on the decimal digits that a number is shown with, as ``NUMERIC`` rounds; once, at any size."""
+    return F.round(value.cast("double"), digits)
 
 
 def count_children(parents: DataFrame, children: DataFrame, key: str, child_key: str, name: str) -> DataFrame:

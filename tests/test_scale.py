@@ -1,9 +1,10 @@
 """One key holds a third of all rows: results stay exact and no step gathers that key."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tamizal.operators import quality, ranking
+from tamizal.operators import quality, ranking, relational
 from tamizal.plans.entities import DATASETS, METRICAS, TIPOS_FUENTE
 from tamizal.session import tune
 
@@ -32,11 +33,41 @@ def test_ranks_equal_plain_windows(spark):
 
 def test_buckets_are_balanced_under_a_hot_key(spark):
     keyed = skewed(spark).withColumn("_sort", F.struct("clave", "valor", "id"))
-    bucketed, buckets = ranking._with_bucket(keyed, 450)
+    bucketed, buckets = ranking._with_bucket(keyed, [("clave", "asc"), ("valor", "desc"), ("id", "asc")], 450)
     sizes = [r["count"] for r in bucketed.groupBy("_bucket").count().collect()]
     assert buckets == 20 and max(sizes) < 3 * 450
 
 
+def test_ranks_of_every_type(spark):
+    """Text, booleans, timestamps without zone, NaN, infinity, nulls and the smallest integer, both ways."""
+    rows = spark.range(600).select(
+        "id",
+        F.when(F.col("id") % 9 != 0, F.concat(F.lit("t"), F.col("id") % 50)).alias("texto"),
+        F.when(F.col("id") % 7 != 0, F.col("id") % 2 == 0).alias("si"),
+        F.expr("CASE WHEN id % 11 <> 0 THEN timestamp_ntz'2026-01-01 00:00:00' + make_interval(0, 0, 0, CAST(id % 30 AS INT)) END").alias("cuando"),
+        F.expr("CASE WHEN id % 13 = 0 THEN double('NaN') WHEN id % 17 = 0 THEN double('-Infinity') WHEN id % 19 <> 0 THEN id % 40 / 8.0D END").alias("real"),
+        F.expr("CASE WHEN id % 23 = 0 THEN -9223372036854775807L - 1 WHEN id % 29 <> 0 THEN id % 25 END").alias("entero"),
+    ).cache()
+    for column in ("texto", "si", "cuando", "real", "entero"):
+        for direction in ("asc", "desc"):
+            order = F.col(column).asc() if direction == "asc" else F.col(column).desc()
+            want = rows.select("id", F.row_number().over(Window.orderBy(order, "id")).alias("n"), F.rank().over(Window.orderBy(order)).alias("r"))
+            ours = ranking.add_row_number(rows.select("id", column), [], [(column, direction)], ["id"], "n", 50)
+            ours = ranking.add_rank(ours, [], [(column, direction)], "r", None, 7)
+            assert sorted(map(tuple, ours.select("id", "n", "r").collect())) == sorted(map(tuple, want.collect())), (column, direction)
+
+
+def test_means_are_not_cut(spark):
+    cases = [([1e-8, 3e-8], 2e-8), ([1e23, 3e23], 2e23), ([0.1, 0.2, 0.3], 0.2), ([float("inf"), 1.0], float("inf")), ([None, 4.0], 4.0), ([None], None)]
+    for values, mean in cases:
+        frame = spark.createDataFrame([(v,) for v in values], "v double")
+        assert frame.select(relational.exact_mean("v")).first()[0] == (mean if mean is None else pytest.approx(mean, rel=1e-15))
+    exact = spark.sql("SELECT CAST(0.1234567891 AS DECIMAL(38,10)) AS v").select(relational.exact_mean("v")).first()[0]
+    assert exact == 0.1234567891
+    shown = spark.sql("SELECT 1e19D AS a, 2.00005D AS b, 0.12344999999D AS c").select(*[relational.rounded(F.col(c)) for c in "abc"]).first()
+    assert tuple(shown) == (1e19, 2.0001, 0.1234)
+
+
 def test_group_value_equals_window(spark):
     df = skewed(spark).cache()
     ours = ranking.with_group_value(df, ["clave"], m=F.avg("valor"))
