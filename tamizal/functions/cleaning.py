@@ -6,6 +6,8 @@ through it. ``register`` offers the same functions to SQL text.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,9 +16,20 @@ from pyspark.sql import types as T
 TRUE_WORDS = ["true", "t", "1", "si", "s"]
 FALSE_WORDS = ["false", "f", "0", "no", "n"]
 
-# Accented letters and their plain forms, position by position.
-ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüñçýÿÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuuncyyAAAAAAEEEEIIIIOOOOOUUUUNCY"
+
+
+def _plain_letters() -> dict[str, str]:
+    """Letters that Unicode takes apart into a plain letter and marks, with the plain letter."""
+    found = {}
+    for code in range(0xC0, 0x2000):
+        base, *marks = unicodedata.normalize("NFD", chr(code))
+        if marks and base.isalpha() and all(unicodedata.combining(m) for m in marks):
+            found[chr(code)] = base
+    return found
+
+
+_PLAIN_LETTERS = _plain_letters()
+ACCENTED, PLAIN = "".join(_PLAIN_LETTERS), "".join(_PLAIN_LETTERS.values())
 COMBINING_MARKS = r"[\u0300-\u036f]"
 
 DECIMAL = T.DecimalType(18, 6)

@@ -174,16 +174,14 @@ def reject_listing(rejected: DataFrame) -> DataFrame:
     return rejected.select("entidad", CODE, "lote_id", "numero_fila", EVIDENCE).orderBy("entidad", "numero_fila")
 
 
-def reconcile(accepted_frames: list[DataFrame], rejected: DataFrame) -> DataFrame:
-    """Accepted against rejected rows per batch; a batch missing on one side counts zero there."""
-    per_entity = [df.groupBy("lote_id").agg(F.count(F.lit(1)).alias("n")) for df in accepted_frames]
-    a = reduce(DataFrame.unionByName, per_entity).groupBy("lote_id").agg(F.sum("n").alias("a"))
-    r = rejected.groupBy("lote_id").agg(F.count(F.lit(1)).alias("r"))
-    return a.join(r, "lote_id", "full_outer").select(
-        "lote_id",
-        F.coalesce("a", F.lit(0)).cast("bigint").alias("filas_aceptadas"),
-        F.coalesce("r", F.lit(0)).cast("bigint").alias("filas_rechazadas"),
-    )
+def reconcile(evaluated: dict[str, DataFrame]) -> DataFrame:
+    """Accepted against rejected rows per batch, in one pass over the evaluated rows of every entity."""
+    per_entity = [
+        df.groupBy("lote_id").agg(F.count_if(F.col(CODE).isNull()).alias("a"), F.count_if(F.col(CODE).isNotNull()).alias("r"))
+        for df in evaluated.values()
+    ]
+    total = reduce(DataFrame.unionByName, per_entity).groupBy("lote_id").agg(F.sum("a").alias("a"), F.sum("r").alias("r"))
+    return total.select("lote_id", F.col("a").alias("filas_aceptadas"), F.col("r").alias("filas_rechazadas"))
 
 
 def counts(frames: dict[str, DataFrame]) -> DataFrame:

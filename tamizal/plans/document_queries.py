@@ -130,8 +130,7 @@ def ordered_string_agg(spark, sf):
 
 
 def _measures(spark, sf):
-    events = table(spark, sf, "events").where("value > 150")
-    return value_map(events, ["user_id"], "event_type", "value", "metricas", "event_id")
+    return value_map(table(spark, sf, "events"), ["user_id"], "event_type", "value", "metricas", "event_id")
 
 
 def field_presence(spark, sf):
@@ -420,7 +419,7 @@ def schema_inventory(spark, sf):
 
 _ORDERED = "ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag, l_linestatus"
 _DOC = f"(SELECT l_orderkey, string_agg(l_linenumber || ':' || l_partkey, ',' {_ORDERED}) AS lineas, COUNT(*) AS n FROM lineitem GROUP BY 1) d"
-_MEAS = "(SELECT user_id, event_type, arg_max(value, event_id) AS v FROM events WHERE value > 150 GROUP BY 1, 2)"
+_MEAS = "(SELECT user_id, event_type, arg_max(value, event_id) AS v FROM events GROUP BY 1, 2)"
 _MEAN = "CAST(SUM(CAST({c} AS DECIMAL(28,6))) AS DOUBLE) / COUNT({c})"
 _CLASS = "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 WHEN o_orderpriority = '5-LOW' THEN 2 WHEN o_orderpriority = '3-MEDIUM' THEN 3 END"
 

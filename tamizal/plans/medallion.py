@@ -57,8 +57,7 @@ def evaluate_in_order(
 
 
 def load_control(evaluated: dict[str, DataFrame], loaded_at: Column) -> DataFrame:
-    frames = [quality.accepted(df) for df in evaluated.values()]
-    balance = quality.reconcile(frames, quality.rejects(evaluated))
+    balance = quality.reconcile(evaluated)
     return conform(balance.withColumns({"estado": F.lit("COMPLETADO"), "cargado_en": loaded_at}), WAREHOUSE["control_cargas"])
 
 

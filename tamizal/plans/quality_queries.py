@@ -56,9 +56,7 @@ def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_control(spark: SparkSession, sf_dir: str) -> DataFrame:
-    evaluated = evaluate_entities(spark, sf_dir, *ENTITIES)
-    frames = [quality.accepted(df) for df in evaluated.values()]
-    return quality.reconcile(frames, quality.rejects(evaluated)).withColumn("estado", F.lit("COMPLETADO"))
+    return quality.reconcile(evaluate_entities(spark, sf_dir, *ENTITIES)).withColumn("estado", F.lit("COMPLETADO"))
 
 
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -145,26 +145,27 @@ def anti_join_child(spark, sf):
 
 
 def left_zero_counts(spark, sf):
-    customer = table(spark, sf, "customer").select("c_custkey", "c_name")
-    counted = count_children(customer, _large_orders(spark, sf), "c_custkey", "o_custkey", "pedidos")
-    return counted.orderBy(F.desc("pedidos"), "c_name")
+    """Lines of every order, zero where it has none."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    counted = count_children(orders, table(spark, sf, "lineitem"), "o_orderkey", "l_orderkey", "lineas")
+    return counted.orderBy(F.desc("lineas"), "o_orderkey")
 
 
 def inner_then_left(spark, sf):
-    nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
-    customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
-    owners = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    counted = count_children(owners, _large_orders(spark, sf), "c_custkey", "o_custkey", "pedidos")
-    return counted.select("n_name", "c_name", "pedidos")
+    customer = table(spark, sf, "customer").select("c_custkey", "c_name")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    owned = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    counted = count_children(owned, table(spark, sf, "lineitem"), "o_orderkey", "l_orderkey", "lineas")
+    return counted.select("c_name", "o_orderkey", "lineas")
 
 
 def full_outer_counts(spark, sf):
-    """Returned against accepted lines per part, a part missing on one side counts zero there."""
+    """Returned against accepted lines per order, an order missing on one side counts zero there."""
     lines = table(spark, sf, "lineitem")
-    back = lines.where("l_returnflag = 'R' AND l_quantity > 45").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("a"))
-    kept = lines.where("l_returnflag = 'N' AND l_quantity < 5").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("b"))
-    return back.join(kept, "l_partkey", "full_outer").select(
-        "l_partkey", F.coalesce("a", F.lit(0)).cast("bigint").alias("devueltas"), F.coalesce("b", F.lit(0)).cast("bigint").alias("aceptadas")
+    back = lines.where("l_returnflag = 'R'").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("a"))
+    kept = lines.where("l_returnflag = 'N'").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("b"))
+    return back.join(kept, "l_orderkey", "full_outer").select(
+        "l_orderkey", F.coalesce("a", F.lit(0)).cast("bigint").alias("devueltas"), F.coalesce("b", F.lit(0)).cast("bigint").alias("aceptadas")
     )
 
 
@@ -343,12 +344,12 @@ def topk(spark, sf):
 
 
 def nulls_last(spark, sf):
-    """Largest order over 450000 per customer, customers without one after all others."""
-    best = _large_orders(spark, sf).groupBy("o_custkey").agg(F.max("o_totalprice").alias("mayor"))
-    customer = table(spark, sf, "customer").select("c_custkey")
-    joined = customer.join(best, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "mayor")
-    ranked = add_row_number(joined, [], [("mayor", "desc")], ["c_custkey"])
-    return ranked.orderBy(F.desc_nulls_last("mayor"), "c_custkey")
+    """Largest line of every order, orders without a line after all others."""
+    best = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.max("l_extendedprice").alias("mayor"))
+    orders = table(spark, sf, "orders").select("o_orderkey")
+    joined = orders.join(best, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", "mayor")
+    ranked = add_row_number(joined, [], [("mayor", "desc")], ["o_orderkey"])
+    return ranked.orderBy(F.desc_nulls_last("mayor"), "o_orderkey")
 
 
 def union_all_counts(spark, sf):
@@ -430,17 +431,17 @@ QUERIES = {
     ),
     "left_zero_counts": (
         left_zero_counts,
-        f"SELECT c_custkey, c_name, COUNT(b.o_orderkey) AS pedidos FROM customer LEFT JOIN ({_BIG}) b ON b.o_custkey = c_custkey GROUP BY 1, 2 ORDER BY pedidos DESC, c_name",
+        "SELECT o_orderkey, o_custkey, COUNT(l_orderkey) AS lineas FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2",
     ),
     "inner_then_left": (
         inner_then_left,
-        f"SELECT n_name, c_name, COUNT(b.o_orderkey) AS pedidos FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN ({_BIG}) b ON b.o_custkey = c_custkey GROUP BY 1, 2",
+        "SELECT c_name, o_orderkey, COUNT(l_orderkey) AS lineas FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2",
     ),
     "full_outer_counts": (
         full_outer_counts,
-        "SELECT coalesce(a.l_partkey, b.l_partkey) AS l_partkey, coalesce(a.n, 0) AS devueltas, coalesce(b.n, 0) AS aceptadas FROM "
-        "(SELECT l_partkey, COUNT(*) AS n FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45 GROUP BY 1) a FULL OUTER JOIN "
-        "(SELECT l_partkey, COUNT(*) AS n FROM lineitem WHERE l_returnflag = 'N' AND l_quantity < 5 GROUP BY 1) b ON a.l_partkey = b.l_partkey",
+        "SELECT coalesce(a.l_orderkey, b.l_orderkey) AS l_orderkey, coalesce(a.n, 0) AS devueltas, coalesce(b.n, 0) AS aceptadas FROM "
+        "(SELECT l_orderkey, COUNT(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) a FULL OUTER JOIN "
+        "(SELECT l_orderkey, COUNT(*) AS n FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1) b ON a.l_orderkey = b.l_orderkey",
     ),
     "surrogate_update": (
         surrogate_update,
@@ -512,8 +513,8 @@ QUERIES = {
     "topk": (topk, "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10"),
     "nulls_last": (
         nulls_last,
-        f"SELECT c_custkey, mayor, row_number() OVER (ORDER BY mayor DESC NULLS LAST, c_custkey) AS posicion FROM customer LEFT JOIN "
-        f"(SELECT o_custkey, MAX(o_totalprice) AS mayor FROM ({_BIG}) b GROUP BY 1) m ON m.o_custkey = c_custkey ORDER BY mayor DESC NULLS LAST, c_custkey",
+        "SELECT o_orderkey, mayor, row_number() OVER (ORDER BY mayor DESC NULLS LAST, o_orderkey) AS posicion FROM orders LEFT JOIN "
+        "(SELECT l_orderkey, MAX(l_extendedprice) AS mayor FROM lineitem GROUP BY 1) m ON l_orderkey = o_orderkey",
     ),
     "union_all_counts": (
         union_all_counts,
