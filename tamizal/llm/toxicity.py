@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -19,13 +20,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamizal.llm.common import bounded_batches, table, written
+from tamizal.llm.common import bounded_batches, table, words_of, written
 
 FOLDS = 5
 SAMPLE_DOCS = 20_000  # labelled texts that the lexicon and the model are fitted on, at most about so many
 TERMS = 2_000  # terms of the lexicon, at most
+CANDIDATES = 50_000  # terms that are counted in texts of both labels, at most
 BEGINNINGS = (4, 5, 6, 7, 8)
-LEAST_TEXTS, LEAST_RATIO, LEAST_EVIDENCE = 3, 10.0, 12.0
+LEAST_TEXTS, LEAST_SHARE, LEAST_RATIO, LEAST_EVIDENCE = 3, 0.01, 10.0, 12.0
+MISSPELLED_TERMS = 200  # words of the lexicon that are looked for with edits: those with most evidence
 WINDOW = 12
 MEMO_WORDS = 300_000
 
@@ -41,23 +44,44 @@ def edits_allowed(term: str) -> int:
 
 
 class Automaton:
-    """The Levenshtein automaton of a word: states are rows of distances, cut off above ``most``."""
+    """The Levenshtein automaton of a word, for at most ``most`` edits.
 
-    def __init__(self, word: str, most: int):
-        self.word, self.most = word, most
-        self.steps: dict[tuple[tuple[int, ...], str], tuple[int, ...]] = {}
+    A state is how many letters were read, and the distances to the prefixes of the word about as long. Where
+    a letter leads depends on these distances and on which letters of the word nearby are equal to it, not
+    on the word, so the transitions found for one word serve all.
+    """
 
-    def start(self) -> tuple[int, ...]:
-        return tuple(min(i, self.most + 1) for i in range(len(self.word) + 1))
+    transitions: dict[tuple, tuple[int, ...]] = {}
 
-    def step(self, state: tuple[int, ...], letter: str) -> tuple[int, ...]:
-        known = self.steps.get((state, letter))
-        if known is None:
-            row = [min(state[0] + 1, self.most + 1)]
-            for i, own in enumerate(self.word):
-                row.append(min(state[i] + (own != letter), row[i] + 1, state[i + 1] + 1, self.most + 1))
-            known = self.steps[state, letter] = tuple(row)
-        return known
+    def __init__(self, word: str, most: int):
+        self.size, self.most = len(word), most
+        self.padded = "\0" * most + word + "\0" * (2 * most + 2)
+
+    def start(self) -> tuple[int, tuple[int, ...]]:
+        far = self.most + 1
+        return 0, (*[far] * self.most, *range(self.most + 1))
+
+    def step(self, state: tuple[int, tuple[int, ...]], letter: str) -> tuple[int, tuple[int, ...]] | None:
+        """The state after ``letter``; none if more than ``most`` edits are certain."""
+        read, band = state
+        seen = self.padded[read : read + len(band)]
+        if len(seen) < len(band):
+            return None
+        key = band, tuple([own == letter for own in seen])
+        after = Automaton.transitions.get(key)
+        if after is None:
+            far, row = self.most + 1, []
+            for k, equal in enumerate(key[1]):
+                above = band[k + 1] + 1 if k + 1 < len(band) else far
+                left = row[-1] + 1 if row else far
+                row.append(min(band[k] + (not equal), above, left, far))
+            after = Automaton.transitions[key] = tuple(row)
+        return (read + 1, after) if min(after) <= self.most else None
+
+    def distance(self, state: tuple[int, tuple[int, ...]] | None) -> int:
+        """Edits between the word and the letters read, ``most + 1`` for any more."""
+        k = self.size - state[0] + self.most if state else -1
+        return state[1][k] if 0 <= k < 2 * self.most + 1 else self.most + 1
 
 
 @dataclass
@@ -69,32 +93,39 @@ class Lexicon:
     trie: dict = field(default_factory=dict)
 
     def __post_init__(self):
-        for term in self.words:
+        pieces: dict[str, set[str]] = {"head": set(), "tail": set(), "inner": set()}
+        for term in list(self.words)[:MISSPELLED_TERMS]:  # in the order of their evidence
             node = self.trie
             for letter in term:
                 node = node.setdefault(letter, {})
             node[""] = term
-        self.heads = {t[:2] for t in self.words if edits_allowed(t)}
-        self.tails = {t[-2:] for t in self.words if edits_allowed(t)}
+            edits = edits_allowed(term)
+            cuts = [len(term) * k // (edits + 1) for k in range(edits + 2)]
+            if edits:  # of one more pieces than edits, one is untouched
+                pieces["head"].add(term[: cuts[1]])
+                pieces["tail"].add(term[cuts[-2] :])
+                pieces["inner"].update(term[x:y] for x, y in zip(cuts[1:-2], cuts[2:-1]))
+        either = "|".join(map(re.escape, sorted(pieces["inner"]))) or "(?!)"
+        heads, tails = ("|".join(map(re.escape, sorted(pieces[k]))) or "(?!)" for k in ("head", "tail"))
+        self.maybe = re.compile(f"(?:{heads})|.*(?:{tails})\\Z|.+(?:{either})", re.S).match
         self.lengths = sorted({len(s) for s in self.stems})
         self.longest = max(map(len, self.words), default=0)
 
     def near(self, word: str) -> str | None:
         """The nearest term that ``word`` is a misspelling of: both automaton and trie are walked."""
-        # with one edit, either the first or the last two letters of a term are untouched, but for swaps of both
-        if len(word) < 4 or len(word) > self.longest + 2 or not (word[:2] in self.heads or word[-2:] in self.tails):
+        if len(word) < 4 or len(word) > self.longest + 2 or not self.maybe(word):
             return None
-        automaton = Automaton(word, 2)
+        automaton = Automaton(word, 1 if len(word) < 7 else 2)
         best = None
         waiting = [(self.trie, automaton.start())]
         while waiting:
             node, state = waiting.pop()
             for letter, below in node.items():
                 if letter == "":
-                    distance = state[-1]
+                    distance = automaton.distance(state)
                     if distance <= edits_allowed(below) and (best is None or (distance, below) < best):
                         best = distance, below
-                elif min(after := automaton.step(state, letter)) <= 2:
+                elif (after := automaton.step(state, letter)) is not None:
                     waiting.append((below, after))
         return best[1] if best else None
 
@@ -165,61 +196,67 @@ def _fold(doc_id: str) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(FOLDS))
 
 
-def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts that hold each word, and each beginning of a word, by label."""
-    for batch in batches:
-        counts: dict[tuple[str, bool], list[int]] = {}
-        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            words = {w for w in _WORD.findall(text.lower()) if 3 <= len(w) <= 40}
-            found = {(w, True) for w in words} | {(w[:k], False) for w in words for k in BEGINNINGS if len(w) >= k}
-            for term in found:
-                counts.setdefault(term, [0, 0])[toxic] += 1
-        if counts:
-            names, whole = zip(*counts)
-            clean, toxic = zip(*counts.values())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names), pa.array(whole), pa.array(clean, pa.int64()), pa.array(toxic, pa.int64())],
-                names=["term", "whole", "clean", "toxic"],
-            )
-
-
-def learn_lexicon(sample: DataFrame, terms: int = TERMS) -> Lexicon:
+def _terms(wanted: frozenset | None):
+    """Texts that hold each word, and each beginning of a word; of ``wanted`` ones only, if given."""
+
+    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter[tuple[str, bool]] = Counter()
+            for text in batch.column("text").to_pylist():
+                words = {w for w in _WORD.findall(text.lower()) if 3 <= len(w) <= 40}
+                found = {(w, True) for w in words} | {(w[:k], False) for w in words for k in BEGINNINGS if len(w) >= k}
+                counts.update(found if wanted is None else found & wanted)
+            if counts:
+                names, whole = zip(*counts)
+                columns = [pa.array(names), pa.array(whole), pa.array(list(counts.values()), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["term", "whole", "texts"])
+
+    return terms
+
+
+def _term_counts(texts: DataFrame, wanted: frozenset | None = None) -> DataFrame:
+    counted = texts.select("text").mapInArrow(_terms(wanted), "term string, whole boolean, texts bigint")
+    return counted.groupBy("term", "whole").agg(F.sum("texts").alias("texts"))
+
+
+def learn_lexicon(sample: DataFrame, terms: int = TERMS, candidates: int = CANDIDATES) -> Lexicon:
     """Terms of the labelled texts ``sample`` (``text``, ``toxic``), by how much they tell toxic texts apart.
 
-    A term counts with the logarithm of how much more often it stands in toxic texts. It needs
-    ``LEAST_TEXTS`` toxic texts and evidence (a likelihood ratio) that chance does not give. Of a beginning
-    and longer ones that tell no more, the shortest is taken; a word that only stands alone is a word.
+    Terms of at least ``LEAST_TEXTS`` toxic texts, and ``LEAST_SHARE`` of them, are candidates (the ``candidates`` most frequent), and
+    only those are counted in the other texts. A term counts with the logarithm of how much more often it
+    stands in toxic texts, and needs evidence (a likelihood ratio) that chance does not give. Of a
+    beginning and longer ones that tell no more, the shortest is taken; a word that only stands alone is
+    a word.
     """
     n_toxic, n_clean = sample.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count_if(F.col("toxic") == 0)).first()
     if not n_toxic or not n_clean:
         return Lexicon({}, {})
-    counted = sample.mapInArrow(_terms, "term string, whole boolean, clean bigint, toxic bigint")
-    counted = counted.groupBy("term", "whole").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    rate_toxic, rate_clean = F.col("toxic") / F.lit(n_toxic), (F.col("clean") + 0.5) / F.lit(n_clean + 1.0)
-    base = n_toxic / (n_toxic + n_clean)
-    total = F.col("toxic") + F.col("clean")
-    evidence = F.col("toxic") * F.log(F.col("toxic") / (total * base)) + F.when(
-        F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (total * (1 - base)))
-    ).otherwise(0.0)
-    told = (
-        counted.where(F.col("toxic") >= LEAST_TEXTS)
-        .withColumn("ratio", rate_toxic / rate_clean)
-        .withColumn("evidence", evidence)
-        .where((F.col("ratio") >= LEAST_RATIO) & (F.col("evidence") >= LEAST_EVIDENCE))
-        .orderBy(F.desc("evidence"), "term", "whole")
-        .limit(2 * terms)
-        .collect()
-    )
-    words = {r.term: r for r in told if r.whole}
+    least = max(LEAST_TEXTS, math.ceil(LEAST_SHARE * n_toxic))
+    often = _term_counts(sample.where("toxic = 1")).where(F.col("texts") >= least)
+    toxic = {(r.term, r.whole): r.texts for r in often.orderBy(F.desc("texts"), "term", "whole").limit(candidates).collect()}
+    counted = _term_counts(sample.where("toxic = 0"), frozenset(toxic)).collect()  # at most as many rows
+    clean = {(r.term, r.whole): r.texts for r in counted}
+    base, told = n_toxic / (n_toxic + n_clean), []
+    for key, t in toxic.items():
+        c = clean.get(key, 0)
+        ratio = (t / n_toxic) / ((c + 0.5) / (n_clean + 1.0))
+        evidence = t * math.log(t / ((t + c) * base)) + (c * math.log(c / ((t + c) * (1 - base))) if c else 0.0)
+        if ratio >= LEAST_RATIO and evidence >= LEAST_EVIDENCE:
+            told.append((-evidence, key, t, ratio))
+    words, beginnings = {}, []
+    for _, (term, whole), texts, ratio in sorted(told)[: 2 * terms]:
+        if whole:
+            words[term] = texts, ratio
+        else:
+            beginnings.append((len(term), term, texts, ratio))
     stems: dict[str, float] = {}
-    for row in sorted((r for r in told if not r.whole), key=lambda r: (len(r.term), r.term)):
-        alone = words.get(row.term)
-        spread = alone is None or alone.toxic < 0.8 * row.toxic
+    for _, term, texts, ratio in sorted(beginnings):
+        spread = term not in words or words[term][0] < 0.8 * texts
         # mostly one longer word: that word is the term
-        one = any(w.toxic >= 0.8 * row.toxic for t, w in words.items() if t.startswith(row.term))
-        if spread and not one and not any(row.term.startswith(s) for s in stems):
-            stems[row.term] = math.log(row.ratio)
-    whole = {t: math.log(r.ratio) for t, r in words.items() if not any(t.startswith(s) for s in stems)}
+        one = any(n >= 0.8 * texts for w, (n, _) in words.items() if w.startswith(term))
+        if spread and not one and not any(term.startswith(s) for s in stems):
+            stems[term] = math.log(ratio)
+    whole = {w: math.log(ratio) for w, (_, ratio) in words.items() if not any(w.startswith(s) for s in stems)}
     return Lexicon(dict(list(whole.items())[:terms]), dict(list(stems.items())[:terms]))
 
 
@@ -252,7 +289,7 @@ def fit_logistic(features: np.ndarray, labels: np.ndarray, penalty: float = 1.0)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """``text`` and ``toxic`` of labelled texts that are not held out, equal texts once; about ``sample_docs`` at most."""
+    """``text`` and ``toxic`` of labelled texts that are not held out, copies and most near copies once; about ``sample_docs`` at most."""
     known = labels.where((_fold("doc_id") != 0) & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     total = known.count()
     chosen = known
@@ -260,7 +297,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPL
         share = int(sample_docs / total * (1 << 20))
         chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20)) < share)
     joined = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id")
-    return written(joined.groupBy("text").agg(F.max("toxic").cast("int").alias("toxic")), "toxic-sample")
+    # near copies share their smallest shingle mostly, and would else make words of one text look telling
+    words = joined.withColumn("words", words_of(F.col("text")))
+    shingles = F.transform(
+        F.sequence(F.lit(0), F.size("words") - 3), lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2))
+    )
+    kind = F.when(F.size("words") >= 3, F.array_min(shingles)).otherwise(F.xxhash64("text"))
+    single = words.withColumn("kind", kind).groupBy("kind", "toxic").agg(F.min("text").alias("text"))
+    return written(single.select("text", F.col("toxic").cast("int").alias("toxic")), "toxic-sample")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:

@@ -1,7 +1,7 @@
 import itertools
 import random
 
-from tamizal.llm.toxicity import Automaton, Lexicon, Scorer, toxicity
+from tamizal.llm.toxicity import Automaton, Lexicon, Scorer, edits_allowed, toxicity
 
 
 def distance(a, b):
@@ -18,8 +18,22 @@ def test_automaton_accepts_within_its_edits():
         for other in words:
             state = automaton.start()
             for letter in other:
-                state = automaton.step(state, letter)
-            assert state[-1] == min(distance(word, other), 3)
+                state = state and automaton.step(state, letter)
+            assert automaton.distance(state) == min(distance(word, other), 3)
+
+
+def test_near_finds_all_that_brute_force_finds():
+    rng = random.Random(1)
+    terms = ["".join(rng.choices("abcd", k=rng.randint(5, 11))) for _ in range(25)]
+    lexicon = Lexicon(dict.fromkeys(terms, 1.0), {})
+    for _ in range(4000):
+        word = list(rng.choice(terms))
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(word))
+            word[at : at + rng.randint(0, 1)] = rng.choice(["", "a", "b", "cd"])
+        word = "".join(word)
+        best = min((distance(word, t), t) for t in terms if distance(word, t) <= edits_allowed(t)) if any(distance(word, t) <= edits_allowed(t) for t in terms) else None
+        assert lexicon.near(word) == (best[1] if best and len(word) >= 4 else None)
 
 
 def test_misspellings_and_disguises():
