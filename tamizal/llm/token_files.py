@@ -52,7 +52,7 @@ class UnitEncoder:
         self.tokenizer.encode_special_tokens = True
         self.blank = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that begin with a blank
         self.blank[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith("Ġ")]] = True
-        self.after_blank, self.bare = Memo(), Memo()
+        self.after_blank, self.bare = Memo(600_000), Memo()
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -60,6 +60,15 @@ class UnitEncoder:
     def _learn_after_blank(self, units: list[str]) -> None:
         """Many units at once: joined by blanks, each begins at an id that begins with a blank."""
         known = self.after_blank.young
+        # a full stop or comma after a letter is a pre-token of its own: most such units are a known one and it
+        ended = [u for u in units if len(u) > 1 and u[-1] in ".," and u[-2].isalpha() and not u[0].isspace()]
+        if ended:
+            plain = set(units).difference(ended)
+            self._learn_after_blank([*plain, *self.after_blank.missing({u[:-1] for u in ended} - plain)])
+            marks = {m: self._ids(m).tobytes() for m in ".,"}
+            for unit in ended:
+                known[unit] = known[unit[:-1]] + marks[unit[-1]]
+            return
         joinable = [u for u in units if u and not u[0].isspace()]
         for unit in units:
             if not unit or unit[0].isspace():
