@@ -44,18 +44,30 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def words_of(text: Column) -> Column:
-    """Words of a text as an array; none for null, empty or blank texts."""
+def _evened(text: Column) -> Column:
     even = F.coalesce(text, F.lit(""))
     for other in BLANKS[1:]:
         even = F.replace(even, F.lit(other), F.lit(" "))
-    bare = F.trim(even)
+    return F.trim(even)
+
+
+def words_of(text: Column) -> Column:
+    """Words of a text as an array; none for null, empty or blank texts."""
+    bare = _evened(text)
     # a split at one plain character needs no regular expression; runs of blanks leave empty words
     parts = F.split(bare, " ")
     parts = F.when(F.contains(bare, F.lit("  ")), F.array_remove(parts, "")).otherwise(parts)
     return F.when(F.length(bare) > 0, parts).otherwise(F.array().cast("array<string>"))
 
 
+def word_count(text: Column) -> Column:
+    """``size(words_of(text))`` without the array, unless there are runs of blanks."""
+    bare = _evened(text)
+    blanks = F.octet_length(bare) - F.octet_length(F.replace(bare, F.lit(" "), F.lit("")))
+    some = F.when(F.contains(bare, F.lit("  ")), F.size(words_of(text))).otherwise(blanks + 1)
+    return F.when(F.length(bare) > 0, some).otherwise(F.lit(0)).cast("bigint")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected links ``a``, ``b`` (bigint): ``node``, ``component_id``.
 

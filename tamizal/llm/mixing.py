@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamizal.llm.common import free_name, table, words_of, written
+from tamizal.llm.common import free_name, table, word_count, written
 
 MARGINS = ("source", "lang", "topic")
 # A value's target share is its own share to this power, so that large sources give way to small ones.
@@ -129,9 +129,7 @@ def mixture(
     """
     results = {"topic", "n_tokens", "probability", "sampled"}
     own = docs.select(*[c for c in docs.columns if c.lower() not in results])
-    measured = own.withColumn("topic", topic_of(F.col("text"))).withColumn(
-        "n_tokens", F.size(words_of(F.col("text"))).cast("bigint")
-    )
+    measured = own.withColumn("topic", topic_of(F.col("text"))).withColumn("n_tokens", word_count(F.col("text")))
     cells = written(measured.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"), "cells")
     if targets is None:
         powers = temper or TEMPER
