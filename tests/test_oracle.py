@@ -4,8 +4,12 @@ import __spark_entry__ as entry
 import pytest
 from compare import compare, connect
 
+from tamizal.plans import catalog
+
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+# the queries of the library itself; those of the folder for training data have tests beside it
+QUERIES = {n: run for n, run in entry.queries().items() if n in catalog.QUERIES}
+ORACLE = {n: sql for n, sql in entry.oracle_sql().items() if n in catalog.QUERIES}
 
 
 @pytest.fixture(scope="module")
