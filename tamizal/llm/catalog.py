@@ -12,7 +12,7 @@ QUERIES = {
     "op5_embedding_dedup": (embedding_dedup.op5_embedding_dedup, embedding_dedup.OP5_SQL),
     "op6_sentence_pieces": (sentence_pieces.op6_sentence_pieces, None),
     "op7_simhash_dedup": (simhash_dedup.op7_simhash_dedup, None),
-    "op8_secret_scan": (secret_scan.op8_secret_scan, None),
+    "op8_secret_scan": (secret_scan.op8_secret_scan, secret_scan.OP8_SQL),
     "op9_toxicity": (toxicity.op9_toxicity, None),
     "op10_mixing": (mixing.op10_mixing, mixing.OP10_SQL),
 }

@@ -211,3 +211,64 @@ def secret_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
         kind, old = docs.schema["n_chars"].dataType, F.col(f"{key}.n_chars")
         changed["n_chars"] = F.when(hit, F.length(masked).cast(kind)).otherwise(old)
     return found.select(*[changed.get(c, F.col(f"{key}.{c}")).alias(c) for c in docs.columns])
+
+
+def _oracle() -> str:
+    """The same scan as SQL: places from the lengths of the pieces, entropies of whole windows."""
+
+    def quoted(pattern: str) -> str:
+        return "'" + pattern.replace("'", "''") + "'"
+
+    def spans(kind: str, pattern: str, keep: str = "true") -> str:
+        return f"""{kind}_found AS (
+    SELECT doc_id, regexp_extract_all(t, {quoted(pattern)}) AS ms, string_split_regex(t, {quoted(pattern)}) AS ps,
+           regexp_extract_all(t, {quoted(pattern)}, {2 if kind == "assign" else 0}) AS vs FROM d
+), {kind} AS (
+    SELECT doc_id, '{kind}' AS kind, s, s + length(found) AS e, found FROM (
+        SELECT doc_id, ms[i] AS found, vs[i] AS value,
+               list_sum(list_transform(ps[1:i], lambda x: length(x)))
+               + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS s
+        FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM {kind}_found)
+    ) WHERE {keep}
+)"""
+
+    allowed = " OR ".join(f"regexp_matches(found, {quoted(p)})" for p in ALLOWED)
+    bits = (
+        f"CASE WHEN regexp_matches(found, '{CLASSES[0][0]}') THEN {CLASSES[0][1]} "
+        f"WHEN regexp_matches(found, '[0-9]') AND regexp_matches(found, '[A-Za-z]') THEN {CLASSES[1][1]} ELSE {CLASSES[2][1]} END"
+    )
+    steps = [
+        "d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)",
+        spans("assign", ASSIGN, f"length(value) >= {ASSIGN_CHARS}"),
+        spans("access", ACCESS),
+        spans("hex", HEX),
+        spans("candidate", CANDIDATE),
+        """base AS (
+    SELECT doc_id, 0 AS k, kind, s, e FROM assign UNION ALL SELECT doc_id, 1, kind, s, e FROM access
+    UNION ALL SELECT doc_id, 2, kind, s, e FROM hex
+)""",
+        f"""hot AS (
+    SELECT doc_id, s + min(w) - 1 AS s, s + max(w) - 1 + {WINDOW} AS e
+    FROM (SELECT doc_id, s, found, {bits} AS bits, unnest(range(1, length(found) - {WINDOW - 2})) AS w FROM candidate WHERE NOT ({allowed})) c
+    WHERE list_aggregate(string_split(substring(found, w, {WINDOW}), ''), 'entropy') >= bits
+    GROUP BY doc_id, c.s, found
+)""",
+        """every AS (
+    SELECT * FROM base UNION ALL
+    SELECT doc_id, 3, 'entropy', s, e FROM hot
+    WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = hot.doc_id AND b.s <= hot.s AND b.e >= hot.e)
+)""",
+    ]
+    return (
+        "WITH "
+        + ",\n".join(steps)
+        + """
+SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+       sha256(coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k, e) FILTER (k < 3), '')) AS base_sha256,
+       coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k, e), '') AS spans
+FROM d LEFT JOIN every USING (doc_id) GROUP BY doc_id
+"""
+    )
+
+
+OP8_SQL = _oracle()

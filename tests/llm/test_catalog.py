@@ -18,7 +18,6 @@ COLUMNS = {
     "op4_token_files": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op6_sentence_pieces": ["doc_id", "n_pieces", "ids_hash", "round_trip"],
     "op7_simhash_dedup": ["doc_id", "fingerprint", "component_id"],
-    "op8_secret_scan": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op9_toxicity": ["doc_id", "held_out", "score", "predicted"],
 }
 
