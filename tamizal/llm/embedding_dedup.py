@@ -83,7 +83,7 @@ class _Block:
                 return
             self.root = joined
 
-    def compare(self, rows: dict[str, np.ndarray], threshold: float, epsilon: float) -> tuple[np.ndarray, np.ndarray]:
+    def compare(self, rows: dict[str, np.ndarray], threshold: float, epsilon: float, tile: int) -> tuple[np.ndarray, np.ndarray]:
         """Links of each code row, and the place of a query it is linked to (-1: none)."""
         size = self.unit.shape[1]
         signs = np.unpackbits(rows["code"], axis=1, count=size).astype(np.float32) * 2 - 1
@@ -94,8 +94,8 @@ class _Block:
         unit = _unit(rows["vector"])
         links, to = np.zeros(len(unit), np.int64), np.full(len(unit), -1)
         same_block = rows["block"][0] == self.number
-        for low in range(0, len(self.ids), TILE):
-            estimates = (self.turned[low : low + TILE] @ signs.T) * scale
+        for low in range(0, len(self.ids), tile):
+            estimates = (self.turned[low : low + tile] @ signs.T) * scale
             query, code = np.nonzero(estimates >= least)
             query += low
             other = self.ids[query] != rows["vec_id"][code]
@@ -112,16 +112,14 @@ class _Block:
             if not same_block:  # within a block every pair comes twice, once for each end
                 np.add.at(self.links, query, rows["copies"][code])
             self.linked[query] = True
+            # queries of earlier tiles are joined with those of this one before they are forgotten
+            earlier = np.unique(code[to[code] >= 0])
+            self._join(np.concatenate([query, to[earlier]]), np.concatenate([code, earlier]), len(unit))
             to[code] = query
-            self._join(query, code, len(unit))
-            first = np.flatnonzero(to >= 0)
-            self._join(to[first], first, len(unit))
-            both = np.concatenate([query, to[code]]), np.concatenate([code, code])
-            self._join(*both, len(unit))
         return links, to
 
 
-def _compare(threshold: float, epsilon: float):
+def _compare(threshold: float, epsilon: float, tile: int):
     """Rows come sorted by label, dimension and block; a block's own vectors come before the codes."""
 
     def found(ids: np.ndarray, links: np.ndarray, to: np.ndarray) -> pa.RecordBatch:
@@ -159,7 +157,7 @@ def _compare(threshold: float, epsilon: float):
                 rows["factor"] = part.column("factor").to_numpy(zero_copy_only=False)
                 rows["block"] = own_block[low:high]
                 rows["code"] = np.frombuffer(b"".join(part.column("code").to_pylist()), np.uint8).reshape(high - low, -1)
-                links, to = block.compare(rows, threshold, epsilon)
+                links, to = block.compare(rows, threshold, epsilon, tile)
                 hit = np.flatnonzero(to >= 0)
                 if len(hit):
                     yield found(rows["vec_id"][hit], links[hit], block.ids[block.root[to[hit]]])
@@ -170,7 +168,7 @@ def _compare(threshold: float, epsilon: float):
 
 
 def near_vectors(
-    vectors: DataFrame, threshold: float = THRESHOLD, epsilon: float = EPSILON, block_rows: int = BLOCK_ROWS
+    vectors: DataFrame, threshold: float = THRESHOLD, epsilon: float = EPSILON, block_rows: int = BLOCK_ROWS, tile: int = TILE
 ) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` for every row of ``vectors``.
 
@@ -211,7 +209,7 @@ def near_vectors(
         .repartition("label", "size", "block")
         .sortWithinPartitions("label", "size", "block", "side", "own_block")
     )
-    found = written(ordered.mapInArrow(_compare(threshold, epsilon), "vec_id bigint, links bigint, to bigint"), "vector-links")
+    found = written(ordered.mapInArrow(_compare(threshold, epsilon, tile), "vec_id bigint, links bigint, to bigint"), "vector-links")
     linked = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("vec_id").alias("a"), F.col("to").alias("b")))
     known = written(

@@ -54,6 +54,52 @@ def test_same_as_brute_force(spark, dimension, block_rows):
     assert sum(n for n, _ in want.values()) > 500
 
 
+def chains_and_stars():
+    """Vectors whose components hold only through links of several tiles: chains in a plane, and stars, in mixed order."""
+    vectors = []
+    for axis in (0, 2):
+        for start, count in ((0.0, 7), (3.0, 5)):
+            for k in range(count):
+                v = np.zeros(8)
+                v[axis], v[axis + 1] = np.cos(start + 0.3 * k), np.sin(start + 0.3 * k)
+                vectors.append(v)
+    vectors.append(np.eye(8)[4])
+    vectors += [np.cos(0.35) * np.eye(8)[4] + np.sin(0.35) * np.eye(8)[k] * sign for k in (5, 6, 7) for sign in (-1, 1)]
+    order = np.random.default_rng(2).permutation(len(vectors))
+    return [(int(i), [float(x) for x in vectors[i]], 1, "") for i in order]
+
+
+@pytest.mark.parametrize("tile,block_rows", [(1, 65_536), (2, 65_536), (3, 65_536), (1, 9), (2, 9), (3, 13)])
+def test_components_across_tiles(spark, tile, block_rows):
+    rows = chains_and_stars()
+    got = near_vectors(spark.createDataFrame(rows, SCHEMA.replace("float", "double")), block_rows=block_rows, tile=tile).collect()
+    want = brute(rows, 0.93)
+    assert len({c for _, c in want.values()}) == 5
+    # the smallest id of a component names it, as brute force joins to the first row
+    least = {c: min(i for i, (_, d) in want.items() if d == c) for _, c in want.values()}
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (n, least[c]) for i, (n, c) in want.items()}
+
+
+def test_components_across_tiles_of_a_block():
+    from tamizal.llm.embedding_dedup import _Block
+
+    rng = np.random.default_rng(1)
+    turns = np.arange(12) * 0.3  # a chain: every vector is linked with the next one only
+    for tile in (1, 2, 3, 4096):
+        for _ in range(20):
+            order = rng.permutation(12)
+            vectors = np.column_stack([np.cos(turns[order]), np.sin(turns[order])])
+            block = _Block(order, np.ones(12, np.int64), vectors, 0)
+            turned = block.unit @ rotation(2).T
+            rows = {"vec_id": order, "copies": np.ones(12, np.int64), "vector": vectors, "block": np.zeros(12, np.int64)}
+            rows |= {"code": np.packbits(turned > 0, axis=1), "factor": np.abs(turned).sum(axis=1) / np.sqrt(2)}
+            links, to = block.compare(rows, 0.93, 6.0, tile)
+            reached = {0}
+            for _ in range(12):  # over the rows of codes and queries, as they are given to Spark
+                reached |= {int(y) for x in range(12) for y in (x, block.root[x], block.root[to[x]]) if reached & {x, block.root[x], block.root[to[x]]}}
+            assert len(reached) == 12 and links.sum() == 22
+
+
 def test_estimates_are_unbiased_and_within_their_bound():
     import pyarrow as pa
 
