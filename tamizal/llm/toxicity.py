@@ -2,9 +2,10 @@
 
 The lexicon is learned from labelled texts: words, and beginnings of words, that stand in toxic texts far
 more often than in others. A word of a text meets the lexicon if the automaton of the word, with a few
-edits allowed, and the trie accept a common term. What a match counts for depends on its window: alone
-or among others, quoted or not, exact or misspelled. A logistic model turns these scores of a text into
-one; it is fitted on the same bounded sample of labelled texts.
+edits allowed, and the trie accept a common term; a beginning is met by a beginning of the word. What a
+match counts for depends on its window: alone or among others, quoted or not, exact or misspelled. A
+logistic model turns these scores of a text into one; it is fitted on the same bounded sample of labelled
+texts.
 """
 
 from __future__ import annotations
@@ -28,10 +29,10 @@ TERMS = 2_000  # terms of the lexicon, at most
 CANDIDATES = 50_000  # terms that are counted in texts of both labels, at most
 BEGINNINGS = (4, 5, 6, 7, 8)
 LEAST_TEXTS, LEAST_SHARE, LEAST_RATIO, LEAST_EVIDENCE = 3, 0.01, 10.0, 12.0
-MISSPELLED_TERMS = 200  # words of the lexicon that are looked for with edits: those with most evidence
 WINDOW = 12
 MEMO_WORDS = 300_000
 
+_BEGINNING = "beginning"  # in the trie, beside letters: a beginning of words ends here; "" is the end of a word
 _WORD = re.compile(r"[^\W_]+(?:[*@$!'’][^\W_]+)*")
 _QUOTES = re.compile("[\"“”«»„‟]")
 # Characters that stand for letters in disguised words.
@@ -86,34 +87,39 @@ class Automaton:
 
 @dataclass
 class Lexicon:
-    """Terms with weights: whole words in a trie, and beginnings of words."""
+    """Terms with weights: whole words, beginnings of words, and words with such a beginning; a trie of all that may be misspelled."""
 
     words: dict[str, float]
     stems: dict[str, float]
+    inflected: dict[str, float] = field(default_factory=dict)  # met exactly by their beginning, misspelled by themselves
     trie: dict = field(default_factory=dict)
 
     def __post_init__(self):
-        pieces: dict[str, set[str]] = {"head": set(), "tail": set(), "inner": set()}
-        for term in list(self.words)[:MISSPELLED_TERMS]:  # in the order of their evidence
-            node = self.trie
-            for letter in term:
-                node = node.setdefault(letter, {})
-            node[""] = term
-            edits = edits_allowed(term)
-            cuts = [len(term) * k // (edits + 1) for k in range(edits + 2)]
-            if edits:  # of one more pieces than edits, one is untouched
-                pieces["head"].add(term[: cuts[1]])
-                pieces["tail"].add(term[cuts[-2] :])
-                pieces["inner"].update(term[x:y] for x, y in zip(cuts[1:-2], cuts[2:-1]))
-        either = "|".join(map(re.escape, sorted(pieces["inner"]))) or "(?!)"
-        heads, tails = ("|".join(map(re.escape, sorted(pieces[k]))) or "(?!)" for k in ("head", "tail"))
-        self.maybe = re.compile(f"(?:{heads})|.*(?:{tails})\\Z|.+(?:{either})", re.S).match
+        self.weights = {**self.inflected, **self.stems, **self.words}
+        places: dict[int, set[str]] = {}
+        for end, terms in (("", (*self.words, *self.inflected)), (_BEGINNING, self.stems)):
+            for term in terms:
+                edits = edits_allowed(term)
+                if not edits:  # only met exactly
+                    continue
+                node = self.trie
+                for letter in term:
+                    node = node.setdefault(letter, {})
+                node[end] = term
+                cuts = [len(term) * k // (edits + 1) for k in range(edits + 2)]
+                for low, high in zip(cuts, cuts[1:]):  # of one more pieces than edits, one is untouched, and hardly moved
+                    for at in range(max(low - edits, 0), low + edits + 1):
+                        places.setdefault(at, set()).add(term[low:high])
+        self.pieces = [(at, sorted({len(piece) for piece in own}), own) for at, own in sorted(places.items())]
         self.lengths = sorted({len(s) for s in self.stems})
-        self.longest = max(map(len, self.words), default=0)
+
+    def maybe(self, word: str) -> bool:
+        """Whether a piece of any term stands in ``word`` about where it does in the term."""
+        return any(word[at : at + length] in own for at, lengths, own in self.pieces for length in lengths)
 
     def near(self, word: str) -> str | None:
         """The nearest term that ``word`` is a misspelling of: both automaton and trie are walked."""
-        if len(word) < 4 or len(word) > self.longest + 2 or not self.maybe(word):
+        if len(word) < 4 or not self.maybe(word):
             return None
         automaton = Automaton(word, 1 if len(word) < 7 else 2)
         best = None
@@ -121,8 +127,9 @@ class Lexicon:
         while waiting:
             node, state = waiting.pop()
             for letter, below in node.items():
-                if letter == "":
-                    distance = automaton.distance(state)
+                if letter in ("", _BEGINNING):
+                    # a beginning is compared with the beginning of the word that is nearest to it
+                    distance = min(state[1]) if letter else automaton.distance(state)
                     if distance <= edits_allowed(below) and (best is None or (distance, below) < best):
                         best = distance, below
                 elif (after := automaton.step(state, letter)) is not None:
@@ -134,13 +141,19 @@ class Lexicon:
         weight = self.words.get(word)
         if weight is not None:
             return weight, True
-        for length in self.lengths:
-            weight = self.stems.get(word[:length])
-            if weight is not None and len(word) >= length:
-                return weight, True
+        weight = self._begun(word)
+        if weight is not None:
+            return weight, True
         plain = re.sub("[*'’]", "", word.translate(_DISGUISE)) if not word.isalpha() else word
-        term = plain if plain in self.words else self.near(plain)
-        return (self.words[term], False) if term else None
+        weight = self.words.get(plain)
+        if weight is None:
+            weight = self._begun(plain)
+        if weight is None:
+            weight = self.weights.get(self.near(plain))
+        return None if weight is None else (weight, False)
+
+    def _begun(self, word: str) -> float | None:
+        return next((self.stems[word[:length]] for length in self.lengths if word[:length] in self.stems), None)
 
 
 FEATURES = ("exact", "misspelled", "quoted", "dense", "share", "any")
@@ -185,8 +198,6 @@ class Scorer:
             near, k = weight, n - 1
             while k >= 0 and place - places[k] <= WINDOW:
                 near, k = near + known[words[places[k]]][0], k - 1
-                if n - k > 8:
-                    break
             dense = max(dense, near)
         share = (exact + misspelled) / math.sqrt(len(words))
         return [math.log1p(exact), math.log1p(misspelled), math.log1p(quoted), math.log1p(dense), math.log1p(share), 1.0]
@@ -226,7 +237,7 @@ def learn_lexicon(sample: DataFrame, terms: int = TERMS, candidates: int = CANDI
     only those are counted in the other texts. A term counts with the logarithm of how much more often it
     stands in toxic texts, and needs evidence (a likelihood ratio) that chance does not give. Of a
     beginning and longer ones that tell no more, the shortest is taken; a word that only stands alone is
-    a word.
+    a word. Words with such a beginning are kept for their misspellings.
     """
     n_toxic, n_clean = sample.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count_if(F.col("toxic") == 0)).first()
     if not n_toxic or not n_clean:
@@ -256,8 +267,11 @@ def learn_lexicon(sample: DataFrame, terms: int = TERMS, candidates: int = CANDI
         one = any(n >= 0.8 * texts for w, (n, _) in words.items() if w.startswith(term))
         if spread and not one and not any(term.startswith(s) for s in stems):
             stems[term] = math.log(ratio)
-    whole = {w: math.log(ratio) for w, (_, ratio) in words.items() if not any(w.startswith(s) for s in stems)}
-    return Lexicon(dict(list(whole.items())[:terms]), dict(list(stems.items())[:terms]))
+    stems = dict(list(stems.items())[:terms])
+    begun = {w for w in words if any(w.startswith(s) for s in stems)}
+    weights = {w: math.log(ratio) for w, (_, ratio) in words.items()}
+    whole = {w: weight for w, weight in weights.items() if w not in begun}
+    return Lexicon(dict(list(whole.items())[:terms]), stems, {w: weights[w] for w in words if w in begun})
 
 
 def _score_rows(lexicon: Lexicon, extra: list[str]):

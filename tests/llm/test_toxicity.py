@@ -1,7 +1,8 @@
 import itertools
+import math
 import random
 
-from tamizal.llm.toxicity import Automaton, Lexicon, Scorer, edits_allowed, toxicity
+from tamizal.llm.toxicity import Automaton, Lexicon, Scorer, edits_allowed, learn_lexicon, toxicity
 
 
 def distance(a, b):
@@ -44,6 +45,48 @@ def test_misspellings_and_disguises():
     assert lexicon.meet("scam") is None and lexicon.meet("idea") is None
 
 
+def test_misspellings_of_words_with_a_known_beginning():
+    lexicon = Lexicon({"scum": 3.0}, {"idiot": 2.0, "lowe": 1.5}, {"lowering": 1.0})
+    for word in ("id1ot", "1d10ts", "id1otic", "idot", "idiiotic", "ediots", "l0wely", "lovering", "lowering"):
+        assert lexicon.meet(word) is not None, word
+    assert lexicon.meet("id1otic") == (2.0, False) and lexicon.meet("idiotic") == (2.0, True) and lexicon.meet("lovering") == (1.0, False)
+    assert lexicon.meet("lowering") == (1.5, True) and lexicon.meet("ideal") is None and lexicon.meet("lov") is None
+
+
+def test_every_term_is_looked_for_with_edits():
+    rng = random.Random(2)
+    terms = list(dict.fromkeys("".join(rng.choices("abcdefghij", k=rng.randint(5, 10))) for _ in range(400)))
+    words, stems = dict.fromkeys(terms[:300], 1.0), dict.fromkeys([t[:8] for t in terms[300:]], 2.0)
+    lexicon = Lexicon(words, stems)
+    for _ in range(120):
+        word = list(rng.choice(terms) + rng.choice(["", "zx", "k"]))
+        for _ in range(rng.randint(0, 2)):
+            word[rng.randrange(len(word))] = rng.choice(["", "a", "bc"])
+        word = "".join(word)
+        cuts = {d: word[:d] for d in range(len(word) + 1)}
+        found = [(distance(word, t), t) for t in words if abs(len(t) - len(word)) <= 2]
+        found += [(min(distance(cut, t) for d, cut in cuts.items() if abs(d - len(t)) <= 2), t) for t in stems if len(word) >= len(t) - 2]
+        best = min((f for f in found if f[0] <= edits_allowed(f[1])), default=(0, None))
+        assert lexicon.near(word) == best[1]
+
+
+def test_learned_words_of_a_beginning_are_kept_for_misspellings(spark):
+    rng = random.Random(5)
+    plain = "river stone window garden paper letter moment summer yellow follow number travel".split()
+    bad = ["idiot", "idiots", "idiotic", "idiotism", "idiotry"]
+    rows = [(" ".join([*rng.choices(plain, k=20), *([bad[i % 5], bad[i // 5 % 5]] if i % 2 else [])]), i % 2) for i in range(400)]
+    lexicon = learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert any("idiotic".startswith(s) for s in lexicon.stems) and "idiotic" not in lexicon.words
+    for word in ("id1ot", "idiitic", "iditic", "ediots", "idyotism"):
+        assert lexicon.meet(word) and not lexicon.meet(word)[1]
+
+
+def test_all_matches_of_a_window_count():
+    scorer = Scorer(Lexicon({"idiot": 2.0}, {}))
+    ten, thirteen = (scorer.features(" ".join(["idiot"] * n)) for n in (10, 13))
+    assert math.isclose(math.expm1(ten[3]), 20.0) and math.isclose(math.expm1(thirteen[3]), 26.0)
+
+
 def test_quoted_terms_count_apart():
     scorer = Scorer(Lexicon({"idiot": 2.0}, {}))
     plain, quoted = scorer.features("you are an idiot indeed"), scorer.features('they wrote "an idiot indeed" there')
