@@ -3,7 +3,8 @@
 A page becomes a small tree of elements. Paragraphs give points for length and commas to their
 ancestors, less with every generation; an ancestor's points are discounted by the share of its text that
 is links. The best container is kept with the siblings that score like it or belong to it (headings, plain
-paragraphs). What is marked as no part of an article (menus, footers, adverts, comments ..) never counts.
+paragraphs). What is marked as no part of an article (menus, footers, adverts, comments ..) never counts,
+but a word in a class or id is no mark on what holds the article, as layouts are named by what they have.
 """
 
 from __future__ import annotations
@@ -64,33 +65,34 @@ _ARTICLE = frozenset(("article", "main"))
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "out", "score", "chars", "linked", "heading_only")
+    __slots__ = ("tag", "parent", "out", "named", "score", "chars", "linked", "heading_only")
 
     def __init__(self, tag: str, parent: int, out: bool, heading_only: bool = False):
         self.tag, self.parent, self.out, self.heading_only = tag, parent, out, heading_only
-        self.score, self.chars, self.linked = 0.0, 0, 0
+        self.named, self.score, self.chars, self.linked = False, 0.0, 0, 0
 
 
-def _marked(tag: str, attributes: str, parent_article: bool) -> bool:
+def _marked(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether an element is out whatever it holds, and whether a word of its class or id says that it is."""
     if tag in _NEVER:
-        return True
+        return True, False
+    named = False
     if not attributes or attributes.isspace():
-        return False
+        return False, False
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next((v for v in values if v), "").lower()
         if name in ("class", "id"):
-            if tag not in ("html", "body") and not _MARKS.isdisjoint(_SPLIT.split(value)):
-                return True
+            named = named or (tag not in ("html", "body") and not _MARKS.isdisjoint(_SPLIT.split(value)))
         elif name == "role":
             if value.strip() in _ROLES:
-                return True
+                return True, named
         elif name == "hidden" and value != "until-found":
-            return True
+            return True, named
         elif name == "aria-hidden" and value.strip() == "true":
-            return True
+            return True, named
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            return True, named
+    return False, named
 
 
 def _parse(page: str) -> tuple[list[_Node], list[tuple[int, str, int]]]:
@@ -177,10 +179,12 @@ def _parse(page: str) -> tuple[list[_Node], list[tuple[int, str, int]]]:
         above = nodes[open_nodes[-1]]
         in_article = any(nodes[n].tag in _ARTICLE for n in open_nodes)
         heading_only = above.heading_only or (tag == "header" and in_article)
-        out = above.out or _marked(tag, attributes, in_article) or (tag == "header" and not in_article)
+        never, named = _marked(tag, attributes)
+        out = above.out or never or (tag == "header" and not in_article) or (named and tag in _INLINE)
         if heading_only and not out and tag not in _INLINE and tag not in _HEADINGS and tag not in ("header", "hgroup", "div"):
             out = True
         nodes.append(_Node(tag, open_nodes[-1], out, heading_only))
+        nodes[-1].named = named and not out
         open_nodes.append(len(nodes) - 1)
         links += tag == "a"
         if tag in _RAW:
@@ -196,9 +200,58 @@ def _points(text: str) -> float:
     return min(1.0, len(text) / 25) + len(_COMMA.findall(text)) + min(len(text) / 100, 3.0)
 
 
+def _unnamed(nodes: list[_Node], blocks: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
+    """The blocks that are in no element named as no part of the article, unless that element holds it.
+
+    An article or main that is in no other article is spared, and what holds one while there is none
+    elsewhere; then what holds most of the points of the page, if it has the first heading too or nearly
+    nothing is left without it.
+    """
+    if not any(node.named for node in nodes):
+        return blocks
+    own, texts = [0.0] * len(nodes), [0] * len(nodes)
+    for n, text, linked in blocks:
+        own[n] += _points(text) * (1 - linked / len(text))
+        texts[n] += 1
+    mass, title = own[:], next((i for i, node in enumerate(nodes) if node.tag == "h1" and texts[i]), 0)
+    last = list(range(len(nodes)))  # elements come before what they hold
+    for i in range(len(nodes) - 1, 0, -1):
+        above = nodes[i].parent
+        mass[above] += mass[i]
+        texts[above] += texts[i]
+        last[above] = max(last[above], last[i])
+    in_article, in_main = [False] * len(nodes), [0] * len(nodes)
+    articles = [0]  # of the first i elements, how many are an article or main with text
+    for i, node in enumerate(nodes):
+        if i:
+            above = node.parent
+            in_article[i] = in_article[above] or nodes[above].tag == "article"
+            in_main[i] = in_main[above] + (nodes[above].tag == "main")
+        articles.append(articles[-1] + (node.tag in _ARTICLE and texts[i] > 0))
+    for i, node in enumerate(nodes):
+        if node.named and not in_article[i]:
+            held = articles[last[i] + 1] - articles[i]
+            if node.tag in _ARTICLE or (held and held + in_main[i] == articles[-1]):
+                node.named = False
+    clear = own[:]  # points below an element that are in no named one below it
+    for i in range(len(nodes) - 1, 0, -1):
+        if not nodes[i].named:
+            clear[nodes[i].parent] += clear[i]
+    left, hidden = clear[0], [False] * len(nodes)
+    for i, node in enumerate(nodes):
+        hidden[i] = i > 0 and hidden[node.parent]
+        if node.named and not hidden[i]:
+            if mass[i] > mass[0] / 2 and (i < title <= last[i] or left < mass[0] / 10):
+                node.named, left = False, left + clear[i]
+            else:
+                hidden[i] = True
+    return [block for block in blocks if not hidden[block[0]]]
+
+
 def main_text(page: str) -> str:
     """Blocks of the article of ``page`` in page order, joined by one blank; empty if there is none."""
     nodes, blocks = _parse(page)
+    blocks = _unnamed(nodes, blocks)
     blocks = [(n, text, linked) for n, text, linked in blocks if not (nodes[n].heading_only and nodes[n].tag not in _HEADINGS)]
     if not blocks:
         return ""

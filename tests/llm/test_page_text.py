@@ -24,6 +24,31 @@ def test_cases(page, text):
     assert main_text(page) == text
 
 
+TWO = f"<p>{LONG}</p><p>{LONG}</p>"
+SIDE = f"<div class=sidebar><p>{LONG}</p></div>"
+WRAPPERS = [
+    f"<body><div class='layout has-sidebar'><article>{TWO}</article>{SIDE}</div></body>",
+    f"<body><div class='page with-ads'><div class='content-with-menu'>{TWO}</div><div class=ad>{LONG}</div></div></body>",
+    f"<div class='post no-comments'><main>{TWO}</main></div>{SIDE}",
+    f"<div id='main-widget'>{TWO}</div>",
+    f"<main><article class='post promoted'>{TWO}</article></main>{SIDE}",
+    f"<main><div class='layout has-sidebar'><article>{TWO}</article></div><div class=comments>{TWO}{TWO}</div></main>",
+    f"<article>{TWO}</article><div id=comments><article class='comment'>{TWO}{TWO}</article></div>",
+    f"<article>{TWO}<article class='comment'><p>{LONG}</p></article></article>",
+    f"<div class='with-ads'>{TWO}<div class=comments>{TWO}</div></div>",
+]
+
+
+@pytest.mark.parametrize("page", WRAPPERS)
+def test_layout_around_the_article_is_no_mark(page):
+    assert main_text(page) == f"{LONG} {LONG}"
+
+
+def test_heading_tells_what_holds_the_article():
+    page = f"<div><p>{LONG}</p></div><div class='grid-sidebar'><h1>T</h1>{TWO}{TWO}</div>"
+    assert main_text(page).endswith(f"T {LONG} {LONG} {LONG} {LONG}")
+
+
 @pytest.mark.parametrize("page", ["<" * 100_000, "<a " * 30_000, "<div>" * 5000 + "x", '<p a="' * 20_000, "&" * 100_000, "<p>x" * 20_000])
 def test_broken_and_long_pages_end(page):
     main_text(page)
