@@ -41,15 +41,19 @@ class UnitEncoder:
     """Ids of texts, from the ids of units that the tokenizer never joins across.
 
     The byte-level pattern always begins a new pre-token at a blank that follows or precedes other
-    text, so a text's ids are those of its pieces between such blanks.
+    text, so a text's ids are those of its pieces between such blanks. With ``added_tokens``, an added token
+    that stands in a text has its own id, as in the library by default; otherwise those of its letters.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = True  # for units; texts that hold an added token are encoded whole
+        self.whole = Tokenizer.from_file(path)
+        added = [token.content for token in self.whole.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) if added and added_tokens else "(?!)").search
         self.blank = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that begin with a blank
         self.blank[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith("Ġ")]] = True
         self.after_blank, self.bare = Memo(600_000), Memo()
@@ -92,9 +96,11 @@ class UnitEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        simple, other = {}, {}
+        simple, other, whole = {}, {}, {}
         for i, text in enumerate(texts):
-            if _UNSAFE.search(text):
+            if self.added(text):
+                whole[i] = np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+            elif _UNSAFE.search(text):
                 other[i] = _UNIT.findall(text)
             elif text:
                 first, *rest = text.split(" ")
@@ -106,7 +112,9 @@ class UnitEncoder:
         spaced, plain = self.after_blank.young.__getitem__, self.bare.young.__getitem__
         out = []
         for i in range(len(texts)):
-            if i in simple:
+            if i in whole:
+                out.append(whole[i])
+            elif i in simple:
                 first, rest = simple[i]
                 out.append(plain(first) + b"".join(map(spaced, rest)))
             else:
@@ -118,7 +126,7 @@ class UnitEncoder:
 
 def encoder(path: str) -> UnitEncoder:
     if path not in _encoders:
-        _encoders[path] = UnitEncoder(path)
+        _encoders[path] = UnitEncoder(path, added_tokens=True)
     return _encoders[path]
 
 

@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tamizal.llm import simple8b
-from tamizal.llm.token_files import UnitEncoder, read_token_files, write_token_files
+from tamizal.llm.token_files import UnitEncoder, encoder, read_token_files, write_token_files
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -54,3 +54,11 @@ def test_files_hold_every_document_in_order(spark, docs, library, tmp_path, file
 def test_no_rows(spark, empty, tmp_path):
     folder = f"file://{tmp_path}/none"
     assert read_token_files(write_token_files(empty, folder, PATH), folder).count() == 0
+
+
+def test_added_tokens_in_a_text_are_as_the_library_has_them():
+    plain = Tokenizer.from_file(PATH)
+    texts = ["<|endoftext|>", "one two<|endoftext|>three  four", "a <|endoftext|> b\n <|endoftext|>", "<|endoftext| > a", "one two"]
+    coded = encoder(PATH).encode(texts)  # the one that files are written with
+    assert [np.frombuffer(c, "<u4").tolist() for c in coded] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert np.frombuffer(coded[0], "<u4").tolist() == [50256]
