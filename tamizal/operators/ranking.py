@@ -1,23 +1,19 @@
 """Row numbers and ranks whose work stays balanced when one partition holds most of the rows.
 
 A plain window sends each of its partitions to one task, and a window without partitions sends
-everything to one. Here the rows are cut into ordered buckets by their whole sort key, numbered
-inside each bucket, and shifted by the number of rows of the same partition in earlier buckets.
-Bucket bounds come from a sample and decide only the balance; the shifts are exact counts.
+everything to one. Here the rows are dealt into ordered ranges by their whole sort key, numbered
+inside each range, and shifted by the number of rows of the same partition in earlier ranges.
+The ranges are those of Spark's own range exchange: they decide only the balance, the shifts are
+exact counts, and the same path is taken at every size.
 """
 
 from __future__ import annotations
 
-from math import ceil, isqrt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamizal.session import materialize
 
-ROWS_PER_BUCKET = 4_000_000
-SAMPLES_PER_BUCKET = 20
-
 Order = tuple[str, str]  # (column, "asc" | "desc")
 
 
@@ -33,69 +29,34 @@ def _window_order(order_by: list[Order]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if d == "asc" else F.col(c).desc_nulls_last() for c, d in order_by]
 
 
-def _before(a: Column, b: Column, order_by: list[Order], equal: bool) -> Column:
-    """Whether struct ``a`` stands before ``b``; ``equal`` is the answer for equal ones.
+def ranged(df: DataFrame, order_by: list[Order], ranges: int | None = None) -> DataFrame:
+    """``df`` written in the order asked for: ``_bucket`` is the range, ``_place`` the place in it.
 
-    The same order as ``_window_order``: nulls first ascending and last descending, NaN above numbers.
+    ``ranges`` is left to the session's number of shuffle partitions unless given.
     """
-    answer = F.lit(equal)
-    for name, direction in reversed(order_by):
-        x, y = a[name], b[name]
-        less = (x < y) if direction == "asc" else (x > y)
-        null_first = (x.isNull() & y.isNotNull()) if direction == "asc" else (x.isNotNull() & y.isNull())
-        answer = F.coalesce(less, F.lit(False)) | null_first | (x.eqNullSafe(y) & answer)
-    return answer
-
-
-def _with_bucket(df: DataFrame, order_by: list[Order], rows_per_bucket: int) -> tuple[DataFrame, int]:
-    """Add ``_bucket``, disjoint ranges of ``_sort`` in the order asked for; also how many there are."""
-    total = df.count()
-    buckets = ceil(total / rows_per_bucket)
-    if buckets <= 1:
-        return df.withColumn("_bucket", F.lit(0)), 1
-    wanted = buckets * SAMPLES_PER_BUCKET
-    sample = df.select("_sort")
-    if total > wanted:
-        sample = sample.sample(wanted / total, seed=17)
-    sample = materialize(sample, "bounds")  # a few sort keys per bucket, never the rows
-
-    def compared(a: Column, b: Column) -> Column:
-        return F.when(_before(a, b, order_by, False), -1).when(_before(b, a, order_by, False), 1).otherwise(0)
-
-    ordered = sample.agg(F.array_sort(F.collect_list("_sort"), compared).alias("s"))
-    step = max(2, isqrt(buckets))
-    fine = ordered.select(
-        F.transform(
-            F.sequence(F.lit(1), F.lit(buckets - 1)),
-            lambda i: F.get("s", F.floor(i * F.size("s") / buckets).cast("int")),
-        ).alias("fine")
+    order = _window_order(order_by)
+    dealt = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
+    number = F.monotonically_increasing_id()  # the task above bit 33, the row in it below
+    placed = dealt.sortWithinPartitions(*order).withColumn("_number", number)
+    return materialize(
+        placed.withColumns({"_bucket": F.shiftright("_number", 33), "_place": F.col("_number").bitwiseAND((1 << 33) - 1)}).drop("_number"),
+        "ranged",
     )
-    # every ``step``-th bound is made once with the others, so that a row looks at few of them
-    bounds = fine.select(F.struct("fine", F.filter("fine", lambda _, i: (i + 1) % step == 0).alias("coarse")).alias("b"))
-    located = df.withColumn("_bounds", bounds.scalar())
-    key = F.col("_sort")
-    skipped = F.size(F.filter("_bounds.coarse", lambda b: _before(b, key, order_by, True))) * step
-    rest = F.size(F.filter(F.slice("_bounds.fine", skipped + 1, F.lit(step - 1)), lambda b: _before(b, key, order_by, True)))
-    return located.withColumn("_bucket", skipped + rest).drop("_bounds"), buckets
-
-
-def _shifts(df: DataFrame, partition_by: list[str], totals: dict[str, Column]) -> DataFrame:
-    """For a partition that spans buckets: its totals over the earlier ones (one row per bucket)."""
-    per_bucket = df.groupBy(*partition_by, "_bucket").agg(*[c.alias(n) for n, c in totals.items()])
-    earlier = Window.partitionBy(*partition_by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shifted = per_bucket.select(
-        *partition_by, "_bucket", *[F.sum(n).over(earlier).alias(f"_shift_{n}") for n in totals]
-    )
-    return shifted.where(F.col(f"_shift_{next(iter(totals))}").isNotNull())
 
 
-def _apply_shifts(df: DataFrame, shifts: DataFrame, partition_by: list[str]) -> DataFrame:
-    right = shifts.select(*[F.col(c).alias(f"_r_{c}") for c in [*partition_by, "_bucket"]],
-                          *[c for c in shifts.columns if c.startswith("_shift_")])
-    same = F.col("_bucket") == F.col("_r__bucket")
-    for name in partition_by:
+def _joined(df: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with the other columns of ``right``, which has at most one row per ``keys``; nulls are equal."""
+    named = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = F.lit(True)
+    for name in keys:
         same = same & F.col(name).eqNullSafe(F.col(f"_r_{name}"))
-    return df.join(right, same, "left").drop(*[f"_r_{c}" for c in [*partition_by, "_bucket"]])
+    return df.join(named, same, "left").drop(*[f"_r_{k}" for k in keys])
+
+
+def _before(per_range: DataFrame, partition_by: list[str], totals: list[str]) -> DataFrame:
+    """``_shift_*``: totals of the same partition over earlier ranges (one row per partition and range)."""
+    earlier = Window.partitionBy(*partition_by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return per_range.withColumns({f"_shift_{n}": F.coalesce(F.sum(n).over(earlier), F.lit(0)) for n in totals})
 
 
 def add_row_number(
@@ -104,25 +65,20 @@ def add_row_number(
     order_by: list[Order],
     tiebreak: list[str],
     name: str = "posicion",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    ranges: int | None = None,
 ) -> DataFrame:
     """``row_number() over (partition by .. order by .., tiebreak)``; ``tiebreak`` makes rows unique.
 
-    ``df`` is read again to count, sample and shift: write an expensive one down first.
+    Rows move once, by their sort key. ``df`` is read a second time by Spark to sample the ranges.
     """
     order = _distinct_names([*((p, "asc") for p in partition_by), *order_by, *((t, "asc") for t in tiebreak)])
-    keyed = df.withColumn("_sort", F.struct(*[F.col(c) for c, _ in order]))
-    keyed, buckets = _with_bucket(keyed, order, rows_per_bucket)
-    local = Window.partitionBy(*partition_by, "_bucket").orderBy(*_window_order(order))
-    numbered = keyed.withColumn("_local", F.row_number().over(local))
-    if buckets <= 1:
-        return numbered.withColumn(name, F.col("_local").cast("bigint")).drop("_local", "_sort", "_bucket")
-    shifts = materialize(_shifts(keyed, partition_by, {"n": F.count(F.lit(1))}), "shifts")
-    return (
-        _apply_shifts(numbered, shifts, partition_by)
-        .withColumn(name, (F.col("_local") + F.coalesce("_shift_n", F.lit(0))).cast("bigint"))
-        .drop("_local", "_sort", "_bucket", "_shift_n")
-    )
+    placed = ranged(df, order, ranges)
+    # rows of a partition stand together in a range: its first place there is where its numbers start
+    starts = placed.groupBy(*partition_by, "_bucket").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    shifts = _before(starts, partition_by, ["_rows"]).withColumn("_shift", F.col("_shift__rows") - F.col("_first"))
+    shifts = materialize(shifts.select(*partition_by, "_bucket", "_shift"), "shifts")
+    numbered = _joined(placed, shifts, [*partition_by, "_bucket"])
+    return numbered.withColumn(name, (F.col("_place") + F.col("_shift") + 1).cast("bigint")).drop("_place", "_shift", "_bucket")
 
 
 def add_rank(
@@ -131,7 +87,7 @@ def add_rank(
     order_by: list[Order],
     rank: str | None = "rango",
     dense_rank: str | None = None,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    ranges: int | None = None,
 ) -> DataFrame:
     """``rank()`` and/or ``dense_rank()``: ties share a place, so distinct values are ranked.
 
@@ -140,49 +96,30 @@ def add_rank(
     """
     value_columns = [c for c, _ in order_by]
     counted = df.groupBy(*partition_by, *value_columns).agg(F.count(F.lit(1)).alias("_rows"))
-    values = materialize(counted, "values")
     order = _distinct_names([*((p, "asc") for p in partition_by), *order_by])
-    keyed = values.withColumn("_sort", F.struct(*[F.col(c) for c, _ in order]))
-    keyed, buckets = _with_bucket(keyed, order, rows_per_bucket)
-    local = Window.partitionBy(*partition_by, "_bucket").orderBy(*_window_order(order))
-    placed = keyed.withColumn("_dense", F.row_number().over(local)).withColumn(
+    values = ranged(counted, order, ranges)
+    local = Window.partitionBy(*partition_by, "_bucket").orderBy("_place")
+    placed = values.withColumn("_dense", F.row_number().over(local)).withColumn(
         "_rank", F.sum("_rows").over(local.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_rows") + 1
     )
-    if buckets > 1:
-        totals = {"rows": F.sum("_rows"), "values": F.count(F.lit(1))}
-        shifts = materialize(_shifts(keyed, partition_by, totals), "shifts")
-        placed = (
-            _apply_shifts(placed, shifts, partition_by)
-            .withColumn("_rank", F.col("_rank") + F.coalesce("_shift_rows", F.lit(0)))
-            .withColumn("_dense", F.col("_dense") + F.coalesce("_shift_values", F.lit(0)))
-        )
-    keys = [*partition_by, *value_columns]
+    per_range = values.groupBy(*partition_by, "_bucket").agg(F.sum("_rows").alias("rows"), F.count(F.lit(1)).alias("values"))
+    shifts = materialize(_before(per_range, partition_by, ["rows", "values"]).drop("rows", "values"), "shifts")
+    shifted = _joined(placed, shifts, [*partition_by, "_bucket"])
     places = materialize(
-        placed.select(
-            *[F.col(c).alias(f"_r_{c}") for c in keys],
-            *([F.col("_rank").cast("bigint").alias(rank)] if rank else []),
-            *([F.col("_dense").cast("bigint").alias(dense_rank)] if dense_rank else []),
+        shifted.select(
+            *dict.fromkeys([*partition_by, *value_columns]),
+            *([(F.col("_rank") + F.col("_shift_rows")).cast("bigint").alias(rank)] if rank else []),
+            *([(F.col("_dense") + F.col("_shift_values")).cast("bigint").alias(dense_rank)] if dense_rank else []),
         ),
         "places",
     )
-    same = F.lit(True)
-    for name in keys:
-        same = same & F.col(name).eqNullSafe(F.col(f"_r_{name}"))
-    return df.join(places, same, "left").drop(*[f"_r_{c}" for c in keys])
+    return _joined(df, places, list(dict.fromkeys([*partition_by, *value_columns])))
 
 
 def with_group_value(df: DataFrame, partition_by: list[str], **aggregates: Column) -> DataFrame:
     """``agg() over (partition by ..)`` beside each row, as a partial aggregate joined back."""
-    totals = materialize(
-        df.groupBy(*[F.col(c).alias(f"_r_{c}") for c in partition_by]).agg(
-            *[c.alias(n) for n, c in aggregates.items()]
-        ),
-        "group-values",
-    )
-    same = F.lit(True)
-    for name in partition_by:
-        same = same & F.col(name).eqNullSafe(F.col(f"_r_{name}"))
-    return df.join(totals, same, "left").drop(*[f"_r_{c}" for c in partition_by])
+    totals = df.groupBy(*partition_by).agg(*[c.alias(n) for n, c in aggregates.items()])
+    return _joined(df, materialize(totals, "group-values"), partition_by)
 
 
 def top_k(df: DataFrame, order_by: list[Order], k: int) -> DataFrame:

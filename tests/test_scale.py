@@ -21,7 +21,7 @@ def skewed(spark, n=9000):
 def test_ranks_equal_plain_windows(spark):
     df = skewed(spark).cache()
     for keys in (["clave"], []):
-        for limit in (300, 4_000_000):
+        for limit in (40, 1, None):
             ours = ranking.add_row_number(df, keys, [("valor", "desc")], ["id"], "n", limit)
             ours = ranking.add_rank(ours, keys, [("valor", "desc")], "r", "d", limit)
             by_row = Window.partitionBy(*keys).orderBy(F.col("valor").desc(), "id")
@@ -32,10 +32,21 @@ def test_ranks_equal_plain_windows(spark):
 
 
 def test_buckets_are_balanced_under_a_hot_key(spark):
-    keyed = skewed(spark).withColumn("_sort", F.struct("clave", "valor", "id"))
-    bucketed, buckets = ranking._with_bucket(keyed, [("clave", "asc"), ("valor", "desc"), ("id", "asc")], 450)
-    sizes = [r["count"] for r in bucketed.groupBy("_bucket").count().collect()]
-    assert buckets == 20 and max(sizes) < 3 * 450
+    dealt = ranking.ranged(skewed(spark), [("clave", "asc"), ("valor", "desc"), ("id", "asc")], 20)
+    sizes = [r["count"] for r in dealt.groupBy("_bucket").count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 3 * 450
+
+
+def test_many_ranges_put_nothing_into_a_row(spark):
+    """Bounds are Spark's own: the row gains two numbers whether there are two ranges or a thousand."""
+    df = skewed(spark, 3000)
+    for ranges in (2, 1000):
+        dealt = ranking.ranged(df, [("valor", "asc"), ("id", "asc")], ranges)
+        assert set(dealt.columns) - set(df.columns) == {"_bucket", "_place"}
+        plan = dealt._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and dealt.count() == 3000
+    ours = ranking.add_row_number(df, [], [("valor", "asc")], ["id"], "n", 1000)
+    assert ours.agg(F.sum("n"), F.countDistinct("n")).first()[:] == (3000 * 3001 // 2, 3000)
 
 
 def test_ranks_of_every_type(spark):
@@ -52,7 +63,7 @@ def test_ranks_of_every_type(spark):
         for direction in ("asc", "desc"):
             order = F.col(column).asc() if direction == "asc" else F.col(column).desc()
             want = rows.select("id", F.row_number().over(Window.orderBy(order, "id")).alias("n"), F.rank().over(Window.orderBy(order)).alias("r"))
-            ours = ranking.add_row_number(rows.select("id", column), [], [(column, direction)], ["id"], "n", 50)
+            ours = ranking.add_row_number(rows.select("id", column), [], [(column, direction)], ["id"], "n", 12)
             ours = ranking.add_rank(ours, [], [(column, direction)], "r", None, 7)
             assert sorted(map(tuple, ours.select("id", "n", "r").collect())) == sorted(map(tuple, want.collect())), (column, direction)
 
