@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from tamizal.llm import embedding_dedup, mixing, page_text, quality_rules, secret_scan, sentence_pieces, simhash_dedup, substring_dedup, token_files, toxicity
+from tamizal.llm import (
+    embedding_dedup,
+    mixing,
+    page_text,
+    prefix_trie,
+    quality_rules,
+    secret_scan,
+    sentence_pieces,
+    simhash_dedup,
+    substring_dedup,
+    token_files,
+    toxicity,
+    url_filter,
+    vector_codes,
+)
 
 QUERIES = {
     "op1_substring_dedup": (substring_dedup.op1_substring_dedup, substring_dedup.OP1_SQL),
@@ -15,4 +29,7 @@ QUERIES = {
     "op8_secret_scan": (secret_scan.op8_secret_scan, secret_scan.OP8_SQL),
     "op9_toxicity": (toxicity.op9_toxicity, None),
     "op10_mixing": (mixing.op10_mixing, mixing.OP10_SQL),
+    "op11_vector_codes": (vector_codes.op11_vector_codes, vector_codes.OP11_SQL),
+    "op12_url_filter": (url_filter.op12_url_filter, None),
+    "op13_prefix_trie": (prefix_trie.op13_prefix_trie, prefix_trie.OP13_SQL),
 }
