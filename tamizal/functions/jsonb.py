@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import json
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMERIC_KINDS = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"
+INTEGER_KINDS = "^(TINYINT|SMALLINT|INT|BIGINT)$"
+DECIMAL_KINDS = r"^DECIMAL\(\d+,(\d+)\)$"
+REAL_KINDS = "^(FLOAT|DOUBLE)$"
+_MOST_DIGITS = 38
 
 
 def _col(value: Column | str) -> Column:
@@ -51,7 +55,7 @@ def contains(value: Column | str, fragment: str | dict | list) -> Column:
     The literal fragment is unfolded while the plan is built: every object key becomes a path
     test, every array element an ``exists`` over the array of the row.
     """
-    wanted = json.loads(fragment) if isinstance(fragment, str) else fragment
+    wanted = json.loads(fragment, parse_float=Decimal) if isinstance(fragment, str) else fragment
     return F.coalesce(_contains(_col(value), wanted), F.lit(False))
 
 
@@ -80,6 +84,26 @@ def _contains(node: Column, wanted) -> Column:
     # the cheap value test goes first; "7" reads as the number 7, so the kind is compared too
     if isinstance(wanted, bool):
         return (F.try_variant_get(node, "$", "boolean") == F.lit(wanted)) & (F.schema_of_variant(node) == "BOOLEAN")
-    if isinstance(wanted, (int, float)):
-        return (F.try_variant_get(node, "$", "double") == F.lit(float(wanted))) & F.schema_of_variant(node).rlike(NUMERIC_KINDS)
+    if isinstance(wanted, (int, float, Decimal)):
+        return _same_number(node, Decimal(str(wanted)))
     return (F.try_variant_get(node, "$", "string") == F.lit(wanted)) & (F.schema_of_variant(node) == "STRING")
+
+
+def _same_number(node: Column, wanted: Decimal) -> Column:
+    """Equal as numbers, compared in the kind the row has: integers and decimals exactly, doubles as doubles."""
+    kind = F.schema_of_variant(node)
+    real = kind.rlike(REAL_KINDS) & (F.try_variant_get(node, "$", "double") == F.lit(float(wanted)))
+    whole = wanted == wanted.to_integral_value()
+    tests = [real]
+    if whole and -(1 << 63) <= wanted < 1 << 63:
+        tests.append(kind.rlike(INTEGER_KINDS) & (F.try_variant_get(node, "$", "bigint") == F.lit(int(wanted))))
+    digits = wanted.normalize().as_tuple()
+    scale = max(0, -digits.exponent)
+    before = max(len(digits.digits) + digits.exponent, 1)
+    if scale + before <= _MOST_DIGITS:
+        # a scale that holds the literal and what the row may have behind the point; wider ones are not equal
+        held = _MOST_DIGITS - before
+        places = F.coalesce(F.regexp_extract(kind, DECIMAL_KINDS, 1).try_cast("int"), F.lit(_MOST_DIGITS + 1))
+        exact = F.try_variant_get(node, "$", f"decimal({_MOST_DIGITS},{held})") == F.lit(format(wanted, "f")).cast(f"decimal({_MOST_DIGITS},{held})")
+        tests.append((places <= held) & exact)
+    return reduce(lambda a, b: a | b, [F.coalesce(t, F.lit(False)) for t in tests])

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +79,32 @@ def counted(df: DataFrame, test: Column) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count_if(holds(test)).alias("matched"), F.count(F.lit(1)).alias("scanned")), seen
 
 
+def counted_update(df: DataFrame, test: Column | None, values: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """``update_where`` with counters filled while it is written: rows ``matched``, ``modified`` and ``scanned``.
+
+    A matched row is modified when one of its values really changes, null counting as a value; one pass.
+    """
+    changed = update_where(df, test, values)
+    old = {name: f"_old_{i}" for i, name in enumerate(values)}
+    both = df.withColumns({o: F.col(n) for n, o in old.items()})
+    both = both.withColumn("_matched", holds(test) if test is not None else F.lit(True))
+    both = update_where(both, None if test is None else F.col("_matched"), values)
+    differs = reduce(or_, [~_comparable(df, n, n).eqNullSafe(_comparable(df, n, o)) for n, o in old.items()])
+    seen = Observation()
+    watched = both.observe(
+        seen, F.count_if("_matched").alias("matched"), F.count_if(F.col("_matched") & differs).alias("modified"), F.count(F.lit(1)).alias("scanned")
+    )
+    return watched.select(*changed.columns), seen
+
+
+def _comparable(df: DataFrame, name: str, column: str) -> Column:
+    """Maps and variants have no equality of their own: they are compared as JSON text, maps by sorted entries."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.MapType):
+        return F.to_json(F.array_sort(F.map_entries(column)))
+    return F.to_json(F.col(column)) if isinstance(kind, T.VariantType) else F.col(column)
+
+
 def insert_rows(df: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """Append ``new``; a key already taken, or sent twice, raises."""
     taken = new.select(*key).join(df.select(*key), key, "left_semi")

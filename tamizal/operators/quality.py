@@ -17,13 +17,16 @@ from pyspark.sql import functions as F
 
 from tamizal.functions.jsonb import struct_text
 from tamizal.session import materialize_all
+from tamizal.sources.records import INVALID
 
 LINEAGE = ["lote_id", "archivo_origen", "numero_fila", "ingerido_en"]
 EVIDENCE = "evidencia_original"
 CODE = "codigo_error"
+_MALFORMED = "_malformed"
 
 MISSING_REQUIRED = "MISSING_REQUIRED"
 DUPLICATE_KEY = "DUPLICATE_KEY"
+MALFORMED_RECORD = "MALFORMED_RECORD"
 
 
 class QualityGateError(RuntimeError):
@@ -56,13 +59,19 @@ class EntitySpec:
 
 
 def normalize(raw: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Typed columns, lineage, and the row as received."""
+    """Typed columns, lineage, and the row as received.
+
+    A record whose fields do not fit the columns (``registro_invalido``) has no columns, so it takes no key, and
+    its evidence is the record itself.
+    """
     received = struct_text(*[F.col(c).cast("string").alias(c) for c in spec.columns])
-    return raw.select(
-        *[clean(name).alias(name) for name, clean in spec.columns.items()],
-        *LINEAGE,
-        received.alias(EVIDENCE),
-    )
+    if INVALID not in raw.columns:
+        typed = [clean(name).alias(name) for name, clean in spec.columns.items()]
+        return raw.select(*typed, *LINEAGE, received.alias(EVIDENCE), F.lit(False).alias(_MALFORMED))
+    malformed = F.col(INVALID).isNotNull()
+    typed = [F.when(~malformed, clean(name)).alias(name) for name, clean in spec.columns.items()]
+    evidence = F.when(malformed, struct_text(INVALID)).otherwise(received)
+    return raw.select(*typed, *LINEAGE, evidence.alias(EVIDENCE), malformed.alias(_MALFORMED))
 
 
 def _position() -> Column:
@@ -131,7 +140,7 @@ def evaluate(
         flags.append((reference.code, flag))
 
     absent = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in spec.required])
-    code = F.when(absent, F.lit(MISSING_REQUIRED)).when(repeated, F.lit(DUPLICATE_KEY))
+    code = F.when(F.col(_MALFORMED), F.lit(MALFORMED_RECORD)).when(absent, F.lit(MISSING_REQUIRED)).when(repeated, F.lit(DUPLICATE_KEY))
     for label, broken in spec.rules:
         code = code.when(broken(), F.lit(label))
     for label, flag in flags:

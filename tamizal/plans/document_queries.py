@@ -15,7 +15,7 @@ from tamizal.operators.relational import exact_mean
 from tamizal.operators.views import Snapshot
 from tamizal.plans import dirty
 from tamizal.plans.entities import ENTITIES
-from tamizal.plans.relational_queries import table
+from tamizal.plans.relational_queries import TABLES, table
 from tamizal.session import materialize, scratch_path
 from tamizal.sources.bronze import read_csv, with_lineage
 from tamizal.sources.layout import read_time_range, write_time_series
@@ -407,7 +407,7 @@ def clean_metric_text(spark, sf):
 def schema_inventory(spark, sf):
     """Columns by table and position, with the rows and the filled values each column has."""
     out = None
-    for name in ("region", "nation", "customer", "supplier", "part", "orders"):
+    for name in TABLES:
         df = table(spark, sf, name)
         measured = df.agg(F.array(*[
             F.struct(F.lit(name).alias("tabla"), F.lit(i).cast("bigint").alias("posicion"), F.lit(f.name).alias("columna"), F.count(f.name).alias("no_nulas"))
@@ -438,6 +438,14 @@ def _queries():
         "supplier": "s_suppkey s_name s_nationkey s_acctbal",
         "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
         "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+        "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate",
+        "events": "event_id ts user_id event_type value props",
+        "documents": "doc_id text lang source n_chars",
+        "embeddings": "vec_id embedding label",
+        "pages": "page_id url html",
+        "benchmark": "item_id text",
+        "labels": "doc_id quality toxic",
+        "conversations": "conv_id turn role text",
     }
     return {
         "nested_build": (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tamizal.functions.calendar import calendar_columns, date_key
 from tamizal.functions.jsonb import parse
 from tamizal.operators.nesting import nest
-from tamizal.operators.relational import rounded
+from tamizal.operators.relational import quotient
 from tamizal.plans.entities import METRIC_KEYS
 
 
@@ -144,7 +144,7 @@ def mean_by_date_and_metric(gold: dict[str, DataFrame]) -> DataFrame:
     return (
         reduced.join(gold["dim_fecha"].select("fecha_key", "fecha"), "fecha_key")
         .join(gold["dim_metrica"].select("metrica_key", F.col("nombre").alias("metrica")), "metrica_key")
-        .select("fecha", "metrica", rounded(F.col("total").cast("double") / F.col("mediciones")).alias("promedio"), "mediciones")
+        .select("fecha", "metrica", quotient(F.col("total"), F.col("mediciones")).alias("promedio"), "mediciones")
         .orderBy("fecha", "metrica")
     )
 
@@ -167,7 +167,7 @@ def accuracy_by_owner(gold: dict[str, DataFrame], metric: str = "accuracy") -> D
         .join(datasets, "dataset_key")
         .join(owners, "usuario_key")
         .groupBy("propietario", "dataset")
-        .agg(rounded(F.sum("total").cast("double") / F.sum("n")).alias(f"{metric}_promedio"))
+        .agg(quotient(F.sum("total"), F.sum("n")).alias(f"{metric}_promedio"))
         .orderBy(F.desc(f"{metric}_promedio"), "propietario", "dataset")
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tamizal.functions import jsonb
 from tamizal.operators.ranking import add_rank, add_row_number, top_k, with_group_value
-from tamizal.operators.relational import count_children, exact_mean, rounded
+from tamizal.operators.relational import count_children, exact_mean, rounded_mean
 from tamizal.operators.views import create_view
 
 Tables = dict[str, DataFrame]
@@ -148,7 +148,7 @@ def datasets_by_size(t: Tables) -> DataFrame:
 
 def mean_by_date_and_metric(t: Tables) -> DataFrame:
     return _metrics(t).groupBy(F.to_date("fecha_registro").alias("fecha"), "metrica").agg(
-        rounded(exact_mean("valor")).alias("promedio"), F.count(F.lit(1)).alias("mediciones")
+        rounded_mean("valor").alias("promedio"), F.count(F.lit(1)).alias("mediciones")
     )
 
 

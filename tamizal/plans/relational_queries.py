@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from tamizal.functions.calendar import calendar_columns
 from tamizal.operators.profile import column_profile
 from tamizal.operators.ranking import add_rank, add_row_number, top_k, with_group_value
-from tamizal.operators.relational import count_children, exact_mean, repeated_at, rounded, visible, with_match, without_match
+from tamizal.operators.relational import count_children, exact_mean, quotient, repeated_at, rounded, rounded_mean, visible, with_match, without_match
 from tamizal.session import materialize
 
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -121,7 +125,7 @@ def compound_on(spark, sf):
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .groupBy("r_name", "n_name")
         .agg(F.sum("total").alias("t"), F.sum("n").alias("mediciones"))
-        .select("r_name", "n_name", rounded(F.col("t").cast("double") / F.col("mediciones")).alias("promedio"), "mediciones")
+        .select("r_name", "n_name", quotient(F.col("t"), F.col("mediciones")).alias("promedio"), "mediciones")
     )
 
 
@@ -192,7 +196,7 @@ def agg_basic(spark, sf):
         table(spark, sf, "events")
         .groupBy("event_type")
         .agg(
-            rounded(exact_mean("value")).alias("promedio"),
+            rounded_mean("value").alias("promedio"),
             F.min("value").alias("minimo"),
             F.max("value").alias("maximo"),
             F.count(F.lit(1)).alias("cantidad"),
@@ -212,8 +216,7 @@ def agg_multi_key(spark, sf):
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .groupBy("r_name", "n_name", "c_mktsegment")
-        .agg((F.sum("total").cast("double") / F.sum("n")).alias("p"), F.sum("n").alias("cantidad"))
-        .select("r_name", "n_name", "c_mktsegment", rounded(F.col("p")).alias("promedio"), "cantidad")
+        .agg(quotient(F.sum("total"), F.sum("n")).alias("promedio"), F.sum("n").alias("cantidad"))
     )
 
 
@@ -277,10 +280,11 @@ def global_counts(spark, sf):
 
 
 def profile(spark, sf):
+    """Every column of the orders with its type's measures; the approximate ones are left to ``column_profile``."""
     profiled = column_profile(table(spark, sf, "orders"))
     return profiled.select(
-        "columna", "filas", "nulos", "minimo", "maximo", rounded(F.col("media")).alias("media")
-    ).where(F.col("columna") != "o_orderdate")
+        "columna", "filas", "nulos", "minimo", "maximo", "primero", "ultimo", rounded(F.col("media")).alias("media"), rounded(F.col("desviacion"), 2).alias("desviacion")
+    )
 
 
 def dup_at_grain(spark, sf):
@@ -292,7 +296,7 @@ def fact_mean_by_day(spark, sf):
     events = table(spark, sf, "events").withColumn("fecha", F.to_date("ts"))
     dim = events.select("fecha").distinct().select(*calendar_columns("fecha"))
     reduced = events.groupBy("fecha", "event_type").agg(
-        rounded(exact_mean("value")).alias("promedio"), F.count(F.lit(1)).alias("mediciones")
+        rounded_mean("value").alias("promedio"), F.count(F.lit(1)).alias("mediciones")
     )
     return (
         reduced.join(dim, "fecha")
@@ -353,8 +357,7 @@ def nulls_last(spark, sf):
 
 
 def union_all_counts(spark, sf):
-    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-    parts = [table(spark, sf, n).agg(F.count(F.lit(1)).alias("cantidad")).select(F.lit(n).alias("objeto"), "cantidad") for n in names]
+    parts = [table(spark, sf, n).agg(F.count(F.lit(1)).alias("cantidad")).select(F.lit(n).alias("objeto"), "cantidad") for n in TABLES]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -484,11 +487,13 @@ QUERIES = {
         " UNION ALL ".join(
             f"SELECT '{c}' AS columna, COUNT(*) AS filas, COUNT(*) - COUNT({c}) AS nulos, "
             + (
-                f"CAST(MIN({c}) AS DOUBLE) AS minimo, CAST(MAX({c}) AS DOUBLE) AS maximo, CAST(round(CAST({_MEAN.format(c=c)} AS DECIMAL(28,10)), 4) AS DOUBLE) AS media FROM orders"
+                f"CAST(MIN({c}) AS DOUBLE) AS minimo, CAST(MAX({c}) AS DOUBLE) AS maximo, CAST(NULL AS VARCHAR) AS primero, CAST(NULL AS VARCHAR) AS ultimo, "
+                f"CAST(round(CAST({_MEAN.format(c=c)} AS DECIMAL(28,10)), 4) AS DOUBLE) AS media, round(stddev_samp({c}), 2) AS desviacion FROM orders"
                 if number
-                else "CAST(NULL AS DOUBLE) AS minimo, CAST(NULL AS DOUBLE) AS maximo, CAST(NULL AS DOUBLE) AS media FROM orders"
+                else f"CAST(NULL AS DOUBLE) AS minimo, CAST(NULL AS DOUBLE) AS maximo, CAST(MIN({c}) AS VARCHAR) AS primero, CAST(MAX({c}) AS VARCHAR) AS ultimo, "
+                "CAST(NULL AS DOUBLE) AS media, CAST(NULL AS DOUBLE) AS desviacion FROM orders"
             )
-            for c, number in (("o_orderkey", 1), ("o_custkey", 1), ("o_orderstatus", 0), ("o_totalprice", 1), ("o_orderpriority", 0))
+            for c, number in (("o_orderkey", 1), ("o_custkey", 1), ("o_orderstatus", 0), ("o_totalprice", 1), ("o_orderdate", 0), ("o_orderpriority", 0))
         ),
     ),
     "dup_at_grain": (dup_at_grain, "SELECT l_orderkey, l_partkey, COUNT(*) AS veces FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1"),
@@ -518,7 +523,7 @@ QUERIES = {
     ),
     "union_all_counts": (
         union_all_counts,
-        " UNION ALL ".join(f"SELECT '{n}' AS objeto, COUNT(*) AS cantidad FROM {n}" for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")),
+        " UNION ALL ".join(f"SELECT '{n}' AS objeto, COUNT(*) AS cantidad FROM {n}" for n in TABLES),
     ),
     "union_distinct_dates": (union_distinct_dates, "SELECT CAST(o_orderdate AS DATE) AS fecha FROM orders UNION SELECT CAST(ts AS DATE) FROM events"),
     "calendar_key": (

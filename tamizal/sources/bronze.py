@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tamizal.plans.entities import ENTITIES
 from tamizal.session import materialize, side_by_side
+from tamizal.sources.records import INVALID, read_records
 
 
 class LandingError(RuntimeError):
@@ -63,10 +64,18 @@ def with_lineage(rows: DataFrame, ingested_at: Column) -> DataFrame:
     )
 
 
+def read_entity(spark: SparkSession, path: str | list[str], entity: str, ingested_at: Column) -> DataFrame:
+    """Text rows of CSV files with lineage: quoted line breaks, surplus and missing fields included, in many tasks."""
+    rows = read_records(spark, path, list(ENTITIES[entity].columns))
+    return rows.withColumns({
+        "lote_id": batch_id("archivo_origen"), "numero_fila": F.col("numero_fila").cast("bigint"), "ingerido_en": ingested_at
+    })
+
+
 def read_batches(spark: SparkSession, root: str, entity: str, ingested_at: Column | None = None) -> DataFrame:
     """All batches ``root/lote=*/<entity>.csv`` with lineage."""
     now = F.current_timestamp() if ingested_at is None else ingested_at
-    return with_lineage(read_csv(spark, f"{root}/lote=*/{entity}.csv", entity), now)
+    return read_entity(spark, f"{root}/lote=*/{entity}.csv", entity, now)
 
 
 def _listed(spark: SparkSession, path: str) -> DataFrame | None:
@@ -91,7 +100,8 @@ def land_batch(
     """Land ``incoming/lote=<lote>`` into the text tables under ``bronze``.
 
     True when it landed, False when it was there already. A batch that is not allowed, lacks an
-    entity, or was left half landed raises, and nothing already landed is touched.
+    entity, or was left half landed raises, and nothing already landed is touched. So does a file with another
+    header or a quote that never closes; a record with surplus or missing fields lands whole, to be rejected.
     """
     if allowed is not None and lote not in allowed:
         raise LandingError(f"batch not allowed: {lote}")
@@ -111,7 +121,7 @@ def land_batch(
     now = F.current_timestamp() if ingested_at is None else ingested_at
 
     def land(entity: str) -> None:
-        rows = with_lineage(read_csv(spark, f"{incoming}/lote={lote}/{entity}.csv", entity), now)
+        rows = read_entity(spark, f"{incoming}/lote={lote}/{entity}.csv", entity, now)
         rows.write.mode("errorifexists").option("compression", "zstd").parquet(f"{bronze}/{entity}/lote={lote}")
 
     side_by_side(spark, [partial(land, entity) for entity in ENTITIES])
@@ -125,5 +135,7 @@ def land_batch(
 def read_bronze(spark: SparkSession, bronze: str, entity: str) -> DataFrame:
     """Landed text rows of complete batches; the folder of the batch prunes by ``lote``."""
     complete = landed_batches(spark, bronze).select(F.col("lote_id").alias("_complete"))
-    rows = spark.read.option("basePath", f"{bronze}/{entity}").parquet(f"{bronze}/{entity}")
+    columns = [f"`{c}` string" for c in [*ENTITIES[entity].columns, INVALID, "archivo_origen"]]
+    schema = ", ".join([*columns, "numero_fila bigint, lote_id string, ingerido_en timestamp, lote string"])
+    rows = spark.read.schema(schema).option("basePath", f"{bronze}/{entity}").parquet(f"{bronze}/{entity}")
     return rows.join(complete, F.col("lote") == F.col("_complete"), "left_semi").drop("lote")

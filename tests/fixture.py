@@ -1,11 +1,18 @@
-"""A small registry in two batches: batch one is clean, batch two holds one defect per row."""
+"""A made-up observatory's registry in two batches, grown by rules on the key, with its answers in plain Python.
+
+Batch one is clean. Batch two mixes rows in untidy spelling with rows that have one planted defect each;
+which defect a row has follows from its place in the list. Expected results are computed from the rows.
+"""
 
 from __future__ import annotations
 
 import csv
+import json
+from collections import Counter, defaultdict
+from fractions import Fraction
 from pathlib import Path
 
-BATCH_ONE, BATCH_TWO = "lote_01_inicial", "lote_02_nuevos"
+BATCH_ONE, BATCH_TWO = "ronda_1", "ronda_2"
 
 HEADERS = {
     "usuarios": "id nombre email activo fecha_alta",
@@ -17,151 +24,161 @@ HEADERS = {
     "experimentos_modelos": "experimento_id modelo_id parametros resultado parametros_jsonb",
     "metricas": "id experimento_id nombre valor fecha_registro",
 }
+USERS, DATASETS, MODELS, EXPERIMENTS = 11, 17, 8, 21
+SOURCES = ["Telescopio", "Radar", "Libreta", "Boya"]
+DETAILS = {"Espejo norte": 1, "Espejo sur": 1, "Antena": 2, "Cuaderno": 3, "Boya vieja": 4}
+MODEL_KINDS = ["Árbol", "Red", "Recta"]
+
+
+def _day(i: int, month: int) -> str:
+    return f"2025-{month:02d}-{1 + i * 5 % 27:02d}"
+
+
+def _accuracy(i: int) -> float:
+    return (40 + i * 29 % 53) / 100
+
+
+def _metrics() -> list[tuple]:
+    """Every experiment but each seventh has an accuracy; the rest by divisors of the key."""
+    rows: list[tuple] = []
+    for i in range(1, EXPERIMENTS + 1):
+        values = {} if i % 7 == 0 else {"accuracy": _accuracy(i)}
+        if i % 2:
+            values["precision"] = (35 + i * 17 % 61) / 100
+        if i % 3:
+            values["recall"] = (30 + i * 13 % 67) / 100
+        if i % 7 == 0:
+            values["mae"] = i * 1.375
+        for name, value in values.items():
+            rows.append((len(rows) + 1, i, name, value, f"{_day(i, 6)}T20:{len(rows) % 60:02d}:00Z"))
+    return rows
+
+
+def _parameters(experiment: int, model: int) -> dict:
+    kinds = [{"depth": 2 + experiment % 4, "rule": "gini" if experiment % 2 else "gain"}, {"layers": [experiment % 3 + 1, 4], "cut": round(0.1 + experiment / 40, 3)}, {"ridge": experiment % 5 == 0}]
+    return kinds[(model - 1) % len(MODEL_KINDS)]
+
+
+def _runs() -> list[tuple]:
+    pairs = [(e, m) for e in range(1, EXPERIMENTS + 1) for m in sorted({e % (MODELS - 1) + 1, (e * e) % (MODELS - 1) + 1} if e % 3 == 0 else {e % (MODELS - 1) + 1})]
+    return [(e, m, ";".join(f"{k}={v}" for k, v in _parameters(e, m).items()), f"r{e}.{m}", json.dumps(_parameters(e, m), separators=(",", ":"))) for e, m in pairs]
+
+
+def _detail(i: int) -> str:
+    return list(DETAILS)[i % len(DETAILS)]
+
 
-# Keys, references, measures, parameters and dates that the expected results depend on.
 BATCH_ONE_ROWS: dict[str, list[tuple]] = {
-    "usuarios": [
-        (1, "Irene Solano", "irene@example.com", "true", "2026-03-01T09:01:00Z"),
-        (2, "Bruno Cano", "bruno@example.com", "true", "2026-03-01T09:02:00Z"),
-        (3, "Olga Prieto", "olga@example.com", "true", "2026-03-01T09:03:00Z"),
-        (4, "Raúl Medina", "raul@example.com", "true", "2026-03-01T09:04:00Z"),
-        (5, "Tomás Vidal", "tomas@example.com", "true", "2026-03-01T09:05:00Z"),
-        (6, "Nuria Lagos", "nuria@example.com", "true", "2026-03-01T09:06:00Z"),
-        (7, "Cuenta sin datos", "cuenta@example.com", "true", "2026-03-01T09:07:00Z"),
-    ],
-    "tipos_fuente": [
-        (1, "IoT"),
-        (2, "Sistema interno"),
-        (3, "Aplicación"),
-        (4, "Multimedia"),
-        (5, "Servicio de respuestas"),
-        (6, "Servicio externo"),
-    ],
-    "datasets": [
-        (1, 1, "Mareas del puerto", 1, "IoT", 15000, "2026-03-01T11:01:00Z"),
-        (2, 1, "Fotos de hojas", 4, "Visión computacional", 5000, "2026-03-01T11:02:00Z"),
-        (3, 2, "Pedidos de la tienda", 2, "Caja", 25000, "2026-03-01T11:03:00Z"),
-        (4, 3, "Reseñas de libros", 3, "Sitio", 8000, "2026-03-01T11:04:00Z"),
-        (5, 4, "Vibración de bombas", 1, "Planta", 42000, "2026-03-01T11:05:00Z"),
-        (6, 5, "Pagos con tarjeta", 2, "Banco", 120000, "2026-03-01T11:06:00Z"),
-        (7, 6, "Cartas de lectores", 5, "Redacción", 18000, "2026-03-01T11:07:00Z"),
-        (8, 6, "Notas de voz", 5, "Contestador", 9000, "2026-03-01T11:08:00Z"),
-        (9, 1, "Viento en la costa", 6, "Boya", 65000, "2026-03-01T11:09:00Z"),
-    ],
-    "tipos_modelo": [
-        (1, "Clasificación"),
-        (2, "Clustering"),
-        (3, "Regresión"),
-        (4, "Visión computacional"),
-    ],
-    "modelos": [
-        (1, 1, "Aviso de marea", 1, "v1", "2026-03-01T12:01:00Z"),
-        (2, 1, "Lector de hojas", 4, "v1", "2026-03-01T12:02:00Z"),
-        (3, 2, "Curva de pedidos", 3, "v1", "2026-03-01T12:03:00Z"),
-        (4, 3, "Tono de reseñas", 1, "v1", "2026-03-01T12:04:00Z"),
-        (5, 4, "Oído de bombas", 1, "v1", "2026-03-01T12:05:00Z"),
-        (6, 5, "Filtro de pagos", 1, "v2", "2026-03-01T12:06:00Z"),
-        (7, 5, "Grupos de compra", 2, "v1", "2026-03-01T12:07:00Z"),
-        (8, 6, "Buzón de cartas", 1, "v1", "2026-03-01T12:08:00Z"),
-        (9, 1, "Mapa de viento", 3, "v2", "2026-03-01T12:09:00Z"),
-    ],
-    "experimentos": [
-        (1, 1, "Experimento marea v1", "Prueba 1.", "2026-03-02", "true"),
-        (2, 2, "Experimento hojas v1", "Prueba 2.", "2026-03-02", "true"),
-        (3, 3, "Experimento pedidos v1", "Prueba 3.", "2026-03-02", "false"),
-        (4, 9, "Experimento marea v2", "Prueba 4.", "2026-03-09", "true"),
-        (5, 5, "Experimento bombas v1", "Prueba 5.", "2026-03-09", "true"),
-        (6, 6, "Experimento pagos v1", "Prueba 6.", "2026-03-09", "true"),
-        (7, 6, "Experimento pagos v2", "Prueba 7.", "2026-03-10", "false"),
-        (8, 7, "Experimento cartas v1", "Prueba 8.", "2026-03-10", "true"),
-        (9, 7, "Experimento cartas v2", "Prueba 9.", "2026-03-10", "false"),
-    ],
-    "experimentos_modelos": [
-        (1, 1, "max_depth=5;criterion=gini", "Resultado de 1 con 1", '{"max_depth":5,"criterion":"gini"}'),
-        (2, 2, "epochs=10;batch_size=32;optimizer=adam", "Resultado de 2 con 2", '{"epochs":10,"batch_size":32,"optimizer":"adam"}'),
-        (3, 3, "test_size=0.2;random_state=42", "Resultado de 3 con 3", '{"test_size":0.2,"random_state":42}'),
-        (4, 9, "max_depth=8;criterion=gini", "Resultado de 4 con 9", '{"max_depth":8,"criterion":"gini"}'),
-        (5, 5, "max_depth=6;criterion=entropy", "Resultado de 5 con 5", '{"max_depth":6,"criterion":"entropy"}'),
-        (6, 6, "threshold=0.65;class_weight=balanced", "Resultado de 6 con 6", '{"threshold":0.65,"class_weight":"balanced"}'),
-        (6, 7, "n_clusters=4;algorithm=k-means", "Resultado de 6 con 7", '{"n_clusters":4,"algorithm":"k-means"}'),
-        (7, 6, "threshold=0.45;class_weight=balanced", "Resultado de 7 con 6", '{"threshold":0.45,"class_weight":"balanced"}'),
-        (8, 8, "max_features=5000;ngram_range=[1, 1]", "Resultado de 8 con 8", '{"max_features":5000,"ngram_range":[1,1]}'),
-        (9, 8, "max_features=8000;ngram_range=[1, 2];class_weight=balanced", "Resultado de 9 con 8", '{"max_features":8000,"ngram_range":[1,2],"class_weight":"balanced"}'),
-    ],
-    "metricas": [
-        (1, 1, "accuracy", 0.82, "2026-03-02T18:01:00Z"),
-        (2, 1, "precision", 0.79, "2026-03-02T18:02:00Z"),
-        (3, 1, "recall", 0.75, "2026-03-02T18:03:00Z"),
-        (4, 2, "accuracy", 0.91, "2026-03-02T18:04:00Z"),
-        (5, 2, "f1_score", 0.88, "2026-03-02T18:05:00Z"),
-        (6, 3, "mae", 12.45, "2026-03-02T18:06:00Z"),
-        (7, 4, "accuracy", 0.86, "2026-03-09T18:07:00Z"),
-        (8, 4, "precision", 0.83, "2026-03-09T18:08:00Z"),
-        (9, 4, "recall", 0.81, "2026-03-09T18:09:00Z"),
-        (10, 4, "f1_score", 0.82, "2026-03-09T18:10:00Z"),
-        (11, 5, "accuracy", 0.78, "2026-03-09T18:11:00Z"),
-        (12, 5, "precision", 0.76, "2026-03-09T18:12:00Z"),
-        (13, 5, "recall", 0.72, "2026-03-09T18:13:00Z"),
-        (14, 5, "f1_score", 0.74, "2026-03-09T18:14:00Z"),
-        (15, 6, "accuracy", 0.94, "2026-03-09T18:15:00Z"),
-        (16, 6, "precision", 0.96, "2026-03-09T18:16:00Z"),
-        (17, 6, "recall", 0.61, "2026-03-09T18:17:00Z"),
-        (18, 6, "f1_score", 0.75, "2026-03-09T18:18:00Z"),
-        (19, 7, "accuracy", 0.89, "2026-03-10T18:19:00Z"),
-        (20, 7, "precision", 0.82, "2026-03-10T18:20:00Z"),
-        (21, 7, "recall", 0.79, "2026-03-10T18:21:00Z"),
-        (22, 7, "f1_score", 0.8, "2026-03-10T18:22:00Z"),
-        (23, 8, "accuracy", 0.87, "2026-03-10T18:23:00Z"),
-        (24, 8, "precision", 0.84, "2026-03-10T18:24:00Z"),
-        (25, 8, "recall", 0.77, "2026-03-10T18:25:00Z"),
-        (26, 8, "f1_score", 0.8, "2026-03-10T18:26:00Z"),
-        (27, 9, "accuracy", 0.85, "2026-03-10T18:27:00Z"),
-        (28, 9, "precision", 0.79, "2026-03-10T18:28:00Z"),
-        (29, 9, "recall", 0.83, "2026-03-10T18:29:00Z"),
-        (30, 9, "f1_score", 0.81, "2026-03-10T18:30:00Z"),
-    ],
+    "usuarios": [(i, f"Observadora {chr(64 + i)}", f"obs{i}@cielo.example", "false" if i % 4 == 0 else "true", f"{_day(i, 1)}T08:00:00Z") for i in range(1, USERS + 1)],
+    "tipos_fuente": list(enumerate(SOURCES, start=1)),
+    "datasets": [(i, 1 + i * i % (USERS - 2), f"Noche {i:02d}", DETAILS[_detail(i)], _detail(i), i * 311 % 2000, f"{_day(i, 2)}T10:30:00Z") for i in range(1, DATASETS + 1)],
+    "tipos_modelo": list(enumerate(MODEL_KINDS, start=1)),
+    "modelos": [(i, 1 + i * 3 % USERS, f"Lente {i}", 1 + (i - 1) % len(MODEL_KINDS), f"v{1 + i % 3}", f"{_day(i, 3)}T12:00:00Z") for i in range(1, MODELS + 1)],
+    "experimentos": [(i, 1 + i * 4 % (DATASETS - 3), f"Ensayo {i:02d}", f"Vuelta {i}", _day(i, 5), "false" if i % 5 == 0 else "true") for i in range(1, EXPERIMENTS + 1)],
+    "experimentos_modelos": _runs(),
+    "metricas": _metrics(),
 }
 
-# Keys, defects and the code that each row of batch two must get (None: accepted).
-BATCH_TWO_ROWS: dict[str, list[tuple[tuple, str | None]]] = {
-    "usuarios": [
-        ((8, "  Julia Ferrer  ", " JULIA@EXAMPLE.COM ", "Sí", "15/03/2026 09:00:00"), None),
-        ((9, "Persona sin dirección", "", "true", "2026-03-15T09:10:00Z"), "MISSING_REQUIRED"),
-        ((1, "Irene repetida", "irene.repetida@example.com", "true", "2026-03-15T09:20:00Z"), "DUPLICATE_KEY"),
-    ],
-    "tipos_fuente": [((7, " Archivo "), None)],
-    "tipos_modelo": [((5, " Generativo "), None)],
-    "datasets": [
-        ((10, 8, " Trazas del servicio ", 7, " hoja suelta ", 12500, "15/03/2026 10:00:00"), None),
-        ((11, 8, "Menos que nada", 7, "Hoja suelta", -10, "2026-03-15T10:10:00Z"), "NEGATIVE_QUANTITY"),
-        ((12, 999, "Dueño ausente", 7, "Hoja suelta", 100, "2026-03-15T10:20:00Z"), "UNKNOWN_USER"),
-        ((13, 8, "Clase ausente", 999, "Hoja suelta", 100, "2026-03-15T10:30:00Z"), "UNKNOWN_SOURCE_TYPE"),
-    ],
-    "modelos": [
-        ((10, 8, " Redactor de respuestas ", 5, " V1 ", "15/03/2026 11:00:00"), None),
-        ((11, 999, "Dueño ausente", 5, "v1", "2026-03-15T11:10:00Z"), "UNKNOWN_USER"),
-        ((12, 8, "Clase ausente", 999, "v1", "2026-03-15T11:20:00Z"), "UNKNOWN_MODEL_TYPE"),
-    ],
-    "experimentos": [
-        ((10, 10, " Experimento respuestas v1 ", "Primera vuelta.", "15/03/2026", "SI"), None),
-        ((11, 999, "Datos ausentes", "Sin padre.", "2026-03-15", "true"), "UNKNOWN_DATASET"),
-        ((12, 10, "Día imposible", "Día 31.", "31/02/2026", "true"), "INVALID_DATE"),
-        ((13, 10, "Estado dudoso", "Sin estado.", "2026-03-15", "quizás"), "INVALID_BOOLEAN"),
-    ],
-    "experimentos_modelos": [
-        ((10, 10, "temperature=0.2", "Primer resultado", '{"temperature":0.2}'), None),
-        ((10, 999, "temperature=0.4", "Modelo ausente", '{"temperature":0.4}'), "UNKNOWN_MODEL"),
-        ((10, 10, "temperature=0.2", "Fila repetida", '{"temperature":0.2}'), "DUPLICATE_KEY"),
-    ],
-    "metricas": [
-        ((31, 10, " Accuracy ", "0,87", "15/03/2026 18:00:00"), None),
-        ((32, 10, "recall", "87%", "2026-03-15T18:01:00Z"), None),
-        ((33, 10, "loss", "-0.10", "2026-03-15T18:02:00Z"), "INVALID_RANGE"),
-        ((34, 999, "accuracy", "0.90", "2026-03-15T18:03:00Z"), "UNKNOWN_EXPERIMENT"),
-        ((35, 10, "métrica_desconocida", "0.50", "2026-03-15T18:04:00Z"), "UNKNOWN_METRIC_CATEGORY"),
-        ((36, 10, "accuracy", "0.90", "31/02/2026 18:05:00"), "INVALID_DATE"),
-    ],
-}
+
+def _second_batch() -> dict[str, list[tuple[tuple, str | None]]]:
+    """(row, code it must get or None); keys go on where batch one ends, and 70 and up are nobody's."""
+    u, d, m, e, n = USERS, DATASETS, MODELS, EXPERIMENTS, len(BATCH_ONE_ROWS["metricas"])
+    rows: dict[str, list[tuple[tuple, str | None]]] = {
+        "usuarios": [
+            ((u + 1, "  Vigía   Uno ", " VIGIA@Cielo.Example", "sí", "09/07/2025 07:15:00"), None),
+            ((u + 2, " Vigía Dos", "dos@cielo.example ", "0", "2025-07-09 07:20"), None),
+            ((u + 3, "", "tres@cielo.example", "no", "2025-07-09T07:30:00Z"), "MISSING_REQUIRED"),
+            ((u + 4, "Vigía Cuatro", "", "no", "2025-07-09T07:31:00Z"), "MISSING_REQUIRED"),
+            ((u + 1, "Otra Vigía", "otra@cielo.example", "true", "2025-07-09T07:32:00Z"), "DUPLICATE_KEY"),
+            ((u + 5, "Vigía Cinco", "cinco@cielo.example", "tal vez", "2025-07-09T07:33:00Z"), "INVALID_BOOLEAN"),
+        ],
+        "tipos_fuente": [((5, "  Satélite "), None), ((2, "Radar bis"), "DUPLICATE_KEY")],
+        "tipos_modelo": [((4, " Mezcla"), None)],
+        "datasets": [((d + 1, u + 1, " Noche  larga ", 5, " disco ", 77, "10/07/2025 06:00:00"), None)],
+        "modelos": [((m + 1, u + 2, " Lente 9 ", 4, "  V2 ", "10/07/2025 06:30:00"), None)],
+        "experimentos": [((e + 1, d + 1, "Ensayo  final", "Última.", "11/07/2025", "SI"), None), ((e + 2, 1, "Ensayo extra", "Más.", "2025/7/11", "f"), None)],
+        "experimentos_modelos": [((e + 1, m + 1, "mix=0.5", "bien", '{"mix":0.5}'), None)],
+        "metricas": [((n + 1, e + 1, "  Accuracy", "0,625", "11/07/2025 21:00:00"), None), ((n + 2, e + 1, "LOSS ", "37,5 %", "2025-07-11 21:01"), None)],
+    }
+    bad_keys = iter(range(70, 99))
+    for code, user, kind, size in (("UNKNOWN_USER", 98, 1, 5), ("UNKNOWN_SOURCE_TYPE", 1, 98, 5), ("NEGATIVE_QUANTITY", 1, 1, -1), ("UNKNOWN_USER", u + 3, 1, 5)):
+        rows["datasets"].append(((next(bad_keys), user, "Noche rara", kind, "x", size, "2025-07-10T06:10:00Z"), code))
+    for code, user, kind in (("UNKNOWN_MODEL_TYPE", 1, 98), ("UNKNOWN_USER", 98, 1)):
+        rows["modelos"].append(((next(bad_keys), user, "Lente rara", kind, "v1", "2025-07-10T06:40:00Z"), code))
+    for code, dataset, day, done in (("UNKNOWN_DATASET", 98, "2025-07-11", "true"), ("INVALID_DATE", 1, "30/02/2025", "true"), ("INVALID_BOOLEAN", 1, "2025-07-11", "casi"), ("INVALID_DATE", 2, "2025-13-01", "no")):
+        rows["experimentos"].append(((next(bad_keys), dataset, "Ensayo raro", "No.", day, done), code))
+    for code, experiment, model in (("UNKNOWN_MODEL", e + 1, 98), ("DUPLICATE_KEY", e + 1, m + 1)):
+        rows["experimentos_modelos"].append(((experiment, model, "", "", "{}"), code))
+    for code, experiment, name, value, day in (
+        ("UNKNOWN_EXPERIMENT", 98, "recall", "0.5", "2025-07-11T21:10:00Z"), ("INVALID_RANGE", 1, "precision", "140%", "2025-07-11T21:11:00Z"),
+        ("INVALID_RANGE", 1, "mae", "-3", "2025-07-11T21:12:00Z"), ("UNKNOWN_METRIC_CATEGORY", 1, "brillo", "0.5", "2025-07-11T21:13:00Z"), ("INVALID_DATE", 1, "recall", "0.5", "ayer"),
+    ):
+        rows["metricas"].append(((next(bad_keys), experiment, name, value, day), code))
+    return rows
+
+
+BATCH_TWO_ROWS = _second_batch()
+
+# ---------------------------------------------------------------------- answers in plain Python
+
+
+def table(name: str) -> list[dict]:
+    """Batch one as dictionaries."""
+    return [dict(zip(HEADERS[name].split(), row)) for row in BATCH_ONE_ROWS[name]]
+
+
+def accepted_two(entity: str) -> int:
+    return sum(code is None for _, code in BATCH_TWO_ROWS[entity])
+
+
+def totals() -> dict[str, tuple[int, int, int]]:
+    """Received, accepted and rejected of both batches by entity."""
+    out = {}
+    for entity, first in BATCH_ONE_ROWS.items():
+        second, good = len(BATCH_TWO_ROWS[entity]), accepted_two(entity)
+        out[entity] = (len(first) + second, len(first) + good, second - good)
+    return out
+
+
+def defects() -> Counter:
+    return Counter(code for rows in BATCH_TWO_ROWS.values() for _, code in rows if code)
+
+
+def by_metric() -> dict[str, list[float]]:
+    out: dict[str, list[float]] = defaultdict(list)
+    for row in table("metricas"):
+        out[row["nombre"]].append(row["valor"])
+    return out
+
+
+def mean(values) -> float:
+    exact = [Fraction(str(v)) for v in values]
+    return float(sum(exact) / len(exact))
+
+
+def value_of(name: str) -> dict[int, float]:
+    """The metric's value by experiment."""
+    return {row["experimento_id"]: row["valor"] for row in table("metricas") if row["nombre"] == name}
+
+
+def names(entity: str) -> dict[int, str]:
+    return {row["id"]: row["nombre"] for row in table(entity)}
+
+
+def runs() -> list[tuple[int, int]]:
+    return [(row["experimento_id"], row["modelo_id"]) for row in table("experimentos_modelos")]
+
+
+def owner_of_experiment() -> dict[int, int]:
+    owners = {row["id"]: row["usuario_id"] for row in table("datasets")}
+    return {row["id"]: owners[row["dataset_id"]] for row in table("experimentos")}
+
+
+def code(prefix: str, key: int) -> str:
+    return f"{prefix}-{key:03d}"
+
+
+# ----------------------------------------------------------------------------------- as files
 
 
 def write_csv(path: Path, entity: str, rows: list[tuple]) -> None:
@@ -174,10 +191,9 @@ def write_csv(path: Path, entity: str, rows: list[tuple]) -> None:
 
 def write_batches(root: Path, *batches: str) -> None:
     chosen = batches or (BATCH_ONE, BATCH_TWO)
-    first = BATCH_ONE_ROWS
     for entity in HEADERS:
         if BATCH_ONE in chosen:
-            write_csv(root / f"lote={BATCH_ONE}" / f"{entity}.csv", entity, first[entity])
+            write_csv(root / f"lote={BATCH_ONE}" / f"{entity}.csv", entity, BATCH_ONE_ROWS[entity])
         if BATCH_TWO in chosen:
             write_csv(root / f"lote={BATCH_TWO}" / f"{entity}.csv", entity, [row for row, _ in BATCH_TWO_ROWS[entity]])
 
@@ -190,9 +206,9 @@ def registry(spark) -> dict:
     from tamizal.sources.schemas import REGISTRY
 
     out = {}
-    for table, rows in BATCH_ONE_ROWS.items():
-        names = HEADERS[table].split()
-        text = spark.createDataFrame([tuple(str(v) for v in row) for row in rows], ", ".join(f"{n} string" for n in names))
+    for name, rows in BATCH_ONE_ROWS.items():
+        columns = HEADERS[name].split()
+        text = spark.createDataFrame([tuple(str(v) for v in row) for row in rows], ", ".join(f"{n} string" for n in columns))
 
         def typed(field):
             kind = field.dataType.typeName()
@@ -202,5 +218,5 @@ def registry(spark) -> dict:
                 return safe_timestamp(field.name)
             return F.col(field.name).cast(field.dataType)
 
-        out[table] = text.select(*[typed(f).alias(f.name) for f in REGISTRY[table]]).cache()
+        out[name] = text.select(*[typed(f).alias(f.name) for f in REGISTRY[name]]).cache()
     return out

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import fixture
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,13 +32,13 @@ def test_registry_is_valid(registry):
     "table, values, kind",
     [
         ("usuarios", {"id": 50, "nombre": "sin", "activo": True}, ("NOT NULL", "usuarios_email_not_null")),
-        ("usuarios", {"id": 50, "nombre": "Otra", "email": "irene@example.com", "activo": True}, ("UNIQUE", "usuarios_email_key")),
+        ("usuarios", {"id": 50, "nombre": "Otra", "email": "obs1@cielo.example", "activo": True}, ("UNIQUE", "usuarios_email_key")),
         ("datasets", {"id": 50, "usuario_id": 999, "nombre": "x"}, ("FOREIGN KEY", "datasets_usuario_id_fkey")),
         ("modelos", {"id": 50, "usuario_id": 999, "nombre": "x", "tipo_modelo_id": 1}, ("FOREIGN KEY", "modelos_usuario_id_fkey")),
         ("experimentos", {"id": 50, "dataset_id": 999, "nombre": "x"}, ("FOREIGN KEY", "experimentos_dataset_id_fkey")),
         ("metricas", {"id": 50, "experimento_id": 999, "nombre": "accuracy", "valor": 1}, ("FOREIGN KEY", "metricas_experimento_id_fkey")),
         ("metricas", {"id": 50, "experimento_id": 1, "nombre": "accuracy", "valor": -1}, ("CHECK", "metricas_valor_check")),
-        ("experimentos_modelos", {"experimento_id": 1, "modelo_id": 1}, ("PRIMARY KEY", "experimentos_modelos_pkey")),
+        ("experimentos_modelos", {"experimento_id": 1, "modelo_id": 2}, ("PRIMARY KEY", "experimentos_modelos_pkey")),
     ],
 )
 def test_each_bad_insert_is_found(spark, registry, table, values, kind):
@@ -57,9 +58,9 @@ def test_valid_insert_with_defaults(spark, registry):
 
 def test_restricted_delete(registry):
     children = {"datasets": (registry["datasets"], "usuario_id"), "modelos": (registry["modelos"], "usuario_id")}
-    with pytest.raises(c.ConstraintError, match="still refers to 1"):
-        c.delete_restricted(registry["usuarios"], F.col("id") == 1, "id", children)
-    assert c.delete_restricted(registry["usuarios"], F.col("id") == 7, "id", children).count() == 6
+    with pytest.raises(c.ConstraintError, match="still refers to 2"):
+        c.delete_restricted(registry["usuarios"], F.col("id") == 2, "id", children)
+    assert c.delete_restricted(registry["usuarios"], F.col("id") == 11, "id", {"datasets": children["datasets"]}).count() == fixture.USERS - 1
 
 
 def test_constraint_inventory(spark):
@@ -69,11 +70,7 @@ def test_constraint_inventory(spark):
     assert found.where("restriccion = 'experimentos_modelos_pkey'").count() == 2
 
 
-MAPPING = {
-    "IoT": "IoT", "Planta": "IoT", "Caja": "Sistema interno", "Banco": "Sistema interno",
-    "Sitio": "Aplicación", "Visión computacional": "Multimedia", "Redacción": "Servicio de respuestas",
-    "Contestador": "Servicio de respuestas", "Boya": "Servicio externo",
-}
+MAPPING = {detail: fixture.SOURCES[kind - 1] for detail, kind in fixture.DETAILS.items()}
 
 
 def test_free_text_becomes_a_catalog_key(registry):
@@ -82,25 +79,25 @@ def test_free_text_becomes_a_catalog_key(registry):
     assert mutate.unclassified(normal, "tipo_fuente_id").isEmpty() and "fuente" not in normal.columns
     same = ["id", "tipo_fuente_id", "fuente_detalle"]
     assert sorted(map(tuple, normal.select(same).collect())) == sorted(map(tuple, registry["datasets"].select(same).collect()))
-    edited = mutate.update_where(free, F.col("id") == 1, {"fuente": F.lit("Sensores IoT")})
+    edited = mutate.update_where(free, F.col("id") == 1, {"fuente": F.lit("Globo")})
     left = mutate.unclassified(mutate.normalize_column(edited, "fuente", MAPPING, registry["tipos_fuente"], "t", "detalle"), "t")
-    assert [tuple(r) for r in left.select("id", "detalle").collect()] == [(1, "Sensores IoT")]
+    assert [tuple(r) for r in left.select("id", "detalle").collect()] == [(1, "Globo")]
 
 
 def test_repeated_value_becomes_a_catalog(spark, registry):
     names = registry["tipos_modelo"].select(F.col("id").alias("tipo_modelo_id"), F.col("nombre").alias("tipo"))
     models = registry["modelos"].join(names, "tipo_modelo_id").drop("tipo_modelo_id")
     catalog = mutate.catalog_from(models, "tipo")
-    assert sorted(map(tuple, catalog.collect())) == [(1, "Clasificación"), (2, "Clustering"), (3, "Regresión"), (4, "Visión computacional")]
+    assert sorted(map(tuple, catalog.collect())) == list(enumerate(sorted(fixture.MODEL_KINDS), start=1))
     assert mutate.resolve_key(models, catalog, "tipo", "nombre", "id", "tipo_modelo_id").where("tipo_modelo_id IS NULL").isEmpty()
 
 
 def test_natural_keys(spark, registry):
-    new = spark.createDataFrame([("irene@example.com", "d1"), ("nadie@example.com", "d2")], "email string, nombre string")
+    new = spark.createDataFrame([("obs1@cielo.example", "d1"), ("nadie@example.com", "d2")], "email string, nombre string")
     found = mutate.resolve_key(new, registry["usuarios"], "email", "email", "id", "usuario_id")
     assert sorted(map(tuple, found.select("nombre", "usuario_id").collect())) == [("d1", 1), ("d2", None)]
     twice = registry["usuarios"].unionByName(registry["usuarios"].where("id = 1"))
-    with pytest.raises(Exception, match="more than one row for irene@example.com"):
+    with pytest.raises(Exception, match="more than one row for obs1@cielo.example"):
         mutate.resolve_key(new, twice, "email", "email", "id", "usuario_id").collect()
 
 
@@ -121,6 +118,43 @@ def test_update_delete_seed_and_counters(spark, tmp_path):
     assert sorted(map(tuple, ids.select("id", "t").collect())) == [(4, "x"), (5, "y")]
 
 
+def test_matched_and_modified(spark):
+    df = spark.sql("""SELECT id, CASE WHEN id % 3 = 0 THEN NULL ELSE 'a' END AS t, map('x', id % 2) AS m, parse_json(concat('{"k":', id % 2, '}')) AS v FROM range(12)""")
+    cases = [
+        ({"t": F.lit("a")}, {"matched": 12, "modified": 4, "scanned": 12}, None),
+        ({"t": F.lit(None)}, {"matched": 12, "modified": 8, "scanned": 12}, None),
+        ({"t": F.lit("b")}, {"matched": 3, "modified": 3, "scanned": 12}, F.col("id") > 8),
+        ({"m": F.create_map(F.lit("x"), F.lit(1).cast("bigint"))}, {"matched": 12, "modified": 6, "scanned": 12}, None),
+        ({"v": F.parse_json(F.lit('{"k": 0}')), "t": F.col("t")}, {"matched": 12, "modified": 6, "scanned": 12}, None),
+        ({"t": F.lit("z")}, {"matched": 0, "modified": 0, "scanned": 12}, F.lit(None).cast("boolean")),
+    ]
+    for values, want, test in cases:
+        changed, seen = mutate.counted_update(df, test, values)
+        assert changed.columns == df.columns
+        rows = changed.select("id", "t", F.to_json("m"), F.to_json("v")).collect()
+        plain = mutate.update_where(df, test, values).select("id", "t", F.to_json("m"), F.to_json("v")).collect()
+        assert sorted(map(str, rows)) == sorted(map(str, plain))
+        assert seen.get == want
+
+
+def test_containment_compares_numbers_by_kind(spark):
+    from decimal import Decimal
+
+    from tamizal.functions.jsonb import contains
+
+    cases = [
+        ("9007199254740993", 9007199254740992, False), ("9007199254740993", 9007199254740993, True), ("9007199254740993.0", 9007199254740993, True),
+        ("1", 1.0, True), ("1.50", "1.5", True), ("1.5", 2, False), ("1e0", 1, True), ("-0.1", "-0.1", True), ("0.1", 0.1, True), ("7", '"7"', False),
+        ("123456789012345678901234567890", "123456789012345678901234567890", True), ("123456789012345678901234567891", "123456789012345678901234567890", False),
+        ("1.00000000000000000000001", 1, False), ("18446744073709551616", 0, False), ("1e300", "1e300", True), ("0.30000000000000004", "0.3", False),
+    ]
+    for text, wanted, same in cases:
+        fragment = f'{{"k": {wanted}}}' if isinstance(wanted, str) else {"k": wanted}
+        row = spark.sql(f"""SELECT parse_json('{{"k": {text}}}') AS v""")
+        assert row.select(contains("v", fragment)).first()[0] is same, (text, wanted)
+        assert spark.sql(f"SELECT parse_json('[3.5, {text}]') AS v").select(contains("v", [Decimal(str(wanted).strip('"'))] if not isinstance(wanted, str) or '"' not in wanted else [wanted.strip('"')])).first()[0] is same
+
+
 def test_snapshot(spark, tmp_path):
     state = {"n": 2}
     stored = Snapshot(spark, str(tmp_path / "s"), lambda: spark.range(state["n"]))
@@ -137,28 +171,28 @@ def test_layouts(spark, tmp_path, registry):
     path = str(tmp_path / "p")
     layout.write_partitioned(registry["metricas"], path, ["nombre"], ["id"])
     found = spark.read.parquet(path).where("nombre = 'accuracy'")
-    assert found.count() == 8 and "PartitionFilters: [isnotnull(nombre" in introspect.plan_text(found)
+    assert found.count() == len(fixture.value_of("accuracy")) and "PartitionFilters: [isnotnull(nombre" in introspect.plan_text(found)
     layout.write_bucketed(registry["datasets"], "datasets_b", ["usuario_id"], 4)
     layout.write_bucketed(registry["modelos"], "modelos_b", ["usuario_id"], 4)
     joined = spark.table("datasets_b").join(spark.table("modelos_b").hint("merge"), "usuario_id")
     assert "Exchange hashpartitioning" not in introspect.plan_text(joined) and joined.count() > 0
     layout.write_sorted(registry["metricas"], str(tmp_path / "o"), ["experimento_id", "fecha_registro"])
     layout.write_bloom(registry["usuarios"], str(tmp_path / "f"), "email", 10)
-    assert spark.read.parquet(str(tmp_path / "f")).where("email = 'irene@example.com'").count() == 1
+    assert spark.read.parquet(str(tmp_path / "f")).where("email = 'obs1@cielo.example'").count() == 1
     rows = [("2026-06-15T10:30:00", "exp-006", "accuracy", 0.94), ("2026-06-15T10:31:00", "exp-006", "loss", 0.18), ("2026-06-16T10:30:00", "exp-006", "accuracy", 0.95)]
     series = spark.createDataFrame(rows, "f string, e string, n string, valor double").select(F.col("f").cast("timestamp_ntz").alias("fecha"), "e", "n", "valor")
     layout.write_time_series(series, str(tmp_path / "t"), "fecha", ["e"])
     day = layout.read_time_range(spark, str(tmp_path / "t"), "fecha", "2026-06-15", "2026-06-16").where("e = 'exp-006'")
     assert day.count() == 2 and "fecha_dia" in introspect.plan_text(day)
-    hot = layout.with_hot_keys(registry["experimentos_modelos"], "parametros_jsonb", {"criterion": "string", "max_depth": "int"})
-    assert hot.where("criterion = 'gini' AND max_depth = 8").count() == 1
+    hot = layout.with_hot_keys(registry["experimentos_modelos"], "parametros_jsonb", {"rule": "string", "depth": "int"})
+    assert hot.where("rule = 'gini' AND depth = 3").count() == sum('"depth":3,"rule":"gini"' in r["parametros_jsonb"] for r in fixture.table("experimentos_modelos"))
 
 
 def test_element_index(registry):
     from tamizal.plans.document_store import build_experiments
 
     index = layout.element_index(build_experiments(registry), "_id", "ejecuciones", "modelo_id")
-    assert sorted(r["_id"] for r in index.where("modelo_id = 'mod-006'").collect()) == ["exp-006", "exp-007"]
+    assert sorted(r["_id"] for r in index.where("modelo_id = 'mod-006'").collect()) == sorted(fixture.code("exp", e) for e, m in fixture.runs() if m == 6)
 
 
 def test_introspection(spark, registry):
@@ -169,7 +203,7 @@ def test_introspection(spark, registry):
     assert columns.count() == sum(len(s) for s in REGISTRY.values())
     assert tuple(columns.where("tabla = 'metricas'").first())[:4] == ("metricas", 1, "id", "int")
     seen = introspect.scanned_and_returned(registry["metricas"], lambda d: d.where("nombre = 'accuracy'"))
-    assert seen == {"scanned": 30, "returned": 8}
+    assert seen == {"scanned": len(fixture.table("metricas")), "returned": len(fixture.value_of("accuracy"))}
     create_namespaces(spark, "gold_ns", "control_ns")
     assert spark.catalog.databaseExists("gold_ns")
 

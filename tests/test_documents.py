@@ -1,5 +1,6 @@
 import json
 
+import fixture as fx
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,52 +26,75 @@ def ids(df, column="_id"):
     return [r[column] for r in df.collect()]
 
 
+def code(key):
+    return fx.code("exp", key)
+
+
 def test_build(docs):
-    assert docs.count() == 9 and docs.select("_id").distinct().count() == 9
+    assert docs.count() == fx.EXPERIMENTS and docs.select("_id").distinct().count() == fx.EXPERIMENTS
     one = q.find_one(docs, "exp-006").select(F.size("ejecuciones").alias("n"), "dataset.propietario.nombre", F.map_keys("metricas").alias("k")).first()
-    assert one["n"] == 2 and one["nombre"] == "Tomás Vidal" and len(one["k"]) == 4
+    assert one["n"] == sum(e == 6 for e, _ in fx.runs()) and one["nombre"] == fx.names("usuarios")[fx.owner_of_experiment()[6]]
+    assert sorted(one["k"]) == sorted(m["nombre"] for m in fx.table("metricas") if m["experimento_id"] == 6)
 
 
 def test_filters(docs):
-    assert ids(q.pending(docs)) == ["exp-003", "exp-007", "exp-009"]
-    assert ids(q.with_metric(docs, "mae")) == ["exp-003"]
-    assert ids(q.with_metric(docs, "accuracy", 0.85)) == ["exp-006", "exp-002", "exp-007", "exp-008", "exp-004", "exp-009"]
-    assert sorted(ids(q.by_source_type(docs, "Sistema interno"))) == ["exp-003", "exp-006", "exp-007"]
-    assert sorted(ids(q.runs_of_model(docs, "mod-006"))) == ["exp-006", "exp-007"]
-    assert q.reading_view(docs).count() == 9
-    assert [r["modelos"] for r in q.pending_detail(docs).collect()][0] == ["Buzón de cartas"]
+    experiments, accuracy = fx.table("experimentos"), fx.value_of("accuracy")
+    assert ids(q.pending(docs)) == [code(e["id"]) for e in sorted(experiments, key=lambda e: (e["fecha"], e["id"])) if e["finalizado"] == "false"]
+    assert sorted(ids(q.with_metric(docs, "mae"))) == [code(e) for e in fx.value_of("mae")]
+    high = q.with_metric(docs, "accuracy", 0.7).collect()
+    assert sorted(r["_id"] for r in high) == sorted(code(e) for e, v in accuracy.items() if v >= 0.7)
+    assert [r["accuracy"] for r in high] == sorted((v for v in accuracy.values() if v >= 0.7), reverse=True)
+    kind = {d["id"]: d["tipo_fuente_id"] for d in fx.table("datasets")}
+    assert sorted(ids(q.by_source_type(docs, fx.SOURCES[0]))) == [code(e["id"]) for e in experiments if kind[e["dataset_id"]] == 1]
+    assert sorted(ids(q.runs_of_model(docs, "mod-006"))) == sorted(code(e) for e, m in fx.runs() if m == 6)
+    assert q.reading_view(docs).count() == fx.EXPERIMENTS
+    first = min((e for e in experiments if e["finalizado"] == "false"), key=lambda e: e["nombre"])["id"]
+    assert q.pending_detail(docs).first()["modelos"] == [fx.names("modelos")[m] for e, m in fx.runs() if e == first]
 
 
 def test_elem_match(docs):
-    low = lambda x: (x["tipo_modelo"] == "Clasificación") & (q.run_parameter(x, "threshold", "double") < 0.5)
-    assert ids(q.runs_with(docs, low)) == ["exp-007"]
-    balanced = lambda x: (x["tipo_modelo"] == "Clasificación") & (q.run_parameter(x, "class_weight") == "balanced")
-    found = q.runs_with(docs, balanced).select("_id", F.col("ejecuciones.modelo_id").alias("m")).collect()
-    assert sorted((r["_id"], tuple(r["m"])) for r in found) == [("exp-006", ("mod-006",)), ("exp-007", ("mod-006",)), ("exp-009", ("mod-008",))]
-    # each condition alone holds in exp-006, but never in the same run
-    split = lambda x: (x["tipo_modelo"] == "Clustering") & (q.run_parameter(x, "class_weight") == "balanced")
-    assert ids(q.runs_with(docs, split)) == []
+    held = [(r["experimento_id"], r["modelo_id"], json.loads(r["parametros_jsonb"])) for r in fx.table("experimentos_modelos")]
+    low = lambda x: (x["tipo_modelo"] == "Red") & (q.run_parameter(x, "cut", "double") < 0.3)
+    assert sorted(ids(q.runs_with(docs, low))) == sorted({code(e) for e, _, p in held if p.get("cut", 1) < 0.3})
+    gini = lambda x: (x["tipo_modelo"] == "Árbol") & (q.run_parameter(x, "rule") == "gini")
+    found = q.runs_with(docs, gini).select("_id", F.col("ejecuciones.modelo_id").alias("m")).collect()
+    want = {}
+    for e, m, p in held:
+        if p.get("rule") == "gini":
+            want.setdefault(code(e), (fx.code("mod", m),))
+    assert {r["_id"]: tuple(r["m"]) for r in found} == want
+    # each condition alone holds in some experiment of two runs, but never in the same run
+    split = lambda x: (x["tipo_modelo"] == "Red") & (q.run_parameter(x, "rule") == "gini")
+    both = [e for e in range(1, fx.EXPERIMENTS + 1) if any("rule" in p for f, _, p in held if f == e) and any("cut" in p for f, _, p in held if f == e)]
+    assert both and ids(q.runs_with(docs, split)) == []
 
 
 def test_unwind_and_references(docs, models):
-    assert q.expand_runs(docs).count() == 10
+    assert q.expand_runs(docs).count() == len(fx.runs())
     found = q.current_models(docs, models, "exp-006").select("modelo_id", "version_actual").collect()
-    assert sorted(map(tuple, found)) == [("mod-006", "v2"), ("mod-007", "v1")]
+    versions = {m["id"]: m["version"] for m in fx.table("modelos")}
+    assert sorted(map(tuple, found)) == sorted((fx.code("mod", m), versions[m]) for e, m in fx.runs() if e == 6)
     assert q.dangling_runs(docs, models).count() == 0
-    assert q.dangling_runs(docs, models.where("_id <> 'mod-006'")).count() == 2
+    assert q.dangling_runs(docs, models.where("_id <> 'mod-006'")).count() == sum(m == 6 for _, m in fx.runs())
 
 
 def test_aggregates(docs):
-    found = {r[0]: (r[1], round(r[2], 6)) for r in q.mean_by_source_type(docs).collect()}
-    assert found == {
-        "Sistema interno": (2, 0.915), "Multimedia": (1, 0.91), "Servicio externo": (1, 0.86), "Servicio de respuestas": (2, 0.86), "IoT": (2, 0.80),
-    }
-    owners = [(r["propietario"], r["cantidad"], round(r["accuracy_promedio"], 6)) for r in q.owners_with_minimum(docs).collect()]
-    assert owners == [("Tomás Vidal", 2, 0.915), ("Irene Solano", 3, 0.863333), ("Nuria Lagos", 2, 0.86)]
-    ranks = [(r["tipo_modelo"], r["accuracy"], r["posicion"]) for r in q.rank_by_model_type(docs).collect()]
-    assert [r[1:] for r in ranks if r[0] == "Clasificación"] == [(0.94, 1), (0.89, 2), (0.87, 3), (0.85, 4), (0.82, 5), (0.78, 6)]
-    differences = [(r["_id"], round(r["diferencia"], 2)) for r in q.metric_difference(docs).collect()]
-    assert differences[0] == ("exp-006", 0.35) and differences[1] == ("exp-008", 0.07) and differences[-1] == ("exp-009", -0.04)
+    accuracy, experiments = fx.value_of("accuracy"), {e["id"]: e for e in fx.table("experimentos")}
+    kind = {d["id"]: fx.SOURCES[d["tipo_fuente_id"] - 1] for d in fx.table("datasets")}
+    by_kind, by_owner = {}, {}
+    for e, v in accuracy.items():
+        by_kind.setdefault(kind[experiments[e]["dataset_id"]], []).append(v)
+        by_owner.setdefault(fx.names("usuarios")[fx.owner_of_experiment()[e]], []).append(v)
+    assert {r[0]: (r[1], round(r[2], 9)) for r in q.mean_by_source_type(docs).collect()} == {k: (len(v), round(fx.mean(v), 9)) for k, v in by_kind.items()}
+    owners = {r["propietario"]: (r["cantidad"], round(r["accuracy_promedio"], 9)) for r in q.owners_with_minimum(docs).collect()}
+    assert owners == {k: (len(v), round(fx.mean(v), 9)) for k, v in by_owner.items() if len(v) >= 2}
+    trees = sorted((accuracy[e] for e, m in fx.runs() if e in accuracy and (m - 1) % 3 == 0), reverse=True)
+    ranks = [(r["accuracy"], r["posicion"]) for r in q.rank_by_model_type(docs).collect() if r["tipo_modelo"] == "Árbol"]
+    assert ranks == [(v, trees.index(v) + 1) for v in trees]
+    first, second = fx.value_of("precision"), fx.value_of("recall")
+    want = {code(e): round(first[e] - second[e], 6) for e in first if e in second}
+    found = [(r["_id"], round(r["diferencia"], 6)) for r in q.metric_difference(docs).collect()]
+    assert dict(found) == want and [v for _, v in found] == sorted(want.values(), reverse=True)
 
 
 def test_change_cycle(docs):
@@ -78,7 +102,7 @@ def test_change_cycle(docs):
     copy = mutate.copy_row(docs, F.col("_id") == "exp-001", {"_id": F.lit("tmp"), "finalizado": F.lit(False)})
     copy = copy.withColumn("etiquetas", F.array(F.lit("temporal")))
     both = mutate.insert_rows(docs, copy, ["_id"])
-    assert both.count() == 10
+    assert both.count() == fx.EXPERIMENTS + 1
     changed = mutate.set_field(both, "finalizado", F.lit(True), key)
     changed = mutate.set_field(changed, "dataset.nombre", F.lit("otro"), key)
     for _ in range(2):
@@ -89,7 +113,7 @@ def test_change_cycle(docs):
     assert changed.where(~key & F.col("notas").isNotNull()).isEmpty()
     pulled = mutate.pull(changed, "notas", lambda x: x["autor"] == "estudiante", key)
     assert pulled.where(key).first()["notas"] == []
-    assert mutate.delete_where(pulled, key).count() == 9
+    assert mutate.delete_where(pulled, key).count() == fx.EXPERIMENTS
     with pytest.raises(mutate.DuplicateKeyError):
         mutate.insert_rows(docs, docs.where("_id = 'exp-001'"), ["_id"])
 

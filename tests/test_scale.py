@@ -69,7 +69,7 @@ def test_ranks_of_every_type(spark):
 
 
 def test_means_are_not_cut(spark):
-    cases = [([1e-8, 3e-8], 2e-8), ([1e23, 3e23], 2e23), ([0.1, 0.2, 0.3], 0.2), ([float("inf"), 1.0], float("inf")), ([None, 4.0], 4.0), ([None], None)]
+    cases = [([1e-8, 3e-8], 2e-8), ([1e23, 3e23], 2e23), ([0.1, 0.2, 0.3], 0.2), ([float("inf"), 1.0], float("inf")), ([None, 4.0], 4.0), ([None], None), ([1e300, 1.0], 5e299), ([1e-300, 3e-300], 2e-300), ([1e20, 1e-10], 5e19)]
     for values, mean in cases:
         frame = spark.createDataFrame([(v,) for v in values], "v double")
         assert frame.select(relational.exact_mean("v")).first()[0] == (mean if mean is None else pytest.approx(mean, rel=1e-15))
@@ -79,6 +79,26 @@ def test_means_are_not_cut(spark):
     assert tuple(shown) == (1e19, 2.0001, 0.1234)
 
 
+def test_means_are_rounded_once_from_the_exact_quotient(spark):
+    from decimal import Decimal
+
+    cases = [
+        (["3959.58"], 80, 49.4948), (["0.00005"], 1, 0.0001), (["-0.00005"], 1, -0.0001), (["0.000049999999"], 1, 0.0), (["-3959.58"], 80, -49.4948),
+        (["1", "0", "0"], 3, 0.3333), (["2", "0", "0"], 3, 0.6667), (["123456789012345.00005"], 1, 123456789012345.0001), (["1e-8", "3e-8"], 2, 0.0), (["1e23", "3e23"], 2, 2e23),
+    ]
+    for values, count, mean in cases:
+        rows = [(float(v),) for v in values] + [(0.0,)] * (count - len(values))
+        assert spark.createDataFrame(rows, "v double").select(relational.rounded_mean("v")).first()[0] == mean, values
+    # one path: a longer fraction beside others changes nothing for them
+    mixed = spark.createDataFrame([(49.49475,)] * 80 + [(1e-9,)] * 0, "v double").repartition(7)
+    assert mixed.select(relational.rounded_mean("v")).first()[0] == 49.4948
+    frame = spark.createDataFrame([(Decimal("0.5"), 4, 1), (Decimal("-1"), 8, 1), (None, 3, 0)], "t decimal(28,6), n bigint, k int")
+    assert [r[0] for r in frame.select(relational.quotient(F.col("t"), F.col("n"), 3)).collect()] == [0.125, -0.125, None]
+    assert [r[0] for r in frame.select(relational.quotient(F.col("t"), F.col("n"), 2)).collect()] == [0.13, -0.13, None]
+    assert spark.createDataFrame([(None,)], "v double").select(relational.rounded_mean("v")).first()[0] is None
+    assert spark.createDataFrame([(float("nan"),), (1.0,)], "v double").select(relational.rounded_mean("v")).first()[0] != 0
+
+
 def test_group_value_equals_window(spark):
     df = skewed(spark).cache()
     ours = ranking.with_group_value(df, ["clave"], m=F.avg("valor"))
