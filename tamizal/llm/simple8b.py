@@ -95,21 +95,23 @@ def decode(words: np.ndarray) -> np.ndarray:
 
 
 class Writer:
-    """Appends documents to an open binary stream."""
+    """Appends documents to an open binary stream; of a document it holds its id and its number of ids."""
 
     def __init__(self, stream, buffered: int = BLOCK << 8):
         self.stream, self.buffered = stream, buffered
         self.waiting: list[np.ndarray] = []
-        self.held = self.words = self.ids = 0
+        self.held = self.words = self.ids = self.docs = 0
         self.blocks: list[np.ndarray] = []
         self.sizes: list[np.ndarray] = []
-        self.doc_ids: list[int] = []
-        self.counts: list[int] = []
+        self.doc_ids: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
         stream.write(MAGIC)
 
-    def add(self, doc_id: int, ids: np.ndarray) -> None:
-        self.doc_ids.append(doc_id)
-        self.counts.append(len(ids))
+    def add(self, doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
+        """Documents one after another: ``counts`` ids each of ``ids``."""
+        self.doc_ids.append(np.array(doc_ids, np.int64))
+        self.counts.append(np.array(counts, np.int64))
+        self.docs += len(counts)
         self.ids += len(ids)
         self.waiting.append(ids)
         self.held += len(ids)
@@ -127,8 +129,8 @@ class Writer:
 
     def close(self) -> None:
         self._flush(self.held)
-        tables = [np.concatenate(self.blocks), np.concatenate(self.sizes), np.array(self.doc_ids), np.array(self.counts)]
-        for values in [*tables, np.array([self.words, len(tables[0]), len(self.doc_ids)])]:
+        tables = [np.concatenate(v) if v else np.zeros(0, np.int64) for v in (self.blocks, self.sizes, self.doc_ids, self.counts)]
+        for values in [*tables, np.array([self.words, len(tables[0]), self.docs])]:
             self.stream.write(values.astype("<i8").tobytes())
         self.stream.write(MAGIC)
         self.stream.close()
