@@ -43,6 +43,10 @@ ALLOWED = (
 # c * log2(c) for the counts of a window, in fixed point: sums are exact and do not drift
 _POINT = 1 << 20
 _PLOGP = [round(c * math.log2(c) * _POINT) if c else 0 for c in range(WINDOW + 1)]
+# counts of a window, at most 20 each, packed into 64-bit words
+_COUNT_BITS = 5
+_PER_WORD = 12
+_WORDS = -(-len(ALPHABET) // _PER_WORD)
 MASK = "[SECRET]"
 
 _SPANS = "array<struct<start:int,kind:int,end:int,found:string>>"
@@ -64,47 +68,99 @@ def _placed(matches: str, pieces: str, kind: int) -> Column:
 
 
 def _hot_range(candidate: Column) -> Column:
-    """From the first to the last window of ``candidate`` that reaches its class's entropy; null if none."""
+    """From the first to the last window of ``candidate`` that reaches its class's entropy; null if none.
+
+    The candidate is taken apart into codes once, and every code stands beside the one that leaves when it
+    enters; a step changes two counts and never looks at the text again, so the cost follows the length.
+    """
     needed = F.lit(None).cast("bigint")
     for pattern, bits in reversed(CLASSES):
         most = round((math.log2(WINDOW) - bits) * WINDOW * _POINT)  # H >= bits: sum of c log c at most this
         needed = F.when(candidate.rlike(pattern), F.lit(most)).otherwise(needed)
     table_ = F.array(*[F.lit(v).cast("bigint") for v in _PLOGP])
+
+    def coded(char: Column) -> Column:
+        """Where the count of a character is kept: five bits of one of the words."""
+        code = F.instr(F.lit(ALPHABET), char) - 1
+        shift = (code % _PER_WORD) * _COUNT_BITS
+        one = F.call_function("shiftleft", F.lit(1).cast("bigint"), shift)
+        return F.struct(code.alias("code"), F.floor(code / _PER_WORD).cast("int").alias("word"), shift.alias("shift"), one.alias("one"))
+
+    codes = F.transform(F.split(candidate, ""), coded)
+    none = F.lit(None).cast("struct<code:int,word:int,shift:int,one:bigint>")
+    before = F.concat(F.array_repeat(none, WINDOW), F.slice(codes, F.lit(1), F.greatest(F.length(candidate) - WINDOW, F.lit(0))))
+    pairs = F.slice(F.zip_with(codes, before, lambda e, l: F.struct(e.alias("enters"), l.alias("leaves"))), F.lit(1), F.length(candidate))
     zero = F.struct(
-        F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"),
+        F.array_repeat(F.lit(0).cast("bigint"), _WORDS).alias("counts"),
         F.lit(0).cast("bigint").alias("total"),
+        F.lit(0).alias("at"),
+        needed.alias("needed"),
         F.lit(None).cast("int").alias("first"),
         F.lit(None).cast("int").alias("last"),
     )
 
-    def letter(i: Column) -> Column:
-        return F.instr(F.lit(ALPHABET), F.substr(candidate, i, F.lit(1))) - 1
+    def count(state: Column, of: Column) -> Column:
+        word = F.call_function("shiftright", F.get(state["counts"], of["word"]), of["shift"])
+        return word.bitwiseAND(F.lit((1 << _COUNT_BITS) - 1).cast("bigint")).cast("int")
 
-    def step(state: Column, i: Column) -> Column:
-        enters, leaves = letter(i), F.when(i > WINDOW, letter(i - WINDOW)).otherwise(F.lit(-1))
-        more, fewer = F.get(state["counts"], enters), F.get(state["counts"], leaves)
+    def step(state: Column, pair: Column) -> Column:
+        enters, leaves = pair["enters"], pair["leaves"]
+        more, fewer = count(state, enters), count(state, leaves)
         gained = F.get(table_, more + 1) - F.get(table_, more)
-        lost = F.when(leaves >= 0, F.get(table_, fewer) - F.get(table_, fewer - 1)).otherwise(F.lit(0))
-        total = F.when(enters == leaves, state["total"]).otherwise(state["total"] + gained - lost)
-        counts = F.when(enters == leaves, state["counts"]).otherwise(
-            F.transform(state["counts"], lambda c, k: c + (k == enters).cast("int") - (k == leaves).cast("int"))
+        lost = F.coalesce(F.get(table_, fewer) - F.get(table_, fewer - 1), F.lit(0))
+        same = F.coalesce(enters["code"] == leaves["code"], F.lit(False))
+        total = F.when(same, state["total"]).otherwise(state["total"] + gained - lost)
+        nought = F.lit(0).cast("bigint")
+        counts = F.when(same, state["counts"]).otherwise(
+            F.transform(
+                state["counts"],
+                lambda c, k: c + F.when(k == enters["word"], enters["one"]).otherwise(nought) - F.when(k == leaves["word"], leaves["one"]).otherwise(nought),
+            )
         )
-        hot = (i >= WINDOW) & (total <= needed)
         return F.struct(
             counts.alias("counts"),
             total.alias("total"),
-            F.coalesce(state["first"], F.when(hot, i - WINDOW)).alias("first"),
-            F.when(hot, i).otherwise(state["last"]).alias("last"),
+            (state["at"] + 1).alias("at"),
+            state["needed"].alias("needed"),
+            state["first"].alias("first"),
+            state["last"].alias("last"),
         )
 
+    def marked(state: Column) -> Column:
+        """After a step: whether the window that ends here is hot."""
+        hot = (state["at"] >= WINDOW) & (state["total"] <= state["needed"])
+        return F.struct(
+            state["counts"].alias("counts"),
+            state["total"].alias("total"),
+            state["at"].alias("at"),
+            state["needed"].alias("needed"),
+            F.coalesce(state["first"], F.when(hot, state["at"] - WINDOW)).alias("first"),
+            F.when(hot, state["at"]).otherwise(state["last"]).alias("last"),
+        )
+
+    # the window that ended before a step is judged as the step begins, so that its total is made once
     return F.aggregate(
-        F.sequence(F.lit(1), F.length(candidate)), zero, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last"))
+        pairs, zero, lambda state, pair: step(marked(state), pair), lambda s: F.struct(marked(s)["first"].alias("first"), marked(s)["last"].alias("last"))
     )
 
 
+def _allowed(candidate: Column) -> Column:
+    """One of ``ALLOWED`` fits. Those with repeated groups are asked of the characters, since a group costs
+    the pattern machine a level of its stack at every repetition: the same strings fit."""
+    first, small, capitals, digits, words = ALLOWED
+    asked = {
+        first: candidate.rlike(first),
+        small: candidate.rlike("^[A-Za-z][A-Za-z_/=+-]*$") & ~candidate.rlike("[A-Za-z][A-Z]"),
+        capitals: candidate.rlike("^[A-Z][A-Z_/=+-]*$"),
+        digits: candidate.rlike("^[0-9][0-9_/=+-]*$"),
+        words: candidate.rlike(words),
+    }
+    return reduce(or_, asked.values())
+
+
 def _entropy_spans(candidates: Column, base: Column) -> Column:
     """Hot ranges of candidates that are not allowed and do not lie in a span of ``base``."""
-    suspect = F.filter(candidates, lambda c: ~reduce(or_, [c["found"].rlike(pattern) for pattern in ALLOWED]))
+    suspect = F.filter(candidates, lambda c: ~_allowed(c["found"]))
     ranges = F.transform(
         suspect, lambda c: F.struct(c["start"].alias("start"), c["found"].alias("found"), _hot_range(c["found"]).alias("hot"))
     )

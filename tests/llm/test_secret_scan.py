@@ -72,3 +72,24 @@ def test_many_matches_in_a_long_text(spark):
     text = "word 0123456789abcdef0123 " * 2000
     row = find_secrets(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).select(F.size("secrets").alias("n")).first()
     assert row.n == 2000
+
+
+def test_candidates_of_any_length(spark):
+    """The cost of a candidate follows its length: long ones equal brute force, a megabyte takes seconds."""
+    import random
+    import time
+
+    rng = random.Random(7)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWYZabcdefghijklmnopqrstuvwyz0123456789+/"  # no x: xxxx is on the list of allowed ones
+
+    def drawn(n, of=letters):
+        return "".join(rng.choice(of) for _ in range(n))
+
+    texts = [drawn(n) for n in (19, 20, 21, 40, 41, 500, 3000)] + [drawn(2000, "ab1"), drawn(900, "abc") + drawn(60) + drawn(900, "abc") + "1"]
+    texts += ["ab-" * 2000, "Ab-" * 700 + "1", "AB_" * 900, "12-" * 900, "aB-" * 300, "a" * 3000 + "1", "x1" + "-" * 500]
+    for r in find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect():
+        assert [(s.start, s.kind, s.end) for s in r.secrets] == brute(r.text), r.text[:40]
+    long = [(1, f"img {drawn(1 << 20)} end"), (2, "ab-" * 300_000), (3, "ab-" * 300_000 + "1")]
+    began = time.time()
+    out = {r.doc_id: [(s.start, s.kind, s.end) for s in r.secrets] for r in find_secrets(spark.createDataFrame(long, "doc_id bigint, text string")).collect()}
+    assert out == {1: [(4, 3, 4 + (1 << 20))], 2: [], 3: []} and time.time() - began < 60
