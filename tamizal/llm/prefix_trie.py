@@ -30,7 +30,7 @@ SEGMENT = 256  # turns of one conversation in a block
 SHARED_GROUP = 20
 ROOT = hashlib.md5(b"root").digest()
 
-_NODE = "key binary, parent_key binary, depth bigint, n_convs bigint, first bigint, words bigint, ends array<bigint>"
+_NODE = "shard bigint, key binary, parent_key binary, depth bigint, n_convs bigint, first bigint, words bigint, ends array<bigint>"
 _SUMS = "key binary, repeated bigint, leaves bigint"
 
 
@@ -160,16 +160,17 @@ def _nodes(segment: int):
     def walk(block: pa.Table) -> pa.Table:
         walked = _Walk(block, segment)
         stays = sum(1 << i for i, s in enumerate(walked.stays) if s)
-        columns: list[list] = [[] for _ in range(7)]
+        columns: list[list] = [[] for _ in range(8)]
+        shard = block["shard"][0].as_py()
         for key, parent, depth, members, low, words in walked.nodes():
             if depth == 0 and walked.first_depth:  # a node of the segment before
                 continue
             ends = members & walked.ending.get(depth, 0) & stays
-            row = (key, parent, walked.first_depth + depth, members.bit_count(), walked.ids[low], words, [walked.ids[i] for i in _places(ends)])
+            row = (shard, key, parent, walked.first_depth + depth, members.bit_count(), walked.ids[low], words, [walked.ids[i] for i in _places(ends)])
             for column, value in zip(columns, row):
                 column.append(value)
-        kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-        names = ["key", "parent_key", "depth", "n_convs", "first", "words", "ends"]
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+        names = ["shard", "key", "parent_key", "depth", "n_convs", "first", "words", "ends"]
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return walk
@@ -242,7 +243,7 @@ def prefix_trie(turns: DataFrame, conversations: DataFrame, shard: int = SHARD,
     nodes = written(
         local.groupBy("key").agg(
             F.any_value("parent_key").alias("parent_key"), F.any_value("depth").alias("depth"), F.sum("n_convs").alias("n_convs"),
-            F.min("first").alias("conv_id"), F.any_value("words").alias("words"),
+            F.min("first").alias("conv_id"), F.any_value("words").alias("words"), F.min("shard").alias("shard"),
         ),
         "trie-nodes",
     )
@@ -265,12 +266,15 @@ def prefix_trie(turns: DataFrame, conversations: DataFrame, shard: int = SHARD,
     pieces = local.where(F.size("ends") > 0).select("key", "first", "ends")
     # ``first`` of a piece is not above its ends, and shards follow each other in the order of ids
     hashes = pieces.repartition("key").sortWithinPartitions("key", F.col("ends")[0]).drop("first").mapInArrow(_end_hashes, "key binary, ends_sha256 string")
+    # a parent of very many nodes comes once for each shard, and its children meet it there
     parents = nodes.select(F.col("key").alias("parent_key"), F.col("conv_id").alias("above"))
+    asked = nodes.join(owners.select("conv_id", "own_from"), "conv_id").where("depth = own_from").select("shard", "parent_key").distinct()
+    parents = written(asked.join(parents, "parent_key"), "trie-parents")
     own_above = owners.select("conv_id", "own_from")
     whole = written(nodes.join(sums, "key").join(hashes, "key", "left").join(own_above, "conv_id"), "trie-sums")
     # below its first owned node a conversation's parents are its own
     inner = whole.where("depth > own_from").withColumn("parent_conv_id", F.col("conv_id"))
-    outer = whole.where("depth = own_from").join(parents, "parent_key", "left").withColumnRenamed("above", "parent_conv_id")
+    outer = whole.where("depth = own_from").join(parents, ["shard", "parent_key"], "left").withColumnRenamed("above", "parent_conv_id")
     columns = [
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
         F.coalesce("ends_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("ends_sha256"),
