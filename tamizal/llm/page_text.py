@@ -3,15 +3,19 @@
 A page becomes a small tree of elements. Paragraphs give points for length and commas to their
 ancestors, less with every generation; an ancestor's points are discounted by the share of its text that
 is links. The best container is kept with the siblings that score like it or belong to it (headings, plain
-paragraphs). What is marked as no part of an article (menus, footers, adverts, comments ..) never counts,
-but a word in a class or id is no mark on what holds the article, as layouts are named by what they have.
+paragraphs, further sections, and what stands between kept ones). Elements that are no article by their kind
+(menus, footers, forms ..) never count. A class or id that names such a part (``comments``, ``cookie-notice``) takes
+a block out unless it holds the article, as layouts are named by what they have; a name that only has such a word
+in it (``social-history``, ``share-price``) lowers a container's score and takes no text away.
+
+Every step is linear in the length of the page, however deep its elements lie.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,13 +45,13 @@ _CLOSES_P = frozenset(
     "header hgroup hr main menu nav ol p pre search section table ul".split()
 )
 _SAME_CLOSES = {
-    "li": ("li", frozenset(("ul", "ol", "menu"))),
-    "dt": ("dt dd", frozenset(("dl",))),
-    "dd": ("dt dd", frozenset(("dl",))),
-    "tr": ("tr td th", frozenset(("table",))),
-    "td": ("td th", frozenset(("tr", "table"))),
-    "th": ("td th", frozenset(("tr", "table"))),
-    "option": ("option", frozenset(("select", "datalist"))),
+    "li": (("li",), frozenset(("ul", "ol", "menu"))),
+    "dt": (("dt", "dd"), frozenset(("dl",))),
+    "dd": (("dt", "dd"), frozenset(("dl",))),
+    "tr": (("tr", "td", "th"), frozenset(("table",))),
+    "td": (("td", "th"), frozenset(("tr", "table"))),
+    "th": (("td", "th"), frozenset(("tr", "table"))),
+    "option": (("option",), frozenset(("select", "datalist"))),
 }
 _NEVER = frozenset(
     "head nav footer aside form script style noscript template iframe object embed svg math canvas audio video button select "
@@ -61,44 +65,70 @@ _MARKS = frozenset(
     "outbrain overlay pager pagination paywall popup promo promotion promoted recommended related replies respond share sharing "
     "sidebar sidenav signup skip skyscraper social sponsor sponsored subscribe subscription taboola toolbar widget".split()
 )
+# Words that may stand beside one of those in a name of the same kind.
+_BESIDE = frozenset(
+    "area bar block bottom box btn button buttons cell col column container content el floating form group header heading icon icons inner item items "
+    "js js2 layer left link links list main message outer page panel post posts right row section site slot stack sticky story text thread top "
+    "unit wrap wrapper zone".split()
+)
 _ARTICLE = frozenset(("article", "main"))
+_PARAGRAPHS = frozenset(("p", "pre", "td", "li", "blockquote", *_HEADINGS))
+_WEAK = 0.5  # what a container's score is multiplied by if a name has a word of these in it
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "out", "named", "score", "chars", "linked", "heading_only")
-
-    def __init__(self, tag: str, parent: int, out: bool, heading_only: bool = False):
-        self.tag, self.parent, self.out, self.heading_only = tag, parent, out, heading_only
-        self.named, self.score, self.chars, self.linked = False, 0.0, 0, 0
+    __slots__ = ("tag", "parent", "out", "named", "weak", "score", "chars", "linked", "block", "in_article")
+
+    def __init__(self, tag: str, parent: int, out: bool, block: int, in_article: bool):
+        self.tag, self.parent, self.out = tag, parent, out
+        self.block, self.in_article = block, in_article  # the nearest element that is a block; in an article or main
+        self.named, self.weak, self.score, self.chars, self.linked = False, False, 0.0, 0, 0
+
+
+def _name(value: str) -> tuple[bool, bool]:
+    """Whether one of the names names a part that is no article, and whether one has a word of such in it."""
+    named = weak = False
+    for name in value.split():
+        words = [w for w in _SPLIT.split(name) if w]
+        if not _MARKS.isdisjoint(words):
+            if all(w in _MARKS or w in _BESIDE or w.isdigit() for w in words):
+                named = True
+            else:
+                weak = True
+    return named, weak
 
 
-def _marked(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether an element is out whatever it holds, and whether a word of its class or id says that it is."""
+def _marked(tag: str, attributes: str) -> tuple[bool, bool, bool]:
+    """Whether an element is out whatever it holds, and whether its class or id names it, or has a word of that."""
     if tag in _NEVER:
-        return True, False
-    named = False
+        return True, False, False
+    named = weak = False
     if not attributes or attributes.isspace():
-        return False, False
+        return False, False, False
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next((v for v in values if v), "").lower()
         if name in ("class", "id"):
-            named = named or (tag not in ("html", "body") and not _MARKS.isdisjoint(_SPLIT.split(value)))
+            if tag not in ("html", "body"):
+                own = _name(value)
+                named, weak = named or own[0], weak or own[1]
         elif name == "role":
             if value.strip() in _ROLES:
-                return True, named
+                return True, named, weak
         elif name == "hidden" and value != "until-found":
-            return True, named
+            return True, named, weak
         elif name == "aria-hidden" and value.strip() == "true":
-            return True, named
+            return True, named, weak
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True, named
-    return False, named
+            return True, named, weak
+    return False, named, weak
 
 
 def _parse(page: str) -> tuple[list[_Node], list[tuple[int, str, int]]]:
     """Elements, and blocks in page order: (element, text, characters of it in links)."""
-    nodes = [_Node("#root", -1, False)]
+    nodes = [_Node("#root", -1, False, 0, False)]
     open_nodes, blocks = [0], []
+    places: dict[str, list[int]] = {}  # where elements of a kind stand among the open ones
+    block_places = [0]  # where the open blocks stand
     pieces: list[str] = []
     link_pieces: list[str] = []
     links = 0
@@ -109,8 +139,7 @@ def _parse(page: str) -> tuple[list[_Node], list[tuple[int, str, int]]]:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
                 linked = len(" ".join(html.unescape("".join(link_pieces)).split()))
-                owner = next(n for n in reversed(open_nodes) if nodes[n].tag not in _INLINE)
-                blocks.append((owner, text, min(linked, len(text))))
+                blocks.append((nodes[open_nodes[-1]].block, text, min(linked, len(text))))
             pieces.clear()
             link_pieces.clear()
 
@@ -121,12 +150,19 @@ def _parse(page: str) -> tuple[list[_Node], list[tuple[int, str, int]]]:
                 link_pieces.append(text)
 
     def close(index: int) -> None:
+        """Close the open elements from place ``index`` on, the innermost first."""
         nonlocal links
-        for n in open_nodes[index:]:
-            if nodes[n].tag not in _INLINE:
-                flush()
-            links -= nodes[n].tag == "a"
-        del open_nodes[index:]
+        if block_places[-1] >= index:
+            flush()
+        while len(open_nodes) > index:
+            tag = nodes[open_nodes.pop()].tag
+            places[tag].pop()
+            if block_places[-1] == len(open_nodes):
+                block_places.pop()
+            links -= tag == "a"
+
+    def last(tags: Iterable[str]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
 
     at = 0
     for found in _MARKUP.finditer(page):
@@ -143,9 +179,9 @@ def _parse(page: str) -> tuple[list[_Node], list[tuple[int, str, int]]]:
             continue
         tag = tag.lower()
         if found[2] or found[5]:
-            place = next((i for i in range(len(open_nodes) - 1, 0, -1) if nodes[open_nodes[i]].tag == tag), 0)
+            place = last((tag,))
             # the end of an inline element does not end the blocks around it
-            if place and (tag not in _INLINE or all(nodes[n].tag in _INLINE for n in open_nodes[place:])):
+            if place and (tag not in _INLINE or place > block_places[-1]):
                 close(place)
             elif tag not in _INLINE:
                 flush()
@@ -156,36 +192,28 @@ def _parse(page: str) -> tuple[list[_Node], list[tuple[int, str, int]]]:
             continue
         if tag not in _INLINE:
             flush()
-            if tag in _CLOSES_P:
-                for i in range(len(open_nodes) - 1, 0, -1):
-                    if nodes[open_nodes[i]].tag == "p":
-                        close(i)
-                        break
-                    if nodes[open_nodes[i]].tag not in _INLINE:
-                        break
+            if tag in _CLOSES_P and len(open_nodes) > 1 and nodes[nodes[open_nodes[-1]].block].tag == "p":
+                close(block_places[-1])
             if tag in _SAME_CLOSES:
                 ends, border = _SAME_CLOSES[tag]
-                for i in range(len(open_nodes) - 1, 0, -1):
-                    own = nodes[open_nodes[i]].tag
-                    if own in border:
-                        break
-                    if own in ends.split():
-                        close(i)
-                        break
-            while len(open_nodes) > 1 and nodes[open_nodes[-1]].tag in _INLINE:  # markup left open by a block
-                close(len(open_nodes) - 1)
+                place = last(ends)
+                if place > last(border):
+                    close(place)
+            if len(open_nodes) - 1 > block_places[-1]:  # markup left open by a block
+                close(block_places[-1] + 1)
         if tag in _VOID:
             continue
         above = nodes[open_nodes[-1]]
-        in_article = any(nodes[n].tag in _ARTICLE for n in open_nodes)
-        heading_only = above.heading_only or (tag == "header" and in_article)
-        never, named = _marked(tag, attributes)
-        out = above.out or never or (tag == "header" and not in_article) or (named and tag in _INLINE)
-        if heading_only and not out and tag not in _INLINE and tag not in _HEADINGS and tag not in ("header", "hgroup", "div"):
-            out = True
-        nodes.append(_Node(tag, open_nodes[-1], out, heading_only))
-        nodes[-1].named = named and not out
-        open_nodes.append(len(nodes) - 1)
+        never, named, weak = _marked(tag, attributes)
+        out = above.out or never or (tag == "header" and not above.in_article)
+        number, inline = len(nodes), tag in _INLINE
+        nodes.append(_Node(tag, open_nodes[-1], out, above.block if inline else number, above.in_article or tag in _ARTICLE))
+        nodes[-1].named = named and not out and not inline
+        nodes[-1].weak = weak and not inline
+        places.setdefault(tag, []).append(len(open_nodes))
+        if not inline:
+            block_places.append(len(open_nodes))
+        open_nodes.append(number)
         links += tag == "a"
         if tag in _RAW:
             raw_until = tag
@@ -248,29 +276,56 @@ def _unnamed(nodes: list[_Node], blocks: list[tuple[int, str, int]]) -> list[tup
     return [block for block in blocks if not hidden[block[0]]]
 
 
+def _with_siblings(nodes: list[_Node], best: int, worth: Callable[[_Node], float]) -> set[int]:
+    """The best container and those beside it that belong to the article."""
+    if nodes[best].tag == "body" or best == 0:
+        return {best}
+    row = [i for i, node in enumerate(nodes) if node.parent == nodes[best].parent and node.chars]
+    least, article = max(2.0, 0.2 * worth(nodes[best])), nodes[best].tag in _ARTICLE
+
+    def belongs(i: int) -> bool:
+        node = nodes[i]
+        plain = node.linked / node.chars < 0.25
+        if node.tag in _HEADINGS or (node.tag == "p" and node.chars > 80):
+            return plain and not article
+        alike = node.tag == nodes[best].tag or not article
+        return alike and worth(node) >= least
+
+    kept = {i for i in row if i == best or belongs(i)}
+    places = [k for k, i in enumerate(row) if i in kept]
+    first, end = places[0], places[-1]
+    while end + 1 < len(row) and _further(nodes[row[end + 1]]):  # short sections that go on behind the last one
+        end += 1
+    while first > 0 and _further(nodes[row[first - 1]]):
+        first -= 1
+    return kept | {i for i in row[first : end + 1] if nodes[i].linked / nodes[i].chars < 0.5}
+
+
+def _further(node: _Node) -> bool:
+    return node.tag in ("section", "article") and not node.weak and node.linked / node.chars < 0.25
+
+
 def main_text(page: str) -> str:
     """Blocks of the article of ``page`` in page order, joined by one blank; empty if there is none."""
     nodes, blocks = _parse(page)
     blocks = _unnamed(nodes, blocks)
-    blocks = [(n, text, linked) for n, text, linked in blocks if not (nodes[n].heading_only and nodes[n].tag not in _HEADINGS)]
     if not blocks:
         return ""
     for n, text, linked in blocks:
-        points = _points(text) * (1 - linked / len(text))
-        above, share = nodes[n].parent if nodes[n].tag in ("p", "pre", "td", "li", "blockquote", *_HEADINGS) else n, 1.0
-        while above > 0:
-            nodes[above].score += points * share
-            share /= 2
-            above = nodes[above].parent
-        while n >= 0:
-            nodes[n].chars += len(text)
-            nodes[n].linked += linked
-            n = nodes[n].parent
-
-    def worth(i: int) -> float:
-        return nodes[i].score * (1 - nodes[i].linked / nodes[i].chars) if nodes[i].chars else 0.0
-
-    best = max(range(len(nodes)), key=lambda i: (worth(i), -i))
+        nodes[nodes[n].parent if nodes[n].tag in _PARAGRAPHS else n].score += _points(text) * (1 - linked / len(text))
+        nodes[n].chars += len(text)
+        nodes[n].linked += linked
+    for node in reversed(nodes[1:]):  # elements come before what they hold
+        above = nodes[node.parent]
+        above.score += node.score / 2
+        above.chars += node.chars
+        above.linked += node.linked
+    nodes[0].score = 0.0
+
+    def worth(node: _Node) -> float:
+        return node.score * (1 - node.linked / node.chars) * (_WEAK if node.weak else 1.0) if node.chars else 0.0
+
+    best = max(range(len(nodes)), key=lambda i: (worth(nodes[i]), -i))
     if nodes[best].tag in ("html", "#root"):
         best = next((i for i, node in enumerate(nodes) if node.tag == "body" and node.chars), best)
     above = best
@@ -278,14 +333,7 @@ def main_text(page: str) -> str:
         if nodes[above].tag in _ARTICLE:
             best = above
         above = nodes[above].parent
-    kept = {best}
-    if nodes[best].tag not in _ARTICLE and nodes[best].tag != "body":
-        least = max(2.0, 0.2 * worth(best))
-        for i, node in enumerate(nodes):
-            if node.parent == nodes[best].parent and i != best and node.chars:
-                plain = node.linked / node.chars < 0.25
-                if worth(i) >= least or (node.tag in _HEADINGS and plain) or (node.tag == "p" and plain and node.chars > 80):
-                    kept.add(i)
+    kept = _with_siblings(nodes, best, worth)
     inside = [False] * len(nodes)
     menu = [False] * len(nodes)
     for i, node in enumerate(nodes):

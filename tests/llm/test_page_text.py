@@ -44,6 +44,90 @@ def test_layout_around_the_article_is_no_mark(page):
     assert main_text(page) == f"{LONG} {LONG}"
 
 
+SHORT = "A few words."
+PROBES = [  # ordinary pages whose article must come out whole
+    (f"<article><p>{LONG}</p><div class='social-history'><p>{LONG}</p></div></article>", f"{LONG} {LONG}"),
+    (f"<article><p class='share-price'>{LONG}</p><p>{LONG} <span class='related'>with this</span> too.</p></article>", f"{LONG} {LONG} with this too."),
+    (f"<div><article>{TWO}</article><article>{TWO}</article></div>{SIDE}", " ".join([LONG] * 4)),
+    (f"<body><section>{TWO}</section><section><h2>B</h2>{TWO}</section><section><h2>End</h2><p>{SHORT}</p></section></body>", f"{LONG} {LONG} B {LONG} {LONG} End {SHORT}"),
+    (f"<article><header><h1>T</h1><p>{SHORT}</p></header>{TWO}</article>", f"T {SHORT} {LONG} {LONG}"),
+    (f"<div id=x><div class='story'>{TWO}</div><div>{SHORT}</div><div>{TWO}</div></div>", f"{LONG} {LONG} {SHORT} {LONG} {LONG}"),
+    (f"<body><header><p>{LONG}</p></header><article>{TWO}</article></body>", f"{LONG} {LONG}"),
+]
+
+
+@pytest.mark.parametrize("page,text", PROBES)
+def test_article_comes_out_whole(page, text):
+    assert main_text(page) == text
+
+
+def _made_page(rng):
+    """A page drawn from parts, and its article: what is not article stands in parts that say so by kind or name."""
+    words = "alfa beta gama delta kappa lamda omega sigma".split()
+
+    def sentence(least, most):
+        return " ".join(rng.choice(words) + rng.choice(["", ","]) for _ in range(rng.randint(least, most))) + "."
+
+    texts: list[str] = []
+
+    def article_part():
+        kind, text = rng.choice(["p", "p", "p", "h2", "blockquote", "ul", "pair", "note"]), sentence(12, 50)
+        if kind == "ul":
+            items = [sentence(3, 9) for _ in range(3)]
+            texts.extend(items)
+            return "<ul>" + "".join(f"<li>{i}" for i in items) + "</ul>"
+        if kind == "h2":
+            text = sentence(2, 5)
+        texts.append(text)
+        if kind == "pair":
+            return f"<div class='share-price table-{rng.randint(1, 9)}'><p>{text}</p></div>"
+        if kind == "note":
+            return f"<p class='{rng.choice(['lead', 'social-life', 'with-menu'])}'>{text[:20]}<b>{text[20:30]}</b>{text[30:]}</p>"
+        return f"<{kind}>{text}</{kind}>"
+
+    def noise():
+        text = sentence(5, 60)
+        links = "".join(f"<li><a href='/{w}'>{w}</a></li>" for w in words)
+        return rng.choice([
+            f"<nav><ul>{links}</ul></nav>", f"<aside><p>{text}</p></aside>", f"<div class='sidebar'><p>{text}</p></div>", f"<div id='comments'><div class='comment-7'><p>{text}</p></div></div>",
+            f"<div class='ad-slot'>{text}</div>", f"<form>{text}<input></form>", f"<div class='cookie-notice'>{text}</div>", f"<script>var x='<p>{text}</p>'</script>", f"<ul>{links}</ul>",
+            f"<div role='navigation'>{text}</div>", f"<footer>{text}</footer>", f"<div class='related posts'><p>{text}</p></div>", f"<!-- {text} -->", f"<div style='display: none'>{text}</div>",
+        ])
+
+    open_, shut = rng.choice([("<article>", "</article>"), ("<main>", "</main>"), ("<div class='story-text'>", "</div>"), ("<div class='page has-sidebar'><article>", "</article></div>")])
+    first = sentence(60, 90)
+    body = [open_, f"<p>{first}</p>"]
+    texts.append(first)
+    for _ in range(rng.randint(3, 9)):
+        body.append(noise() if rng.random() < 0.2 else article_part())
+    body.append(shut)
+    before, after = ("".join(noise() for _ in range(rng.randint(0, 4))) for _ in range(2))
+    return f"<html><head><title>{sentence(2, 4)}</title></head><body>{before}{''.join(body)}{after}</body></html>", " ".join(texts)
+
+
+def test_made_pages_give_their_articles():
+    import random
+
+    for seed in range(400):
+        page, text = _made_page(random.Random(seed))
+        assert main_text(page) == text, seed
+
+
+DEEP = [
+    "<body>" + "<div>x " * 100_000, "<b>" * 60_000 + "x" + "</i>" * 60_000, "<div>" * 50_000 + "<li>x" * 50_000, "<b><div>" * 30_000 + "</b>" * 30_000, "<p>" + "<i>" * 50_000 + "<p>x" * 50_000,
+    "<article>" * 30_000 + "x", "<div>" * 50_000 + "</p>" * 50_000, "<section>" + "<section>x</section>" * 30_000,
+]
+
+
+@pytest.mark.parametrize("page", DEEP, ids=range(len(DEEP)))
+def test_time_is_linear_in_depth(page):
+    import time
+
+    began = time.process_time()
+    main_text(page)
+    assert time.process_time() - began < 6
+
+
 def test_heading_tells_what_holds_the_article():
     page = f"<div><p>{LONG}</p></div><div class='grid-sidebar'><h1>T</h1>{TWO}{TWO}</div>"
     assert main_text(page).endswith(f"T {LONG} {LONG} {LONG} {LONG}")
