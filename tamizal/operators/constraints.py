@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamizal.functions.jsonb import struct_text
+from tamizal.session import materialize_all
 
 
 class ConstraintError(ValueError):
@@ -29,9 +30,8 @@ class NotNull:
     def columns(self) -> tuple[str, ...]:
         return (self.column,)
 
-    def broken(self, tables: dict[str, DataFrame]) -> DataFrame:
-        missing = tables[self.table].where(F.col(self.column).isNull())
-        return missing.agg(F.count(F.lit(1)).alias("filas")).where("filas > 0").select(F.lit(None).cast("string").alias("clave"), "filas")
+    def entries(self) -> list[Column]:
+        return [_entry(self, F.col(self.column).isNull(), None)]
 
 
 @dataclass(frozen=True)
@@ -48,15 +48,10 @@ class Unique:
     def name(self) -> str:
         return f"{self.table}_pkey" if self.primary else f"{self.table}_{'_'.join(self.columns)}_key"
 
-    def broken(self, tables: dict[str, DataFrame]) -> DataFrame:
+    def entries(self) -> list[Column]:
         present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in self.columns])
-        rows = tables[self.table]
-        repeated = rows.where(present).groupBy(*self.columns).agg(F.count(F.lit(1)).alias("filas")).where("filas > 1")
-        found = repeated.select(struct_text(*self.columns).alias("clave"), "filas")
-        if not self.primary:
-            return found
-        absent = rows.where(~present).agg(F.count(F.lit(1)).alias("filas")).where("filas > 0")
-        return found.unionByName(absent.select(F.lit(None).cast("string").alias("clave"), "filas"))
+        absent = [_entry(self, ~present, None)] if self.primary else []
+        return [_entry(self, present, self.columns), *absent]
 
 
 @dataclass(frozen=True)
@@ -75,12 +70,8 @@ class ForeignKey:
     def columns(self) -> tuple[str, ...]:
         return (self.column,)
 
-    def broken(self, tables: dict[str, DataFrame]) -> DataFrame:
-        """Children are counted per value first, so a hot value meets the parents once."""
-        used = tables[self.table].where(F.col(self.column).isNotNull()).groupBy(self.column).agg(F.count(F.lit(1)).alias("filas"))
-        known = tables[self.parent].select(F.col(self.parent_column).alias("_known"))
-        orphans = used.join(known, F.col(self.column) == F.col("_known"), "left_anti")
-        return orphans.select(struct_text(self.column).alias("clave"), "filas")
+    def entries(self) -> list[Column]:
+        return [_entry(self, F.col(self.column).isNotNull(), (self.column,))]
 
 
 @dataclass(frozen=True)
@@ -101,25 +92,65 @@ class Check:
     def columns(self) -> tuple[str, ...]:
         return self.shown
 
-    def broken(self, tables: dict[str, DataFrame]) -> DataFrame:
-        failing = tables[self.table].where(F.coalesce(~F.expr(self.condition), F.lit(False)))
-        return failing.groupBy(*self.shown).agg(F.count(F.lit(1)).alias("filas")).select(struct_text(*self.shown).alias("clave"), "filas")
+    def entries(self) -> list[Column]:
+        return [_entry(self, F.coalesce(~F.expr(self.condition), F.lit(False)), self.shown)]
 
 
 Constraint = NotNull | Unique | ForeignKey | Check
 
 
+def _entry(rule: Constraint, holds: Column, columns: tuple[str, ...] | None) -> Column:
+    """What a row says to a rule: the rule's name and the values it asks for, if it asks this row at all."""
+    value = F.lit(None).cast("string") if columns is None else struct_text(*columns)
+    # values without their names, so that a reference and the key it refers to are the same text
+    bare = F.lit(None).cast("string") if columns is None else struct_text(*[F.col(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    return F.when(holds, F.struct(F.lit(rule.name).alias("restriccion"), value.alias("clave"), bare.alias("valor")))
+
+
+def _said(rows: DataFrame, constraints: list[Constraint]) -> DataFrame:
+    """One pass over a table for all its rules: rows per rule and value, added up where they are read."""
+    entries = F.array_compact(F.array(*[entry for c in constraints for entry in c.entries()]))
+    return rows.select(F.inline(entries)).groupBy("restriccion", "clave", "valor").agg(F.count(F.lit(1)).alias("filas"))
+
+
 def violations(tables: dict[str, DataFrame], constraints: list[Constraint]) -> DataFrame:
-    """Table, constraint, kind, offending key (JSON) and how many rows carry it."""
-    parts = [
-        c.broken(tables).select(
-            F.lit(c.table).alias("tabla"), F.lit(c.name).alias("restriccion"), F.lit(c.kind).alias("tipo"), "clave", "filas"
-        )
-        for c in constraints
-    ]
+    """Table, constraint, kind, offending key (JSON) and how many rows carry it.
+
+    Every table is read once, whatever the number of its rules: its rows become counts per rule and value, written
+    down. Those counts are all that is asked afterwards: repeated keys, and references without a key among the
+    counts of the parent. A parent key that no rule names is read for it.
+    """
+    by_table: dict[str, list[Constraint]] = {}
+    for c in constraints:
+        by_table.setdefault(c.table, []).append(c)
+    said = materialize_all({f"rules-{table}": _said(tables[table], rules) for table, rules in by_table.items()})
+    parts = []
+    for table, rules in by_table.items():
+        counts = said[f"rules-{table}"]
+        for kind in (NotNull, Unique, ForeignKey, Check):
+            own = [c for c in rules if isinstance(c, kind)]
+            if not own:
+                continue
+            found = counts.where(F.col("restriccion").isin([c.name for c in own]))
+            if kind is Unique:
+                found = found.where("filas > 1 OR valor IS NULL")
+            if kind is ForeignKey:
+                found = reduce(DataFrame.unionByName, [_orphans(found, c, tables, by_table, said) for c in own])
+            names = F.create_map(*[F.lit(x) for c in own for x in (c.name, c.kind)])
+            parts.append(found.select(F.lit(table).alias("tabla"), "restriccion", names[F.col("restriccion")].alias("tipo"), "clave", "filas"))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _orphans(found: DataFrame, rule: ForeignKey, tables: dict, by_table: dict, said: dict) -> DataFrame:
+    """Values of a reference that the parent's keys lack; both sides are distinct values by now."""
+    keys = next((c for c in by_table.get(rule.parent, ()) if isinstance(c, Unique) and c.columns == (rule.parent_column,)), None)
+    if keys is not None:
+        known = said[f"rules-{rule.parent}"].where(F.col("restriccion") == keys.name).select(F.col("valor").alias("_known"))
+    else:
+        known = tables[rule.parent].select(struct_text(F.col(rule.parent_column).alias("v0")).alias("_known"))
+    return found.where(F.col("restriccion") == rule.name).join(known, F.col("valor") == F.col("_known"), "left_anti")
+
+
 def require_valid(tables: dict[str, DataFrame], constraints: list[Constraint]) -> None:
     found = violations(tables, constraints).limit(20).collect()
     if found:

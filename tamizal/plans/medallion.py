@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tamizal.operators import constraints, quality
 from tamizal.plans import gold
 from tamizal.plans.entities import ENTITIES, levels, with_parents
-from tamizal.session import materialize, side_by_side, tune
+from tamizal.session import materialize, scratch_run, side_by_side, tune
 from tamizal.sources.bronze import land_batch, read_bronze
 from tamizal.sources.publish import name_current, publish, write_version
 from tamizal.sources.schemas import WAREHOUSE, WAREHOUSE_CONSTRAINTS, conform
@@ -82,9 +82,14 @@ def run(
 
     Bronze is only added to. Derived tables are rebuilt in folders of this run, so a second run gives the
     same rows; Silver, quality and warehouse of the last good run stay current until this one has passed
-    its checks, also when it has the same version.
+    its checks, also when it has the same version. Intermediate tables are removed when the run ends.
     """
     tune(spark)
+    with scratch_run(spark):
+        return _run(spark, incoming, lake, batches, version, expected, run_at)
+
+
+def _run(spark, incoming, lake, batches, version, expected, run_at) -> dict[str, DataFrame]:
     now = spark.range(1).select(F.current_timestamp()).first()[0] if run_at is None else None
     stamp = F.lit(now) if run_at is None else run_at
     for lote in batches:

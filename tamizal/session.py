@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import partial
 from typing import TypeVar
 
@@ -58,8 +59,40 @@ def shared_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_RUN = "tamizal.run"  # a local property, so that threads of a run have it too
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(shared_root(spark), "scratch", f"{name}-{uuid.uuid4().hex}")
+    """A new path in the shared folder, in that of the run around it if there is one."""
+    run = spark.sparkContext.getLocalProperty(_RUN)
+    return os.path.join(shared_root(spark), "scratch", *([run] if run else []), f"{name}-{uuid.uuid4().hex}")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark can write."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables of what runs inside are in one folder, which is removed at the end, also after a failure.
+
+    Frames made inside must be written elsewhere before the end. A run inside another belongs to it.
+    """
+    context = spark.sparkContext
+    outer = context.getLocalProperty(_RUN)
+    if outer:
+        yield os.path.join(shared_root(spark), "scratch", outer)
+        return
+    run = f"run-{uuid.uuid4().hex}"
+    folder = os.path.join(shared_root(spark), "scratch", run)
+    context.setLocalProperty(_RUN, run)
+    try:
+        yield folder
+    finally:
+        context.setLocalProperty(_RUN, None)
+        remove_folder(spark, folder)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

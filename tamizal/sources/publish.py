@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamizal.session import side_by_side
+from tamizal.session import remove_folder, side_by_side
 from tamizal.sources.layout import write_partitioned
 
 LEDGER = "version string, carpeta string, publicado_en timestamp"
@@ -95,3 +95,17 @@ def publish(
     check(written)
     name_current(spark, root, version, folder)
     return written
+
+
+def retire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Remove the folders of published runs that are not among the last ``keep``; gives the removed ones.
+
+    The ledger says which: its rows stay, and a folder that it does not name, such as a refused run's or one that
+    is being written, is left alone. Readers of the last runs are not touched.
+    """
+    ledger = spark.read.schema(LEDGER).parquet(f"{root}/_published")
+    last = {r["carpeta"] for r in ledger.groupBy("carpeta").agg(F.max("publicado_en").alias("t")).orderBy(F.desc("t")).limit(max(keep, 1)).collect()}
+    old = sorted(r["carpeta"] for r in ledger.select("carpeta").distinct().collect() if r["carpeta"] not in last)
+    for folder in old:
+        remove_folder(spark, f"{root}/{folder}")
+    return old

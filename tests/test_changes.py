@@ -56,6 +56,25 @@ def test_valid_insert_with_defaults(spark, registry):
     c.require_valid({**registry, "usuarios": grown}, REGISTRY_CONSTRAINTS)
 
 
+def test_rules_read_every_table_once(spark, registry, tmp_path):
+    from pyspark.sql import Observation
+
+    seen = {name: Observation() for name in registry}
+    watched = {name: df.observe(seen[name], F.count(F.lit(1)).alias("n")) for name, df in registry.items()}
+    read = {name: [] for name in registry}
+    original = c._said
+    try:
+        c._said = lambda rows, rules: read[rules[0].table].append(len(rules)) or original(rows, rules)
+        assert c.violations(watched, REGISTRY_CONSTRAINTS).isEmpty()
+    finally:
+        c._said = original
+    per_table = {}
+    for rule in REGISTRY_CONSTRAINTS:
+        per_table[rule.table] = per_table.get(rule.table, 0) + 1
+    assert read == {name: [per_table[name]] for name in registry}
+    assert {name: s.get["n"] for name, s in seen.items()} == {name: df.count() for name, df in registry.items()}
+
+
 def test_restricted_delete(registry):
     children = {"datasets": (registry["datasets"], "usuario_id"), "modelos": (registry["modelos"], "usuario_id")}
     with pytest.raises(c.ConstraintError, match="still refers to 2"):
@@ -167,6 +186,43 @@ def test_snapshot(spark, tmp_path):
     assert stored.read().count() == 5
 
 
+def test_parted_snapshot_equals_the_whole(spark, tmp_path):
+    from tamizal.operators.views import PartedSnapshot
+
+    rows = spark.range(500).select((F.col("id") % 7).alias("k"), F.when(F.col("id") % 11 > 0, F.col("id") / 8).alias("v"), (F.col("id") % 4).alias("b"))
+    stored = PartedSnapshot(spark, str(tmp_path / "s"), ["k"], "v")
+    for batch in range(4):
+        stored.refresh(str(batch), rows.where(F.col("b") == batch))
+        got = {r["k"]: tuple(r)[1:] for r in stored.read().collect()}
+        done = rows.where(F.col("b") <= batch).groupBy("k").agg(F.count(F.lit(1)), F.round(F.avg("v"), 4), F.min("v"), F.max("v"))
+        assert got == {r["k"]: tuple(r)[1:] for r in done.collect()}
+    before = stored.read().collect()
+    stored.refresh("2", rows.where(F.col("b") == 2))
+    assert sorted(map(str, stored.read().collect())) == sorted(map(str, before))
+
+
+def test_layouts_skip_what_is_not_asked_for(spark, tmp_path):
+    """Files and row groups that a query does not read, by scan metrics."""
+    df = spark.range(40_000).select("id", (F.col("id") % 8).alias("k"), F.format_string("u%06d", F.pmod(F.xxhash64("id"), F.lit(10**6))).alias("u"))
+    layout.write_partitioned(df, str(tmp_path / "p"), ["k"], ["id"])
+    assert introspect.work_done(spark.read.parquet(str(tmp_path / "p")).where("k = 3"))["rows"] == 5000
+    small = {"parquet.block.size": "20000", "parquet.page.size": "2000", "parquet.block.size.row.check.min": "100", "parquet.page.size.row.check.min": "50"}
+    for key, value in small.items():
+        spark._jsc.hadoopConfiguration().set(key, value)
+    try:
+        layout.write_sorted(df, str(tmp_path / "o"), ["id"])
+        layout.write_bloom(df.coalesce(1), str(tmp_path / "f"), "u", 20_000)
+    finally:
+        for key in small:
+            spark._jsc.hadoopConfiguration().unset(key)
+    near = introspect.work_done(spark.read.parquet(str(tmp_path / "o")).where("id BETWEEN 20000 AND 20009"))
+    assert 10 <= near["rows"] < 10_000
+    one = df.where("id = 77").first()["u"]
+    point = introspect.work_done(spark.read.parquet(str(tmp_path / "f")).where(F.col("u") == one))
+    nobody = introspect.work_done(spark.read.parquet(str(tmp_path / "f")).where("u = 'u5x0000'"))
+    assert nobody["rows"] == 0 and 0 < point["rows"] < 40_000
+
+
 def test_layouts(spark, tmp_path, registry):
     path = str(tmp_path / "p")
     layout.write_partitioned(registry["metricas"], path, ["nombre"], ["id"])

@@ -10,7 +10,7 @@ from tamizal.operators import quality
 from tamizal.plans import gold, medallion
 from tamizal.plans.entities import ENTITIES, levels
 from tamizal.sources import bronze, records
-from tamizal.sources.publish import current_folder, current_version, publish, read_published
+from tamizal.sources.publish import current_folder, current_version, publish, read_published, retire
 
 SUMMARY = fixture.totals()
 METRIC_NAMES = {1: "accuracy", 2: "precision", 3: "recall", 5: "mae", 6: "loss"}
@@ -106,6 +106,20 @@ def test_second_run_gives_the_same_rows(spark, lake, incoming):
     assert before == {t: sorted(map(str, read_published(spark, f"{lake}/gold", t).collect())) for t in EXPECTED}
 
 
+def test_a_run_leaves_no_intermediate_tables(spark, incoming, tmp_path):
+    shared = Path(spark.conf.get("spark.checkpoint.dir")) / "scratch"
+    before = set(shared.iterdir())
+    medallion.run(spark, incoming, str(tmp_path), BATCHES, "a", EXPECTED)
+    with pytest.raises(quality.QualityGateError):
+        medallion.run(spark, incoming, str(tmp_path), BATCHES, "b", {"dim_usuario": 0})
+    assert set(shared.iterdir()) == before
+    for version in ("c", "d"):
+        publish(spark, str(tmp_path / "w"), version, {"t": spark.range(3)}, lambda _: None)
+    current = current_folder(spark, str(tmp_path / "w"))
+    assert [f.split("/")[0] for f in retire(spark, str(tmp_path / "w"), 1)] == ["version=c"]
+    assert current_folder(spark, str(tmp_path / "w")) == current and read_published(spark, str(tmp_path / "w"), "t").count() == 3
+
+
 def test_refused_version_leaves_the_old_one(spark, tmp_path):
     def refuse(_):
         raise quality.QualityGateError("no")
