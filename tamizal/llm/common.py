@@ -36,6 +36,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+SPREAD_ROWS = 500_000
+
+
+def spread(df: DataFrame, key: str, times: int = 1) -> DataFrame:
+    """``df`` dealt by ``key`` to so many tasks that each makes about ``SPREAD_ROWS`` rows when a row becomes ``times``.
+
+    A small file is one task otherwise, however many rows it is expanded to. ``df`` is counted: a written one.
+    """
+    return df.repartition(max(1, -(-df.count() * times // SPREAD_ROWS)), key)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, with underscores in front while a column of ``df`` has that name."""
     taken = {c.lower() for c in df.columns}

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamizal.llm.common import bounded_batches, components, free_name, table, written
+from tamizal.llm.common import bounded_batches, components, free_name, spread, table, written
 from tamizal.llm.rolling import chunks
 
 SHINGLE = 4
@@ -152,7 +152,7 @@ def near_groups(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     ``doc_id`` that links lead to.
     """
     flips = F.array(F.lit(0).cast("bigint"), *[F.lit(1 << b if b < 63 else -(1 << 63)).cast("bigint") for b in range(BITS)])
-    neighbours = prints.select("doc_id", F.explode(F.transform(flips, lambda f: F.col("print").bitwiseXOR(f))).alias("near"))
+    neighbours = spread(prints, "print", BITS + 1).select("doc_id", F.explode(F.transform(flips, lambda f: F.col("print").bitwiseXOR(f))).alias("near"))
     # distinct fingerprints within one bit of one value: 65 at most
     stars = neighbours.groupBy("near").agg(F.collect_set("doc_id").alias("members")).where(F.size("members") > 1)
     close = components(
@@ -165,7 +165,8 @@ def near_groups(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
         "close-groups",
     )
     plan = _cheapest_plan(grouped.count(), radius)
-    asked = _probes(grouped.select("print", "close"), plan, True)
+    probes = sum(len(masks) for _, _, masks in plan)
+    asked = _probes(spread(grouped.select("print", "close"), "print", probes), plan, True)
     stored = _probes(grouped.select("print", "close"), plan, False).select(
         "part", "segment", F.col("print").alias("other"), F.col("close").alias("other_close")
     )
