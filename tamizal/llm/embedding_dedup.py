@@ -6,9 +6,10 @@ product of a turned vector with a code, over the factor, is an unbiased estimate
 spread at a given cosine is known. A pair whose estimate lies more than ``EPSILON`` spreads below the
 threshold is settled; all others are computed exactly in double precision.
 
-Equal vectors are one row first. Vectors of a label are compared in blocks: a task holds one block of
-vectors and streams the codes that are compared with it, and gives one row for each vector with links
-(how many, and a vector of the same component), never the pairs.
+Equal vectors are one row first. Vectors of a label are compared block by block: the unit of work is a pair of
+blocks, of which a task holds one and streams the codes of the other. It gives one row for each vector with
+links (how many, and a vector of the same component), never the pairs; the pairs' rows are added up and
+joined in Spark, so a label of any size is as many tasks as it has pairs of blocks.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from tamizal.llm.common import bounded_batches, components, table, written
 
 THRESHOLD = 0.93
 EPSILON = 6.0
-BLOCK_ROWS = 65_536
+BLOCK_ROWS = 16_384
+MOST_TASKS = 20_000
 TILE = 4096
 SEED = 20240527
 
@@ -120,7 +122,7 @@ class _Block:
 
 
 def _compare(threshold: float, epsilon: float, tile: int):
-    """Rows come sorted by label, dimension and block; a block's own vectors come before the codes."""
+    """Rows come sorted by label, dimension and pair of blocks; the vectors of the first come before the codes of the second."""
 
     def found(ids: np.ndarray, links: np.ndarray, to: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links), pa.array(to)], names=["vec_id", "links", "to"])
@@ -132,11 +134,10 @@ def _compare(threshold: float, epsilon: float, tile: int):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, key, waiting = None, None, []
         for batch in batches:
-            names = ("label", "size", "block")
+            names = ("label", "size", "block", "pair")
             keys = np.stack([batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in names], axis=1)
             side = batch.column("side").to_numpy(zero_copy_only=False)
-            own_block = batch.column("own_block").to_numpy(zero_copy_only=False)
-            marks = np.column_stack([keys, side, own_block])
+            marks = np.column_stack([keys, side])
             edges = [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1).tolist(), len(marks)]
             for low, high in zip(edges, edges[1:]):
                 if low == high:
@@ -155,7 +156,7 @@ def _compare(threshold: float, epsilon: float, tile: int):
                     held = {n: np.concatenate([w[n] for w in waiting]) for n in ("vec_id", "copies", "vector")}
                     block, waiting = _Block(held["vec_id"], held["copies"], held["vector"], now[2]), []
                 rows["factor"] = part.column("factor").to_numpy(zero_copy_only=False)
-                rows["block"] = own_block[low:high]
+                rows["block"] = keys[low:high, 3]
                 rows["code"] = np.frombuffer(b"".join(part.column("code").to_pylist()), np.uint8).reshape(high - low, -1)
                 links, to = block.compare(rows, threshold, epsilon, tile)
                 hit = np.flatnonzero(to >= 0)
@@ -199,15 +200,18 @@ def near_vectors(
         coded.groupBy("label", "size").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("bigint").alias("blocks")), "vector-blocks"
     )
     placed = coded.join(blocks, ["label", "size"]).withColumn("own_block", F.pmod(F.xxhash64("vec_id"), "blocks"))
-    held = placed.withColumn("block", F.col("own_block")).withColumn("side", F.lit(0))
-    # codes meet every block up to their own
-    streamed = placed.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), "own_block"))).withColumn("side", F.lit(1))
-    columns = ["label", "size", "block", "side", "own_block", "vec_id", "copies", "embedding", "code", "factor"]
+    # every block is held against itself and those after it, whose codes come to it
+    held = placed.withColumns({"block": F.col("own_block"), "side": F.lit(0)})
+    held = held.withColumn("pair", F.explode(F.sequence(F.col("own_block"), F.col("blocks") - 1)))
+    streamed = placed.withColumns({"pair": F.col("own_block"), "side": F.lit(1)})
+    streamed = streamed.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), "own_block")))
+    columns = ["label", "size", "block", "pair", "side", "vec_id", "copies", "embedding", "code", "factor"]
+    pairs = blocks.agg(F.coalesce(F.sum(F.col("blocks").cast("double") * (F.col("blocks") + 1) / 2), F.lit(1.0))).first()[0]
     ordered = (
         held.select(columns)
         .unionByName(streamed.select(columns))
-        .repartition("label", "size", "block")
-        .sortWithinPartitions("label", "size", "block", "side", "own_block")
+        .repartition(int(min(max(pairs, 1), MOST_TASKS)), "label", "size", "block", "pair")
+        .sortWithinPartitions("label", "size", "block", "pair", "side")
     )
     found = written(ordered.mapInArrow(_compare(threshold, epsilon, tile), "vec_id bigint, links bigint, to bigint"), "vector-links")
     linked = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
