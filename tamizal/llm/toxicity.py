@@ -2,9 +2,10 @@
 
 The lexicon is learned from labelled texts: words, and beginnings of words, that stand in toxic texts far
 more often than in others. A word of a text meets the lexicon if the automaton of the word, with a few
-edits allowed, and the trie accept a common term; a beginning is met by a beginning of the word. What a
-match counts for depends on its window: alone or among others, quoted or not, exact or misspelled. A
-logistic model turns these scores of a text into one; it is fitted on the same bounded sample of labelled
+edits allowed, and the trie accept a common term; a beginning is met by a beginning of the word. The distinct
+words of a batch walk the trie together, level by level: what is alive is (word, node, state of its automaton),
+and one table of transitions serves all words. What a match counts for depends on its window: alone or among
+others, between quotation marks that pair up inside the window or not, exact or misspelled. A logistic model turns these scores of a text into one; it is fitted on the same bounded sample of labelled
 texts.
 """
 
@@ -25,16 +26,18 @@ from tamizal.llm.common import bounded_batches, table, words_of, written
 
 FOLDS = 5
 SAMPLE_DOCS = 20_000  # labelled texts that the lexicon and the model are fitted on, at most about so many
-TERMS = 2_000  # terms of the lexicon, at most
-CANDIDATES = 50_000  # terms that are counted in texts of both labels, at most
 BEGINNINGS = (4, 5, 6, 7, 8)
 LEAST_TEXTS, LEAST_SHARE, LEAST_RATIO, LEAST_EVIDENCE = 3, 0.01, 10.0, 12.0
 WINDOW = 12
 MEMO_WORDS = 300_000
+_WALKED = 512  # words that walk the trie together
 
 _BEGINNING = "beginning"  # in the trie, beside letters: a beginning of words ends here; "" is the end of a word
 _WORD = re.compile(r"[^\W_]+(?:[*@$!'’][^\W_]+)*")
-_QUOTES = re.compile("[\"“”«»„‟]")
+# Marks of quotations: double ones, and single ones, which are apostrophes between letters.
+_QUOTES = re.compile("[\"“”«»„‟]|['‘’‚‹›]")
+_SINGLE = frozenset("'‘’‚‹›")
+_BEFORE_QUOTE = frozenset("([{<—–-:;,.!?…/¿¡\"“„«'‘‚‹")
 # Characters that stand for letters in disguised words.
 _DISGUISE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 
@@ -85,6 +88,103 @@ class Automaton:
         return state[1][k] if 0 <= k < 2 * self.most + 1 else self.most + 1
 
 
+class Transitions:
+    """The automaton's bands as numbers, and where each leads for every way the letters nearby can be equal."""
+
+    def __init__(self, most: int):
+        self.most, self.width = most, 2 * most + 1
+        numbers = {Automaton("", most).start()[1]: 0}
+        rows, waiting = [], list(numbers)
+        for band in waiting:  # grows as it goes
+            row = []
+            for bits in range(1 << self.width):
+                # a word of letters that are equal to the one read, or not
+                word = "".join("x" if bits >> k & 1 else "y" for k in range(self.width))
+                automaton = Automaton("", most)
+                automaton.padded = word
+                after = automaton.step((0, band), "x")
+                if after is None:
+                    row.append(-1)
+                    continue
+                if after[1] not in numbers:
+                    numbers[after[1]] = len(numbers)
+                    waiting.append(after[1])
+                row.append(numbers[after[1]])
+            rows.append(row)
+        self.table = np.array(rows, np.int16)
+        self.bands = np.array(waiting, np.int16)
+        self.least = self.bands.min(axis=1)
+
+
+class FlatTrie:
+    """A trie as arrays: the children of a node stand together, with the letter that leads to each."""
+
+    transitions: dict[int, Transitions] = {}
+
+    def __init__(self, trie: dict):
+        letters, first, count, ends, begins = [0], [0], [0], [-1], [-1]
+        self.codes: dict[str, int] = {}
+        found: list[str] = []
+        waiting = [trie]
+        for number, node in enumerate(waiting):  # grows as it goes
+            first[number] = len(waiting)
+            for letter, below in node.items():
+                if letter in ("", _BEGINNING):
+                    (begins if letter else ends)[number] = len(found)
+                    found.append(below)
+                    continue
+                waiting.append(below)
+                letters.append(self.codes.setdefault(letter, len(self.codes) + 1))
+                for column in (first, count):
+                    column.append(0)
+                for column in (ends, begins):
+                    column.append(-1)
+                count[number] += 1
+        self.letters, self.first, self.count = (np.array(c, np.int64) for c in (letters, first, count))
+        self.ends, self.begins = np.array(ends, np.int64), np.array(begins, np.int64)
+        self.terms = sorted(set(found))
+        rank = {t: i for i, t in enumerate(self.terms)}
+        self.rank = np.array([rank[t] for t in found] or [0], np.int64)
+        self.allowed = np.array([edits_allowed(t) for t in found] or [0], np.int64)
+        self.depth = max(map(len, self.terms), default=0)
+
+    def walk(self, words: list[str], most: int) -> list[str | None]:
+        """The nearest term for each word, by trie and automata at once."""
+        if most not in FlatTrie.transitions:
+            FlatTrie.transitions[most] = Transitions(most)
+        moves = FlatTrie.transitions[most]
+        size = np.array([len(w) for w in words])
+        # no more letters than the deepest term can be compared with
+        padded = np.zeros((len(words), self.depth + 3 * most + 2), np.int64)
+        for i, word in enumerate(words):
+            codes = [self.codes.get(letter, -1) for letter in word[: self.depth + most + 1]]
+            padded[i, most : most + len(codes)] = codes
+        worst = (most + 1) * len(self.terms)
+        best = np.full(len(words), worst)
+
+        def offer(word: np.ndarray, term: np.ndarray, distance: np.ndarray) -> None:
+            near = (term >= 0) & (distance <= np.minimum(self.allowed[term], most))
+            np.minimum.at(best, word[near], distance[near] * len(self.terms) + self.rank[term[near]])
+
+        word, node, state = np.arange(len(words)), np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        for read in range(self.depth):
+            count = self.count[node]
+            above = np.repeat(np.arange(len(node)), count)
+            child = np.arange(len(above)) - np.repeat(np.cumsum(count) - count, count) + self.first[node][above]
+            word, letter = word[above], self.letters[child]
+            equal = padded[word[:, None], read + np.arange(moves.width)] == letter[:, None]
+            after = moves.table[state[above], equal @ (1 << np.arange(moves.width))]
+            alive = np.flatnonzero((after >= 0) & (read <= size[word] + most))
+            word, node, state = word[alive], child[alive], after[alive].astype(np.int64)
+            if not len(word):
+                break
+            place = size[word] - (read + 1) + most
+            inside = (place >= 0) & (place < moves.width)
+            offer(word[inside], self.ends[node[inside]], moves.bands[state[inside], place[inside]].astype(np.int64))
+            offer(word, self.begins[node], moves.least[state].astype(np.int64))
+        return [self.terms[b % len(self.terms)] if b < worst else None for b in best.tolist()]
+
+
 @dataclass
 class Lexicon:
     """Terms with weights: whole words, beginnings of words, and words with such a beginning; a trie of all that may be misspelled."""
@@ -112,45 +212,54 @@ class Lexicon:
                         places.setdefault(at, set()).add(term[low:high])
         self.pieces = [(at, sorted({len(piece) for piece in own}), own) for at, own in sorted(places.items())]
         self.lengths = sorted({len(s) for s in self.stems})
+        self.flat = FlatTrie(self.trie)
 
     def maybe(self, word: str) -> bool:
         """Whether a piece of any term stands in ``word`` about where it does in the term."""
         return any(word[at : at + length] in own for at, lengths, own in self.pieces for length in lengths)
 
     def near(self, word: str) -> str | None:
-        """The nearest term that ``word`` is a misspelling of: both automaton and trie are walked."""
-        if len(word) < 4 or not self.maybe(word):
-            return None
-        automaton = Automaton(word, 1 if len(word) < 7 else 2)
-        best = None
-        waiting = [(self.trie, automaton.start())]
-        while waiting:
-            node, state = waiting.pop()
-            for letter, below in node.items():
-                if letter in ("", _BEGINNING):
-                    # a beginning is compared with the beginning of the word that is nearest to it
-                    distance = min(state[1]) if letter else automaton.distance(state)
-                    if distance <= edits_allowed(below) and (best is None or (distance, below) < best):
-                        best = distance, below
-                elif (after := automaton.step(state, letter)) is not None:
-                    waiting.append((below, after))
-        return best[1] if best else None
+        """The nearest term that ``word`` is a misspelling of."""
+        return self.nearest([word])[0]
+
+    def nearest(self, words: list[str]) -> list[str | None]:
+        """For each word the nearest term that it is a misspelling of, the first of equally near ones."""
+        out: list[str | None] = [None] * len(words)
+        for most in (1, 2):
+            asked = [i for i, w in enumerate(words) if len(w) >= 4 and (len(w) < 7) == (most == 1) and self.maybe(w)]
+            asked.sort(key=words.__getitem__)
+            for low in range(0, len(asked), _WALKED):
+                part = asked[low : low + _WALKED]
+                for i, term in zip(part, self.flat.walk([words[i] for i in part], most)):
+                    out[i] = term
+        return out
 
     def meet(self, word: str) -> tuple[float, bool] | None:
         """Weight of the term that a word meets, and whether it is met exactly."""
-        weight = self.words.get(word)
-        if weight is not None:
-            return weight, True
-        weight = self._begun(word)
-        if weight is not None:
-            return weight, True
-        plain = re.sub("[*'’]", "", word.translate(_DISGUISE)) if not word.isalpha() else word
-        weight = self.words.get(plain)
-        if weight is None:
-            weight = self._begun(plain)
-        if weight is None:
-            weight = self.weights.get(self.near(plain))
-        return None if weight is None else (weight, False)
+        return self.meet_all([word])[0]
+
+    def meet_all(self, words: list[str]) -> list[tuple[float, bool] | None]:
+        out: list[tuple[float, bool] | None] = [None] * len(words)
+        asked: dict[int, str] = {}
+        for i, word in enumerate(words):
+            weight = self.words.get(word)
+            if weight is None:
+                weight = self._begun(word)
+            if weight is not None:
+                out[i] = weight, True
+                continue
+            plain = re.sub("[*'’]", "", word.translate(_DISGUISE)) if not word.isalpha() else word
+            weight = self.words.get(plain)
+            if weight is None:
+                weight = self._begun(plain)
+            if weight is not None:
+                out[i] = weight, False
+            else:
+                asked[i] = plain
+        for i, term in zip(asked, self.nearest(list(asked.values()))):
+            if term is not None:
+                out[i] = self.weights[term], False
+        return out
 
     def _begun(self, word: str) -> float | None:
         return next((self.stems[word[:length]] for length in self.lengths if word[:length] in self.stems), None)
@@ -159,45 +268,95 @@ class Lexicon:
 FEATURES = ("exact", "misspelled", "quoted", "dense", "share", "any")
 
 
+def _marks(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of quotation marks, whether each is single, and whether it opens (1), closes (-1) or neither (0).
+
+    A mark opens after a blank, the start or a sign, before something else; it closes the other way about. What
+    stands between two letters or digits is an apostrophe, and after a digit before a blank a sign of measure.
+    """
+    places, single, turns = [], [], []
+    for found in _QUOTES.finditer(text):
+        at, mark = found.start(), found[0]
+        before, after = text[at - 1 : at], text[at + 1 : at + 2]
+        if before.isalnum() and after.isalnum():
+            continue
+        free_before, free_after = not before or before.isspace(), not after or after.isspace()
+        if free_before and free_after:
+            continue
+        if free_before or (before in _BEFORE_QUOTE and after.isalnum()):
+            turn = 1
+        elif before.isdigit() and mark in "\"'":
+            turn = 0
+        else:
+            turn = -1
+        places.append(at)
+        single.append(mark in _SINGLE)
+        turns.append(turn)
+    return np.array(places, np.int64), np.array(single, bool), np.array(turns, np.int64)
+
+
+def _quoted(begin: int, end: int, low: int, high: int, marks: list[tuple[np.ndarray, np.ndarray]]) -> bool:
+    """Whether [begin, end) stands between a mark that opens and one that closes, both in [low, high) and of one kind.
+
+    Of each kind the nearest mark on either side decides: nothing before the window is asked.
+    """
+    for places, turns in marks:
+        left, right = int(np.searchsorted(places, begin)) - 1, int(np.searchsorted(places, end))
+        while left >= 0 and turns[left] == 0 and places[left] >= low:
+            left -= 1
+        while right < len(places) and turns[right] == 0 and places[right] < high:
+            right += 1
+        if left >= 0 and right < len(places) and places[left] >= low and places[right] < high and turns[left] == 1 and turns[right] == -1:
+            return True
+    return False
+
+
 class Scorer:
     """Scores of texts against a lexicon; words met before are kept in a bounded memo."""
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon, self.known = lexicon, {}
 
+    def rows(self, texts: list[str]) -> list[list[float]]:
+        """Features of each text; the words that are new to all of them meet the lexicon together."""
+        lower = [text.lower() for text in texts]
+        new = set()
+        for text in lower:
+            new.update(_WORD.findall(text))
+        if len(self.known) + len(new.difference(self.known)) > MEMO_WORDS:
+            self.known = {}
+        new = sorted(new.difference(self.known))
+        for word, met in zip(new, self.lexicon.meet_all(new)):
+            self.known[word] = met
+        return [self._of(text) for text in lower]
+
     def features(self, text: str) -> list[float]:
-        lower = text.lower()
-        words = _WORD.findall(lower)
-        new = set(words).difference(self.known)
-        if len(self.known) + len(new) > MEMO_WORDS:
-            self.known, new = {}, set(words)
-        for word in new:
-            self.known[word] = self.lexicon.meet(word)
+        return self.rows([text])[0]
+
+    def _of(self, lower: str) -> list[float]:
         known = self.known
+        words = _WORD.findall(lower)
         places = [i for i, word in enumerate(words) if known[word] is not None]
         if not places:
             return [0.0] * len(FEATURES)
-        quotes = np.array([m.start() for m in _QUOTES.finditer(lower)])
-        spans = [m.start() for m in _WORD.finditer(lower)] if len(quotes) else []
-        exact = misspelled = quoted = dense = 0.0
+        at, single, turns = _marks(lower)
+        marks = [(at[kind], turns[kind]) for kind in (single, ~single) if kind.any()]
+        spans = [m.span() for m in _WORD.finditer(lower)] if marks else []
+        exact = misspelled = quoted = dense = near = 0.0
+        first = 0  # of the matches that are in the window before the current one
         for n, place in enumerate(places):
             weight, is_exact = known[words[place]]
-            if len(quotes):
-                # inside a pair of quotation marks that both stand in the window
-                low, high = spans[max(place - WINDOW, 0)], spans[min(place + WINDOW, len(spans) - 1)]
-                before = int(np.searchsorted(quotes, spans[place]))
-                inside = before % 2 == 1 and quotes[before - 1] >= low and before < len(quotes) and quotes[before] <= high
-            else:
-                inside = False
-            if inside:
+            begin, end = spans[place] if marks else (0, 0)
+            if marks and _quoted(begin, end, spans[max(place - WINDOW, 0)][0] - 1, spans[min(place + WINDOW, len(spans) - 1)][1] + 1, marks):
                 quoted += weight
             elif is_exact:
                 exact += weight
             else:
                 misspelled += weight
-            near, k = weight, n - 1
-            while k >= 0 and place - places[k] <= WINDOW:
-                near, k = near + known[words[places[k]]][0], k - 1
+            near += weight
+            while place - places[first] > WINDOW:
+                near -= known[words[places[first]]][0]
+                first += 1
             dense = max(dense, near)
         share = (exact + misspelled) / math.sqrt(len(words))
         return [math.log1p(exact), math.log1p(misspelled), math.log1p(quoted), math.log1p(dense), math.log1p(share), 1.0]
@@ -207,35 +366,26 @@ def _fold(doc_id: str) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(FOLDS))
 
 
-def _terms(wanted: frozenset | None):
-    """Texts that hold each word, and each beginning of a word; of ``wanted`` ones only, if given."""
-
-    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts: Counter[tuple[str, bool]] = Counter()
-            for text in batch.column("text").to_pylist():
-                words = {w for w in _WORD.findall(text.lower()) if 3 <= len(w) <= 40}
-                found = {(w, True) for w in words} | {(w[:k], False) for w in words for k in BEGINNINGS if len(w) >= k}
-                counts.update(found if wanted is None else found & wanted)
-            if counts:
-                names, whole = zip(*counts)
-                columns = [pa.array(names), pa.array(whole), pa.array(list(counts.values()), pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["term", "whole", "texts"])
-
-    return terms
-
-
-def _term_counts(texts: DataFrame, wanted: frozenset | None = None) -> DataFrame:
-    counted = texts.select("text").mapInArrow(_terms(wanted), "term string, whole boolean, texts bigint")
-    return counted.groupBy("term", "whole").agg(F.sum("texts").alias("texts"))
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of each label that hold each word, and each beginning of a word."""
+    for batch in batches:
+        counts: dict[int, Counter[tuple[str, bool]]] = {0: Counter(), 1: Counter()}
+        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+            words = set(_WORD.findall(text.lower()))
+            counts[toxic].update({(w, True) for w in words} | {(w[:k], False) for w in words for k in BEGINNINGS if len(w) >= k})
+        rows = [(term, whole, counts[1][term, whole], counts[0][term, whole]) for term, whole in counts[0] | counts[1]]
+        if rows:
+            kinds = [pa.string(), pa.bool_(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["term", "whole", "toxic", "clean"])
 
 
-def learn_lexicon(sample: DataFrame, terms: int = TERMS, candidates: int = CANDIDATES) -> Lexicon:
+def learn_lexicon(sample: DataFrame) -> Lexicon:
     """Terms of the labelled texts ``sample`` (``text``, ``toxic``), by how much they tell toxic texts apart.
 
-    Terms of at least ``LEAST_TEXTS`` toxic texts, and ``LEAST_SHARE`` of them, are candidates (the ``candidates`` most frequent), and
-    only those are counted in the other texts. A term counts with the logarithm of how much more often it
-    stands in toxic texts, and needs evidence (a likelihood ratio) that chance does not give. Of a
+    Words of any length, and beginnings, count in Spark for both labels. A term of at least ``LEAST_TEXTS`` toxic
+    texts, and ``LEAST_SHARE`` of them, counts with the logarithm of how much more often it stands in toxic texts,
+    and needs evidence (a likelihood ratio) that chance does not give. All that have it are terms: as each stands in
+    ``LEAST_SHARE`` of the sample's toxic texts, they are no more than a hundred times the terms of one text. Of a
     beginning and longer ones that tell no more, the shortest is taken; a word that only stands alone is
     a word. Words with such a beginning are kept for their misspellings.
     """
@@ -243,42 +393,45 @@ def learn_lexicon(sample: DataFrame, terms: int = TERMS, candidates: int = CANDI
     if not n_toxic or not n_clean:
         return Lexicon({}, {})
     least = max(LEAST_TEXTS, math.ceil(LEAST_SHARE * n_toxic))
-    often = _term_counts(sample.where("toxic = 1")).where(F.col("texts") >= least)
-    toxic = {(r.term, r.whole): r.texts for r in often.orderBy(F.desc("texts"), "term", "whole").limit(candidates).collect()}
-    counted = _term_counts(sample.where("toxic = 0"), frozenset(toxic)).collect()  # at most as many rows
-    clean = {(r.term, r.whole): r.texts for r in counted}
-    base, told = n_toxic / (n_toxic + n_clean), []
-    for key, t in toxic.items():
-        c = clean.get(key, 0)
-        ratio = (t / n_toxic) / ((c + 0.5) / (n_clean + 1.0))
+    counted = sample.select("text", "toxic").mapInArrow(_terms, "term string, whole boolean, toxic bigint, clean bigint")
+    often = counted.groupBy("term", "whole").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).where(F.col("t") >= least)
+    t, c, base = F.col("t").cast("double"), F.col("c").cast("double"), n_toxic / (n_toxic + n_clean)
+    ratio = (t / n_toxic) / ((c + 0.5) / (n_clean + 1.0))
+    telling = often.where(ratio >= LEAST_RATIO)
+    told = []
+    for r in telling.collect():
+        t, c = r.t, r.c
         evidence = t * math.log(t / ((t + c) * base)) + (c * math.log(c / ((t + c) * (1 - base))) if c else 0.0)
-        if ratio >= LEAST_RATIO and evidence >= LEAST_EVIDENCE:
-            told.append((-evidence, key, t, ratio))
+        if evidence >= LEAST_EVIDENCE:
+            told.append((-evidence, (r.term, r.whole), t, (t / n_toxic) / ((c + 0.5) / (n_clean + 1.0))))
     words, beginnings = {}, []
-    for _, (term, whole), texts, ratio in sorted(told)[: 2 * terms]:
+    for _, (term, whole), texts, ratio in sorted(told):
         if whole:
             words[term] = texts, ratio
         else:
             beginnings.append((len(term), term, texts, ratio))
+    longest: dict[str, int] = {}  # texts of the most frequent word with a beginning
+    for word, (n, _) in words.items():
+        for k in BEGINNINGS:
+            if len(word) >= k:
+                longest[word[:k]] = max(longest.get(word[:k], 0), n)
     stems: dict[str, float] = {}
     for _, term, texts, ratio in sorted(beginnings):
         spread = term not in words or words[term][0] < 0.8 * texts
         # mostly one longer word: that word is the term
-        one = any(n >= 0.8 * texts for w, (n, _) in words.items() if w.startswith(term))
-        if spread and not one and not any(term.startswith(s) for s in stems):
+        one = longest.get(term, 0) >= 0.8 * texts
+        if spread and not one and not any(term[:k] in stems for k in BEGINNINGS):
             stems[term] = math.log(ratio)
-    stems = dict(list(stems.items())[:terms])
-    begun = {w for w in words if any(w.startswith(s) for s in stems)}
+    begun = {w for w in words if any(w[:k] in stems for k in BEGINNINGS)}
     weights = {w: math.log(ratio) for w, (_, ratio) in words.items()}
-    whole = {w: weight for w, weight in weights.items() if w not in begun}
-    return Lexicon(dict(list(whole.items())[:terms]), stems, {w: weights[w] for w in words if w in begun})
+    return Lexicon({w: weight for w, weight in weights.items() if w not in begun}, stems, {w: weights[w] for w in begun})
 
 
 def _score_rows(lexicon: Lexicon, extra: list[str]):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(lexicon)
         for batch in batches:
-            rows = [scorer.features(text) for text in batch.column("text").to_pylist()]
+            rows = scorer.rows(batch.column("text").to_pylist())
             features = [pa.array([r[k] for r in rows], pa.float64()) for k in range(len(FEATURES))]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in extra], *features], names=[*extra, *FEATURES])
 

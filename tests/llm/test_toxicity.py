@@ -94,6 +94,72 @@ def test_quoted_terms_count_apart():
     assert scorer.features("") == [0.0] * 6
 
 
+def test_quotations_are_pairs_inside_the_window():
+    scorer = Scorer(Lexicon({"grimble": 2.0}, {}))
+    quoted = ["he said 'you grimble' and left", "„du grimble“ sagte er", "« grimble, dit-il »".replace("« ", "«").replace(" »", "»"), "she typed “grimble”.", "the word ‘grimble’, again", "(\"grimble\")",
+              "don't say 'the grimble's hat' here", "\"a 5\" grimble\" she wrote"]
+    plain = ["the 5\" screen is fine. you are a grimble fool, he typed on a 7\" one", "don't be a grimble, it's bad", "\"yes\" you grimble \"no\"", "the dogs' grimble ate 'it'", "grimble", "\" grimble \"",
+             "\"" + "far " * 20 + "grimble\"", "he's a grimble, rock 'n' roll", "“open grimble", "grimble” closed"]
+    for text in quoted:
+        assert scorer.features(text)[2] > 0 and scorer.features(text)[0] == 0, text
+    for text in plain:
+        assert scorer.features(text)[2] == 0 and scorer.features(text)[0] > 0, text
+    # what stands before the window changes nothing
+    for before in ("", "\" ", "it's \"odd ", "“ “ “ " * 5):
+        assert scorer.features(before + "so " * 30 + "you grimble")[2] == 0
+        assert scorer.features(before + "so " * 30 + "\"you grimble\"")[2] > 0
+
+
+def _plain_features(lexicon, text):
+    """Windows by looking at every pair of matches."""
+    import re
+
+    lower = text.lower()
+    spans = [m.span() for m in re.finditer(r"[^\W_]+(?:[*@$!'’][^\W_]+)*", lower)]
+    met = [lexicon.meet(lower[a:b]) for a, b in spans]
+    hits = [i for i, m in enumerate(met) if m]
+    exact = sum(met[i][0] for i in hits if met[i][1])
+    other = sum(met[i][0] for i in hits if not met[i][1])
+    dense = max([sum(met[j][0] for j in hits if 0 <= i - j <= 12) for i in hits], default=0)
+    return [math.log1p(exact), math.log1p(other), 0.0, math.log1p(dense), math.log1p((exact + other) / math.sqrt(len(spans))) if hits else 0.0, float(bool(hits))]
+
+
+def test_windows_equal_a_plain_version():
+    rng = random.Random(11)
+    lexicon = Lexicon({"worthless": 1.0, "scum": 3.0}, {"idiot": 2.0}, {"idiotic": 1.5})
+    scorer = Scorer(lexicon)
+    for _ in range(300):
+        words = rng.choices(["river", "stone", "scum", "idiots", "worthles", "id1otic", "a", "scummy", "worthless"], weights=[9, 9, 1, 1, 1, 1, 3, 1, 1], k=rng.randint(0, 90))
+        text = rng.choice([" ", ", ", "\n"]).join(words)
+        assert all(math.isclose(a, b, abs_tol=1e-9) for a, b in zip(scorer.features(text), _plain_features(lexicon, text)))
+
+
+def test_large_lexicons_and_long_words():
+    import time
+
+    rng = random.Random(12)
+    terms = list(dict.fromkeys("".join(rng.choices("abcdefghijklmnop", k=rng.randint(5, 12))) for _ in range(4000)))
+    lexicon = Lexicon(dict.fromkeys(terms, 1.0), {})
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 14))) for _ in range(3000)]
+    began = time.process_time()
+    found = lexicon.meet_all(words + [terms[0] + "x", "q" * 1_000_000, "abcdefgh" * 100_000])
+    assert time.process_time() - began < 40 and found[3000] is not None and found[3001] is None
+    for word in words[:40]:
+        near = [(distance(word, t), t) for t in terms if abs(len(t) - len(word)) <= 2 and distance(word, t) <= edits_allowed(t)]
+        want = min(near)[1] if near and len(word) >= 4 and word not in lexicon.words else None
+        assert word in lexicon.words or lexicon.near(word) == want
+
+
+def test_no_cap_on_terms(spark):
+    """More telling words than any small number: all of them are terms, short and long ones too."""
+    rng = random.Random(13)
+    bad = ["".join(rng.choices("bcdfghjkmnpqrstvwxz", k=9)) for _ in range(60)] + ["zq", "x" * 60]
+    plain = "river stone window garden paper letter moment summer yellow follow number travel".split()
+    rows = [(" ".join([*rng.choices(plain, k=15), *(rng.sample(bad, 30) if i % 2 else [])]), i % 2) for i in range(300)]
+    lexicon = learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert all(lexicon.meet(word) and lexicon.meet(word)[1] for word in bad)
+
+
 def _corpus(spark):
     rng = random.Random(3)
     clean = "river stone window garden paper letter moment summer yellow follow number travel".split()
