@@ -8,6 +8,8 @@ short and a lost executor costs a re-read.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,7 +61,8 @@ def raked_factors(
     """For each margin ``value``, ``factor``: tokens times factors then add up to the targets.
 
     Stops when a round moves no factor by more than ``tolerance`` of itself. Targets that no weights
-    can meet leave the last margin exact and the others as near as ``rounds`` rounds bring them.
+    can meet leave the last margin exact and the others as near as ``rounds`` rounds bring them; then a warning
+    tells how far off they are, which ``residual`` gives for any factors.
     """
     factors = {m: targets[m].select("value", F.lit(1.0).alias("factor")) for m in targets}
     for _ in range(rounds):
@@ -82,10 +85,26 @@ def raked_factors(
             moved = max(moved, step or 0.0)
             factors[margin] = fresh.select("value", "factor")
         if moved <= tolerance:
-            break
+            return factors
+    warnings.warn(f"raking has not settled in {rounds} rounds: a share is off by {residual(cells, factors, targets):.2e}", stacklevel=2)
     return factors
 
 
+def residual(cells: DataFrame, factors: dict[str, DataFrame], targets: dict[str, DataFrame]) -> float:
+    """The most by which a value's weighted share is off its target, over all margins."""
+    weighed, product = cells, F.col("tokens").cast("double")
+    for margin in targets:
+        weighed = _with_factor(weighed, factors[margin], margin)
+        product = product * F.col(f"_f_{margin}")
+    weighed = written(weighed.select(*targets, product.alias("mass")), "weighed-cells")
+    off = 0.0
+    for margin in targets:
+        mass = weighed.groupBy(F.col(margin).alias("of")).agg(F.sum("mass").alias("mass"))
+        apart = mass.join(targets[margin], F.col("of").eqNullSafe(F.col("value"))).agg(F.max(F.abs(F.col("mass") - F.col("target")))).first()[0]
+        off = max(off, apart or 0.0)
+    return off
+
+
 def sampling_rates(cells: DataFrame, factors: dict[str, DataFrame], budget: float = BUDGET) -> DataFrame:
     """The margins and ``probability`` of every cell, so that ``budget`` of all tokens is expected.
 

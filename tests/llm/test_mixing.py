@@ -17,6 +17,19 @@ def test_margins_meet_targets(spark):
             assert abs(mass - target) < 1e-6
 
 
+def test_targets_that_no_weights_meet_are_told(spark):
+    import pytest
+
+    from tamizal.llm.mixing import residual
+
+    cells = spark.createDataFrame([("x", "en", "a", 10), ("y", "de", "a", 10)], "source string, lang string, topic string, tokens bigint")
+    wanted = {"source": {"x": 0.9, "y": 0.1}, "lang": {"en": 0.2, "de": 0.8}, "topic": {"a": 1.0}}
+    targets = {m: spark.createDataFrame(list(t.items()), "value string, target double") for m, t in wanted.items()}
+    with pytest.warns(UserWarning, match="not settled"):
+        factors = raked_factors(cells, targets, 3)
+    assert 0.05 < residual(cells, factors, targets) < 1
+
+
 def test_same_draw_again_and_budget(spark, docs):
     a = mixture(docs).cache()
     b = mixture(docs.repartition(3))
