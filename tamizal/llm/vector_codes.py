@@ -4,7 +4,7 @@ A vector is cut into parts, a codebook of each part is refined by a fixed number
 becomes the index of the nearest entry in each part. For every entry of a codebook the other entries are
 listed by their distance to it. A part starts at some entry and walks that entry's list: an entry that is
 nearer than the best so far is jumped to and its own list is walked from its beginning, entries already
-looked at are passed over, and the walk ends where the list is beyond twice the current distance, since
+looked at are passed over, and the walk (by runs of a few entries) ends where the list is beyond twice the current distance, since
 no entry from there on can be as near (triangle inequality). The walks of a batch go in step.
 
 All numbers are integers, so sums do not depend on the order of rows and ties are exact.
@@ -31,6 +31,7 @@ SCALE = 1024
 # Components below this give squared distances and sums that fit 64 bits; larger ones are Python's integers.
 NARROW = 1 << 20
 _LIMB = 48
+_RUN = 16  # entries of a list that are looked at together
 
 
 def _cuts(size: int, parts: int) -> list[tuple[int, int]]:
@@ -67,32 +68,43 @@ class Codebook:
     def nearest(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of the nearest entry of each part (the lowest of equals) and its squared distance."""
         entries = self.entries
-        if entries.dtype == object and parts.dtype != object:
-            parts = parts.astype(object)
         n, count = len(parts), len(entries)
+        if entries.dtype == object or parts.dtype == object:
+            near_parts, near_entries = parts.astype(object), entries.astype(object)
+        else:  # whole numbers below 2**53 in between: exact
+            near_parts, near_entries = parts.astype(np.float64), entries.astype(np.float64)
+
+        def ranked(place: np.ndarray, entry: np.ndarray) -> np.ndarray:
+            """Squared distances with the index behind them, so that the least is the nearest, the lowest of equals."""
+            apart = near_parts[place] - near_entries[entry]
+            found = (apart * apart).sum(axis=1) if apart.dtype == object else np.einsum("ij,ij->i", apart, apart).astype(np.int64)
+            return found * count + entry
+
         # a walk starts at the entry whose components sum up to about the same
         best = self.by_sum[np.minimum(np.searchsorted(self.sums, parts.sum(axis=1)), count - 1)].copy()
-        apart = parts - entries[best]
-        distance = (apart * apart).sum(axis=1)
+        rank = ranked(np.arange(n), best)
+        distance = rank // count
         visited = np.zeros((n, count), bool)
         visited[np.arange(n), best] = True
         step = np.zeros(n, np.int64)
-        walking = np.arange(n)
+        walking, ahead = np.arange(n), np.arange(_RUN)
         while len(walking):
-            at = best[walking]
-            place = step[walking]
-            near = self.apart[at, place] <= 4 * distance[walking]
-            walking, at, place = walking[near], at[near], place[near]
+            # a run of the list is looked at before a jump
+            at, place = best[walking][:, None], step[walking][:, None] + ahead
+            inside = place < count
+            place = np.minimum(place, count - 1)
+            near = inside & (self.apart[at, place] <= 4 * distance[walking][:, None]).astype(bool)
+            goes_on = near[:, 0]
+            walking, at, place, near = walking[goes_on], at[goes_on], place[goes_on], near[goes_on]
             candidate = self.lists[at, place]
-            fresh = ~visited[walking, candidate]
-            looked, tried = walking[fresh], candidate[fresh]
+            row, column = np.nonzero(near & ~visited[walking[:, None], candidate])
+            looked, tried = walking[row], candidate[row, column]
             visited[looked, tried] = True
-            apart = parts[looked] - entries[tried]
-            found = (apart * apart).sum(axis=1)
-            better = (found < distance[looked]) | ((found == distance[looked]) & (tried < best[looked]))
-            step[walking] += 1
-            moved = looked[better]
-            best[moved], distance[moved], step[moved] = tried[better], found[better], 0
+            before = rank[walking]
+            np.minimum.at(rank, looked, ranked(looked, tried))
+            step[walking] += _RUN
+            moved = walking[(rank[walking] < before).astype(bool)]
+            distance[moved], best[moved], step[moved] = rank[moved] // count, (rank[moved] % count).astype(np.int64), 0
             walking = walking[step[walking] < count]
         return best, distance
 
