@@ -12,16 +12,20 @@ BLANKS = " \t\n\x0b\x0c\r"
 BLANK_CLASS = r"[\x20\x09-\x0D]"
 
 ARROW_ROWS = 1000
+ARROW_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> SparkSession:
-    """Arrow batches of at most ``rows`` rows, so that a worker holds few texts at once."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) != rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+def bounded_batches(spark: SparkSession, rows: int = ARROW_ROWS, size: int = ARROW_BYTES) -> SparkSession:
+    """Arrow batches of at most ``rows`` rows and about ``size`` bytes, so that a worker holds few texts at once,
+    or few more than one where texts are longer than that. The settings are the session's from here on."""
+    for key, value in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        name = f"spark.sql.execution.arrow.{key}"
+        if str(spark.conf.get(name, None)) != str(value):
+            spark.conf.set(name, value)
     return spark
 
 
