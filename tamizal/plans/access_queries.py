@@ -7,10 +7,11 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamizal.functions import jsonb
-from tamizal.operators import mutate
+from tamizal.functions import cleaning, jsonb
+from tamizal.operators import constraints, mutate
 from tamizal.operators.introspect import work_done
-from tamizal.operators.views import PartedSnapshot
+from tamizal.operators.views import PartedSnapshot, create_view
+from tamizal.plans import dirty, document_queries
 from tamizal.plans.relational_queries import table
 from tamizal.session import materialize, scratch_path
 from tamizal.sources import layout
@@ -129,7 +130,69 @@ def snapshot_by_parts(spark, sf):
     return stored.read()
 
 
+def composite_key_report(spark, sf):
+    """Lines under one (order, number) more than once, and lines of parts or suppliers that are not there: one pass over the lines."""
+    tables = {n: table(spark, sf, n) for n in ("lineitem", "part", "supplier")}
+    rules = [
+        constraints.Unique("lineitem", ("l_orderkey", "l_linenumber"), primary=True),
+        constraints.ForeignKey("lineitem", "l_partkey", "part", "p_partkey"),
+        constraints.ForeignKey("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+        constraints.Unique("part", ("p_partkey",), primary=True),
+        constraints.Check("lineitem", "descuento", "l_discount < 0.1", ("l_discount",)),
+        constraints.NotNull("lineitem", "l_shipdate"),
+    ]
+    return constraints.violations(tables, rules).select("tabla", "restriccion", "tipo", "clave", "filas")
+
+
+def clean_user_view(spark, sf):
+    """The cleaning functions in SQL text, over a view of the raw users."""
+    cleaning.register(spark)
+    create_view(dirty.raw(spark, sf, "usuarios"), "vw_usuarios_crudos")
+    return spark.sql(
+        "SELECT lote_id, numero_fila, entero_seguro(id) AS id, texto_limpio(nombre) AS nombre, lower(texto_limpio(email)) AS email, "
+        "booleano_seguro(activo) AS activo, fecha_hora_segura(fecha_alta) AS fecha_alta FROM vw_usuarios_crudos"
+    )
+
+
+def views_over_views(spark, sf):
+    """A view that joins, a view over it that counts, and a question asked of the second in SQL."""
+    customer, nation, orders = (table(spark, sf, n) for n in ("customer", "nation", "orders"))
+    owned = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    create_view(owned.select("o_orderkey", "o_orderstatus", "c_mktsegment", "n_name"), "vw_pedidos_por_pais")
+    counted = spark.table("vw_pedidos_por_pais").groupBy("n_name", "c_mktsegment").agg(F.count(F.lit(1)).alias("pedidos"), F.count_if(F.col("o_orderstatus") == "O").alias("abiertos"))
+    create_view(counted, "vw_resumen_por_pais")
+    return spark.sql("SELECT n_name, sum(pedidos) AS pedidos, sum(abiertos) AS abiertos, max_by(c_mktsegment, struct(pedidos, c_mktsegment)) AS mayor FROM vw_resumen_por_pais GROUP BY n_name")
+
+
+def column_changes(spark, sf):
+    """A column added with a type, filled where a test holds, another renamed by projection and one dropped."""
+    part = mutate.add_column(table(spark, sf, "part"), "clase", "string")
+    part = mutate.update_where(part, F.col("p_size") >= 25, {"clase": F.lit("grande")})
+    part = mutate.drop_column(part, "p_name").withColumnRenamed("p_retailprice", "precio")
+    return part.select("p_partkey", "p_brand", "p_size", "precio", "clase")
+
+
 QUERIES = {
+    "composite_key_report": (
+        composite_key_report,
+        "SELECT 'lineitem' AS tabla, 'lineitem_pkey' AS restriccion, 'PRIMARY KEY' AS tipo, '{\"l_orderkey\":' || l_orderkey || ',\"l_linenumber\":' || l_linenumber || '}' AS clave, COUNT(*) AS filas "
+        "FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1 "
+        "UNION ALL SELECT 'lineitem', 'lineitem_l_partkey_fkey', 'FOREIGN KEY', '{\"l_partkey\":' || l_partkey || '}', COUNT(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part) GROUP BY l_partkey "
+        "UNION ALL SELECT 'lineitem', 'lineitem_l_suppkey_fkey', 'FOREIGN KEY', '{\"l_suppkey\":' || l_suppkey || '}', COUNT(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier) GROUP BY l_suppkey "
+        "UNION ALL SELECT 'part', 'part_pkey', 'PRIMARY KEY', '{\"p_partkey\":' || p_partkey || '}', COUNT(*) FROM part GROUP BY p_partkey HAVING COUNT(*) > 1 "
+        "UNION ALL SELECT 'lineitem', 'lineitem_descuento_check', 'CHECK', '{\"l_discount\":' || l_discount || '}', COUNT(*) FROM lineitem WHERE NOT l_discount < 0.1 GROUP BY l_discount "
+        "UNION ALL SELECT 'lineitem', 'lineitem_l_shipdate_not_null', 'NOT NULL', NULL, COUNT(*) FROM lineitem WHERE l_shipdate IS NULL HAVING COUNT(*) > 0",
+    ),
+    "clean_user_view": (clean_user_view, document_queries.QUERIES["clean_user_text"][1]),
+    "views_over_views": (
+        views_over_views,
+        "WITH r AS (SELECT n_name, c_mktsegment, COUNT(*) AS pedidos, count_if(o_orderstatus = 'O') AS abiertos FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2) "
+        "SELECT n_name, SUM(pedidos)::BIGINT AS pedidos, SUM(abiertos)::BIGINT AS abiertos, arg_max(c_mktsegment, {'p': pedidos, 's': c_mktsegment}) AS mayor FROM r GROUP BY 1",
+    ),
+    "column_changes": (
+        column_changes,
+        "SELECT p_partkey, p_brand, p_size, p_retailprice AS precio, CASE WHEN p_size >= 25 THEN 'grande' END AS clase FROM part",
+    ),
     "access_paths": (
         access_paths,
         "SELECT 'tabla' AS camino, COUNT(*) AS leidas, count_if(event_type = 'purchase')::BIGINT AS devueltas, 0::BIGINT AS intercambios FROM events "
