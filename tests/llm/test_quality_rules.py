@@ -32,6 +32,14 @@ def test_order_by_rejections_per_cost(docs):
     assert [r.name for r in cascade_order(docs, rules)] == ["always", "never"]
 
 
+def test_order_counts_what_is_left_and_what_it_costs(docs):
+    # "part" rejects nothing that "all but few" leaves, though it rejects more than "rest" at first
+    rules = (Rule("rest", "n_words < 12"), Rule("part", "n_words >= 30"), Rule("all but few", "n_words >= 12"))
+    assert [r.name for r in cascade_order(docs, rules)] == ["all but few", "rest", "part"]
+    slow = "length(regexp_replace(repeat(text, 20), '([a-z]+)[a-z ]*x', '')) >= 0"
+    assert [r.name for r in cascade_order(docs, (Rule("slow", slow), Rule("fast", "n_words >= 0")))] == ["fast", "slow"]
+
+
 def test_stage_keeps_columns_and_clean_rows(spark, docs, empty):
     clash = docs.withColumn("kept", docs.lang).withColumn("_words", docs.source).withColumn("judged_text", docs.lang)
     kept = quality_stage(spark, clash, "")
