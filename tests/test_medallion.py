@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tamizal.operators import quality
-from tamizal.plans import gold, medallion
+from tamizal.plans import access_queries, gold, medallion
 from tamizal.plans.entities import ENTITIES, levels
 from tamizal.sources import bronze, records
 from tamizal.sources.publish import current_folder, current_version, publish, read_published, retire
@@ -263,3 +263,14 @@ def test_malformed_records_are_rejected_and_take_no_key(spark, tmp_path):
     found = {r["numero_fila"]: (r["codigo_error"], r["evidencia_original"]) for r in rows.where("numero_fila > 5").collect()}
     assert found[8] == (None, '{"id":"8","nombre":"Globo"}')
     assert {n: found[n] for n in (6, 7)} == {6: ("MALFORMED_RECORD", '{"registro_invalido":"8"}'), 7: ("MALFORMED_RECORD", '{"registro_invalido":"8,Globo,sobra"}')}
+
+
+def test_quoted_records_over_many_files(spark, tmp_path):
+    """Every file has its header, also when the texts fill more tasks than the ids alone."""
+    letters = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(200)), lambda i: F.md5(F.concat(F.col("doc_id").cast("string"), i.cast("string")))), "\n")
+    rows = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("es").alias("lang")).withColumn("text", letters)
+    rows.select("doc_id", "text", "lang").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["registro"]: (r["filas"], r["ids"], r["letras"], r["lugares"]) for r in access_queries.quoted_records(spark, str(tmp_path)).collect()}
+    bad = [i for i in range(1000) if i % 11 == 3 or i % 13 == 5]
+    good = 1000 - len(bad)
+    assert found == {"con otros campos": (len(bad), sum(bad), None, len(bad)), "entero": (good, sum(range(1000)) - sum(bad), good * (200 * 33 - 1), good)}
