@@ -8,7 +8,7 @@ a sort-merge join with skew splitting when it does not.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -16,13 +16,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamizal.functions.jsonb import struct_text
-from tamizal.session import materialize_all
+from tamizal.session import materialize, materialize_all
 from tamizal.sources.records import INVALID
 
 LINEAGE = ["lote_id", "archivo_origen", "numero_fila", "ingerido_en"]
 EVIDENCE = "evidencia_original"
 CODE = "codigo_error"
 _MALFORMED = "_malformed"
+_RECEIVED = "_received"
+_ABSENT = "_absent"
+_RULE = "_rule"
 
 MISSING_REQUIRED = "MISSING_REQUIRED"
 DUPLICATE_KEY = "DUPLICATE_KEY"
@@ -58,20 +61,33 @@ class EntitySpec:
             raise ValueError(f"{self.name}: key columns must be required: {sorted(loose)}")
 
 
-def normalize(raw: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Typed columns, lineage, and the row as received.
+def normalize(raw: DataFrame, spec: EntitySpec, columns: Iterable[str] | None = None, evidence: bool = True) -> DataFrame:
+    """Typed columns, lineage, the row as received, and what the row alone tells: ``_absent`` and the first broken rule.
 
-    A record whose fields do not fit the columns (``registro_invalido``) has no columns, so it takes no key, and
-    its evidence is the record itself.
+    With ``columns`` only these typed columns are kept beside keys and references; without ``evidence`` the row as
+    received is not. A record whose fields do not fit the columns (``registro_invalido``) has no columns, so it takes
+    no key, and its evidence is the record itself.
     """
-    received = struct_text(*[F.col(c).cast("string").alias(c) for c in spec.columns])
+    received = F.when(F.lit(evidence), F.struct(*[F.col(c).cast("string").alias(c) for c in spec.columns])).alias(_RECEIVED)
     if INVALID not in raw.columns:
         typed = [clean(name).alias(name) for name, clean in spec.columns.items()]
-        return raw.select(*typed, *LINEAGE, received.alias(EVIDENCE), F.lit(False).alias(_MALFORMED))
-    malformed = F.col(INVALID).isNotNull()
-    typed = [F.when(~malformed, clean(name)).alias(name) for name, clean in spec.columns.items()]
-    evidence = F.when(malformed, struct_text(INVALID)).otherwise(received)
-    return raw.select(*typed, *LINEAGE, evidence.alias(EVIDENCE), malformed.alias(_MALFORMED))
+        rows = raw.select(*typed, *LINEAGE, received, F.lit(None).cast("string").alias(_MALFORMED))
+    else:
+        fits = F.col(INVALID).isNull()
+        typed = [F.when(fits, clean(name)).alias(name) for name, clean in spec.columns.items()]
+        rows = raw.select(*typed, *LINEAGE, received, F.col(INVALID).alias(_MALFORMED))
+    absent = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in spec.required])
+    rule = F.lit(None).cast("string")
+    for label, broken in reversed(spec.rules):
+        rule = F.when(broken(), F.lit(label)).otherwise(rule)
+    wanted = set(spec.columns if columns is None else columns) | set(spec.key) | {r.column for r in spec.references}
+    kept = [c for c in spec.columns if c in wanted]
+    return rows.select(*kept, *LINEAGE, _RECEIVED, _MALFORMED, absent.alias(_ABSENT), rule.alias(_RULE))
+
+
+def _evidence() -> Column:
+    record = struct_text(F.col(_MALFORMED).alias(INVALID))
+    return F.when(F.col(_RECEIVED).isNull(), F.lit(None)).when(F.col(_MALFORMED).isNotNull(), record).otherwise(struct_text(f"{_RECEIVED}.*"))
 
 
 def _position() -> Column:
@@ -80,13 +96,16 @@ def _position() -> Column:
 
 
 def repeated_keys(rows: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """Keys seen more than once, with the position that keeps the key (partial aggregate)."""
-    counted = (
-        rows.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key]))
-        .groupBy(*[F.col(k).alias(f"_k_{k}") for k in key])
-        .agg(F.min(_position()).alias("_first"), F.count(F.lit(1)).alias("_times"))
-    )
-    return counted.where(F.col("_times") > 1).drop("_times")
+    """Keys seen more than once, with the position that keeps the key.
+
+    Keys are counted alone (a hash aggregate); positions, which would have to be sorted, only of those that repeat.
+    """
+    named = [F.col(k).alias(f"_k_{k}") for k in key]
+    keyed = rows.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key]))
+    times = keyed.groupBy(*named).agg(F.count(F.lit(1)).alias("_times")).where(F.col("_times") > 1).drop("_times")
+    keys = [f"_k_{k}" for k in key]
+    found = keyed.select(*named, _position().alias("_at")).join(materialize(times, "repeated"), keys, "left_semi")
+    return found.groupBy(*keys).agg(F.min("_at").alias("_first"))
 
 
 def unknown_references(rows: DataFrame, reference: Reference, parents: DataFrame, flag: str) -> DataFrame:
@@ -108,12 +127,21 @@ def evaluate(
     parents: dict[str, DataFrame] | None = None,
     seen: DataFrame | None = None,
 ) -> DataFrame:
-    """Typed rows plus ``codigo_error``, NULL on accepted rows.
+    """Typed rows plus ``codigo_error``, NULL on accepted rows: ``normalize``, then ``judge``."""
+    return judge(normalize(raw, spec), spec, parents, seen)
+
+
+def judge(
+    rows: DataFrame,
+    spec: EntitySpec,
+    parents: dict[str, DataFrame] | None = None,
+    seen: DataFrame | None = None,
+) -> DataFrame:
+    """Rows of ``normalize`` plus ``codigo_error``. They are read once per check and once per use of the result.
 
     Repeats are decided before validity: the first position keeps the key even when that row is
     rejected for another reason. ``seen`` holds keys taken by earlier runs.
     """
-    rows = normalize(raw, spec)
     name = spec.name
 
     checks = {f"{name}-repeats": repeated_keys(rows, spec.key)}
@@ -139,13 +167,12 @@ def evaluate(
         ).drop(f"_v_{flag}")
         flags.append((reference.code, flag))
 
-    absent = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in spec.required])
-    code = F.when(F.col(_MALFORMED), F.lit(MALFORMED_RECORD)).when(absent, F.lit(MISSING_REQUIRED)).when(repeated, F.lit(DUPLICATE_KEY))
-    for label, broken in spec.rules:
-        code = code.when(broken(), F.lit(label))
+    code = F.when(F.col(_MALFORMED).isNotNull(), F.lit(MALFORMED_RECORD)).when(F.col(_ABSENT), F.lit(MISSING_REQUIRED)).when(repeated, F.lit(DUPLICATE_KEY))
+    code = code.when(F.col(_RULE).isNotNull(), F.col(_RULE))
     for label, flag in flags:
         code = code.when(F.col(flag), F.lit(label))
-    return judged.select(*spec.columns, *LINEAGE, EVIDENCE, code.alias(CODE))
+    kept = [c for c in spec.columns if c in rows.columns]
+    return judged.select(*kept, *LINEAGE, _evidence().alias(EVIDENCE), code.alias(CODE))
 
 
 def accepted(evaluated: DataFrame) -> DataFrame:

@@ -166,10 +166,23 @@ def raw_sql(entity: str) -> str:
     return " UNION ALL ".join(parts)
 
 
+# rows that one task turns into text and cleans
+ROWS_PER_TASK = 100_000
+
+
 def raw(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    text = raw_sql(entity)
+    """Rows of ``raw_sql`` with the ingestion time, dealt to tasks by their number.
+
+    Spark cuts a scan by bytes and row groups, so a well compressed table is few tasks however many rows it has.
+    """
+    text, source = raw_sql(entity), DERIVATIONS[entity][0]
     used = [t for t in ("customer", "orders", "part", "lineitem", "events") if f"FROM {t}" in text]
-    tables = ", ".join(f"{t} AS (SELECT * FROM parquet.`{sf_dir}/{t}.parquet`)" for t in used)
-    return spark.sql(f"WITH {tables} {text}").withColumn(
+
+    def read(table: str) -> str:
+        path = f"{sf_dir}/{table}.parquet"
+        tasks = -(-spark.read.parquet(path).count() // ROWS_PER_TASK) if table == source else 1
+        return f"{table} AS (SELECT {f'/*+ REPARTITION({tasks}) */ ' if tasks > 1 else ''}* FROM parquet.`{path}`)"
+
+    return spark.sql(f"WITH {', '.join(map(read, used))} {text}").withColumn(
         "ingerido_en", F.lit("2026-04-01 00:00:00").cast("timestamp_ntz")
     )

@@ -15,14 +15,21 @@ from tamizal.plans.medallion import evaluate_in_order
 # --------------------------------------------------------------------------- Spark side
 
 
-def evaluate_entities(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    """Evaluate ``names`` and what they refer to, parents first."""
-    done = evaluate_in_order(spark, lambda e: dirty.raw(spark, sf_dir, e), names)
+def evaluate_entities(
+    spark: SparkSession, sf_dir: str, *names: str, columns: dict[str, list[str]] | None = None, evidence: bool = False
+) -> dict[str, DataFrame]:
+    """Evaluate ``names`` and what they refer to, parents first.
+
+    Beside keys, references and lineage only ``columns`` are kept, and the rows as received only with ``evidence``.
+    """
+    done = evaluate_in_order(spark, lambda e: dirty.raw(spark, sf_dir, e), names, columns=columns or {}, evidence=evidence)
     return {n: done[n] for n in ENTITIES if n in names}
 
 
-def silver_entities(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    return {n: quality.accepted(df) for n, df in evaluate_entities(spark, sf_dir, *names).items()}
+def silver_entities(spark: SparkSession, sf_dir: str, *names: str, columns: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
+    """Accepted rows of ``names``, with all their columns unless ``columns`` lists those to keep."""
+    kept = {n: list(ENTITIES[n].columns) for n in names} if columns is None else columns
+    return {n: quality.accepted(df) for n, df in evaluate_entities(spark, sf_dir, *names, columns=kept).items()}
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -40,11 +47,11 @@ def _silver(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def rejects_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(quality.rejects(evaluate_entities(spark, sf_dir, *ENTITIES)))
+    return _plain(quality.rejects(evaluate_entities(spark, sf_dir, *ENTITIES, evidence=True)))
 
 
 def reject_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.reject_listing(quality.rejects(evaluate_entities(spark, sf_dir, "metricas")))
+    return quality.reject_listing(quality.rejects(evaluate_entities(spark, sf_dir, "metricas", evidence=True)))
 
 
 def error_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,8 +80,7 @@ def first_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where(F.col("codigo_error") == quality.DUPLICATE_KEY).select("id", "lote_id", "numero_fila")
 
 
-def _gold(spark: SparkSession, sf_dir: str, *entities: str) -> dict[str, DataFrame]:
-    return silver_entities(spark, sf_dir, *entities)
+_gold = silver_entities
 
 
 def dim_fecha(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +137,8 @@ def integrity_controls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def olap_mean_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _gold(spark, sf_dir, "experimentos", "metricas")
+    used = {"experimentos": ["fecha"], "metricas": ["nombre", "valor", "fecha_registro"]}
+    s = _gold(spark, sf_dir, *used, columns=used)
     tables = {
         "dim_fecha": gold.dim_fecha(s["experimentos"], s["metricas"]),
         "dim_metrica": gold.dim_metrica(s["metricas"]),
@@ -141,15 +148,31 @@ def olap_mean_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def olap_accuracy_by_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.accuracy_by_owner(gold.build(_gold(spark, sf_dir, *ENTITIES)))
+    """Only entities along the path from fact to owner are judged, with the columns that the question reads."""
+    used = {"usuarios": ["nombre"], "tipos_fuente": [], "datasets": ["nombre"], "experimentos": [], "metricas": ["nombre", "valor"]}
+    s = _gold(spark, sf_dir, *used, columns=used)
+    # the columns that no one reads are absent here, so the dimensions are the parts of gold's that the question names
+    datasets = s["datasets"].join(s["tipos_fuente"].select(F.col("id").alias("tipo_fuente_id")), "tipo_fuente_id")
+    tables = {
+        "dim_metrica": gold.dim_metrica(s["metricas"]),
+        "fact_metricas_experimentos": s["metricas"].select(F.col("experimento_id").alias("experimento_key"), gold.metric_key("nombre").alias("metrica_key"), "valor"),
+        "dim_dataset": datasets.select(F.col("id").alias("dataset_key"), F.col("usuario_id").alias("usuario_key"), "nombre"),
+        "dim_usuario": s["usuarios"].select(F.col("id").alias("usuario_key"), "nombre"),
+        "dim_experimento": s["experimentos"].select(F.col("id").alias("experimento_key"), F.col("dataset_id").alias("dataset_key")),
+    }
+    return gold.accuracy_by_owner(tables)
 
 
 def olap_models_by_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _gold(spark, sf_dir, "experimentos", "modelos", "experimentos_modelos", "tipos_modelo")
+    used = {"experimentos": ["nombre"], "modelos": ["nombre"], "experimentos_modelos": [], "tipos_modelo": []}
+    s = _gold(spark, sf_dir, *used, columns=used)
+    models = s["modelos"].join(s["tipos_modelo"].select(F.col("id").alias("tipo_modelo_id")), "tipo_modelo_id")
     tables = {
-        "dim_modelo": gold.dim_modelo(s["modelos"], s["tipos_modelo"]),
-        "dim_experimento": gold.dim_experimento(s["experimentos"]),
-        "bridge_experimento_modelo": gold.bridge_experimento_modelo(s["experimentos_modelos"]),
+        "dim_modelo": models.select(F.col("id").alias("modelo_key"), "nombre"),
+        "dim_experimento": s["experimentos"].select(F.col("id").alias("experimento_key"), "nombre"),
+        "bridge_experimento_modelo": s["experimentos_modelos"].select(
+            F.col("experimento_id").alias("experimento_key"), F.col("modelo_id").alias("modelo_key")
+        ),
     }
     return gold.models_by_experiment(tables)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tamizal.operators import quality
 from tamizal.plans.entities import ENTITIES
 from tamizal.plans.medallion import evaluate_in_order
+from tamizal.session import scratch_run
 from tamizal.sources.bronze import batch_id, read_entity
 from tamizal.sources.publish import write_table
 
@@ -106,7 +107,8 @@ def process_arrivals(spark: SparkSession, lake: str, arrivals: DataFrame, trigge
     write_table(arrivals, f"{lake}/_llegadas/micro={batch}")
     names = complete_batches(spark, lake, batch, order)
     for place, name in enumerate(names):
-        process_batch(spark, lake, name, batch + place)
+        with scratch_run(spark):
+            process_batch(spark, lake, name, batch + place)
     if names:
         # last: a trigger that fails before this releases the same batches again
         write_table(spark.createDataFrame([(n,) for n in names], "lote_id string"), f"{lake}/_liberados/micro={batch}")

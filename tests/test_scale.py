@@ -5,7 +5,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tamizal.operators import quality, ranking, relational
-from tamizal.plans.entities import DATASETS, METRICAS, TIPOS_FUENTE
+from tamizal.plans import dirty
+from tamizal.plans.entities import DATASETS, ENTITIES, METRICAS, TIPOS_FUENTE
+from tamizal.plans.medallion import evaluate_in_order
 from tamizal.session import tune
 
 
@@ -165,5 +167,33 @@ def test_same_result_beyond_the_broadcast_limit(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_rows_are_dealt_to_tasks_by_their_number(spark, tmp_path, monkeypatch):
+    """A table of one row group is one task's scan; what is made of it is not."""
+    events = spark.range(1000).select(
+        F.col("id").alias("event_id"), F.lit("view").alias("event_type"), F.lit(0.5).alias("value"), F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("ts")
+    )
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(dirty, "ROWS_PER_TASK", 100, raising=False)
+    rows = dirty.raw(spark, str(tmp_path), "metricas")
+    assert rows.rdd.getNumPartitions() >= 10 and rows.count() == 1020
+
+
+def test_rows_are_cleaned_once(spark):
+    """What checks and uses read are typed columns from files: keys, references and those asked for."""
+    raw = _lineage(spark.range(100).select(
+        (F.col("id") % 90).cast("string").alias("id"), F.when(F.col("id") % 9 == 1, " ").otherwise(" a  b ").alias("nombre"), F.lit("e").alias("email"),
+        F.when(F.col("id") % 9 == 2, "x").otherwise("SI").alias("activo"), F.when(F.col("id") % 9 < 5, "31/02/2024").otherwise("2024-01-01").alias("fecha_alta"), F.col("id").alias("n"),
+    ))
+    out = evaluate_in_order(spark, lambda _: raw, ["usuarios"], columns={"usuarios": ["nombre"]})["usuarios"]
+    plan = out._jdf.queryExecution().executedPlan().toString().lower()
+    assert "regexp_replace" not in plan and "rlike" not in plan
+    whole = quality.evaluate(raw, ENTITIES["usuarios"])
+    compared = [c for c in out.columns if c != "ingerido_en"]
+    assert sorted(map(str, out.select(compared).collect())) == sorted(map(str, whole.select(compared).collect()))
+    assert "activo" not in out.columns and {"id", "nombre", "evidencia_original", "codigo_error"} <= set(out.columns)
+    found = {r["codigo_error"]: r["count"] for r in out.groupBy("codigo_error").count().collect()}
+    assert found == {None: 40, "MISSING_REQUIRED": 11, "DUPLICATE_KEY": 9, "INVALID_BOOLEAN": 10, "INVALID_DATE": 30}
+
+
 def test_tune_is_idempotent(spark):
     assert tune(tune(spark)).conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
