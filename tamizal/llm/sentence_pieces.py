@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -163,28 +164,32 @@ def pieces_of(path: str, kind: str) -> Pieces:
     return _models[path, kind]
 
 
-def _grouped(texts: list[str], most: int = 1 << 21) -> Iterator[slice]:
+def _grouped(sizes: list[int], most: int = 1 << 21) -> Iterator[slice]:
     begin = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= most or i == len(texts) - 1:
+    for i, own in enumerate(sizes):
+        size += own
+        if size >= most or i == len(sizes) - 1:
             yield slice(begin, i + 1)
             begin, size = i + 1, 0
 
 
-def _encode(path: str, kind: str, text: str, ids: str):
+def _encode(path: str, kind: str, text: str, ids: str, agrees: str | None = None):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces_of(path, kind)
         for batch in batches:
-            texts = batch.column(text).to_pylist()
-            for rows in _grouped(texts):
-                coded = model.encode(texts[rows])
+            # only the texts of one group are Python objects at a time
+            for rows in _grouped(pc.utf8_length(batch.column(text)).to_pylist()):
+                part = batch.slice(rows.start, rows.stop - rows.start)
+                texts = part.column(text).to_pylist()
+                coded = model.encode(texts)
                 offsets = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])]).astype(np.int32)
                 flat = pa.array(np.frombuffer(b"".join(coded), "<i4"))
-                own = pa.ListArray.from_arrays(pa.array(offsets), flat)
-                kept = [c[rows] for n, c in zip(batch.schema.names, batch.columns) if n != text]
-                names = [n for n in batch.schema.names if n != text]
-                yield pa.RecordBatch.from_arrays([*kept, own], names=[*names, ids])
+                made = {ids: pa.ListArray.from_arrays(pa.array(offsets), flat)}
+                if agrees:
+                    read = (model.decode(np.frombuffer(c, "<i4")) for c in coded)
+                    made[agrees] = pa.array([r == t.replace(MARK, " ") for r, t in zip(read, texts)], pa.bool_())
+                kept = [n for n in part.schema.names if n != text]
+                yield pa.RecordBatch.from_arrays([*map(part.column, kept), *made.values()], names=[*kept, *made])
 
     return encode
 
@@ -204,17 +209,24 @@ def _decode(path: str, kind: str, ids: str, text: str):
     return decode
 
 
-def encode_pieces(docs: DataFrame, path: str, kind: str = "bpe", text: str = "text", ids: str = "ids") -> DataFrame:
+def encode_pieces(
+    docs: DataFrame, path: str, kind: str = "bpe", text: str = "text", ids: str = "ids", agrees: str | None = None,
+    keep_text: bool = True,
+) -> DataFrame:
     """``docs`` with ``ids`` (array of int): piece ids of ``text``. No ids for a null or empty text.
 
-    A column of ``docs`` that is named ``ids`` is replaced. Repeated rows are encoded alike.
+    With ``agrees``, a boolean column of that name tells whether the ids decode to the text (the marker itself is
+    read back as a blank); the worker that encodes also decodes. Without ``keep_text`` the text does not come back.
+    Columns of ``docs`` that are named like new ones are replaced. Repeated rows are encoded alike.
     """
     bounded_batches(docs.sparkSession)
-    kept = [c for c in docs.columns if c.lower() != ids.lower()]
+    made = {ids: "array<int>"} | ({agrees: "boolean"} if agrees else {})
+    gone = {n.lower() for n in made} | (set() if keep_text else {text.lower()})
+    kept = [c for c in docs.columns if c.lower() not in gone]
     work = free_name(docs, "piece_text")
     own = docs.select(*kept, F.coalesce(text, F.lit("")).alias(work))
-    schema = docs.select(*kept).withColumn(ids, F.lit(None).cast("array<int>")).schema
-    return own.mapInArrow(_encode(path, kind, work, ids), schema)
+    schema = docs.select(*kept, *[F.lit(None).cast(t).alias(n) for n, t in made.items()]).schema
+    return own.mapInArrow(_encode(path, kind, work, ids, agrees), schema)
 
 
 def decode_pieces(coded: DataFrame, path: str, kind: str = "bpe", ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -229,13 +241,10 @@ def decode_pieces(coded: DataFrame, path: str, kind: str = "bpe", ids: str = "id
 
 
 def _coded_and_read(docs: DataFrame) -> DataFrame:
-    """``ids``, and whether they decode to the text (the marker itself is read back as a blank)."""
+    """``docs`` without the text, with ``ids``, ``round_trip`` (whether they decode to the text) and ``n_pieces``."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    source = free_name(docs, "piece_source")
-    coded = encode_pieces(docs.withColumn(source, F.coalesce("text", F.lit(""))), path)
-    read = decode_pieces(coded, path)
-    same = F.col("decoded") == F.replace(F.col(source), F.lit(MARK), F.lit(" "))
-    return read.withColumn("round_trip", same).withColumn("n_pieces", F.size("ids").cast("bigint")).drop(source, "decoded")
+    coded = encode_pieces(docs, path, agrees="round_trip", keep_text=False)
+    return coded.withColumn("n_pieces", F.size("ids").cast("bigint"))
 
 
 def op6_sentence_pieces(spark, sf_dir):
@@ -245,4 +254,4 @@ def op6_sentence_pieces(spark, sf_dir):
 
 def piece_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as piece ids: their columns but for the text, ``ids``, ``n_pieces``, ``round_trip``."""
-    return _coded_and_read(docs).drop("text")
+    return _coded_and_read(docs)

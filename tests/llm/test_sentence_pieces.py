@@ -3,9 +3,11 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
+from tamizal.llm import sentence_pieces
 from tamizal.llm.sentence_pieces import Pieces, decode_pieces, encode_pieces, piece_stage
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -49,3 +51,20 @@ def test_frames(spark, docs, empty, library):
     stage = piece_stage(spark, docs, "")
     assert stage.count() == docs.count() and stage.where("NOT round_trip").count() == 0
     assert piece_stage(spark, empty, "").count() == 0
+
+
+def test_one_worker_encodes_and_reads_back(spark, docs):
+    """A second Python worker per task, and the text on its way to it, is memory that the executors do not have."""
+    stage = piece_stage(spark, docs, "")
+    assert stage._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert stage.columns == ["doc_id", "lang", "source", "n_chars", "ids", "round_trip", "n_pieces"]
+    marked = spark.createDataFrame([(1, "a▁b  c"), (2, None)], "doc_id bigint, text string")
+    kept = encode_pieces(marked, PATH, agrees="same")
+    assert kept.columns == ["doc_id", "text", "ids", "same"] and kept.where("same").count() == 2
+
+
+def test_what_is_read_back_is_compared(monkeypatch):
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "t": ["ab", "", "cd"]})
+    monkeypatch.setattr(Pieces, "decode", lambda self, ids: "ab" if len(ids) else "")
+    (out,) = sentence_pieces._encode(PATH, "bpe", "t", "ids", "same")(iter([batch]))
+    assert out.column("same").to_pylist() == [True, True, False] and out.schema.names == ["doc_id", "ids", "same"]
